@@ -7,7 +7,7 @@ from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from kandela.operators.features import recent_features
 from kandela.schemas import FEATURE_COLUMNS, SERIES
@@ -89,7 +89,7 @@ def exact_ks_p(n: int, m: int, d: float) -> float:
     return float(min(max(1.0 - exp(log(paths[n]) + log_scale - log_all), 0.0), 1.0))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _exact_p(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for n, m, d in batches:
         yield pd.Series([exact_ks_p(int(a), int(b), float(c)) for a, b, c in zip(n, m, d)])

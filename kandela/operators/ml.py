@@ -156,6 +156,19 @@ def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
+def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], DataFrame]:
+    """A scorer that sends each symbol's rows to its own model; symbols without one are not scored."""
+
+    def run(rows: DataFrame) -> DataFrame:
+        parts = [predictions(model, rows.where(F.col("symbol") == symbol)) for symbol, model in models.items()]
+        result = parts[0]
+        for part in parts[1:]:
+            result = result.unionByName(part)
+        return result
+
+    return run
+
+
 def backtest(model: PipelineModel, test: DataFrame) -> DataFrame:
     return conform(
         score(model, test).select(

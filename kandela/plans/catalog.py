@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from kandela.plans import table_queries, window_queries  # noqa: F401  (importing registers)
+from kandela.plans import (  # noqa: F401  (importing registers)
+    model_queries, stat_queries, stream_queries, table_queries, window_queries,
+)
 from kandela.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

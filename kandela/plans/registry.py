@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 
 
 def publish(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Zone-free times and rounded doubles, so that two engines print the same values."""
+    """Zone-free times, rounded doubles, plain dates and decimals: two engines print the same values."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -21,6 +21,10 @@ def publish(df: DataFrame, digits: int = 6) -> DataFrame:
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DoubleType):
             column = F.round(column, digits)
+        elif isinstance(field.dataType, T.DecimalType):
+            column = column.cast("double")
+        elif isinstance(field.dataType, T.DateType):
+            column = F.date_format(column, "yyyy-MM-dd")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 

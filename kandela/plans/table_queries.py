@@ -259,7 +259,8 @@ _ORDERS = """ticks AS (SELECT o_orderpriority AS symbol, o_orderdate AS ts, o_or
 
 
 @query("k8_table_contract", f"""WITH {_ORDERS}, {candles_sql('1d')}
-  SELECT symbol, open_time::DATE AS date, {", ".join(f"CAST({c} AS DECIMAL(18,3)) AS {c}" for c in PRICES)} FROM candles""")
+  SELECT symbol, strftime(open_time, '%Y-%m-%d') AS date,
+  {", ".join(f"CAST(CAST({c} AS DECIMAL(18,3)) AS DOUBLE) AS {c}" for c in PRICES)} FROM candles""")
 def table_contract(spark, folder):
     daily = tb.daily_order_candles(spark, folder).withColumn("date", F.col("open_time").cast("date"))
     contract = T.StructType([T.StructField("symbol", T.StringType()), *GRAIN_PRICES.fields])
@@ -280,7 +281,7 @@ def backfill_slices(spark, folder):
 
 @query("g2_date_dimension", """WITH days AS (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate),
     INTERVAL '1 day'))::DATE AS date FROM orders)
-  SELECT date, year(date)::INTEGER AS year, month(date)::INTEGER AS month, day(date)::INTEGER AS day,
+  SELECT strftime(date, '%Y-%m-%d') AS date, year(date)::INTEGER AS year, month(date)::INTEGER AS month, day(date)::INTEGER AS day,
     week(date)::INTEGER AS week, quarter(date)::INTEGER AS quarter, dayname(date) AS day_name,
     monthname(date) AS month_name, isodow(date) >= 6 AS is_weekend FROM days""")
 def date_dimension(spark, folder):
