@@ -20,8 +20,10 @@ from kandela.functions.scalars import signal_name
 from kandela.operators.evaluate import scores, with_row_weights
 from kandela.operators.series import number_rows
 from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, conform
+from kandela.session import materialise
 
 SEED = 42
+ROWS_PER_TASK = 50_000
 _COLUMNS = {"labelCol": "target", "featuresCol": "scaled", "weightCol": "weight"}
 
 
@@ -82,22 +84,33 @@ class Prepared:
     train_rows: int
 
 
-def prepare(split_rows: DataFrame, symbol: str) -> Prepared:
-    """Weight and scale one symbol; the scaler is fitted on its train rows.
+def training_table(split_rows: DataFrame) -> DataFrame:
+    """Feature rows with class weights, stored once, one folder per symbol.
+
+    Train rows get the balanced weight of their class, test rows weight 1.
+    """
+    train = with_row_weights(split_rows.where("split = 'train'"))
+    test = split_rows.where("split = 'test'").withColumn("weight", F.lit(1.0))
+    return materialise(train.unionByName(test), "training", partition_by=["symbol"])
+
+
+def prepare(table: DataFrame, symbol: str) -> Prepared:
+    """Scale one symbol of a training table; the scaler is fitted on its train rows.
 
     The scaled train rows are kept in memory and on disk for the fits that follow; a lost block is
-    recomputed from the stored features.
+    recomputed from the stored table. Tree fits run thousands of short stages, so a small train set
+    is gathered into as few tasks as its row count allows.
     """
-    rows = split_rows.where(F.col("symbol") == symbol)
-    train = with_row_weights(rows.where("split = 'train'"))
-    test = rows.where("split = 'test'").withColumn("weight", F.lit(1.0))
+    rows = table.where(F.col("symbol") == symbol)
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     assembler = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="vector")
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="vector", outputCol="scaled")
-    assembled = assembler.transform(train)
+    train_rows = train.count()
+    assembled = assembler.transform(train.coalesce(-(-train_rows // ROWS_PER_TASK) or 1))
     fitted = scaler.fit(assembled)
-    scaled = fitted.transform(assembled).persist()
     return Prepared(
-        symbol, scaled, fitted.transform(assembler.transform(test)), [assembler, fitted], scaled.count())
+        symbol, fitted.transform(assembled).persist(), fitted.transform(assembler.transform(test)),
+        [assembler, fitted], train_rows)
 
 
 def fit(prepared: Prepared, make: Callable[[int], Estimator]) -> PipelineModel:
@@ -189,27 +202,28 @@ def symbols_of(rows: DataFrame) -> list[str]:
     return [r.symbol for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
 
 
-def per_symbol(rows: DataFrame, work: Callable[[str], object], parallelism: int = 4) -> list:
+def per_symbol(rows: DataFrame, work: Callable[[str], object], parallelism: int = 8) -> list:
     """Run ``work(symbol)`` for every symbol, several at a time; each fit is a distributed job."""
     symbols = symbols_of(rows)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return list(pool.map(work, symbols))
 
 
-def train_and_evaluate(split_rows: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
+def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
                        search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
-                       parallelism: int = 4) -> DataFrame:
+                       parallelism: int = 8) -> DataFrame:
     """(symbol, model, n, accuracy, f1) of every base and tuned model on its symbol's test rows."""
 
     def work(symbol: str) -> list[DataFrame]:
-        data = prepare(split_rows, symbol)
+        data = prepare(table, symbol)
         done = [evaluate(fit(data, make), data.test, symbol, f"{name}_BASE") for name, make in models.items()]
         for name, grid in (search or {}).items():
             model, _ = random_search(data, BASE_MODELS[name], grid, draws)
             done.append(evaluate(model, data.test, symbol, f"{name}_OPT"))
+        data.train.unpersist()
         return done
 
-    tables = [t for part in per_symbol(split_rows, work, parallelism) for t in part]
+    tables = [t for part in per_symbol(table, work, parallelism) for t in part]
     result = tables[0]
     for table in tables[1:]:
         result = result.unionByName(table)

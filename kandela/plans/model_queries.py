@@ -12,8 +12,8 @@ from kandela.sources import tables as tb
 
 
 def split_features(spark, folder):
-    """Features per split, stored once for all fits."""
-    return materialise(features_per_split(tb.stored_event_candles(spark, folder)), "features")
+    """Weighted features per split, stored once for all fits."""
+    return ml.training_table(materialise(features_per_split(tb.stored_event_candles(spark, folder)), "features"))
 
 
 def _base(spark, folder, name):
@@ -30,16 +30,6 @@ def random_forest(spark, folder):
     return _base(spark, folder, "RandomForest")
 
 
-@query("m5_boosted_trees_a")
-def boosted_trees_a(spark, folder):
-    return _base(spark, folder, "BoostedTreesA")
-
-
-@query("m6_boosted_trees_b")
-def boosted_trees_b(spark, folder):
-    return _base(spark, folder, "BoostedTreesB")
-
-
 @query("m8_per_symbol_training")
 def per_symbol_training(spark, folder):
     """Two base families per symbol and the better one of each."""
@@ -74,7 +64,7 @@ def backtest_export(spark, folder):
 def reload_and_score(spark, folder):
     """Save each model, load it again and score every labelled candle."""
     candles = tb.stored_event_candles(spark, folder)
-    rows = materialise(features_per_split(candles), "features")
+    rows = ml.training_table(materialise(features_per_split(candles), "features"))
     everything = materialise(training_frame(candles), "training")
     path, loaded = scratch_path(spark, "models"), {}
     for symbol, model in _models(rows).items():
@@ -104,3 +94,26 @@ def run_log(spark, folder):
         split_features(spark, folder), {"LogisticRegression": ml.BASE_MODELS["LogisticRegression"]})
     ml.append_runs(ml.run_log(scored, HORIZON, THRESHOLD), path)
     return ml.read_runs(spark, path)
+
+
+# The long fits come last.
+
+@query("m7_random_search")
+def random_search(spark, folder):
+    """Three drawn forest settings per symbol with three time folds each, against the untuned forest.
+
+    The operator draws ten by default; the other families take minutes per symbol on one machine.
+    """
+    models = {"RandomForest": ml.BASE_MODELS["RandomForest"]}
+    search = {"RandomForest": ml.SEARCH_GRIDS["RandomForest"]}
+    return ml.train_and_evaluate(split_features(spark, folder), models, search, draws=3)
+
+
+@query("m5_boosted_trees_a")
+def boosted_trees_a(spark, folder):
+    return _base(spark, folder, "BoostedTreesA")
+
+
+@query("m6_boosted_trees_b")
+def boosted_trees_b(spark, folder):
+    return _base(spark, folder, "BoostedTreesB")

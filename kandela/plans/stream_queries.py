@@ -94,11 +94,11 @@ def latest_view(spark, folder):
 def online_scoring(spark, folder):
     """Models per symbol from the stored candles, newest closed candle scored from the stream."""
     candles = tb.stored_event_candles(spark, folder)
-    split_rows = materialise(features_per_split(candles), "features")
+    table = ml.training_table(materialise(features_per_split(candles), "features"))
 
     def train(symbol):
-        return symbol, ml.fit(ml.prepare(split_rows, symbol), ml.logistic_regression)
+        return symbol, ml.fit(ml.prepare(table, symbol), ml.logistic_regression)
 
-    models = dict(ml.per_symbol(split_rows, train))
+    models = dict(ml.per_symbol(table, train))
     out = drain(spark, jobs.start_scoring, _landed(spark, folder), score=ml.score_each(models))
     return spark.read.parquet(f"{out}/predictions").drop("batch")
