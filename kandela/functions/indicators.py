@@ -46,10 +46,13 @@ def clip_above(x: Column) -> Column:
 
 
 def rsi(delta: Column, period: int, w: WindowSpec) -> Column:
-    """100*g/(g+l) over the mean gain g and mean loss l; NULL for a flat stretch."""
-    gain = rolling_mean(clip_below(delta), period, w)
-    loss = rolling_mean(-clip_above(delta), period, w)
-    return F.try_divide(100 * gain, gain + loss)
+    """100*g/(g+l) over the mean gain g and mean loss l; NULL for a flat stretch.
+
+    g + l is the mean absolute step, so two running means are enough.
+    """
+    frame = w.rowsBetween(1 - period, 0)
+    gain, swing = F.avg(clip_below(delta)).over(frame), F.avg(F.abs(delta)).over(frame)
+    return _full(frame, delta, period, F.try_divide(100 * gain, swing))
 
 
 def three_way_label(change: Column, threshold: float) -> Column:

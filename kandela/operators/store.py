@@ -108,13 +108,17 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: Sequence[str] = CANDLE_K
     return newest_version(stored.unionByName(incoming), key, order)
 
 
-def _with_month(candles: DataFrame) -> DataFrame:
-    return candles.withColumn("month", F.date_format("open_time", "yyyy-MM"))
+def _by_month(candles: DataFrame) -> DataFrame:
+    """Candles with their month, gathered so that one task writes a whole (series, month) folder.
+
+    A month of one series is bounded by its grid, so a hot symbol spreads over its months.
+    """
+    return candles.withColumn("month", F.date_format("open_time", "yyyy-MM")).repartition(*SERIES, "month")
 
 
 def write_candles(candles: DataFrame, path: str) -> None:
     """First load of a candle table, laid out by symbol / interval / month."""
-    _with_month(candles).write.partitionBy(*SERIES, "month").parquet(path)
+    _by_month(candles).write.partitionBy(*SERIES, "month").parquet(path)
 
 
 def read_candles(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -130,12 +134,13 @@ def upsert_into(path: str, incoming: DataFrame) -> None:
     one plan, and a repeated run gives the same table.
     """
     spark = incoming.sparkSession
-    incoming = materialise(_with_month(incoming), "upsert-in")
+    incoming = materialise(_by_month(incoming), "upsert-in")
     touched = incoming.select(*SERIES, "month").distinct()
     stored = read_candles(spark, path, incoming.schema).join(touched, on=[*SERIES, "month"], how="left_semi")
     merged = materialise(upsert(stored, incoming, [*SERIES, "month", "open_time"]), "upsert-merged")
     (
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        merged.repartition(*SERIES, "month")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SERIES, "month").parquet(path)
     )
 
@@ -153,8 +158,14 @@ def is_loaded(table: DataFrame) -> bool:
 
 # -- file sinks ----------------------------------------------------------------------------------
 
-def export_csv(candles: DataFrame, path: str, partition_by: Sequence[str] = ("symbol",)) -> None:
-    candles.write.partitionBy(*partition_by).option("header", True).csv(path)
+def _few_files(candles: DataFrame, time: str = "open_time") -> DataFrame:
+    """Rows gathered by symbol and month: few files per symbol folder, and no task holds a symbol."""
+    return candles.repartition("symbol", F.date_trunc("month", time))
+
+
+def export_csv(candles: DataFrame, path: str) -> None:
+    """One folder of CSV files per symbol."""
+    _few_files(candles).write.partitionBy("symbol").option("header", True).csv(path)
 
 
 def append_json_lines(candles: DataFrame, path: str, time: str = "timestamp") -> None:
@@ -163,4 +174,4 @@ def append_json_lines(candles: DataFrame, path: str, time: str = "timestamp") ->
 
 
 def append_documents(documents: DataFrame, path: str) -> None:
-    documents.write.mode("append").partitionBy("symbol").parquet(path)
+    _few_files(documents).write.mode("append").partitionBy("symbol").parquet(path)

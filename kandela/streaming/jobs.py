@@ -158,7 +158,7 @@ def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates([*SERIES, "close_time"])
+        rows = batch.dropDuplicates([*SERIES, "close_time"]).persist()
         tail = _previous(spark, out, "tail", number, rows)
         merged = tail.unionByName(rows).dropDuplicates([*SERIES, "close_time"])
         last_rows(merged, window, time="close_time").write.mode("overwrite").parquet(
@@ -167,5 +167,6 @@ def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
         touched = rows.select(*SERIES).distinct()
         newest = latest_features(stored, window).join(touched, on=SERIES, how="left_semi")
         score(newest).write.mode("overwrite").parquet(_batch_folder(out, "predictions", number))
+        rows.unpersist()
 
     return _start(closed_only(messages).writeStream.foreachBatch(write), checkpoint, period)
