@@ -14,18 +14,22 @@ from kandela.schemas import FEATURE_COLUMNS, SERIES
 
 EXACT_LIMIT = 10_000
 ALPHA = 0.05
+VALUE_DIGITS = 9
 
 
 def drift_samples(history: DataFrame, recent: DataFrame, history_rows: int = 1000,
                   window: int = 60) -> DataFrame:
     """(symbol, interval, feature, sample, value) of the newest candles on both sides.
 
-    Both sides are cut to a fixed number of rows per series before any feature is computed.
+    Both sides are cut to a fixed number of rows per series before any feature is computed. Values are
+    rounded far below their precision, so a candle present on both sides ties with itself however a
+    rolling sum was rounded.
     """
     sides = []
     for name, candles, rows in (("history", history, history_rows), ("recent", recent, window)):
         side = recent_features(candles, rows).withColumn("sample", F.lit(name))
-        sides.append(side.unpivot([*SERIES, "sample"], FEATURE_COLUMNS, "feature", "value"))
+        long = side.unpivot([*SERIES, "sample"], FEATURE_COLUMNS, "feature", "value")
+        sides.append(long.withColumn("value", F.round("value", VALUE_DIGITS)))
     return sides[0].unionByName(sides[1])
 
 

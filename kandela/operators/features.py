@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from kandela.functions import indicators as ind
-from kandela.operators.series import CHUNK_ROWS, last_rows, number_rows, over_series
+from kandela.operators.series import CHUNK_ROWS, chunk_window, last_rows, number_rows, over_series, rank_last
 from kandela.schemas import FEATURE_COLUMNS, SERIES
+from kandela.session import materialise
 
 HORIZON = 10
 THRESHOLD = 0.01
@@ -41,15 +40,14 @@ def _label(df: DataFrame, w: WindowSpec, horizon: int, threshold: float) -> Data
     return forward.withColumn("target", ind.three_way_label(F.col("future_return"), threshold))
 
 
-def with_indicators(candles: DataFrame, within: Sequence[str] = (),
-                    chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def with_indicators(candles: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """All twelve indicator columns; warm-up rows keep NULLs."""
-    return over_series(candles, _indicators, back=LOOK_BACK, within=within, chunk_rows=chunk_rows)
+    return over_series(candles, _indicators, back=LOOK_BACK, chunk_rows=chunk_rows)
 
 
-def features(candles: DataFrame, within: Sequence[str] = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def features(candles: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """The 17 model inputs, without rows whose frames are not full."""
-    return with_indicators(candles, within, chunk_rows).na.drop(subset=FEATURE_COLUMNS)
+    return with_indicators(candles, chunk_rows).na.drop(subset=FEATURE_COLUMNS)
 
 
 def with_label(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
@@ -60,6 +58,13 @@ def with_label(candles: DataFrame, horizon: int = HORIZON, threshold: float = TH
     )
 
 
+def labelled_rows(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
+                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Candles with a label, stored: what follows reads them several times."""
+    labelled = with_label(candles, horizon, threshold, chunk_rows).where("target IS NOT NULL")
+    return materialise(labelled, "labelled")
+
+
 def training_frame(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
                    label_first: bool = False, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Features and label of every labelled candle.
@@ -68,8 +73,7 @@ def training_frame(candles: DataFrame, horizon: int = HORIZON, threshold: float
     dropped last; both come out of one pass. ``label_first`` drops them before the indicators.
     """
     if label_first:
-        labelled = with_label(candles, horizon, threshold, chunk_rows).where("target IS NOT NULL")
-        return features(labelled, chunk_rows=chunk_rows)
+        return features(labelled_rows(candles, horizon, threshold, chunk_rows), chunk_rows=chunk_rows)
     both = over_series(
         candles, lambda df, w: _label(_indicators(df, w), w, horizon, threshold),
         back=LOOK_BACK, ahead=horizon, chunk_rows=chunk_rows,
@@ -77,25 +81,37 @@ def training_frame(candles: DataFrame, horizon: int = HORIZON, threshold: float
     return both.na.drop(subset=[*FEATURE_COLUMNS, "target"])
 
 
+def _split_column(rule: str) -> Column:
+    """'train' or 'test' from rn and n; integer arithmetic keeps the border free of float rounding."""
+    n = F.col("n")
+    train_rows = n - F.floor((3 * n + 9) / 10) if rule == "ceil" else F.floor(7 * n / 10)
+    return F.when(F.col("rn") <= train_rows, "train").otherwise("test")
+
+
 def with_split(rows: DataFrame, rule: str = "ceil", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Chronological 70/30 split: adds rn, n and split ('train' / 'test').
 
     ``ceil`` gives the test side ceil(0.3 n) rows; ``int`` gives the train side floor(0.7 n).
-    Integer arithmetic keeps the borders free of float rounding.
     """
-    n = F.col("n")
-    train_rows = n - F.floor((3 * n + 9) / 10) if rule == "ceil" else F.floor(7 * n / 10)
-    return number_rows(rows, chunk_rows=chunk_rows).withColumn(
-        "split", F.when(F.col("rn") <= train_rows, "train").otherwise("test")
-    )
+    return number_rows(rows, chunk_rows=chunk_rows).withColumn("split", _split_column(rule))
 
 
 def features_per_split(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Label, keep labelled rows, split, then compute indicators afresh inside each split."""
-    labelled = with_label(candles, horizon, threshold, chunk_rows).where("target IS NOT NULL")
-    split = with_split(labelled, chunk_rows=chunk_rows).drop("rn", "n")
-    return features(split, within=["split"], chunk_rows=chunk_rows)
+    """Label, keep labelled rows, split, then compute indicators afresh inside each split.
+
+    Numbering, split and indicators share one pass over the labelled rows.
+    """
+
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
+        split = df.withColumn("split", _split_column("ceil"))
+        return _indicators(split, chunk_window(SERIES, "open_time", "split"))
+
+    rows = over_series(
+        labelled_rows(candles, horizon, threshold, chunk_rows), compute,
+        back=LOOK_BACK, chunk_rows=chunk_rows, numbered=True,
+    )
+    return rows.drop("rn", "n").na.drop(subset=FEATURE_COLUMNS)
 
 
 def recent_features(candles: DataFrame, window: int = 60) -> DataFrame:
@@ -109,7 +125,7 @@ def recent_features(candles: DataFrame, window: int = 60) -> DataFrame:
 
 def latest_features(candles: DataFrame, window: int = 60) -> DataFrame:
     """Feature row of the newest candle of each series, from its last ``window`` candles only."""
-    return last_rows(recent_features(candles, window), 1)
+    return rank_last(recent_features(candles, window), 1)
 
 
 def every_kth(candles: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -119,6 +135,10 @@ def every_kth(candles: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS) -> D
 
 
 def enough_history(rows: DataFrame, min_rows: int = 300) -> DataFrame:
-    """Series with at least ``min_rows`` rows; counts are pre-aggregated, rows are not shuffled by series."""
+    """Series with at least ``min_rows`` rows.
+
+    Counts combine before the shuffle, and the stored list of series has an exact size, so the rows
+    themselves are not shuffled by series.
+    """
     large = rows.groupBy(*SERIES).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_rows)
-    return rows.join(large.select(*SERIES), on=SERIES, how="left_semi")
+    return rows.join(materialise(large.select(*SERIES), "large"), on=SERIES, how="left_semi")

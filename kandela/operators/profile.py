@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kandela.schemas import PRICES
+from kandela.session import materialise
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -24,18 +25,23 @@ def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     return df.unpivot(list(keys), list(columns), "column", "value").where("value IS NOT NULL")
 
 
+def _cuts(splits: int) -> Column:
+    """Borders of ``splits`` value ranges of about equal size, from a mergeable sketch."""
+    return F.percentile_approx("value", [i / splits for i in range(1, splits)], 1000).alias("cuts")
+
+
 def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float],
-                      splits: int = 64) -> DataFrame:
+                      splits: int = 64, cuts: DataFrame | None = None) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, without one task holding a group.
 
     Equal values are counted first. A mergeable sketch cuts each group into ranges of about equal
     size; range counts locate every wanted rank; only the ranges that hold one are sorted. The
-    sketch steers the work and never the result.
+    sketch steers the work and never the result. ``cuts`` (keys, cuts) may be given if known.
     """
     keys = list(keys)
     counted = values.groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
-    grid = [i / splits for i in range(1, splits)]
-    cuts = values.groupBy(*keys).agg(F.percentile_approx("value", grid, 1000).alias("cuts"))
+    if cuts is None:
+        cuts = materialise(values.groupBy(*keys).agg(_cuts(splits)), "cuts")
     ranged = counted.join(cuts, on=keys).select(
         *keys, "value", "cnt",
         F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("part"),
@@ -85,11 +91,16 @@ def describe(df: DataFrame, keys: Sequence[str] = ("symbol",),
     """count, mean, std, min, quartiles and max of each column per group."""
     by = [*keys, "column"]
     values = unpivot(df, keys, columns)
-    moments = values.groupBy(*by).agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+    moments = materialise(
+        values.groupBy(*by).agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+            _cuts(64),
+        ),
+        "moments",
     )
-    return moments.join(exact_percentiles(values, by, _QUARTILES), on=by)
+    quartiles = exact_percentiles(values, by, _QUARTILES, cuts=moments.select(*by, "cuts"))
+    return moments.drop("cuts").join(quartiles, on=by)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

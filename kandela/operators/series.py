@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from kandela.functions.scalars import interval_seconds
 from kandela.schemas import SERIES
+from kandela.session import materialise
 
 SLOTS_PER_BUCKET = 256
 CHUNK_ROWS = 16384
@@ -95,22 +96,33 @@ def over_series(
     back: int = 0,
     ahead: int = 0,
     keys: Sequence[str] = SERIES,
-    within: Sequence[str] = (),
     time: str = "open_time",
     bucket: Column | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    numbered: bool = False,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` along each series.
 
-    ``compute`` must look back at most ``back`` rows and ahead at most ``ahead`` rows. ``within``
-    names columns that cut a series into runs which must not see each other.
+    ``compute`` must look back at most ``back`` rows and ahead at most ``ahead`` rows. ``numbered``
+    gives it rn (1-based position in the series) and n (series length) as columns.
+
+    ``rows`` feeds both the bucket counts and the windows, so it should be a stored table.
     """
     bucket = candle_bucket() if bucket is None else bucket
-    chunks = _chunked(rows, keys, bucket, back, ahead, max(chunk_rows, 1))
-    window = Window.partitionBy(*keys, *within, _CHUNK).orderBy(time)
+    chunks = _chunked(rows, keys, bucket, back, ahead, chunk_rows)
+    window = chunk_window(keys, time)
+    if numbered:
+        # Buckets are copied whole, so a chunk starts where its first bucket does.
+        first = F.min(_START).over(Window.partitionBy(*keys, _CHUNK))
+        chunks = chunks.withColumn("rn", first + F.row_number().over(window)).withColumn("n", F.col(_ROWS))
     return compute(chunks, window).where(_HOME).drop(*_HELPERS)
 
 
+def chunk_window(keys: Sequence[str], time: str, *within: str) -> WindowSpec:
+    """The window inside ``over_series``; ``within`` cuts a series into runs that do not see each other."""
+    return Window.partitionBy(*keys, *within, _CHUNK).orderBy(time)
+
+
 def number_rows(
     rows: DataFrame,
     *,
@@ -120,23 +132,32 @@ def number_rows(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``rn`` (1-based position in the series) and ``n`` (series length)."""
-    bucket = candle_bucket() if bucket is None else bucket
-    chunks = _chunked(rows, keys, bucket, 0, 0, chunk_rows)
-    window = Window.partitionBy(*keys, _CHUNK).orderBy(time)
-    first = F.min(_START).over(Window.partitionBy(*keys, _CHUNK))
-    return (
-        chunks
-        .withColumn("rn", first + F.row_number().over(window))
-        .withColumn("n", F.col(_ROWS))
-        .drop(*_HELPERS)
-    )
+    return over_series(
+        rows, lambda df, w: df, keys=keys, time=time, bucket=bucket, chunk_rows=chunk_rows, numbered=True)
+
+
+def _newest_buckets(rows: DataFrame, n: int) -> DataFrame:
+    """(series, first bucket to read) so that the buckets from there on hold the newest ``n`` rows."""
+    counts = rows.groupBy(*SERIES, candle_bucket().alias(_BUCKET)).agg(F.count("*").alias("_n"))
+    newer = Window.partitionBy(*SERIES).orderBy(F.col(_BUCKET).desc())
+    later = F.sum("_n").over(newer.rowsBetween(Window.unboundedPreceding, -1))
+    needed = counts.withColumn("_later", F.coalesce(later, F.lit(0))).where(F.col("_later") < n)
+    return needed.groupBy(*SERIES).agg(F.min(_BUCKET).alias("_from"))
 
 
-def last_rows(rows: DataFrame, n: int, *, keys: Sequence[str] = SERIES,
-              time: str = "open_time") -> DataFrame:
-    """The newest ``n`` rows of each series.
+def last_rows(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:
+    """The newest ``n`` candles of each series.
 
-    The rank limit is applied before the shuffle too, so a task sends at most ``n`` rows per series.
+    Bucket counts tell how far back each series must be read, so older rows are dropped in the scan
+    and a series is ranked on at most ``n`` rows plus one bucket. The small table of starting points
+    is stored, so its exact size decides whether it is broadcast.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.col(time).desc())
+    start = materialise(_newest_buckets(rows, n), "newest")
+    recent = rows.join(start, on=SERIES).where(candle_bucket() >= F.col("_from")).drop("_from")
+    return rank_last(recent, n, time=time)
+
+
+def rank_last(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:
+    """As ``last_rows`` for a frame that is already short per series."""
+    newest = Window.partitionBy(*SERIES).orderBy(F.col(time).desc())
     return rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")

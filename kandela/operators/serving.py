@@ -14,11 +14,17 @@ def with_symbol(klines: DataFrame, symbols: DataFrame) -> DataFrame:
     return klines.join(symbols.select("symbol_id", "symbol"), on="symbol_id")
 
 
-def historical(klines: DataFrame, symbols: DataFrame, symbol: str, limit: int = 10) -> DataFrame:
-    """The newest ``limit`` candles of a symbol, newest first; no rows for an unknown symbol."""
+def historical(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symbol: str,
+               interval: str, limit: int = 10) -> DataFrame:
+    """The newest ``limit`` candles of a symbol and interval, newest first; none for unknown names.
+
+    The filters sit on the dimensions; over a fact table laid out by id they prune its folders when
+    the query runs. Each task keeps its own newest ``limit`` rows.
+    """
+    names = intervals.where(F.col("interval_name") == interval).select("interval_id")
     return (
-        with_symbol(klines, symbols)
-        .where(F.col("symbol") == symbol)
+        with_symbol(klines, symbols.where(F.col("symbol") == symbol))
+        .join(names, on="interval_id")
         .select("symbol", "open_time", "close_time", *PRICES)
         .orderBy(F.col("open_time").desc())
         .limit(limit)
@@ -53,8 +59,9 @@ def tail(df: DataFrame, n: int = 5, by: str = "open_time") -> DataFrame:
     return df.orderBy(F.col(by).desc(), F.col("symbol").desc()).limit(n).orderBy(by, "symbol")
 
 
-def dashboard(klines: DataFrame, symbols: DataFrame, symbol: str, limit: int = 100) -> DataFrame:
-    return with_mid_price(historical(klines, symbols, symbol, limit))
+def dashboard(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symbol: str,
+              interval: str, limit: int = 100) -> DataFrame:
+    return with_mid_price(historical(klines, symbols, intervals, symbol, interval, limit))
 
 
 def close_series(candles: DataFrame) -> DataFrame:

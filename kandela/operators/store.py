@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from kandela.functions.scalars import base_asset, interval_seconds, line_time, quote_asset
-from kandela.operators.series import last_rows, number_rows
+from kandela.operators.series import number_rows, rank_last
 from kandela.schemas import CANDLE_KEY, DIM_INTERVAL, DIM_SYMBOL, KLINES, SERIES, conform
 from kandela.session import materialise
 
@@ -41,11 +41,15 @@ def interval_rows(candles: DataFrame) -> DataFrame:
 
 
 def build_dimensions(spark: SparkSession, candles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(symbol, interval) dimension tables, stored so that later joins know their exact size."""
+    """(symbol, interval) dimension tables from one scan of the candles' names.
+
+    They are stored, so later joins know their exact size.
+    """
+    series = materialise(candles.select(*SERIES).distinct(), "series")
     symbols = insert_if_absent(
-        spark.createDataFrame([], DIM_SYMBOL), symbol_rows(candles), "symbol", "symbol_id")
+        spark.createDataFrame([], DIM_SYMBOL), symbol_rows(series), "symbol", "symbol_id")
     intervals = insert_if_absent(
-        spark.createDataFrame([], DIM_INTERVAL), interval_rows(candles), "interval_name", "interval_id")
+        spark.createDataFrame([], DIM_INTERVAL), interval_rows(series), "interval_name", "interval_id")
     return (
         materialise(conform(symbols, DIM_SYMBOL), "dim-symbol"),
         materialise(conform(intervals, DIM_INTERVAL), "dim-interval"),
@@ -53,21 +57,20 @@ def build_dimensions(spark: SparkSession, candles: DataFrame) -> tuple[DataFrame
 
 
 def resolve_ids(candles: DataFrame, symbols: DataFrame, intervals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with both ids, rows naming an unknown symbol or interval).
+    """(rows with both ids, rows naming an unknown symbol or interval, with the reason).
 
     The joins carry no hint: stored dimensions have an exact size, so they are broadcast below
     Spark's threshold, and above it the adaptive skew join splits a hot symbol.
     """
     known = intervals.select(F.col("interval_name").alias("interval"), "interval_id")
-    found = candles.join(symbols.select("symbol", "symbol_id"), on="symbol").join(known, on="interval")
-    no_symbol = candles.join(symbols.select("symbol"), on="symbol", how="left_anti").withColumn(
-        "reason", F.lit("unknown symbol"))
-    no_interval = (
-        candles.join(symbols.select("symbol"), on="symbol", how="left_semi")
-        .join(known.select("interval"), on="interval", how="left_anti")
-        .withColumn("reason", F.lit("unknown interval"))
+    looked_up = (
+        candles.join(symbols.select("symbol", "symbol_id"), on="symbol", how="left")
+        .join(known, on="interval", how="left")
     )
-    return found, no_symbol.unionByName(no_interval)
+    found = looked_up.where("symbol_id IS NOT NULL AND interval_id IS NOT NULL")
+    reason = F.when(F.col("symbol_id").isNull(), "unknown symbol").otherwise("unknown interval")
+    rejected = looked_up.where("symbol_id IS NULL OR interval_id IS NULL")
+    return found, rejected.select(*candles.columns, reason.alias("reason"))
 
 
 def as_klines(found: DataFrame) -> DataFrame:
@@ -75,6 +78,12 @@ def as_klines(found: DataFrame) -> DataFrame:
     return conform(found.withColumn("created_at", F.current_timestamp()), KLINES)
 
 
+def store_klines(klines: DataFrame) -> DataFrame:
+    """The stored fact table, laid out by the two ids, so that joined dimension filters prune folders."""
+    gathered = klines.repartition("symbol_id", "interval_id", F.date_trunc("month", "open_time"))
+    return materialise(gathered, "klines", partition_by=["symbol_id", "interval_id"])
+
+
 def work_list(symbols: DataFrame, intervals: DataFrame) -> DataFrame:
     """Every symbol with every interval.
 
@@ -145,10 +154,13 @@ def upsert_into(path: str, incoming: DataFrame) -> None:
     )
 
 
-def not_yet_stored(batch: DataFrame, stored: DataFrame, last: int = 240) -> DataFrame:
-    """The newest ``last`` rows per series of a batch, minus close times among the ``last`` stored ones."""
-    recent = last_rows(stored, last, time="close_time").select(*SERIES, "close_time")
-    return last_rows(batch, last, time="close_time").join(recent, on=[*SERIES, "close_time"], how="left_anti")
+def not_yet_stored(batch: DataFrame, tail: DataFrame, last: int = 240) -> DataFrame:
+    """The newest ``last`` rows per series of a batch, minus close times among the ``last`` stored ones.
+
+    ``tail`` is the end of the store, short per series: see ``last_rows``.
+    """
+    recent = rank_last(tail, last, time="close_time").select(*SERIES, "close_time")
+    return rank_last(batch, last, time="close_time").join(recent, on=[*SERIES, "close_time"], how="left_anti")
 
 
 def is_loaded(table: DataFrame) -> bool:

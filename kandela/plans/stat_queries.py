@@ -90,7 +90,7 @@ _WEIGHTS = """weights AS (SELECT symbol, "interval", target, count(*) AS n_class
 
 
 def _labelled(spark, folder):
-    return ft.with_label(tb.stored_event_candles(spark, folder)).where("target IS NOT NULL")
+    return ft.labelled_rows(tb.stored_event_candles(spark, folder))
 
 
 @query("a7_class_weights", f"""{_LABELLED}, {_WEIGHTS} SELECT symbol, "interval", target, n_class,
@@ -200,8 +200,7 @@ def standardise(spark, folder):
 @query("m2_row_weights", f"""{_LABELLED}, {_WEIGHTS}
   SELECT {KEY_SQL}, target, round(weight, 6) AS weight FROM kept JOIN balance USING (symbol, "interval", target)""")
 def row_weights(spark, folder):
-    labelled = materialise(_labelled(spark, folder), "labelled")
-    return ev.with_row_weights(labelled).select(*CANDLE_KEY, "target", "weight")
+    return ev.with_row_weights(_labelled(spark, folder)).select(*CANDLE_KEY, "target", "weight")
 
 
 _NEWEST = 'row_number() OVER (PARTITION BY symbol, "interval" ORDER BY open_time DESC)'
@@ -209,7 +208,7 @@ _KS = f"""{BASE}, old AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 1000),
   young AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 60),
   {features_sql("old", prefix="h_")}, {features_sql("young", prefix="r_")},
   long AS ({" UNION ALL ".join(
-      f"SELECT symbol, \"interval\", '{c}' AS feature, {side} AS h, {c} AS value FROM {table} WHERE {COMPLETE_SQL}"
+      f"SELECT symbol, \"interval\", '{c}' AS feature, {side} AS h, round({c}, 9) AS value FROM {table} WHERE {COMPLETE_SQL}"
       for c in FEATURE_NAMES for side, table in ((1, "h_feat"), (0, "r_feat")))}),
   per_value AS (SELECT symbol, "interval", feature, value, sum(h)::BIGINT AS h, sum(1 - h)::BIGINT AS r FROM long GROUP BY ALL),
   steps AS (SELECT symbol, "interval", feature, sum(h) OVER p AS n_history, sum(r) OVER p AS n_recent,
@@ -224,6 +223,20 @@ _KS = f"""{BASE}, old AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 1000),
       FROM range(1, 101) t(k)), 0), 1) END::DOUBLE AS p_asymptotic FROM lam)"""
 
 
+# The exact p-value counts the sample orders whose distance stays below the observed one.
+_KS_EXACT = f"""{_KS.replace("WITH", "WITH RECURSIVE", 1)},
+  grid AS (SELECT symbol, "interval", feature, ks_stat, n_history AS n, n_recent AS m,
+    round(ks_stat * n_history * n_recent)::BIGINT AS gap FROM ks),
+  path AS (SELECT grid.*, 0::BIGINT AS j, i, CASE WHEN i * m < gap THEN 1.0 ELSE 0.0 END::DOUBLE AS ways
+      FROM grid, LATERAL (SELECT unnest(range(n + 1)) AS i)
+    UNION ALL SELECT symbol, "interval", feature, ks_stat, n, m, gap, j + 1, i,
+      CASE WHEN abs(i * m - (j + 1) * n) < gap THEN sum(CASE WHEN abs(i * m - (j + 1) * n) < gap THEN ways ELSE 0.0 END)
+        OVER (PARTITION BY symbol, "interval", feature ORDER BY i) ELSE 0.0 END FROM path WHERE j < m),
+  exact AS (SELECT symbol, "interval", feature, ks_stat, CASE WHEN gap <= 0 THEN 1.0 ELSE
+    1 - ways / exp(lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)) END::DOUBLE AS p_value
+    FROM path WHERE j = m AND i = n)"""
+
+
 def _drift_stats(spark, folder):
     candles = tb.stored_event_candles(spark, folder)
     return drift.ks_statistic(drift.drift_samples(candles, candles))
@@ -239,9 +252,9 @@ def ks_p_asymptotic(spark, folder):
     return drift.with_asymptotic_p(_drift_stats(spark, folder)).select(*SERIES, "feature", "ks_stat", "p_asymptotic")
 
 
-@query("m13_ks_p_value")
+@query("m13_ks_p_value", f'{_KS_EXACT} SELECT symbol, "interval", feature, {rounded("ks_stat", "p_value")} FROM exact')
 def ks_p_value(spark, folder):
-    """Exact small-sample p-values; tested by path counting on small samples."""
+    """Exact small-sample p-values."""
     return drift.with_p_value(_drift_stats(spark, folder)).select(*SERIES, "feature", "ks_stat", "p_value")
 
 
@@ -251,7 +264,8 @@ def drift_verdict_asymptotic(spark, folder):
     return drift.drift_verdict(drift.with_asymptotic_p(_drift_stats(spark, folder)), "p_asymptotic")
 
 
-@query("m14_drift_verdict")
+@query("m14_drift_verdict", f"""{_KS_EXACT} SELECT symbol, "interval", bool_or(p_value < 0.05) AS drift_detected,
+  count(*) AS n_features FROM exact GROUP BY ALL""")
 def drift_verdict(spark, folder):
     return drift.drift_verdict(drift.with_p_value(_drift_stats(spark, folder)))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from kandela.functions import indicators as ind, scalars as sc
 from kandela.operators import calendar, candles as cd, clean, serving, store
-from kandela.operators.series import over_series
+from kandela.operators.series import last_rows, over_series
 from kandela.plans.registry import (
     BASE, CANDLE_SQL, PRICES_SQL, TICKS, W, candles_sql, query, rounded,
 )
@@ -44,11 +44,11 @@ REVISED = """first_load AS (SELECT *, 1 AS load_seq FROM candles),
 
 
 def fact_tables(spark, folder):
-    """(klines, symbol dimension): candles with their ids, and the stored dimension."""
+    """(klines, symbol dimension, interval dimension) as stored tables."""
     candles = tb.stored_event_candles(spark, folder)
     symbols, intervals = store.build_dimensions(spark, candles)
     found, _ = store.resolve_ids(candles, symbols, intervals)
-    return store.as_klines(found), symbols
+    return store.store_klines(store.as_klines(found)), symbols, intervals
 
 
 # -- sources -------------------------------------------------------------------------------------
@@ -125,8 +125,8 @@ def message_decode(spark, folder):
 @query("s6_scan_all", f"""{BASE}, {DIMS}
   SELECT symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
 def scan_all(spark, folder):
-    klines, _ = fact_tables(spark, folder)
-    return materialise(klines, "klines").drop("created_at")
+    klines, _, _ = fact_tables(spark, folder)
+    return klines.drop("created_at")
 
 
 @query("s7_scan_filtered", f"""{GRID}, ids AS (SELECT row_number() OVER (ORDER BY "interval")::INTEGER AS interval_id,
@@ -157,7 +157,7 @@ def symbol_documents(spark, folder):
   SELECT symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
 def training_csv(spark, folder):
     path = scratch_path(spark, "training")
-    klines, _ = fact_tables(spark, folder)
+    klines, _, _ = fact_tables(spark, folder)
     klines.write.option("header", True).csv(path)
     return tb.read_training_csv(spark, path).drop("created_at")
 
@@ -196,7 +196,7 @@ def json_lines(spark, folder):
   FROM candles JOIN dim_symbol USING (symbol)""")
 def append_audit(spark, folder):
     path = scratch_path(spark, "klines")
-    klines, _ = fact_tables(spark, folder)
+    klines, _, _ = fact_tables(spark, folder)
     klines.write.mode("append").parquet(path)
     return tb.read_stored(spark, path, KLINES).select(
         *[c for c in KLINES.names if c != "created_at"], F.col("created_at").isNotNull().alias("audited"))
@@ -484,7 +484,7 @@ def derived_names(spark, folder):
 
 @query("j1_fact_dimension", f"{BASE}, {DIMS} SELECT symbol, symbol_id, open_time, {PRICES_SQL} FROM candles JOIN dim_symbol USING (symbol)")
 def fact_dimension(spark, folder):
-    klines, symbols = fact_tables(spark, folder)
+    klines, symbols, _ = fact_tables(spark, folder)
     return serving.with_symbol(klines, symbols).select("symbol", "symbol_id", "open_time", *PRICES)
 
 
@@ -526,7 +526,9 @@ def lookup_with_rejects(spark, folder):
   SELECT {CANDLE_SQL} FROM batch ANTI JOIN stored USING (symbol, close_time)""")
 def not_yet_stored(spark, folder):
     candles = tb.stored_event_candles(spark, folder)
-    return store.not_yet_stored(candles, candles.where("hour(open_time) % 2 = 0")).select(*CANDLE.names)
+    stored = candles.where("hour(open_time) % 2 = 0")
+    return store.not_yet_stored(
+        last_rows(candles, 240, time="close_time"), last_rows(stored, 240, time="close_time")).select(*CANDLE.names)
 
 
 @query("j4_dimension_product", _WORK)
@@ -551,8 +553,8 @@ def history_and_stream(spark, folder):
 @query("o1_historical", f"""{BASE} SELECT symbol, open_time, close_time, {PRICES_SQL} FROM candles
   WHERE symbol = 'CLICK' ORDER BY open_time DESC LIMIT 10""")
 def historical(spark, folder):
-    klines, symbols = fact_tables(spark, folder)
-    return serving.historical(klines, symbols, "CLICK", 10)
+    klines, symbols, intervals = fact_tables(spark, folder)
+    return serving.historical(klines, symbols, intervals, "CLICK", "1h", 10)
 
 
 @query("o2_latest", f"""{BASE}, {REVISED}, every AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load)
@@ -586,8 +588,8 @@ def head_tail(spark, folder):
 @query("o6_dashboard", f"""{BASE} SELECT symbol, open_time, close_time, {PRICES_SQL}, round((high + low) / 2, 6) AS mid_price
   FROM candles WHERE symbol = 'VIEW' ORDER BY open_time DESC LIMIT 100""")
 def dashboard(spark, folder):
-    klines, symbols = fact_tables(spark, folder)
-    return serving.dashboard(klines, symbols, "VIEW", 100)
+    klines, symbols, intervals = fact_tables(spark, folder)
+    return serving.dashboard(klines, symbols, intervals, "VIEW", "1h", 100)
 
 
 @query("o7_close_series", f"{BASE} SELECT symbol, close_time, {rounded('close')} FROM candles ORDER BY symbol, close_time")

@@ -152,8 +152,7 @@ _SPLIT = f"""numbered AS (SELECT *, row_number() OVER ({W}) AS rn,
   SELECT {KEY_SQL}, rn, n, split, CASE WHEN rn <= 7 * n // 10 THEN 'train' ELSE 'test' END AS split_int
   FROM split_rows""")
 def split_70_30(spark, folder):
-    labelled = ft.with_label(stored_event_candles(spark, folder)).where("target IS NOT NULL")
-    split = ft.with_split(labelled)
+    split = ft.with_split(ft.labelled_rows(stored_event_candles(spark, folder)))
     by_int = F.when(F.col("rn") <= F.floor(7 * F.col("n") / 10), "train").otherwise("test")
     return split.select(*CANDLE_KEY, "rn", "n", "split", by_int.alias("split_int"))
 

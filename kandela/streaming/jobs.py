@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kandela.operators.clean import closed_only
 from kandela.operators.features import latest_features
-from kandela.operators.series import last_rows
+from kandela.operators.series import rank_last
 from kandela.operators.store import not_yet_stored
 from kandela.schemas import CANDLE, INTERVAL_SECONDS, SERIES
 from kandela.sources.messages import accepted, decode_messages
@@ -84,7 +84,7 @@ def start_tail_dedup(messages: DataFrame, out: str, checkpoint: str, period: str
         tail = _previous(spark, out, "tail", number, rows)
         not_yet_stored(rows, tail, last).write.mode("overwrite").parquet(_batch_folder(out, "rows", number))
         fresh = spark.read.schema(rows.schema).parquet(_batch_folder(out, "rows", number))
-        last_rows(tail.unionByName(fresh), last, time="close_time").write.mode("overwrite").parquet(
+        rank_last(tail.unionByName(fresh), last, time="close_time").write.mode("overwrite").parquet(
             _batch_folder(out, "tail", number))
 
     return _start(closed_only(messages).writeStream.foreachBatch(write), checkpoint, period)
@@ -161,7 +161,7 @@ def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
         rows = batch.dropDuplicates([*SERIES, "close_time"]).persist()
         tail = _previous(spark, out, "tail", number, rows)
         merged = tail.unionByName(rows).dropDuplicates([*SERIES, "close_time"])
-        last_rows(merged, window, time="close_time").write.mode("overwrite").parquet(
+        rank_last(merged, window, time="close_time").write.mode("overwrite").parquet(
             _batch_folder(out, "tail", number))
         stored = spark.read.schema(rows.schema).parquet(_batch_folder(out, "tail", number))
         touched = rows.select(*SERIES).distinct()

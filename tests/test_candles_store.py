@@ -151,7 +151,9 @@ def test_lookup_rejects_unknown_names(spark, candles):
         ("NEWUSDT", "unknown symbol"), ("AAAUSDT", "unknown interval")}
     klines = store.as_klines(found)
     assert klines.first().created_at is not None
-    assert serving.historical(klines, symbols, "NOPE").count() == 0
+    assert serving.historical(klines, symbols, intervals, "NOPE", "1h").count() == 0
+    assert serving.historical(klines, symbols, intervals, "AAAUSDT", "1d").count() == 0
+    assert serving.historical(klines, symbols, intervals, "AAAUSDT", "1h").count() == 1
     assert store.is_loaded(klines) and not store.is_loaded(klines.where("false"))
 
 
