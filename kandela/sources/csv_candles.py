@@ -29,7 +29,7 @@ def typed_candles(rows: DataFrame) -> DataFrame:
 def read_candle_csv(spark: SparkSession, path: str) -> DataFrame:
     """Candle CSV files with symbol and interval taken from each file or folder name."""
     file = F.col("_metadata.file_path")
-    rows = spark.read.schema(_TEXT).csv(path, header=True, recursiveFileLookup=True).select(
+    rows = spark.read.schema(_TEXT).csv(path, header=True, enforceSchema=False, recursiveFileLookup=True).select(
         canonical_symbol(symbol_of_file(file)).alias("symbol"), interval_of_file(file).alias("interval"), "*"
     )
     return conform(typed_candles(rows), CANDLE)

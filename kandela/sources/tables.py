@@ -86,5 +86,5 @@ def scan_symbol(documents: DataFrame, symbol: str) -> DataFrame:
 
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The training export: klines as CSV with surrogate ids."""
-    return spark.read.schema(KLINES).csv(path, header=True)
+    """The training export: klines as CSV with surrogate ids; a header in another order is refused."""
+    return spark.read.schema(KLINES).csv(path, header=True, enforceSchema=False)
