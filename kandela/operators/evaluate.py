@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kandela.schemas import SERIES
+from kandela.session import materialise
 
 
 def class_weights(labelled: DataFrame) -> DataFrame:
@@ -25,7 +26,8 @@ def class_weights(labelled: DataFrame) -> DataFrame:
 
 
 def with_row_weights(labelled: DataFrame) -> DataFrame:
-    weights = class_weights(labelled).select(*SERIES, "target", "weight")
+    """Every row with the weight of its class; the stored weights are a few rows per series."""
+    weights = materialise(class_weights(labelled).select(*SERIES, "target", "weight"), "weights")
     return labelled.join(weights, on=[*SERIES, "target"])
 
 
@@ -73,7 +75,7 @@ def standardise(split_rows: DataFrame, columns: list[str]) -> DataFrame:
         *[F.avg(c).alias(f"_mean_{c}") for c in columns],
         *[F.stddev_pop(c).alias(f"_std_{c}") for c in columns],
     )
-    joined = split_rows.join(fitted, on=SERIES)
+    joined = split_rows.join(materialise(fitted, "scaler"), on=SERIES)
     centred = lambda c: F.col(c) - F.col(f"_mean_{c}")
     # A constant column is only centred, as the usual scaler does.
     scaled = lambda c: F.when(F.col(f"_std_{c}") == 0, centred(c)).otherwise(

@@ -139,6 +139,7 @@ def histogram(df: DataFrame, keys: Sequence[str] = ("symbol",),
         F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
         F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"),
     )
+    span = materialise(span, "span")
     place = F.least(F.floor((F.col("value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
     counts = values.join(span, on=by).groupBy(*by, "lo", "hi").agg(
         F.array(*[F.count_if(place == i) for i in range(bins)]).alias("counts"))

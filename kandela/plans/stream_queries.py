@@ -78,8 +78,8 @@ def fan_in(spark, folder):
     round(close, 6) AS close, round(volume, 6) AS volume, start + INTERVAL '1 hour' - INTERVAL '1 millisecond' AS close_time
   FROM hours WHERE start + INTERVAL '1 hour' <= (SELECT max(open_time) FROM ticks15) - INTERVAL '2 hours'""")
 def streaming_rollup(spark, folder):
-    """Windows the watermark has passed; later ones stay open."""
-    out = drain(spark, jobs.start_roll_up, _landed(spark, folder, "15m"), interval="1h")
+    """Windows the watermark has passed; later ones stay open. Every message arrives twice."""
+    out = drain(spark, jobs.start_roll_up, _landed(spark, folder, "15m", times=2), interval="1h")
     return tb.read_stored(spark, out)
 
 

@@ -98,10 +98,11 @@ def window_of(time: Column, interval: str) -> Column:
 
 
 def rolled_up(messages: DataFrame, interval: str, lateness: str = LATENESS) -> DataFrame:
-    """Closed fine candles rolled up per window, with one row per fine candle assumed."""
+    """Closed fine candles rolled up per window; a repeated fine candle counts once."""
     return (
         closed_only(messages)
         .withWatermark("open_time", lateness)
+        .dropDuplicatesWithinWatermark([*SERIES, "open_time"])
         .groupBy("symbol", window_of(F.col("open_time"), interval).alias("w"))
         .agg(
             F.min_by("open", "open_time").alias("open"), F.max("high").alias("high"),

@@ -68,7 +68,8 @@ def test_tail_dedup_keeps_the_newest(spark, candles, paths):
 def test_streamed_roll_up_equals_batch_for_closed_windows(spark, candles, paths, interval):
     landing, out, progress = paths()
     rows = candles([float((i * 31) % 17) for i in range(24 * 17)], start=datetime(2024, 1, 3))
-    encode_messages(closed(rows)).write.text(landing)
+    for _ in range(2):
+        encode_messages(closed(rows)).write.mode("append").text(landing)
     run(spark, jobs.start_roll_up, landing, out, progress, interval=interval)
     got = spark.read.schema(CANDLE).parquet(out).orderBy("open_time").collect()
     want = roll_up_candles(rows, interval).orderBy("open_time").collect()
