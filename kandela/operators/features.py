@@ -114,6 +114,13 @@ def features_per_split(candles: DataFrame, horizon: int = HORIZON, threshold: fl
     return rows.drop("rn", "n").na.drop(subset=FEATURE_COLUMNS)
 
 
+def features_then_split(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
+                        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Indicators once over each whole series, then the first floor(0.7 n) rows as train."""
+    frame = materialise(training_frame(candles, horizon, threshold, chunk_rows=chunk_rows), "frame")
+    return with_split(frame, "int", chunk_rows)
+
+
 def recent_features(candles: DataFrame, window: int = 60) -> DataFrame:
     """Features of the newest ``window`` candles of each series, computed from those alone.
 

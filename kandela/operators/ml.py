@@ -72,6 +72,22 @@ SEARCH_GRIDS: dict[str, dict[str, list]] = {
     },
 }
 
+# The wider grids of the second experiment; depth 30 stands for no limit.
+WIDE_GRIDS: dict[str, dict[str, list]] = {
+    "RandomForest": {
+        "numTrees": [100, 300, 500], "maxDepth": [5, 10, 15, 30], "minInstancesPerNode": [1, 2, 5],
+        "featureSubsetStrategy": ["sqrt", "log2"],
+    },
+    "BoostedTreesA": {
+        "maxIter": [200, 400], "maxDepth": [3, 5, 8], "stepSize": [0.01, 0.05, 0.1],
+        "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "1.0"],
+    },
+    "BoostedTreesB": {
+        "maxIter": [200, 400], "maxDepth": [3, 6, 9, 30], "stepSize": [0.01, 0.05, 0.1],
+        "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "1.0"],
+    },
+}
+
 
 @dataclass
 class Prepared:

@@ -11,7 +11,7 @@ from kandela.plans.registry import (
     BASE, CANDLE_SQL, PRICES_SQL, TICKS, W, candles_sql, query, rounded,
 )
 from kandela.schemas import (
-    CANDLE, CANDLE_KEY, DIM_SYMBOL, GRAIN_PRICES, KLINES, PRICES, STREAM_CANDLE, conform,
+    CANDLE, CANDLE_KEY, DIM_SYMBOL, EXPORT_INTERVAL_MINUTES, EXPORT_SYMBOLS, GRAIN_PRICES, KLINES, PRICES, STREAM_CANDLE, conform,
 )
 from kandela.session import materialise, scratch_path
 from kandela.sources import csv_candles, klines as kl, messages as ms, tables as tb
@@ -267,6 +267,23 @@ def table_contract(spark, folder):
     return conform(daily, contract)
 
 
+_GRAINS = ["1d", "1w", "1M", "1y"]
+
+
+@query("k8_grain_contracts", f"""WITH {_ORDERS}, {", ".join(candles_sql(g, f"c{g}") for g in _GRAINS)},
+  grains AS ({" UNION ALL ".join(f"SELECT * FROM c{g}" for g in _GRAINS)})
+  SELECT symbol, "interval", strftime(open_time, '%Y-%m-%d') AS date,
+  {", ".join(f"CAST(CAST({c} AS DECIMAL(18,3)) AS DOUBLE) AS {c}" for c in PRICES)} FROM grains""")
+def grain_contracts(spark, folder):
+    """The per-grain price tables; coarse grains come from the stored daily one."""
+    daily = materialise(tb.daily_order_candles(spark, folder), "daily")
+    grains = daily
+    for grain in _GRAINS[1:]:
+        grains = grains.unionByName(cd.roll_up_candles(daily, grain))
+    names = [T.StructField(n, T.StringType()) for n in ("symbol", "interval")]
+    return conform(grains.withColumn("date", F.col("open_time").cast("date")), T.StructType([*names, *GRAIN_PRICES.fields]))
+
+
 # -- generators ----------------------------------------------------------------------------------
 
 @query("g1_backfill_slices", f"""WITH {TICKS}, bounds AS (SELECT symbol, date_trunc('hour', min(ts))::TIMESTAMP AS s,
@@ -356,12 +373,13 @@ def case(spark, folder):
 
 
 @query("p7_id_to_label", """SELECT event_id, CASE user_id % 6 WHEN 1 THEN 'BTCUSDT' WHEN 2 THEN 'ETHUSDT'
-  WHEN 3 THEN 'BNBUSDT' WHEN 4 THEN 'SOLUSDT' END AS symbol_label FROM events""")
+  WHEN 3 THEN 'BNBUSDT' WHEN 4 THEN 'SOLUSDT' END AS symbol_label,
+  CAST(CASE user_id % 6 WHEN 2 THEN 60 WHEN 3 THEN 240 WHEN 4 THEN 1440 END AS DOUBLE) AS interval_min FROM events""")
 def id_to_label(spark, folder):
-    from kandela.schemas import EXPORT_SYMBOLS
-
-    events = tb.read_table(spark, folder, "events").withColumn("symbol_id", (F.col("user_id") % 6).cast("int"))
-    return clean.map_labels(events, "symbol_id", EXPORT_SYMBOLS, "symbol_label").select("event_id", "symbol_label")
+    events = tb.read_table(spark, folder, "events").withColumn("id", (F.col("user_id") % 6).cast("int"))
+    named = clean.map_labels(events, "id", EXPORT_SYMBOLS, "symbol_label")
+    return clean.map_labels(named, "id", EXPORT_INTERVAL_MINUTES, "interval_min").select(
+        "event_id", "symbol_label", F.col("interval_min").cast("double").alias("interval_min"))
 
 
 @query("p8_interval_length", f"""{GRID} SELECT {KEY_SQL}, CASE "interval" WHEN '15m' THEN 900 WHEN '1h' THEN 3600 ELSE 86400 END

@@ -165,6 +165,15 @@ def features_per_split(spark, folder):
         *CANDLE_KEY, "split", *FEATURE_COLUMNS, "target")
 
 
+@query("w14_features_then_split", f"""{BASE}, {features_sql()}, {label_sql("feat")},
+  kept AS (SELECT *, row_number() OVER ({W}) AS rn, count(*) OVER (PARTITION BY symbol, "interval") AS n FROM labelled
+    WHERE target IS NOT NULL AND {COMPLETE_SQL})
+  SELECT {KEY_SQL}, rn, CASE WHEN rn <= 7 * n // 10 THEN 'train' ELSE 'test' END AS split, {FEATURES_SQL}, target FROM kept""")
+def features_then_split(spark, folder):
+    return ft.features_then_split(stored_event_candles(spark, folder)).select(
+        *CANDLE_KEY, "rn", "split", *FEATURE_COLUMNS, "target")
+
+
 @query("w15_latest_features", f"""{BASE}, recent AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 60),
   {features_sql("recent")} SELECT {KEY_SQL}, {FEATURES_SQL} FROM feat WHERE {COMPLETE_SQL} QUALIFY {_NEWEST} = 1""")
 def latest_features(spark, folder):

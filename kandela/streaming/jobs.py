@@ -167,6 +167,8 @@ def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
         stored = spark.read.schema(rows.schema).parquet(_batch_folder(out, "tail", number))
         touched = rows.select(*SERIES).distinct()
         newest = latest_features(stored, window).join(touched, on=SERIES, how="left_semi")
+        newest.write.mode("overwrite").parquet(_batch_folder(out, "newest", number))
+        newest = spark.read.schema(newest.schema).parquet(_batch_folder(out, "newest", number))
         score(newest).write.mode("overwrite").parquet(_batch_folder(out, "predictions", number))
         rows.unpersist()
 

@@ -76,7 +76,7 @@ def test_draws_are_seeded_and_unique():
 
 
 def test_grids_name_real_parameters():
-    for name, grid in ml.SEARCH_GRIDS.items():
+    for name, grid in [*ml.SEARCH_GRIDS.items(), *ml.WIDE_GRIDS.items()]:
         estimator = ml.BASE_MODELS[name](10)
         for parameter in grid:
             assert estimator.hasParam(parameter)

@@ -151,3 +151,26 @@ def test_label_first_skips_flat_rows(candles):
     first = ft.training_frame(rows, label_first=True, chunk_rows=16).count()
     last = ft.training_frame(rows, chunk_rows=16).count()
     assert 0 < first < last
+
+
+def test_results_do_not_depend_on_broadcast(spark, candles):
+    """Above the broadcast threshold the bucket table is joined by sort-merge."""
+    rows = gappy(candles, seed=9)
+    small = ft.features(rows, chunk_rows=50).orderBy("symbol", "interval", "open_time").collect()
+    newest = sorted(last_rows(rows, 30).collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = ft.features(rows, chunk_rows=50)
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert large.orderBy("symbol", "interval", "open_time").collect() == small
+        assert sorted(last_rows(rows, 30).collect()) == newest
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_features_once_then_split(candles):
+    closes = [100.0 + (i * 7 % 13) for i in range(200)]
+    got = ft.features_then_split(candles(closes), chunk_rows=20).groupBy("split").count().toPandas()
+    sizes = got.set_index("split")["count"]
+    assert sizes["train"] == 7 * sizes.sum() // 10
