@@ -145,16 +145,19 @@ def _newest_buckets(rows: DataFrame, n: int) -> DataFrame:
     return needed.groupBy(*SERIES).agg(F.min(_BUCKET).alias("_from"))
 
 
-def last_rows(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:
-    """The newest ``n`` candles of each series.
+def recent_part(rows: DataFrame, n: int) -> DataFrame:
+    """The buckets that hold the newest ``n`` rows of each series; older rows are dropped in the scan.
 
-    Bucket counts tell how far back each series must be read, so older rows are dropped in the scan
-    and a series is ranked on at most ``n`` rows plus one bucket. The small table of starting points
-    is stored, so its exact size decides whether it is broadcast.
+    Bucket counts tell how far back a series must be read. The small table of starting points is
+    stored, so its exact size decides whether it is broadcast.
     """
     start = materialise(_newest_buckets(rows, n), "newest")
-    recent = rows.join(start, on=SERIES).where(candle_bucket() >= F.col("_from")).drop("_from")
-    return rank_last(recent, n, time=time)
+    return rows.join(start, on=SERIES).where(candle_bucket() >= F.col("_from")).drop("_from")
+
+
+def last_rows(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:
+    """The newest ``n`` candles of each series, ranked on at most ``n`` rows plus one bucket each."""
+    return rank_last(recent_part(rows, n), n, time=time)
 
 
 def rank_last(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:

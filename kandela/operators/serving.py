@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kandela.operators.candles import with_mid_price
-from kandela.operators.series import last_rows
+from kandela.operators.series import last_rows, recent_part
 from kandela.schemas import PRICES, SERIES
 
 
@@ -32,10 +32,13 @@ def historical(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symb
 
 
 def latest(documents: DataFrame) -> DataFrame:
-    """The newest document of every symbol, by close time, then by load number."""
+    """The newest document of every symbol, by close time, then by load number.
+
+    Only the newest bucket of each series is read in full.
+    """
     rest = [c for c in documents.columns if c != "symbol"]
     return (
-        documents.groupBy("symbol")
+        recent_part(documents, 1).groupBy("symbol")
         .agg(F.max_by(F.struct(*rest), F.struct("close_time", "load_seq")).alias("_last"))
         .select("symbol", "_last.*")
     )

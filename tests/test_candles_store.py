@@ -41,6 +41,7 @@ def test_roll_up_of_roll_up_and_invariants(spark):
     quarter = cd.roll_up_ticks(source, "15m")
     for grain in ("1h", "1d", "1w", "1M", "1y"):
         direct = cd.roll_up_ticks(source, grain).orderBy("open_time").collect()
+        assert cd.roll_up_ticks(source, grain, unique_times=True).orderBy("open_time").collect() == direct
         assert cd.roll_up_candles(quarter, grain).orderBy("open_time").collect() == direct
         assert all(r.low <= r.open <= r.high and r.low <= r.close <= r.high for r in direct)
 
@@ -209,6 +210,29 @@ def test_head_tail_order(spark, candles):
     assert [r.close for r in serving.tail(rows, 2).collect()] == [6.0, 7.0]
 
 
+def test_roll_ups_hash_where_the_order_is_one_column(spark, candles):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    empty = ticks(spark, [])
+    assert "SortAggregate" not in plan(cd.roll_up_candles(candles([1.0]), "1d"))
+    assert "SortAggregate" not in plan(cd.roll_up_ticks(empty, "1h", unique_times=True))
+
+
+def test_upsert_limits_copies_before_the_shuffle(spark, candles):
+    rows = candles([1.0]).withColumn("load_seq", F.lit(1))
+    plan = store.newest_version(rows)._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[:exchange] and "WindowGroupLimit" in plan[exchange:]
+
+
+def test_latest_prefers_time_then_load(spark, candles):
+    rows = candles([float(i) for i in range(600)]).withColumn("load_seq", F.lit(1))
+    again = rows.where("volume = 599").withColumn("close", F.lit(-1.0)).withColumn("load_seq", F.lit(2))
+    older = rows.where("volume = 3").withColumn("load_seq", F.lit(9))
+    daily = candles([7.0], "BBBUSDT", interval="1d").withColumn("load_seq", F.lit(1))
+    got = serving.latest(rows.unionByName(again).unionByName(older).unionByName(daily)).collect()
+    assert {(r.symbol, r.close) for r in got} == {("AAAUSDT", -1.0), ("BBBUSDT", 7.0)}
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
