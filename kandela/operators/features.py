@@ -13,6 +13,7 @@ HORIZON = 10
 THRESHOLD = 0.01
 LOOK_BACK = 50
 RSI_PERIOD = 14
+MIN_ROWS = 300
 
 
 def _indicators(df: DataFrame, w: WindowSpec) -> DataFrame:
@@ -97,20 +98,21 @@ def with_split(rows: DataFrame, rule: str = "ceil", chunk_rows: int = CHUNK_ROWS
 
 
 def features_per_split(candles: DataFrame, horizon: int = HORIZON, threshold: float = THRESHOLD,
-                       chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                       min_rows: int = 0, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Label, keep labelled rows, split, then compute indicators afresh inside each split.
 
-    Numbering, split and indicators share one pass over the labelled rows.
+    Series with fewer than ``min_rows`` labelled rows are left out. Numbering, split and indicators
+    share one pass over the labelled rows.
     """
+    labelled = labelled_rows(candles, horizon, threshold, chunk_rows)
+    if min_rows:
+        labelled = enough_history(labelled, min_rows)
 
     def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         split = df.withColumn("split", _split_column("ceil"))
         return _indicators(split, chunk_window(SERIES, "open_time", "split"))
 
-    rows = over_series(
-        labelled_rows(candles, horizon, threshold, chunk_rows), compute,
-        back=LOOK_BACK, chunk_rows=chunk_rows, numbered=True,
-    )
+    rows = over_series(labelled, compute, back=LOOK_BACK, chunk_rows=chunk_rows, numbered=True)
     return rows.drop("rn", "n").na.drop(subset=FEATURE_COLUMNS)
 
 
@@ -141,7 +143,7 @@ def every_kth(candles: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS) -> D
     return numbered.where(F.pmod(F.col("rn") - 1, F.lit(k)) == 0).drop("rn", "n")
 
 
-def enough_history(rows: DataFrame, min_rows: int = 300) -> DataFrame:
+def enough_history(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Series with at least ``min_rows`` rows.
 
     Counts combine before the shuffle, and the stored list of series has an exact size, so the rows

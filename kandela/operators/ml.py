@@ -14,12 +14,12 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kandela.functions.scalars import signal_name
-from kandela.operators.evaluate import scores, with_row_weights
+from kandela.operators.evaluate import best_model, scores, with_row_weights
 from kandela.operators.series import number_rows
-from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, conform
+from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, SCORES, conform
 from kandela.session import materialise
 
 SEED = 42
@@ -190,10 +190,7 @@ def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], Dat
 
     def run(rows: DataFrame) -> DataFrame:
         parts = [predictions(model, rows.where(F.col("symbol") == symbol)) for symbol, model in models.items()]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
+        return _union(parts, rows.sparkSession, PREDICTION)
 
     return run
 
@@ -225,6 +222,22 @@ def per_symbol(rows: DataFrame, work: Callable[[str], object], parallelism: int
         return list(pool.map(work, symbols))
 
 
+def _union(tables: Sequence[DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
+    result = spark.createDataFrame([], schema)
+    for table in tables:
+        result = result.unionByName(conform(table, schema))
+    return result
+
+
+def _fit_all(data: Prepared, models: Mapping[str, Callable[[int], Estimator]],
+             search: Mapping[str, Mapping[str, Sequence]] | None, draws: int) -> dict[str, PipelineModel]:
+    """Base models and, for every family in ``search``, its tuned model."""
+    fitted = {f"{name}_BASE": fit(data, make) for name, make in models.items()}
+    for name, grid in (search or {}).items():
+        fitted[f"{name}_OPT"], _ = random_search(data, BASE_MODELS[name], grid, draws)
+    return fitted
+
+
 def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
                        search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
                        parallelism: int = 8) -> DataFrame:
@@ -232,18 +245,28 @@ def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Es
 
     def work(symbol: str) -> list[DataFrame]:
         data = prepare(table, symbol)
-        done = [evaluate(fit(data, make), data.test, symbol, f"{name}_BASE") for name, make in models.items()]
-        for name, grid in (search or {}).items():
-            model, _ = random_search(data, BASE_MODELS[name], grid, draws)
-            done.append(evaluate(model, data.test, symbol, f"{name}_OPT"))
+        fitted = _fit_all(data, models, search, draws)
         data.train.unpersist()
-        return done
+        return [evaluate(model, data.test, symbol, name) for name, model in fitted.items()]
 
     tables = [t for part in per_symbol(table, work, parallelism) for t in part]
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result
+    return _union(tables, table.sparkSession, SCORES)
+
+
+def train_best(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
+               search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
+               parallelism: int = 8) -> dict[str, PipelineModel]:
+    """Per symbol, the model with the highest test F1 among all base and tuned ones."""
+
+    def work(symbol: str) -> tuple[str, PipelineModel]:
+        data = prepare(table, symbol)
+        fitted = _fit_all(data, models, search, draws)
+        data.train.unpersist()
+        scored = [evaluate(model, data.test, symbol, name) for name, model in fitted.items()]
+        best = best_model(_union(scored, table.sparkSession, SCORES)).first()
+        return symbol, fitted[best.model if best else next(iter(fitted))]
+
+    return dict(per_symbol(table, work, parallelism))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kandela.operators import evaluate as ev, ml
-from kandela.operators.features import HORIZON, THRESHOLD, features_per_split, training_frame
+from kandela.operators.features import HORIZON, MIN_ROWS, THRESHOLD, features_per_split, training_frame
 from kandela.plans.registry import query
 from kandela.session import materialise, scratch_path
 from kandela.sources import tables as tb
 
 
 def split_features(spark, folder):
-    """Weighted features per split, stored once for all fits."""
-    return ml.training_table(materialise(features_per_split(tb.stored_event_candles(spark, folder)), "features"))
+    """Weighted features per split of the series with enough history, stored once for all fits."""
+    candles = tb.stored_event_candles(spark, folder)
+    return ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
 
 
 def _base(spark, folder, name):
@@ -50,9 +51,10 @@ def score(spark, folder):
 
 @query("m10_backtest_export")
 def backtest_export(spark, folder):
-    """One CSV folder per symbol with the test rows scored by its own model."""
+    """One CSV folder per symbol with the test rows scored by its best model."""
     rows, path = split_features(spark, folder), scratch_path(spark, "backtest")
-    for symbol, model in _models(rows).items():
+    models = {name: ml.BASE_MODELS[name] for name in ("LogisticRegression", "RandomForest")}
+    for symbol, model in ml.train_best(rows, models).items():
         test = rows.where((F.col("symbol") == symbol) & (F.col("split") == "test"))
         ml.backtest(model, test).write.option("header", True).csv(f"{path}/symbol={symbol}")
     return spark.read.schema(
@@ -64,7 +66,7 @@ def backtest_export(spark, folder):
 def reload_and_score(spark, folder):
     """Save each model, load it again and score every labelled candle."""
     candles = tb.stored_event_candles(spark, folder)
-    rows = ml.training_table(materialise(features_per_split(candles), "features"))
+    rows = ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
     everything = materialise(training_frame(candles), "training")
     path, loaded = scratch_path(spark, "models"), {}
     for symbol, model in _models(rows).items():

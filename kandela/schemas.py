@@ -63,6 +63,7 @@ BACKTEST = _table(datetime=_TIME, close=_DOUBLE, target=_INT, prediction=_INT, p
 RUNS = _table(
     run_name=_STRING, symbol=_STRING, model_type=_STRING, horizon=_INT, threshold=_DOUBLE,
     accuracy=_DOUBLE, f1=_DOUBLE)
+SCORES = _table(symbol=_STRING, model=_STRING, n=T.LongType(), accuracy=_DOUBLE, f1=_DOUBLE)
 METRIC_SAMPLE = _table(name=_STRING, labels=T.MapType(_STRING, _STRING), ts=_TIME, value=_DOUBLE)
 
 

@@ -105,3 +105,28 @@ def test_scorer_skips_symbols_without_model(table):
     model = ml.fit(ml.prepare(table, "AAAUSDT"), small_forest)
     scored = ml.score_each({"AAAUSDT": model})(table)
     assert {r.symbol for r in scored.select("symbol").distinct().collect()} == {"AAAUSDT"}
+
+
+def test_best_model_has_the_highest_f1(table):
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    def stump(rows=0):
+        return DecisionTreeClassifier(maxDepth=0, labelCol="target", featuresCol="scaled")
+
+    models = {"Forest": small_forest, "Stump": stump}
+    best = ml.train_best(table, models)
+    scored = {(r.symbol, r.model): r.f1 for r in ml.train_and_evaluate(table, models).collect()}
+    for symbol, model in best.items():
+        name = "Forest_BASE" if type(model.stages[-1]).__name__.startswith("RandomForest") else "Stump_BASE"
+        assert scored[(symbol, name)] == max(scored[(symbol, n)] for n in ("Forest_BASE", "Stump_BASE"))
+
+
+def test_no_series_with_enough_history_gives_no_rows(table):
+    none = table.where("false")
+    assert ml.train_and_evaluate(none, {"Forest": small_forest}).count() == 0
+    assert ml.score_each({})(table).count() == 0
+
+
+def test_short_series_are_left_out(spark, candles):
+    rows = candles([100.0 + 20 * ((i // 15) % 2) + i % 5 for i in range(280)])
+    assert features_per_split(rows, min_rows=300).count() == 0 < features_per_split(rows).count()
