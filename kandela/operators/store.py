@@ -137,15 +137,18 @@ def read_candles(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def upsert_into(path: str, incoming: DataFrame) -> None:
-    """Upsert into a stored candle table, rewriting only the months the incoming rows touch.
+    """Upsert into a stored candle table, rewriting only the (series, month) folders it touches.
 
-    The merged partitions are written aside first, so the table is never read and overwritten in
-    one plan, and a repeated run gives the same table.
+    The span of incoming months prunes the folders read. The merged partitions are written aside
+    first, so the table is never read and overwritten in one plan, and a repeated run gives the same
+    table.
     """
     spark = incoming.sparkSession
     incoming = materialise(_by_month(incoming), "upsert-in")
     touched = incoming.select(*SERIES, "month").distinct()
-    stored = read_candles(spark, path, incoming.schema).join(touched, on=[*SERIES, "month"], how="left_semi")
+    span = F.col("month").between(touched.agg(F.min("month")).scalar(), touched.agg(F.max("month")).scalar())
+    stored = read_candles(spark, path, incoming.schema).where(span)
+    stored = stored.join(touched, on=[*SERIES, "month"], how="left_semi")
     merged = materialise(upsert(stored, incoming, [*SERIES, "month", "open_time"]), "upsert-merged")
     (
         merged.repartition(*SERIES, "month")

@@ -64,10 +64,15 @@ def _batch_folder(out: str, kind: str, batch: int) -> str:
     return f"{out}/{kind}/batch={batch}"
 
 
+def _slot(out: str, kind: str, batch: int) -> str:
+    """One of two folders used in turn: a batch reads the previous state and writes its own."""
+    return f"{out}/{kind}/slot={batch % 2}"
+
+
 def _previous(spark: SparkSession, out: str, kind: str, batch: int, like: DataFrame) -> DataFrame:
     if batch == 0:
         return spark.createDataFrame([], like.schema)
-    return spark.read.schema(like.schema).parquet(_batch_folder(out, kind, batch - 1))
+    return spark.read.schema(like.schema).parquet(_slot(out, kind, batch - 1))
 
 
 def start_tail_dedup(messages: DataFrame, out: str, checkpoint: str, period: str | None = None,
@@ -85,7 +90,7 @@ def start_tail_dedup(messages: DataFrame, out: str, checkpoint: str, period: str
         not_yet_stored(rows, tail, last).write.mode("overwrite").parquet(_batch_folder(out, "rows", number))
         fresh = spark.read.schema(rows.schema).parquet(_batch_folder(out, "rows", number))
         rank_last(tail.unionByName(fresh), last, time="close_time").write.mode("overwrite").parquet(
-            _batch_folder(out, "tail", number))
+            _slot(out, "tail", number))
 
     return _start(closed_only(messages).writeStream.foreachBatch(write), checkpoint, period)
 
@@ -127,7 +132,7 @@ def start_roll_up(messages: DataFrame, interval: str, out: str, checkpoint: str,
 def start_latest(messages: DataFrame, out: str, checkpoint: str, period: str | None = None) -> StreamingQuery:
     """Keep the newest closed candle of every symbol.
 
-    Each batch writes the full small result to its own folder.
+    Each batch writes the full small result, with its number, to one of two folders.
     """
     rest = [c for c in messages.columns if c != "symbol"]
     newest = (
@@ -137,7 +142,7 @@ def start_latest(messages: DataFrame, out: str, checkpoint: str, period: str | N
     )
 
     def write(view: DataFrame, number: int) -> None:
-        view.write.mode("overwrite").parquet(_batch_folder(out, "latest", number))
+        view.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(_slot(out, "latest", number))
 
     return _start(newest.writeStream.outputMode("complete").foreachBatch(write), checkpoint, period)
 
@@ -146,7 +151,7 @@ def read_latest(spark: SparkSession, out: str) -> DataFrame:
     """The view of the newest finished batch."""
     views = spark.read.parquet(f"{out}/latest")
     newest = views.agg(F.max("batch")).scalar()
-    return views.where(F.col("batch") == newest).drop("batch")
+    return views.where(F.col("batch") == newest).drop("batch", "slot")
 
 
 def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
@@ -163,12 +168,12 @@ def start_scoring(messages: DataFrame, score: Callable[[DataFrame], DataFrame],
         tail = _previous(spark, out, "tail", number, rows)
         merged = tail.unionByName(rows).dropDuplicates([*SERIES, "close_time"])
         rank_last(merged, window, time="close_time").write.mode("overwrite").parquet(
-            _batch_folder(out, "tail", number))
-        stored = spark.read.schema(rows.schema).parquet(_batch_folder(out, "tail", number))
+            _slot(out, "tail", number))
+        stored = spark.read.schema(rows.schema).parquet(_slot(out, "tail", number))
         touched = rows.select(*SERIES).distinct()
         newest = latest_features(stored, window).join(touched, on=SERIES, how="left_semi")
-        newest.write.mode("overwrite").parquet(_batch_folder(out, "newest", number))
-        newest = spark.read.schema(newest.schema).parquet(_batch_folder(out, "newest", number))
+        newest.write.mode("overwrite").parquet(_slot(out, "newest", number))
+        newest = spark.read.schema(newest.schema).parquet(_slot(out, "newest", number))
         score(newest).write.mode("overwrite").parquet(_batch_folder(out, "predictions", number))
         rows.unpersist()
 

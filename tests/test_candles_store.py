@@ -224,6 +224,15 @@ def test_upsert_limits_copies_before_the_shuffle(spark, candles):
     assert "WindowGroupLimit" in plan[:exchange] and "WindowGroupLimit" in plan[exchange:]
 
 
+def test_dimension_filters_prune_fact_folders(spark, candles):
+    rows = candles([1.0, 2.0], "AAAUSDT").unionByName(candles([3.0], "BBBUSDT"))
+    symbols, intervals = store.build_dimensions(spark, rows)
+    klines = store.store_klines(store.as_klines(store.resolve_ids(rows, symbols, intervals)[0]))
+    query = serving.historical(klines, symbols, intervals, "BBBUSDT", "1h")
+    assert [r.close for r in query.collect()] == [3.0]
+    assert "dynamicpruning" in query._jdf.queryExecution().executedPlan().toString()
+
+
 def test_latest_prefers_time_then_load(spark, candles):
     rows = candles([float(i) for i in range(600)]).withColumn("load_seq", F.lit(1))
     again = rows.where("volume = 599").withColumn("close", F.lit(-1.0)).withColumn("load_seq", F.lit(2))
