@@ -26,61 +26,76 @@ def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     return df.unpivot(list(keys), list(columns), "column", "value").where("value IS NOT NULL")
 
 
-def _cuts(splits: int) -> Column:
-    """Borders of ``splits`` value ranges of about equal size, from a mergeable sketch."""
-    return F.percentile_approx("value", [i / splits for i in range(1, splits)], 1000).alias("cuts")
+def _cuts() -> Column:
+    """Borders of ``SPLITS`` value ranges of about equal size, from a mergeable sketch."""
+    return F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], 1000).alias("cuts")
+
+
+def _below(borders: Column) -> Column:
+    return F.size(F.filter(borders, lambda c: c < F.col("value")))
 
 
 def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float],
-                      splits: int = SPLITS, cuts: DataFrame | None = None) -> DataFrame:
+                      cuts: DataFrame | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, without one task holding a group.
 
     Equal values are counted first. A mergeable sketch cuts each group into ranges of about equal
-    size; range counts locate every wanted rank; only the ranges that hold one are sorted. The
-    sketch steers the work and never the result. ``cuts`` (keys, cuts) may be given if known.
+    size; range counts locate every wanted rank; only ranges that hold one are kept, and they are
+    cut again while one has more than ``rows_per_range`` different values. What is left is sorted
+    range by range. The sketch steers the work and never the result. ``cuts`` (keys, cuts) may be
+    given if known.
     """
     keys = list(keys)
-    counted = values.groupBy(*keys, "value").agg(F.count("*").alias("cnt"))
-    if cuts is None:
-        cuts = materialise(values.groupBy(*keys).agg(_cuts(splits)), "cuts")
-    # Position among the borders: first among every eighth one, then among the eight that follow.
-    value = F.col("value")
-    below = lambda borders: F.size(F.filter(borders, lambda c: c < value))
-    coarse = cuts.select(*keys, "cuts", F.filter("cuts", lambda c, i: i % 8 == 7).alias("eighths"))
-    placed_at = counted.join(coarse, on=keys).withColumn("skip", 8 * below(F.col("eighths")))
-    # Stored, because range counts and the final ranking both read it.
-    ranged = materialise(
-        placed_at.select(
-            *keys, "value", "cnt",
-            (F.col("skip") + below(F.slice("cuts", F.col("skip") + 1, 8))).alias("part")),
-        "ranged",
-    )
-    in_order = Window.partitionBy(*keys).orderBy("part")
-    parts = (
-        ranged.groupBy(*keys, "part").agg(F.sum("cnt").alias("rows"))
-        .withColumn("stop", F.sum("rows").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n", F.sum("rows").over(Window.partitionBy(*keys)))
-        .withColumn("start", F.col("stop") - F.col("rows"))
-    )
-
-    def position(p: float):
-        return (F.col("n") - 1) * F.lit(p)
-
-    def holds(p: float, start, stop):
-        low, high = F.floor(position(p)), F.ceil(position(p))
-        return ((low >= start) & (low < stop)) | ((high >= start) & (high < stop))
-
-    wanted = F.lit(False)
-    for p in probabilities.values():
-        wanted = wanted | holds(p, F.col("start"), F.col("stop"))
-    inside = Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    position = lambda p: (F.col("n") - 1) * F.lit(p)
+
+    def holds_rank() -> Column:
+        wanted = F.lit(False)
+        for p in probabilities.values():
+            for rank in (F.floor(position(p)), F.ceil(position(p))):
+                wanted = wanted | ((rank >= F.col("start")) & (rank < F.col("stop")))
+        return wanted
+
+    # A range is known by its path: the parts chosen in each round, in base SPLITS.
+    cells = values.groupBy(*keys, "value").agg(F.count("*").alias("cnt")).select(
+        *keys, F.lit(0).cast("long").alias("path"), "value", "cnt",
+        F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("n"))
+    if cuts is not None:
+        cuts = cuts.withColumn("path", F.lit(0).cast("long"))
+    while True:
+        if cuts is None:
+            cuts = materialise(cells.groupBy(*keys, "path").agg(_cuts()), "cuts")
+        # Position among the borders: first among every eighth one, then among the eight that follow.
+        coarse = cuts.select(*keys, "path", "cuts", F.filter("cuts", lambda c, i: i % 8 == 7).alias("eighths"))
+        skip = cells.join(coarse, on=[*keys, "path"]).withColumn("skip", 8 * _below(F.col("eighths")))
+        part = F.col("skip") + _below(F.slice("cuts", F.col("skip") + 1, 8))
+        # Stored, because range counts and the next step both read it.
+        ranged = materialise(
+            skip.select(*keys, "path", (F.col("path") * SPLITS + part).alias("range"), "value", "cnt", "start", "n"),
+            "ranged")
+        in_order = Window.partitionBy(*keys, "path").orderBy("range")
+        parts = (
+            ranged.groupBy(*keys, "path", "range")
+            .agg(F.sum("cnt").alias("rows"), F.count("*").alias("different"),
+                 F.first("start").alias("base"), F.first("n").alias("known"))
+            .withColumn("stop", F.col("base") + F.sum("rows").over(
+                in_order.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("start", F.col("stop") - F.col("rows"))
+            .withColumn("n", F.coalesce("known", F.sum("rows").over(Window.partitionBy(*keys))))
+        )
+        kept = materialise(parts.where(holds_rank()).select(*keys, "range", "start", "n", "different"), "kept")
+        cells = ranged.drop("path", "start", "n").join(kept, on=[*keys, "range"]).withColumnRenamed("range", "path")
+        widest = kept.agg(F.max("different")).first()[0]
+        if widest is None or widest <= rows_per_range:
+            break
+        cuts = None
+
+    inside = Window.partitionBy(*keys, "path").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        ranged.join(parts.where(wanted).select(*keys, "part", "start", "n"), on=[*keys, "part"])
-        .withColumn("upto", F.col("start") + F.sum("cnt").over(inside))
+        cells.withColumn("upto", F.col("start") + F.sum("cnt").over(inside))
         .withColumn("from", F.col("upto") - F.col("cnt"))
     )
 
-    def at(rank):
+    def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("from")) & (rank < F.col("upto")), F.col("value")))
 
     found = placed.groupBy(*keys).agg(
@@ -104,7 +119,7 @@ def describe(df: DataFrame, keys: Sequence[str] = ("symbol",),
         values.groupBy(*by).agg(
             F.count("value").alias("count"), F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-            _cuts(SPLITS),
+            _cuts(),
         ),
         "moments",
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from kandela.operators import ml
 from kandela.operators.features import features_per_split
 from kandela.plans.registry import BASE, CANDLE_SQL, TICKS, candles_sql, query
-from kandela.plans.table_queries import CLOSED, documents
+from kandela.plans.table_queries import CLOSED, broken_messages, documents
 from kandela.schemas import CANDLE, conform
 from kandela.session import materialise, scratch_path
 from kandela.sources import messages as ms, tables as tb
@@ -43,6 +43,17 @@ def closed_ingest(spark, folder):
     return tb.read_stored(spark, out)
 
 
+@query("t1_quarantine", f"""{BASE} SELECT CASE WHEN hour(open_time) = 3 THEN 'k missing' ELSE 'bad number' END AS outcome,
+  count(*) AS n FROM candles WHERE hour(open_time) IN (3, 5) GROUP BY ALL""")
+def quarantine(spark, folder):
+    landed, out = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
+    broken_messages(spark, folder).write.text(landed)
+    jobs.start_quarantine(
+        jobs.decoded_stream(spark, landed), out, scratch_path(spark, "progress")).awaitTermination()
+    why = F.when(F.get_json_object("value", "$.k").isNull(), "k missing").otherwise("bad number")
+    return spark.read.text(out).groupBy(why.alias("outcome")).agg(F.count("*").alias("n"))
+
+
 @query("t2_dedup_ingest", f"{BASE}, {CLOSED} SELECT {CANDLE_SQL} FROM docs WHERE closed")
 def dedup_ingest(spark, folder):
     """Every message arrives twice."""

@@ -18,18 +18,23 @@ from kandela.operators.features import latest_features
 from kandela.operators.series import rank_last
 from kandela.operators.store import not_yet_stored
 from kandela.schemas import CANDLE, INTERVAL_SECONDS, SERIES
-from kandela.sources.messages import accepted, decode_messages
+from kandela.sources.messages import accepted, decode_messages, quarantined
 
 LATENESS = "2 hours"
 STORED_TAIL = 240
 
 
-def message_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Accepted messages of every symbol in one stream; the symbol is a column."""
+def decoded_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Every landed message decoded, readable or not, with its raw text."""
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return accepted(decode_messages(reader.text(folder)))
+    return decode_messages(reader.text(folder))
+
+
+def message_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Accepted messages of every symbol in one stream; the symbol is a column."""
+    return accepted(decoded_stream(spark, folder, files_per_trigger))
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, period: str | None) -> StreamingQuery:
@@ -44,6 +49,12 @@ def start_ingest(messages: DataFrame, out: str, checkpoint: str, period: str | N
     return _start(rows.writeStream.format("parquet").option("path", out), checkpoint, period)
 
 
+def start_quarantine(decoded: DataFrame, out: str, checkpoint: str, period: str | None = None) -> StreamingQuery:
+    """Keep the raw text of messages that could not be read."""
+    rows = quarantined(decoded)
+    return _start(rows.writeStream.format("text").option("path", out), checkpoint, period)
+
+
 def deduplicated(messages: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Closed candles, one per natural key; state is kept for ``lateness`` only."""
     return (

@@ -34,6 +34,14 @@ def test_ingest_takes_closed_candles_only(spark, candles, paths):
     assert sorted(r.close for r in spark.read.parquet(out).collect()) == [1.0, 2.0, 3.0]
 
 
+def test_unreadable_messages_are_quarantined(spark, candles, paths):
+    landing, out, progress = paths()
+    encode_messages(closed(candles([1.0, 2.0]))).write.mode("append").text(landing)
+    spark.createDataFrame([("{}",), ("oops",)], "value string").write.mode("append").text(landing)
+    jobs.start_quarantine(jobs.decoded_stream(spark, landing, 1), out, progress).awaitTermination()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["oops", "{}"]
+
+
 def test_dedup_inside_and_across_batches(spark, candles, paths):
     landing, out, progress = paths()
     first = closed(candles([float(i) for i in range(6)]))
