@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kandela.llm import exact_dedup, line_dedup, token_counts, url_filter
+from kandela.llm import exact_dedup, line_dedup, secrets, simhash, token_counts, url_filter
+from kandela.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,6 +69,21 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"), prefer="largest")
 
 
+@query("op4_simhash")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
+
+
+@query("op6_secrets")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The first scan of a new ledger; the method adds no spans beside the base ones."""
+    found = secrets.scan(table(spark, folder, "documents"), scratch_path(spark, "secret-ledger"))
+    count = lambda rule: F.size(F.filter("findings", lambda f: f["rule"] == rule)).cast("long").alias(f"n_{rule}")
+    spans = F.array_join(F.transform("findings", lambda f: F.concat_ws(":", f["rule"], f["start"], f["end"])), ",")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 # Fixed values of the contract.
 URL_RULES = """('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"""
