@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kandela.llm import exact_dedup, line_dedup, secrets, simhash, token_counts, url_filter
+from kandela.llm import decontaminate, exact_dedup, line_dedup, mixing, secrets, simhash, token_counts, url_filter
 from kandela.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,17 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+@query("op7_decontaminate")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.benchmark_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_mixing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"), weights=(5, 2, 1))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 # Fixed values of the contract.
 URL_RULES = """('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"""
