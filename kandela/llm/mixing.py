@@ -127,8 +127,8 @@ def _plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source") -> DataFrame:
-    """``id, source, size, source_size, target, taken, copies``: one row per input row, untaken ones too (taken 0).
+        source_column: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id, source, size, source_size, target, taken, copies`` and ``carry``: one row per input row, untaken ones too (taken 0).
 
     Size is the number of words (null: 0); documents without words are never taken; no document is taken
     more than three times. The same rows and seed give the same mix; rows of one id, source and size
@@ -137,7 +137,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     """
     units = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column)), F.lit(1 << 40)) / float(1 << 40)
     rows = materialise(docs.select(id_column, F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"),
-                                   units.alias("unit")), "sizes")
+                                   units.alias("unit"), *carry), "sizes")
     sizes = materialise(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     goals = materialise(targets(sizes, weights), "targets")
     plan = materialise(_plan(sizes, goals), "plan")
@@ -160,6 +160,6 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     cut = ranged.where("quota > 0 AND quota < here").withColumn("more", (rank <= F.col("quota")).cast("long"))
     whole = ranged.where("quota = 0 OR quota = here").withColumn("more", (F.col("quota") > 0).cast("long"))
     even = placed.where("extra = 0 OR extra >= n").withColumn("more", (F.col("extra") > 0).cast("long"))
-    columns = [id_column, "source", "size", "source_size", "target", (F.col("copies") + F.col("more")).alias("copies")]
+    columns = [id_column, *carry, "source", "size", "source_size", "target", (F.col("copies") + F.col("more")).alias("copies")]
     mixed = even.select(*columns).unionByName(whole.select(*columns)).unionByName(cut.select(*columns))
     return mixed.withColumn("taken", F.col("size") * F.col("copies"))

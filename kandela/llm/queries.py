@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kandela.llm import decontaminate, exact_dedup, line_dedup, mixing, secrets, simhash, token_counts, url_filter
+from kandela.llm import decontaminate, exact_dedup, line_dedup, mixing, quality, secrets, simhash, token_counts, url_filter, warc
 from kandela.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,7 +71,16 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_simhash")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
+    found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op5_quality")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels").where(~quality.held_out()))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 @query("op6_secrets")
@@ -95,6 +104,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@query("op9_warc")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest columns of all three records of every page, and the text of conversions."""
+    records = warc.derived_records(table(spark, folder, "pages"))
+    head = F.instr(F.col("record").cast("string"), "\r\n\r\n")
+    text = F.when(F.col("warc_type") == "conversion", F.substring(
+        F.col("record").cast("string"), head + 4, F.length(F.col("record").cast("string")) - head - 7))
+    return records.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "block_digest", "payload_digest",
+                          "content_length", F.sha2("record", 256).alias("record_sha256"), text.alias("text"))
+
+
 # Fixed values of the contract.
 URL_RULES = """('net', '/', 'block'), ('example.net', '/en/', 'allow'),
   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"""

@@ -50,15 +50,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, fp`` (fp a signed 64-bit number) of every row."""
-    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("fp", T.LongType())])
+    """``id, text_key, fp`` of every row: the text's own hash and its SimHash, a signed 64-bit number."""
+    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType),
+                           T.StructField("text_key", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(x.as_py(), shingle) for x in batch.column("raw")]
-            yield pa.RecordBatch.from_arrays([batch.column(id_column), pa.array(found, pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(id_column), batch.column("text_key"), pa.array(found, pa.int64())], names=schema.names)
 
-    return docs.select(id_column, or_empty(F.col(text_column)).cast("binary").alias("raw")).mapInArrow(run, schema)
+    text = or_empty(F.col(text_column))
+    return docs.select(id_column, F.xxhash64(text).alias("text_key"), text.cast("binary").alias("raw")).mapInArrow(run, schema)
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -108,19 +111,22 @@ def _stars(members: DataFrame, masks: list[int], radius: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
-    """``id, fingerprint, component_id``: one row per input row, repeated rows included.
+    """``id, text_key, fingerprint, component_id, kept``: one row per input row, repeated rows included.
 
     Fingerprints link at ``radius`` or fewer differing bits; ``component_id`` is the smallest id reachable
-    (null ids are not counted; null if there is none). Null, empty and blank texts have fingerprint zero and link like any
-    other. Other columns are not read. An empty table gives an empty result.
+    (null ids count last; null if there is no other). ``kept`` marks one text of each component, that of its
+    smallest id; rows that repeat both its id and text are marked too. Null, empty and blank texts have fingerprint zero
+    and link like any other. Other columns are not read. An empty table gives an empty result.
     """
     marked = materialise(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
-    nodes = materialise(marked.groupBy("fp").agg(F.min(id_column).alias("first_id")), "nodes")
+    row = F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), "text_key")
+    nodes = materialise(marked.groupBy("fp").agg(F.min(row).alias("first")), "nodes")
     linked = components(links(nodes.select("fp"), radius))
     joined = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
     placed = materialise(joined, "placed")
-    smallest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_print = placed.join(smallest, "component").select("fp", "component_id")
+    smallest = placed.groupBy("component").agg(F.min("first").alias("owner"))
+    of_print = materialise(placed.join(smallest, "component").select("fp", "owner"), "owners")
     return marked.join(of_print, "fp").select(
-        id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        id_column, "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("owner.id").alias("component_id"), row.eqNullSafe(F.col("owner")).alias("kept"))
