@@ -1,0 +1,50 @@
+import random
+
+import brute
+from brute import in_order, rows_of
+
+from kandela.llm import secrets
+from kandela.session import scratch_path
+
+TEXTS = [None, "", "password: token: abcdefghijkl", "PassWd = 'abcdefghijklmnop'", "api_key=" + "A" * 11, "APIKEY:\"" + "A" * 12,
+         "ſecret=abcdefghijklmnop", "toKen=abcdefghijklmnop", "token=secret=abcdefghijklmnop", "éé AKIA" + "Z" * 14,
+         "AKIA" + "Z" * 13, "AKIAAKIA" + "Z9" * 8, "x" + "0123456789abcdef" + "0", "ABCDEF0123456789", "f" * 50_000,
+         "secret: " + "a" * 16, "password\t=abcdefghijklmnop", "𝒳 token='abcdef012345678901'", "secret = = abcdefghijklmnop"]
+
+
+def findings(df):
+    return in_order([(r["doc_id"], tuple((f["rule"], f["start"], f["end"]) for f in r["findings"])) for r in df.collect()])
+
+
+def test_against_the_contract_patterns(spark, make_docs):
+    rng = random.Random(4)
+    bits = ["token", "=", ":", " ", "'", "secret", "abcdef", "0123456789", "AKIA", "ZZZZZZ", "é", "-", "api_key", "password"]
+    rows = list(enumerate(TEXTS + ["".join(rng.choice(bits) for _ in range(40)) for _ in range(300)])) + [(2, TEXTS[2]), (None, TEXTS[3])]
+    found = secrets.scan(make_docs(rows), scratch_path(spark, "ledger"))
+    assert findings(found) == in_order([(i, tuple(brute.secrets(t or ""))) for i, t in rows])
+
+
+def test_only_unseen_blobs_and_rule_versions_are_scanned(spark, make_docs):
+    ledger = scratch_path(spark, "ledger")
+    first = [(1, TEXTS[3]), (2, TEXTS[3]), (3, "nothing")]
+    secrets.scan(make_docs(first), ledger)
+    held = lambda: secrets.read_ledger(spark, ledger).count()
+    assert held() == 2 * 3  # two blobs, three rules
+    secrets.scan(make_docs(first), ledger)
+    assert held() == 6
+    history = first + [(1, TEXTS[9])]
+    assert findings(secrets.scan(make_docs(history), ledger)) == in_order([(i, tuple(brute.secrets(t))) for i, t in history])
+    assert held() == 9
+    changed = (secrets.Rule("assign", secrets.RULES[0].pattern, 4, 2), *secrets.RULES[1:])
+    found = secrets.scan(make_docs(first), ledger, changed)
+    assert held() == 9 + 2 and all(f[0] == "assign" for _, fs in findings(found) for f in fs)
+
+
+def test_several_path_columns_and_null_paths(spark, make_docs):
+    found = secrets.scan(make_docs([(None, TEXTS[3]), (1, TEXTS[3])]), scratch_path(spark, "ledger"), path_columns=("source", "doc_id"))
+    assert found.columns == ["source", "doc_id", "blob", "findings"] and {len(r["findings"]) for r in found.collect()} == {1}
+
+
+def test_empty_table(spark, make_docs):
+    assert secrets.scan(make_docs([]), scratch_path(spark, "ledger")).count() == 0
+    assert rows_of(secrets.read_ledger(spark, scratch_path(spark, "none")), "blob") == []
