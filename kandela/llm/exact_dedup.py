@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from kandela.session import materialise
+
 SPILL_BYTES = 48 << 20
 ROWS_PER_BATCH = 512
 
@@ -109,8 +111,9 @@ def exact_duplicates(docs: DataFrame, prefer: str = "smallest", spill_bytes: int
     partial = _through_tries(rows.select(raw, "owner", F.lit(1).cast("long").alias("n")), largest, spill_bytes, True, kind)
     dealt = partial.repartition(F.col("n_bytes"), F.xxhash64("raw"))
     merged = _through_tries(dealt.select("raw", "owner", "n"), largest, spill_bytes, False, kind)
-    owners = merged.groupBy("n_bytes", "text_sha256").agg(
-        (F.max if largest else F.min)("owner").alias("keep_id"), F.sum("n").alias("group_size"))
+    # Stored, so that the join below shuffles both of its sides itself and can split a hot text.
+    owners = materialise(merged.groupBy("n_bytes", "text_sha256").agg(
+        (F.max if largest else F.min)("owner").alias("keep_id"), F.sum("n").alias("group_size")), "owners")
     members = rows.select(F.col("owner").alias(id_column), F.octet_length("text").cast("long").alias("n_bytes"),
                           F.sha2("text", 256).alias("text_sha256"))
     return members.join(owners, ["n_bytes", "text_sha256"]).select(
