@@ -70,6 +70,7 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path
              .dropDuplicates(["blob", "rule", "version"])
              .select("blob", "rule", "rank", F.explode("spans").alias("s")).groupBy("blob")
              .agg(F.sort_array(F.collect_list(F.struct(F.col("s.start"), "rank", "rule", F.col("s.end")))).alias("f")))
+    found = materialise(found, "findings")  # stored, so that the join can split a hot blob
     paths = versions.select(*path_columns, F.sha2(or_empty(F.col(text_column)), 256).alias("blob"))
     none = F.array().cast("array<struct<start: int, rule: string, end: int>>")
     clean = F.transform("f", lambda x: F.struct(x["start"].alias("start"), x["rule"].alias("rule"), x["end"].alias("end")))
