@@ -41,6 +41,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     stream = ranged.withColumn("first", F.row_number().over(Window.partitionBy("h1", "h2", "id").orderBy("pos")) == 1)
     owners = (stream.where("first").groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("owner"))
               .where(F.col("n_docs") >= min_docs).drop("n_docs"))
+    owners = materialise(owners, "line-owners")  # stored, so that the join can split a hot line
     dropped = hashed.join(owners, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("owner")))
     gathered = dropped.groupBy("id", "text_key").agg(
         F.max("n_lines").alias("n_lines"), F.array_sort(F.collect_set("pos")).alias("gone"))
