@@ -13,7 +13,8 @@ def components(links: DataFrame, max_rounds: int = 64) -> DataFrame:
     Large and small stars alternate: first every node ties its larger neighbours to its smallest
     neighbour, then its smaller neighbours too, until nothing changes; rounds grow with the logarithm of
     the longest chain. Minima combine before the shuffle and hot nodes only meet in joins, which
-    adaptive execution can split. Each round is a table in the shared folder, so lineage stays short;
+    adaptive execution can split. Minima and rounds are tables in the shared folder: lineage stays short and
+    a join shuffles both sides itself, which lets it split hot nodes;
     only a row count and a checksum come to the driver. Self-links, repeated links and an empty table are fine; links with
     a null end are left out.
     """
@@ -38,12 +39,12 @@ def _state(edges: DataFrame) -> tuple:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    smallest = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "smallest")
     tied = both.join(smallest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    smallest = edges.groupBy("a").agg(F.min("b").alias("m"))
+    smallest = materialise(edges.groupBy("a").agg(F.min("b").alias("m")), "smallest")
     tied = edges.join(smallest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.unionByName(smallest.select("a", F.col("m").alias("b"))).distinct()

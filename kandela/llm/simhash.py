@@ -88,7 +88,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     placed = prints.select("fp", tables.alias("x")).select("fp", "x.t", "x.bucket")
     shared = (placed.groupBy("t", "bucket").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
               .where("low <> high").select("t", "bucket"))
-    members = placed.join(shared, ["t", "bucket"])
+    members = placed.join(materialise(shared, "buckets"), ["t", "bucket"])
     return _stars(members, masks, radius)
 
 
