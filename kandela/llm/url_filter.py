@@ -89,7 +89,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_co
                          F.char_length("rule_host").alias("host_length"), "verdict")
     longest = (pairs.join(top, "key").join(named, "rule_key").groupBy("host", "path")
                .agg(F.max(F.struct(F.char_length("rule").alias("n"), "host_length", "rule", "verdict")).alias("won")))
-    judged = urls.join(longest, ["host", "path"], "left")
+    longest = materialise(longest, "url-rules")  # stored, so that the join can split a hot page
+    # It grows with the pages, so it is merged, never broadcast.
+    judged = urls.join(longest.hint("merge"), ["host", "path"], "left")
     return judged.select(id_column, "host", "path", F.col("won.rule").alias("rule"),
                          F.coalesce("won.verdict", F.lit(default)).alias("verdict"))
 
