@@ -1,9 +1,9 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by source and exact size, so what follows works on counts, not documents. A source whose
-target is ``q`` times its size and a rest takes every document ``q`` times; the rest is met per size: first an
-equal share of every size's documents, then more from the largest sizes on, and a bounded knapsack
-over the counts still free (dynamic programming on reachable sums, as bits of one number) closes what remains.
+target is ``q`` times its size and a rest takes every document ``q`` times; the rest is met per size: an
+equal share of every size's documents up to the last ``KNAPSACK_BUDGET`` words, and for these a bounded knapsack
+over the counts still free (dynamic programming on reachable sums, as bits of one number).
 Which documents of a size are taken is a seeded order: ranges of a hash hold about ``ROWS_PER_RANGE`` documents, whole
 ranges are taken by their counts and only the one in which the number runs out is ranked.
 """
@@ -19,7 +19,7 @@ from kandela.session import materialise
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 SEED = 17
-ROWS_PER_RANGE = 2_000
+ROWS_PER_RANGE = 256
 KNAPSACK_BUDGET = 1 << 16
 
 
@@ -64,20 +64,23 @@ def _in_order(sources: DataFrame) -> DataFrame:
 
 
 def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
-    """How many documents to take per size so that the sizes add up to ``budget`` as nearly as can be found, not above."""
+    """How many documents to take per size so that their sizes come as near to ``budget`` as can be found, not above it.
+
+    Up to ``KNAPSACK_BUDGET`` words the sum is the best there is.
+    """
     sizes = sorted((s for s, n in counts.items() if s > 0 and n > 0), reverse=True)
     total = sum(s * counts[s] for s in sizes)
     budget = min(budget, total)
     if budget <= 0:
         return {}
-    taken = {s: counts[s] * budget // total for s in sizes}
+    taken = {s: counts[s] * max(0, budget - KNAPSACK_BUDGET) // total for s in sizes}
     left = budget - sum(s * k for s, k in taken.items())
-    for s in sizes:
-        if left <= KNAPSACK_BUDGET:
-            break
-        more = min(counts[s] - taken[s], (left - KNAPSACK_BUDGET) // s)
-        taken[s] += more
-        left -= more * s
+    for reserve in (KNAPSACK_BUDGET, 0):
+        for s in sizes:
+            if left > 2 * KNAPSACK_BUDGET or reserve and left > reserve:
+                more = min(counts[s] - taken[s], (left - reserve) // s)
+                taken[s] += more
+                left -= more * s
     left = _knapsack(sizes, counts, taken, min(left, 2 * KNAPSACK_BUDGET)) if left else 0
     return {s: k for s, k in taken.items() if k}
 
