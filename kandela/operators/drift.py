@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from kandela.operators.features import recent_features
 from kandela.schemas import FEATURE_COLUMNS, SERIES
+from kandela.session import materialise
 
-EXACT_LIMIT = 10_000
 ALPHA = 0.05
-VALUE_DIGITS = 9
+SIGNIFICANT_DIGITS = 10
+
+
+def significant(value: Column, digits: int = SIGNIFICANT_DIGITS) -> Column:
+    """``value`` to ``digits`` significant decimal digits, whatever its size; 0, NaN and infinity stay."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(value))))
+    return F.when((value == 0) | F.isnan(value) | (F.abs(value) == float("inf")), value).otherwise(
+        F.round(value / unit, digits - 1) * unit)
 
 
 def drift_samples(history: DataFrame, recent: DataFrame, history_rows: int = 1000,
@@ -22,14 +28,14 @@ def drift_samples(history: DataFrame, recent: DataFrame, history_rows: int = 100
     """(symbol, interval, feature, sample, value) of the newest candles on both sides.
 
     Both sides are cut to a fixed number of rows per series before any feature is computed. Values are
-    rounded far below their precision, so a candle present on both sides ties with itself however a
-    rolling sum was rounded.
+    cut to ten significant digits, so a candle present on both sides ties with itself however a
+    rolling sum was rounded, and small prices keep their differences.
     """
     sides = []
     for name, candles, rows in (("history", history, history_rows), ("recent", recent, window)):
         side = recent_features(candles, rows).withColumn("sample", F.lit(name))
         long = side.unpivot([*SERIES, "sample"], FEATURE_COLUMNS, "feature", "value")
-        sides.append(long.withColumn("value", F.round("value", VALUE_DIGITS)))
+        sides.append(long.withColumn("value", significant(F.col("value"))))
     return sides[0].unionByName(sides[1])
 
 
@@ -69,49 +75,69 @@ def with_asymptotic_p(stats: DataFrame, terms: int = 100) -> DataFrame:
     )
 
 
-def exact_ks_p(n: int, m: int, d: float) -> float:
-    """P(D >= d) for sample sizes n and m without ties.
+def exact_ks_p(n: int, m: int, gap: int) -> float:
+    """P(D >= gap / (n * m)) for sample sizes n and m without ties.
 
-    Counts the monotone grid paths from (0, 0) to (n, m) along which both distributions stay closer
-    than d, one column of the grid at a time, and compares with the number of all paths.
+    A random order of both samples is a grid path from (0, 0) to (n, m). The probability that it ever
+    reaches the distance is summed over the first cells that do, diagonal by diagonal; nothing is
+    subtracted, so small probabilities keep their digits.
     """
-    if d <= 0:
+    if gap <= 0:
         return 1.0
-    gap = round(d * n * m)  # the distance is a multiple of 1/(n*m)
+    inside, reached = np.zeros(n + 1), 0.0
+    inside[0] = 1.0
     i = np.arange(n + 1)
-    paths, log_scale = np.where(i * m < gap, 1.0, 0.0), 0.0
-    for j in range(1, m + 1):
-        allowed = np.abs(i * m - j * n) < gap
-        paths = np.where(allowed, np.cumsum(np.where(allowed, paths, 0.0)), 0.0)
-        top = paths.max()
-        if top == 0.0:
-            return 1.0
-        paths, log_scale = paths / top, log_scale + log(top)
-    if paths[n] == 0.0:
-        return 1.0
-    log_all = lgamma(n + m + 1) - lgamma(n + 1) - lgamma(m + 1)
-    return float(min(max(1.0 - exp(log(paths[n]) + log_scale - log_all), 0.0), 1.0))
-
-
-@F.pandas_udf(T.DoubleType())
-def _exact_p(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for n, m, d in batches:
-        yield pd.Series([exact_ks_p(int(a), int(b), float(c)) for a, b, c in zip(n, m, d)])
-
-
-def with_p_value(stats: DataFrame) -> DataFrame:
-    """``p_value``: exact while neither side exceeds 10,000 rows, the limit formula beyond."""
+    for k in range(n + m):
+        j = k - i
+        left = float(n + m - k)
+        forward = np.zeros(n + 1)
+        forward[1:] = inside[:-1] * ((n - i[:-1]) / left)
+        moved = forward + inside * (np.clip(m - j, 0, None) / left)
+        j = j + 1
+        out = np.abs(i * m - j * n) >= gap
+        reached += float(moved[out].sum())
+        inside = np.where(out, 0.0, moved)
+    return min(reached, 1.0)
+
+
+def _exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        yield frame.assign(p_value=[
+            exact_ks_p(int(n), int(m), int(gap)) for n, m, gap in zip(frame["n_history"], frame["n_recent"], frame["gap"])])
+
+
+def with_p_value(stats: DataFrame, method: str = "exact") -> DataFrame:
+    """``p_value`` by the caller's choice of method, never by size.
+
+    "exact" counts grid paths: n * m steps, taken once for each different pair of sizes and
+    distance. "asymptotic" is the limit formula.
+    """
     both = with_asymptotic_p(stats)
-    small = F.greatest("n_history", "n_recent") <= EXACT_LIMIT
-    exact = _exact_p(
-        F.when(small, F.col("n_history")).otherwise(1), F.when(small, F.col("n_recent")).otherwise(1),
-        F.col("ks_stat"))
-    return both.withColumn("p_value", F.when(small, exact).otherwise(F.col("p_asymptotic")))
-
+    if method == "asymptotic":
+        return both.withColumn("p_value", F.col("p_asymptotic"))
+    if method != "exact":
+        raise ValueError("method is 'exact' or 'asymptotic'")
+    # The distance is a multiple of 1/(n*m), so it has a whole number that says it exactly.
+    case = ["n_history", "n_recent", "gap"]
+    cases = materialise(both.withColumn("gap", F.round(F.col("ks_stat") * F.col("n_history") * F.col("n_recent")).cast("long")), "ks")
+    schema = T.StructType([*[T.StructField(c, T.LongType()) for c in case], T.StructField("p_value", T.DoubleType())])
+    solved = cases.select(*case).distinct().mapInPandas(_exact, schema)
+    return cases.join(materialise(solved, "ks-p"), on=case).drop("gap")
+
+
+def drift_verdict(tested: DataFrame, series: DataFrame, p_column: str = "p_value", alpha: float = ALPHA,
+                  window: int = 60) -> DataFrame:
+    """Whether any feature has a p-value below ``alpha``, for every series asked for.
 
-def drift_verdict(tested: DataFrame, p_column: str = "p_value", alpha: float = ALPHA) -> DataFrame:
-    """Whether any feature of a series has a p-value below ``alpha``."""
-    return tested.groupBy(*SERIES).agg(
+    A series without enough complete rows on either side answers with the status "too few rows" and no
+    verdict. ``metric`` and ``window`` say what was compared.
+    """
+    found = tested.groupBy(*SERIES).agg(
         F.bool_or(F.col(p_column) < alpha).alias("drift_detected"),
         F.count("*").alias("n_features"),
     )
+    asked = series.select(*SERIES).distinct()
+    return asked.join(found, on=SERIES, how="left").select(
+        *SERIES, F.when(F.col("n_features").isNull(), "too few rows").otherwise("ok").alias("status"),
+        "drift_detected", F.coalesce("n_features", F.lit(0)).cast("long").alias("n_features"),
+        F.lit("ks_2samp").alias("metric"), F.lit(window).alias("window"))

@@ -101,7 +101,7 @@ def features_per_split(candles: DataFrame, horizon: int = HORIZON, threshold: fl
                        min_rows: int = 0, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Label, keep labelled rows, split, then compute indicators afresh inside each split.
 
-    Series with fewer than ``min_rows`` labelled rows are left out. Numbering, split and indicators
+    Series with fewer than ``min_rows`` labelled rows are left out: see ``short_series``. Numbering, split and indicators
     share one pass over the labelled rows.
     """
     labelled = labelled_rows(candles, horizon, threshold, chunk_rows)
@@ -143,6 +143,12 @@ def every_kth(candles: DataFrame, k: int = 5, chunk_rows: int = CHUNK_ROWS) -> D
     return numbered.where(F.pmod(F.col("rn") - 1, F.lit(k)) == 0).drop("rn", "n")
 
 
+def short_series(labelled: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """Series with fewer than ``min_rows`` labelled rows, which training leaves out, with their count and a status."""
+    counts = labelled.groupBy(*SERIES).agg(F.count("target").alias("n_rows"))
+    return counts.where(F.col("n_rows") < min_rows).withColumn("status", F.lit("too few rows"))
+
+
 def enough_history(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Series with at least ``min_rows`` rows.
 

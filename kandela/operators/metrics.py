@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+
+from kandela.operators.series import over_series
+from kandela.session import materialise
 
 
 def label(name: str) -> Column:
@@ -18,27 +21,27 @@ def select_metric(samples: DataFrame, name: str, **where: str) -> DataFrame:
     return rows
 
 
-def counter_rate(samples: DataFrame, by: Sequence[str], window_seconds: int,
-                 scrape_seconds: int) -> DataFrame:
+def counter_rate(samples: DataFrame, by: Sequence[str], window_seconds: int) -> DataFrame:
     """Per-second increase of each counter in tumbling windows, tolerating resets.
 
-    A drop in value is a restart, so the new value itself is the increase. Samples are first
-    aligned to the scrape grid, the newest per slot, which also bounds a (series, window) group at
-    ``window_seconds / scrape_seconds`` rows whatever the input holds.
+    Every sample counts. A step between two samples belongs to the window of the later one, also when
+    it crosses a window's edge, so windows add up to the whole increase. A drop in value is a restart,
+    so the new value itself is the increase. Of several values of a series at one time the largest
+    holds. Windows without a step have no row; nothing is extrapolated.
     """
     seconds = F.unix_seconds("ts")
-    slot = F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(scrape_seconds)))
-    aligned = samples.groupBy(*by, slot.alias("slot")).agg(F.max_by("value", F.struct("ts", "value")).alias("value"))
-    at = F.unix_seconds("slot")
-    windowed = aligned.withColumn("window_start", F.timestamp_seconds(at - F.pmod(at, F.lit(window_seconds))))
-    in_order = Window.partitionBy(*by, "window_start").orderBy("slot")
-    step = F.col("value") - F.lag("value").over(in_order)
-    increase = F.when(step < 0, F.col("value")).otherwise(step)
+    # Unique per series and time, which bounds a chunk; stored because counts and windows both read it.
+    unique = materialise(samples.groupBy(*by, "ts").agg(F.max("value").alias("value")), "samples")
+
+    def steps(df: DataFrame, w: WindowSpec) -> DataFrame:
+        step = F.col("value") - F.lag("value").over(w)
+        return df.withColumn("_inc", F.when(step < 0, F.col("value")).otherwise(step))
+
+    stepped = over_series(unique, steps, back=1, keys=list(by), time="ts", bucket=F.floor(seconds / window_seconds))
+    start = F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(window_seconds)))
     return (
-        windowed.withColumn("_inc", increase)
-        .groupBy(*by, "window_start")
+        stepped.where("_inc IS NOT NULL").groupBy(*by, start.alias("window_start"))
         .agg((F.sum("_inc") / window_seconds).alias("rate"))
-        .where("rate IS NOT NULL")
     )
 
 

@@ -20,10 +20,9 @@ from kandela.functions.scalars import signal_name
 from kandela.operators.evaluate import best_model, scores, with_row_weights
 from kandela.operators.series import number_rows
 from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, SCORES, conform
-from kandela.session import materialise
+from kandela.session import materialise, scratch_path
 
 SEED = 42
-ROWS_PER_TASK = 50_000
 _COLUMNS = {"labelCol": "target", "featuresCol": "scaled", "weightCol": "weight"}
 
 
@@ -56,7 +55,9 @@ BASE_MODELS: dict[str, Callable[[int], Estimator]] = {
     "BoostedTreesB": boosted_trees_b,
 }
 
-# Search grids per model family.
+# Search grids per model family. MLlib names differ from the source system's libraries: the least
+# number of rows per leaf (minInstancesPerNode) stands for the least number of rows per split, with values of its
+# own, and the number of leaves of the second boosted family has no counterpart and is left out.
 SEARCH_GRIDS: dict[str, dict[str, list]] = {
     "RandomForest": {
         "numTrees": [100, 200, 300], "maxDepth": [3, 5, 6, 8], "minInstancesPerNode": [1, 2],
@@ -99,6 +100,9 @@ class Prepared:
     stages: list
     train_rows: int
 
+    def release(self) -> None:
+        self.train.unpersist()
+
 
 def training_table(split_rows: DataFrame) -> DataFrame:
     """Feature rows with class weights, stored once, one folder per symbol.
@@ -110,23 +114,21 @@ def training_table(split_rows: DataFrame) -> DataFrame:
     return materialise(train.unionByName(test), "training", partition_by=["symbol"])
 
 
-def prepare(table: DataFrame, symbol: str) -> Prepared:
+def prepare(table: DataFrame, symbol: str, tasks: int = 1) -> Prepared:
     """Scale one symbol of a training table; the scaler is fitted on its train rows.
 
-    The scaled train rows are kept in memory and on disk for the fits that follow; a lost block is
-    recomputed from the stored table. Tree fits run thousands of short stages, so a small train set
-    is gathered into as few tasks as its row count allows.
+    ``tasks`` is a model parameter: MLlib draws bags and subsamples per partition, so rows are dealt to that
+    many partitions by a hash of their time, and the fitted trees do not depend on the cluster. The scaled train rows
+    are kept for the fits that follow, until ``release``; a lost block is recomputed from the stored table.
     """
     rows = table.where(F.col("symbol") == symbol)
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     assembler = VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="vector")
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="vector", outputCol="scaled")
-    train_rows = train.count()
-    assembled = assembler.transform(train.coalesce(-(-train_rows // ROWS_PER_TASK) or 1))
+    assembled = assembler.transform(train.repartition(tasks, "open_time").sortWithinPartitions("open_time"))
     fitted = scaler.fit(assembled)
-    return Prepared(
-        symbol, fitted.transform(assembled).persist(), fitted.transform(assembler.transform(test)),
-        [assembler, fitted], train_rows)
+    scaled = fitted.transform(assembled).persist()
+    return Prepared(symbol, scaled, fitted.transform(assembler.transform(test)), [assembler, fitted], scaled.count())
 
 
 def fit(prepared: Prepared, make: Callable[[int], Estimator]) -> PipelineModel:
@@ -180,17 +182,20 @@ def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return conform(
         score(model, rows).select(
             "symbol", signal_name(F.col("prediction")).alias("prediction"), "prob_buy", "prob_sell",
-            F.col("close_time").alias("timestamp")),
+            F.col("close_time").alias("timestamp"), F.lit("ok").alias("status")),
         PREDICTION,
     )
 
 
 def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], DataFrame]:
-    """A scorer that sends each symbol's rows to its own model; symbols without one are not scored."""
+    """A scorer that sends each symbol's rows to its own model; rows of other symbols answer "no model"."""
 
     def run(rows: DataFrame) -> DataFrame:
         parts = [predictions(model, rows.where(F.col("symbol") == symbol)) for symbol, model in models.items()]
-        return _union(parts, rows.sparkSession, PREDICTION)
+        others = rows.where(~F.col("symbol").isin(*models)) if models else rows
+        none = others.select("symbol", F.col("close_time").alias("timestamp"), F.lit("no model").alias("status"),
+                             *[F.lit(None).alias(c) for c in ("prediction", "prob_buy", "prob_sell")])
+        return _union([*parts, none], rows.sparkSession, PREDICTION)
 
     return run
 
@@ -238,35 +243,62 @@ def _fit_all(data: Prepared, models: Mapping[str, Callable[[int], Estimator]],
     return fitted
 
 
-def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
-                       search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
-                       parallelism: int = 8) -> DataFrame:
-    """(symbol, model, n, accuracy, f1) of every base and tuned model on its symbol's test rows."""
+def fit_each(table: DataFrame, make: Callable[[int], Estimator], parallelism: int = 8) -> dict[str, PipelineModel]:
+    """One model per symbol; nothing stays cached."""
 
-    def work(symbol: str) -> list[DataFrame]:
+    def work(symbol: str) -> tuple[str, PipelineModel]:
         data = prepare(table, symbol)
-        fitted = _fit_all(data, models, search, draws)
-        data.train.unpersist()
-        return [evaluate(model, data.test, symbol, name) for name, model in fitted.items()]
+        try:
+            return symbol, fit(data, make)
+        finally:
+            data.release()
 
-    tables = [t for part in per_symbol(table, work, parallelism) for t in part]
-    return _union(tables, table.sparkSession, SCORES)
+    return dict(per_symbol(table, work, parallelism))
 
 
-def train_best(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
-               search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
-               parallelism: int = 8) -> dict[str, PipelineModel]:
-    """Per symbol, the model with the highest test F1 among all base and tuned ones."""
+def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], Estimator]],
+             search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10, horizon: int = 10,
+             threshold: float = 0.01, parallelism: int = 8) -> DataFrame:
+    """Train, tune, evaluate, store and log every model of every symbol below ``root``; gives the run log.
 
-    def work(symbol: str) -> tuple[str, PipelineModel]:
+    Each symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to
+    ``root/models/symbol/name``, which the log names. The best one's scored test rows go to ``root/backtest``.
+    """
+    spark = table.sparkSession
+
+    def work(symbol: str) -> None:
         data = prepare(table, symbol)
-        fitted = _fit_all(data, models, search, draws)
-        data.train.unpersist()
+        try:
+            fitted = _fit_all(data, models, search, draws)
+        finally:
+            data.release()
         scored = [evaluate(model, data.test, symbol, name) for name, model in fitted.items()]
-        best = best_model(_union(scored, table.sparkSession, SCORES)).first()
-        return symbol, fitted[best.model if best else next(iter(fitted))]
+        path = f"{root}/scores/of={symbol}"
+        _union(scored, spark, SCORES).coalesce(1).write.mode("overwrite").parquet(path)
+        for name, model in fitted.items():
+            save_model(model, f"{root}/models/{symbol}/{name}")
+        best = best_model(spark.read.schema(SCORES).parquet(path)).first()
+        if best is not None:
+            test = data.test.drop("vector", "scaled", "weight")
+            backtest(fitted[best.model], test).write.mode("overwrite").option("header", True).csv(f"{root}/backtest/symbol={symbol}")
 
-    return dict(per_symbol(table, work, parallelism))
+    done = per_symbol(table, work, parallelism)
+    scored = spark.read.schema(SCORES).parquet(f"{root}/scores") if done else spark.createDataFrame([], SCORES)
+    return run_log(scored, horizon, threshold, f"{root}/models")
+
+
+def read_backtest(spark: SparkSession, root: str) -> DataFrame:
+    schema = T.StructType([*BACKTEST.fields, T.StructField("symbol", T.StringType())])
+    return spark.read.schema(schema).csv(f"{root}/backtest", header=True)
+
+
+def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
+                       search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
+                       parallelism: int = 8) -> DataFrame:
+    """(symbol, model, n, accuracy, f1) of every base and tuned model on its symbol's test rows."""
+    log = full_run(table, scratch_path(table.sparkSession, "run"), models, search, draws, parallelism=parallelism)
+    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
+    return conform(log.withColumnRenamed("model_type", "model").join(sizes, on="symbol"), SCORES)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -277,16 +309,29 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def run_log(scored: DataFrame, horizon: int, threshold: float) -> DataFrame:
-    """Scores as run-log rows."""
+def run_log(scored: DataFrame, horizon: int, threshold: float, models: str) -> DataFrame:
+    """Scores as run-log rows with the place of each stored model."""
     return conform(
         scored.select(
             F.concat_ws("_", "symbol", "model").alias("run_name"), "symbol", F.col("model").alias("model_type"),
-            F.lit(horizon).alias("horizon"), F.lit(threshold).alias("threshold"), "accuracy", "f1"),
+            F.lit(horizon).alias("horizon"), F.lit(threshold).alias("threshold"), "accuracy", "f1",
+            F.concat_ws("/", F.lit(models), "symbol", "model").alias("artifact")),
         RUNS,
     )
 
 
+def gradient_norm(model: PipelineModel, train: DataFrame) -> float:
+    """Largest component of the regularised loss's gradient at a fitted logistic model; 0 at its optimum."""
+    found = model.stages[-1]
+    scored = found.transform(train)
+    x, weight = vector_to_array("scaled"), F.col("weight")
+    error = weight * (vector_to_array("probability")[1] - F.col("target"))
+    sums = scored.agg(F.sum(weight), F.sum(error), *[F.sum(error * x[i]) for i in range(len(FEATURE_COLUMNS))]).first()
+    penalty = found.getRegParam()
+    parts = [sums[1] / sums[0], *[s / sums[0] + penalty * float(c) for s, c in zip(sums[2:], found.coefficients)]]
+    return max(map(abs, parts))
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 

@@ -35,15 +35,23 @@ def _below(borders: Column) -> Column:
     return F.size(F.filter(borders, lambda c: c < F.col("value")))
 
 
+def _in_range(cuts: DataFrame, rows: DataFrame, on: list[str], *kept: str) -> DataFrame:
+    """Rows with the number of borders below their value: among every eighth one, then among the eight that follow."""
+    coarse = cuts.select(*on, "cuts", F.filter("cuts", lambda c, i: i % 8 == 7).alias("eighths"))
+    skip = rows.join(coarse, on=on).withColumn("skip", 8 * _below(F.col("eighths")))
+    return skip.select(*on, (F.col("skip") + _below(F.slice("cuts", F.col("skip") + 1, 8))).alias("part"), *kept)
+
+
 def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float],
                       cuts: DataFrame | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, without one task holding a group.
 
-    Equal values are counted first. A mergeable sketch cuts each group into ranges of about equal
-    size; range counts locate every wanted rank; only ranges that hold one are kept, and they are
-    cut again while one has more than ``rows_per_range`` different values. What is left is sorted
-    range by range. The sketch steers the work and never the result. ``cuts`` (keys, cuts) may be
-    given if known.
+    A mergeable sketch cuts each group into ranges of about equal size. Rows are counted per range, which
+    combines before the shuffle, and the counts locate every wanted rank. Only rows of the ranges that
+    hold one are then shuffled, as counts of equal values; a range with more than ``rows_per_range``
+    different values is cut again. What is left is sorted range by range. The sketch steers the work and
+    never the result. ``cuts`` (keys, cuts) may be given if known; ``values`` is scanned, so it should be a
+    projection of a stored table.
     """
     keys = list(keys)
     position = lambda p: (F.col("n") - 1) * F.lit(p)
@@ -55,39 +63,39 @@ def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dic
                 wanted = wanted | ((rank >= F.col("start")) & (rank < F.col("stop")))
         return wanted
 
-    # A range is known by its path: the parts chosen in each round, in base SPLITS.
-    cells = values.groupBy(*keys, "value").agg(F.count("*").alias("cnt")).select(
-        *keys, F.lit(0).cast("long").alias("path"), "value", "cnt",
-        F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("n"))
-    if cuts is not None:
-        cuts = cuts.withColumn("path", F.lit(0).cast("long"))
-    while True:
-        if cuts is None:
-            cuts = materialise(cells.groupBy(*keys, "path").agg(_cuts()), "cuts")
-        # Position among the borders: first among every eighth one, then among the eight that follow.
-        coarse = cuts.select(*keys, "path", "cuts", F.filter("cuts", lambda c, i: i % 8 == 7).alias("eighths"))
-        skip = cells.join(coarse, on=[*keys, "path"]).withColumn("skip", 8 * _below(F.col("eighths")))
-        part = F.col("skip") + _below(F.slice("cuts", F.col("skip") + 1, 8))
-        # Stored, because range counts and the next step both read it.
-        ranged = materialise(
-            skip.select(*keys, "path", (F.col("path") * SPLITS + part).alias("range"), "value", "cnt", "start", "n"),
-            "ranged")
-        in_order = Window.partitionBy(*keys, "path").orderBy("range")
-        parts = (
-            ranged.groupBy(*keys, "path", "range")
-            .agg(F.sum("cnt").alias("rows"), F.count("*").alias("different"),
-                 F.first("start").alias("base"), F.first("n").alias("known"))
-            .withColumn("stop", F.col("base") + F.sum("rows").over(
-                in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    def located(counts: DataFrame, by: list[str]) -> DataFrame:
+        """The ranges (columns by, part, rows, base, known) that hold a rank, with start and n."""
+        upto = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+        return (
+            counts.withColumn("stop", F.col("base") + F.sum("rows").over(upto))
             .withColumn("start", F.col("stop") - F.col("rows"))
             .withColumn("n", F.coalesce("known", F.sum("rows").over(Window.partitionBy(*keys))))
+            .where(holds_rank())
         )
-        kept = materialise(parts.where(holds_rank()).select(*keys, "range", "start", "n", "different"), "kept")
-        cells = ranged.drop("path", "start", "n").join(kept, on=[*keys, "range"]).withColumnRenamed("range", "path")
-        widest = kept.agg(F.max("different")).first()[0]
+
+    if cuts is None:
+        cuts = values.groupBy(*keys).agg(_cuts())
+    cuts = materialise(cuts, "cuts")
+    ranged = _in_range(cuts, values, keys, "value")
+    counts = ranged.groupBy(*keys, "part").agg(F.count("*").alias("rows")).withColumns(
+        {"base": F.lit(0).cast("long"), "known": F.lit(None).cast("long")})
+    kept = materialise(located(counts, keys).select(*keys, "part", "start", "n"), "kept")
+    # A range is known by its path: the parts chosen in each round, in base SPLITS.
+    cells = materialise(
+        ranged.join(kept, on=[*keys, "part"]).groupBy(*keys, F.col("part").cast("long").alias("path"), "value", "start", "n")
+        .agg(F.count("*").alias("cnt")), "cells")
+    while True:
+        widest = cells.groupBy(*keys, "path").agg(F.count("*").alias("different")).agg(F.max("different")).first()[0]
         if widest is None or widest <= rows_per_range:
             break
-        cuts = None
+        by = [*keys, "path"]
+        finer = _in_range(materialise(cells.groupBy(*by).agg(_cuts()), "cuts"), cells, by, "value", "cnt", "start", "n")
+        counts = finer.groupBy(*by, "part").agg(
+            F.sum("cnt").alias("rows"), F.first("start").alias("base"), F.first("n").alias("known"))
+        kept = materialise(located(counts, by).select(*by, "part", "start", "n"), "kept")
+        cells = materialise(
+            finer.drop("start", "n").join(kept, on=[*by, "part"])
+            .select(*keys, (F.col("path") * SPLITS + F.col("part")).alias("path"), "value", "cnt", "start", "n"), "cells")
 
     inside = Window.partitionBy(*keys, "path").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (

@@ -32,8 +32,14 @@ _BUCKET, _CHUNK, _HOME, _START, _ROWS = "_bucket", "_chunk", "_home", "_start",
 
 
 def candle_bucket(slots: int = SLOTS_PER_BUCKET) -> Column:
-    """Time bucket of a candle: ``slots`` grid positions of its own interval."""
-    width = F.coalesce(interval_seconds(F.col("interval")), F.lit(86400)) * slots
+    """Time bucket of a candle: ``slots`` grid positions of its own interval; an unknown interval raises.
+
+    Calendar months and years count with their shortest length, so a bucket never holds more positions.
+    """
+    name = F.col("interval")
+    calendar = F.when(name == "1M", 28 * 86400).when(name == "1y", 365 * 86400)
+    unknown = F.raise_error(F.concat(F.lit("no grid is known for interval "), F.coalesce(name, F.lit("null")))).cast("int")
+    width = F.coalesce(interval_seconds(name), calendar, unknown) * slots
     return F.floor(F.unix_seconds("open_time") / width)
 
 
@@ -136,6 +142,34 @@ def number_rows(
         rows, lambda df, w: df, keys=keys, time=time, bucket=bucket, chunk_rows=chunk_rows, numbered=True)
 
 
+def number_in_order(rows: DataFrame, order: Sequence[str], name: str = "rn") -> DataFrame:
+    """Add ``name``: the 1-based position of each row in the order of columns whose values differ per row.
+
+    Rows are range-partitioned by the whole key, counted per range and numbered inside, so no task sees
+    them all and a prefix that all keys share does not matter.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(rows.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, inside).join(counts, on="_range").withColumn(
+        name, F.col(name) + F.col("_before")).drop("_range", "_before")
+
+
+def newest_months(rows: DataFrame, n: int, keys: Sequence[str] = SERIES) -> DataFrame:
+    """(keys, month) of the months that hold the newest ``n`` rows of each series.
+
+    On a table laid out by month the counts come from file footers: no column is read. The window runs
+    over months, which the calendar bounds.
+    """
+    counts = rows.groupBy(*keys, "month").agg(F.count("*").alias("_n"))
+    newer = Window.partitionBy(*keys).orderBy(F.col("month").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.coalesce(F.sum("_n").over(newer), F.lit(0))
+    return counts.withColumn("_later", later).where(F.col("_later") < n).select(*keys, "month")
+
+
 def _newest_buckets(rows: DataFrame, n: int) -> DataFrame:
     """(series, first bucket to read) so that the buckets from there on hold the newest ``n`` rows."""
     counts = rows.groupBy(*SERIES, candle_bucket().alias(_BUCKET)).agg(F.count("*").alias("_n"))
@@ -146,17 +180,22 @@ def _newest_buckets(rows: DataFrame, n: int) -> DataFrame:
 
 
 def recent_part(rows: DataFrame, n: int) -> DataFrame:
-    """The buckets that hold the newest ``n`` rows of each series; older rows are dropped in the scan.
+    """What holds the newest ``n`` rows of each series.
 
-    Bucket counts tell how far back a series must be read. The small table of starting points is
-    stored, so its exact size decides whether it is broadcast.
+    A stored table laid out by month (column ``month``) is read from the first month any series needs:
+    the month filter prunes folders before the scan, and the join keeps each series' own months. Other frames
+    are cut at the time bucket from which on each series is needed; they are scanned whole.
     """
+    if "month" in rows.columns:
+        needed = materialise(newest_months(rows, n), "newest-months")
+        first = needed.agg(F.min("month")).scalar()
+        return rows.where(F.col("month") >= first).join(needed, on=[*SERIES, "month"], how="left_semi").select(*rows.columns)
     start = materialise(_newest_buckets(rows, n), "newest")
     return rows.join(start, on=SERIES).where(candle_bucket() >= F.col("_from")).drop("_from")
 
 
 def last_rows(rows: DataFrame, n: int, *, time: str = "open_time") -> DataFrame:
-    """The newest ``n`` candles of each series, ranked on at most ``n`` rows plus one bucket each."""
+    """The newest ``n`` candles of each series, ranked on at most ``n`` rows plus one month or bucket each."""
     return rank_last(recent_part(rows, n), n, time=time)
 
 

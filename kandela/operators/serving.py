@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from kandela.operators.candles import with_mid_price
-from kandela.operators.series import last_rows, recent_part
+from kandela.operators.series import last_rows, newest_months, recent_part
 from kandela.schemas import PRICES, SERIES
 
 
@@ -19,12 +19,16 @@ def historical(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symb
     """The newest ``limit`` candles of a symbol and interval, newest first; none for unknown names.
 
     The filters sit on the dimensions; over a fact table laid out by id they prune its folders when
-    the query runs. Each task keeps its own newest ``limit`` rows.
+    the query runs. With a ``month`` column, row counts from file footers tell the first month needed,
+    and older folders are not read. Each task keeps its own newest ``limit`` rows.
     """
     names = intervals.where(F.col("interval_name") == interval).select("interval_id")
+    series = with_symbol(klines, symbols.where(F.col("symbol") == symbol)).join(names, on="interval_id")
+    if "month" in klines.columns:
+        needed = newest_months(series, limit, ["symbol_id", "interval_id"])
+        series = series.where(F.col("month") >= needed.agg(F.min("month")).scalar())
     return (
-        with_symbol(klines, symbols.where(F.col("symbol") == symbol))
-        .join(names, on="interval_id")
+        series
         .select("symbol", "open_time", "close_time", *PRICES)
         .orderBy(F.col("open_time").desc())
         .limit(limit)
@@ -32,21 +36,26 @@ def historical(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symb
 
 
 def latest(documents: DataFrame) -> DataFrame:
-    """The newest document of every symbol, by close time, then by load number.
+    """The newest document of every series, by close time, then load number, then open time.
 
-    Only the newest bucket of each series is read in full.
+    Only the newest months or buckets of each series are read in full.
     """
-    rest = [c for c in documents.columns if c != "symbol"]
+    rest = [c for c in documents.columns if c not in SERIES]
     return (
-        recent_part(documents, 1).groupBy("symbol")
-        .agg(F.max_by(F.struct(*rest), F.struct("close_time", "load_seq")).alias("_last"))
-        .select("symbol", "_last.*")
+        recent_part(documents, 1).groupBy(*SERIES)
+        .agg(F.max_by(F.struct(*rest), F.struct("close_time", "load_seq", "open_time")).alias("_last"))
+        .select(*SERIES, "_last.*").select(*documents.columns)
     )
 
 
-def recent_window(documents: DataFrame, n: int = 60) -> DataFrame:
-    """The newest ``n`` closed candles of every series in ascending order."""
-    return last_rows(documents.where("closed"), n, time="close_time").orderBy(*SERIES, "close_time")
+def recent_window(documents: DataFrame, n: int = 60, all_closed: bool = False) -> DataFrame:
+    """The newest ``n`` closed candles of every series in ascending order.
+
+    A store that takes closed candles only says so with ``all_closed``: its months can then be counted
+    without reading a column.
+    """
+    rows = documents if all_closed else documents.where("closed")
+    return last_rows(rows, n, time="close_time").orderBy(*SERIES, "close_time")
 
 
 def ordered(df: DataFrame, *columns: str) -> DataFrame:

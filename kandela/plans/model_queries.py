@@ -1,15 +1,31 @@
-"""Registered machine-learning queries (M3-M11, K9, K10); checked by rows and invariants."""
+"""Registered machine-learning queries (M3-M11, K9, K10).
+
+What the input fixes is compared with SQL: symbols, models, row counts, times, names. What a fit decides is checked as
+far as it must hold: scores in their range, probabilities that add up, the gradient at the optimum.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from kandela.operators import evaluate as ev, ml
-from kandela.operators.features import HORIZON, MIN_ROWS, THRESHOLD, features_per_split, training_frame
-from kandela.plans.registry import query
+from kandela.operators.features import HORIZON, MIN_ROWS, THRESHOLD, features_per_split, short_series, training_frame, with_label
+from kandela.operators.store import path_exists
+from kandela.plans.registry import BASE, COMPLETE_SQL, features_sql, label_sql, query
+from kandela.plans.window_queries import _SPLIT
 from kandela.session import materialise, scratch_path
 from kandela.sources import tables as tb
 
+_ENOUGH = f"""{BASE}, {label_sql()}, enough AS (SELECT * FROM labelled WHERE target IS NOT NULL
+    QUALIFY count(*) OVER (PARTITION BY symbol, "interval") >= {MIN_ROWS})"""
+_KEPT = f"""{_ENOUGH}, {_SPLIT.replace("labelled WHERE target IS NOT NULL", "enough")},
+  {features_sql("split_rows", 'symbol, "interval", split')}, kept AS (SELECT * FROM feat WHERE {COMPLETE_SQL}),
+  tests AS (SELECT symbol, count(*) AS n FROM kept WHERE split = 'test' GROUP BY symbol)"""
+
+
+def _names_sql(names) -> str:
+    return f"(SELECT unnest({list(names)}) AS model)"
+
 
 def split_features(spark, folder):
     """Weighted features per split of the series with enough history, stored once for all fits."""
@@ -17,105 +33,170 @@ def split_features(spark, folder):
     return ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
 
 
+def _in_range(scored):
+    """Scores without their fitted digits: whether both lie between 0 and 1."""
+    valid = lambda c: F.col(c).between(0, 1).alias(f"{c}_valid")
+    return scored.select("symbol", "model", "n", valid("accuracy"), valid("f1"))
+
+
+def _scores_sql(*names: str) -> str:
+    return f"""{_KEPT} SELECT symbol, model, n, true AS accuracy_valid, true AS f1_valid FROM tests, {_names_sql(names)}"""
+
+
 def _base(spark, folder, name):
-    return ml.train_and_evaluate(split_features(spark, folder), {name: ml.BASE_MODELS[name]})
+    return _in_range(ml.train_and_evaluate(split_features(spark, folder), {name: ml.BASE_MODELS[name]}))
 
 
-@query("m3_logistic_regression")
+@query("m3_logistic_regression", _scores_sql("LogisticRegression_BASE"))
 def logistic_regression(spark, folder):
     return _base(spark, folder, "LogisticRegression")
 
 
-@query("m4_random_forest")
+@query("m3_optimum", f"{_KEPT} SELECT symbol, true AS at_optimum FROM tests")
+def logistic_optimum(spark, folder):
+    """The loss's gradient at every fitted logistic model is zero to within 1e-4."""
+    table = split_features(spark, folder)
+
+    def check(symbol):
+        data = ml.prepare(table, symbol)
+        norm = ml.gradient_norm(ml.fit(data, ml.logistic_regression), data.train)
+        data.release()
+        return symbol, norm < 1e-4
+
+    return spark.createDataFrame(ml.per_symbol(table, check), "symbol string, at_optimum boolean")
+
+
+@query("m4_random_forest", _scores_sql("RandomForest_BASE"))
 def random_forest(spark, folder):
     return _base(spark, folder, "RandomForest")
 
 
-@query("m8_per_symbol_training")
-def per_symbol_training(spark, folder):
-    """Two base families per symbol and the better one of each."""
-    models = {name: ml.BASE_MODELS[name] for name in ("LogisticRegression", "RandomForest")}
-    return ev.best_model(materialise(ml.train_and_evaluate(split_features(spark, folder), models), "scores"))
+_PROBABILITIES = "true AS valid"
 
 
-def _models(split_rows):
-    return dict(ml.per_symbol(
-        split_rows, lambda symbol: (symbol, ml.fit(ml.prepare(split_rows, symbol), ml.logistic_regression))))
+def _checked(scored):
+    """Predictions without their fitted digits: probabilities that add up to 1 and a name that follows them."""
+    buy, sell = F.col("prob_buy"), F.col("prob_sell")
+    named = F.when(F.col("prediction") == "BUY", buy >= sell).otherwise(sell >= buy)
+    return scored.select("symbol", "timestamp", "status", (buy.between(0, 1) & (F.abs(buy + sell - 1) < 1e-9) & named).alias("valid"))
 
 
-@query("m9_score")
+@query("m9_score", f"""{_KEPT} SELECT symbol, close_time AS "timestamp", 'ok' AS status, {_PROBABILITIES} FROM kept WHERE split = 'test'""")
 def score(spark, folder):
     rows = split_features(spark, folder)
-    return ml.score_each(_models(rows))(rows.where("split = 'test'"))
-
-
-@query("m10_backtest_export")
-def backtest_export(spark, folder):
-    """One CSV folder per symbol with the test rows scored by its best model."""
-    rows, path = split_features(spark, folder), scratch_path(spark, "backtest")
-    models = {name: ml.BASE_MODELS[name] for name in ("LogisticRegression", "RandomForest")}
-    for symbol, model in ml.train_best(rows, models).items():
-        test = rows.where((F.col("symbol") == symbol) & (F.col("split") == "test"))
-        ml.backtest(model, test).write.option("header", True).csv(f"{path}/symbol={symbol}")
-    return spark.read.schema(
-        "datetime timestamp, close double, target int, prediction int, proba double, symbol string"
-    ).csv(path, header=True)
+    return _checked(ml.score_each(ml.fit_each(rows, ml.logistic_regression))(rows.where("split = 'test'")))
 
 
-@query("m11_reload_and_score")
+@query("m11_reload_and_score", f"""{_KEPT}, {features_sql(prefix="all_")}, {label_sql("all_feat", name="all_labelled").replace("fwd", "all_fwd")}
+  SELECT symbol, close_time AS "timestamp", 'ok' AS status, {_PROBABILITIES} FROM all_labelled
+  WHERE target IS NOT NULL AND {COMPLETE_SQL} AND symbol IN (SELECT symbol FROM tests)
+  UNION ALL SELECT symbol, close_time, 'no model', NULL FROM all_labelled
+  WHERE target IS NOT NULL AND {COMPLETE_SQL} AND symbol NOT IN (SELECT symbol FROM tests)""")
 def reload_and_score(spark, folder):
-    """Save each model, load it again and score every labelled candle."""
+    """Save each model, load it again and score every labelled candle; symbols without a model say so."""
     candles = tb.stored_event_candles(spark, folder)
     rows = ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
     everything = materialise(training_frame(candles), "training")
     path, loaded = scratch_path(spark, "models"), {}
-    for symbol, model in _models(rows).items():
+    for symbol, model in ml.fit_each(rows, ml.logistic_regression).items():
         ml.save_model(model, f"{path}/{symbol}")
         loaded[symbol] = ml.load_model(f"{path}/{symbol}")
-    return ml.score_each(loaded)(everything)
+    return _checked(ml.score_each(loaded)(everything))
 
 
-@query("k9_model_sink")
+@query("m8_left_out", f"""{BASE}, {label_sql()} SELECT symbol, "interval", count(target) AS n_rows, 'too few rows' AS status
+  FROM labelled GROUP BY ALL HAVING count(target) < 1500""")
+def left_out(spark, folder):
+    """Series that a run asking for 1,500 labelled rows leaves out, as rows with a status."""
+    return short_series(with_label(tb.stored_event_candles(spark, folder)), 1500)
+
+
+@query("k9_model_sink", f"""{_KEPT} SELECT symbol, unnest([0, 1, 2]) AS position,
+  unnest(['VectorAssembler', 'StandardScalerModel', 'LogisticRegressionModel']) AS stage FROM tests""")
 def model_sink(spark, folder):
     """Stages of every stored model after a reload."""
     rows, path = split_features(spark, folder), scratch_path(spark, "models")
-    for symbol, model in _models(rows).items():
+    models = ml.fit_each(rows, ml.logistic_regression)
+    for symbol, model in models.items():
         ml.save_model(model, f"{path}/{symbol}")
     stages = [
         (symbol, i, type(stage).__name__)
-        for symbol in ml.symbols_of(rows)
+        for symbol in models
         for i, stage in enumerate(ml.load_model(f"{path}/{symbol}").stages)
     ]
     return spark.createDataFrame(stages, "symbol string, position int, stage string")
 
 
-@query("k10_run_log")
+# The long fits come last. One run trains, tunes, evaluates, stores and logs; it is made once per session and
+# folder, and the queries below each read a part of what it leaves.
+
+RUN_MODELS = tuple(ml.BASE_MODELS)
+RUN_SEARCH = ("RandomForest",)
+RUN_NAMES = [f"{name}_BASE" for name in RUN_MODELS] + [f"{name}_OPT" for name in RUN_SEARCH]
+
+
+_RUNS: dict[tuple[str, str], tuple] = {}
+
+
+def whole_run(spark, folder):
+    """(features, root, run log) of all base families and the tuned forest: ten draws, three folds."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _RUNS or not path_exists(spark, f"{_RUNS[key][1]}/runs"):
+        table, root = split_features(spark, folder), scratch_path(spark, "run")
+        log = ml.full_run(
+            table, root, {name: ml.BASE_MODELS[name] for name in RUN_MODELS},
+            {name: ml.SEARCH_GRIDS[name] for name in RUN_SEARCH}, horizon=HORIZON, threshold=THRESHOLD)
+        ml.append_runs(log, f"{root}/runs")
+        _RUNS[key] = table, root, ml.read_runs(spark, f"{root}/runs")
+    return _RUNS[key]
+
+
+@query("k10_run_log", f"""{_KEPT} SELECT symbol || '_' || model AS run_name, symbol, model AS model_type, {HORIZON} AS horizon,
+  {THRESHOLD}::DOUBLE AS threshold, true AS accuracy_valid, true AS f1_valid, 'models/' || symbol || '/' || model AS artifact
+  FROM tests, {_names_sql(RUN_NAMES)}""")
 def run_log(spark, folder):
-    path = scratch_path(spark, "runs")
-    scored = ml.train_and_evaluate(
-        split_features(spark, folder), {"LogisticRegression": ml.BASE_MODELS["LogisticRegression"]})
-    ml.append_runs(ml.run_log(scored, HORIZON, THRESHOLD), path)
-    return ml.read_runs(spark, path)
+    """Every run of every symbol, appended to a stored log, with the place of its model."""
+    _, _, log = whole_run(spark, folder)
+    valid = lambda c: F.col(c).between(0, 1).alias(f"{c}_valid")
+    return log.select(
+        "run_name", "symbol", "model_type", "horizon", "threshold", valid("accuracy"), valid("f1"),
+        F.regexp_extract("artifact", r"models/.*$", 0).alias("artifact"))
+
 
+@query("m8_per_symbol_training", f"{_KEPT} SELECT symbol, n, true AS is_best, true AS known FROM tests")
+def per_symbol_training(spark, folder):
+    """The best model of every symbol is one of the run's and has its highest F1."""
+    table, _, log = whole_run(spark, folder)
+    scored = materialise(log.withColumnRenamed("model_type", "model"), "log")
+    top = scored.groupBy("symbol").agg(F.max("f1").alias("top"))
+    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
+    return ev.best_model(scored).join(top, on="symbol").join(sizes, on="symbol").select(
+        "symbol", "n", (F.col("f1") == F.col("top")).alias("is_best"), F.col("model").isin(*RUN_NAMES).alias("known"))
 
-# The long fits come last.
 
-@query("m7_random_search")
-def random_search(spark, folder):
-    """Three drawn forest settings per symbol with three time folds each, against the untuned forest.
+@query("m10_backtest_export", f"""{_KEPT} SELECT symbol, open_time AS datetime, round(close, 6) AS close, target, true AS valid
+  FROM kept WHERE split = 'test'""")
+def backtest_export(spark, folder):
+    """One CSV folder per symbol with the test rows scored by its best model."""
+    _, root, _ = whole_run(spark, folder)
+    sane = F.col("proba").between(0, 1) & F.col("prediction").isin(0, 1)
+    return ml.read_backtest(spark, root).select("symbol", "datetime", "close", "target", sane.alias("valid"))
 
-    The operator draws ten by default; the other families take minutes per symbol on one machine.
-    """
-    models = {"RandomForest": ml.BASE_MODELS["RandomForest"]}
-    search = {"RandomForest": ml.SEARCH_GRIDS["RandomForest"]}
-    return ml.train_and_evaluate(split_features(spark, folder), models, search, draws=3)
+
+@query("m7_random_search", _scores_sql("RandomForest_BASE", "RandomForest_OPT"))
+def random_search(spark, folder):
+    """Ten drawn forest settings per symbol with three time folds each, against the untuned forest."""
+    table, _, log = whole_run(spark, folder)
+    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
+    forests = log.where(F.col("model_type").isin("RandomForest_BASE", "RandomForest_OPT"))
+    return _in_range(forests.withColumnRenamed("model_type", "model").join(sizes, on="symbol"))
 
 
-@query("m5_boosted_trees_a")
+@query("m5_boosted_trees_a", _scores_sql("BoostedTreesA_BASE"))
 def boosted_trees_a(spark, folder):
     return _base(spark, folder, "BoostedTreesA")
 
 
-@query("m6_boosted_trees_b")
+@query("m6_boosted_trees_b", _scores_sql("BoostedTreesB_BASE"))
 def boosted_trees_b(spark, folder):
     return _base(spark, folder, "BoostedTreesB")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from kandela.schemas import FEATURE_COLUMNS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -106,9 +108,6 @@ def label_sql(source: str = "candles", horizon: int = 10, threshold: float = 0.0
   {name} AS (SELECT *, CASE WHEN future_return > {threshold} THEN 1 WHEN future_return < -{threshold} THEN 0 END AS target FROM fwd)"""
 
 
-FEATURE_NAMES = [
-    "open", "high", "low", "close", "volume", "RSI", "MA_10", "MA_50", "STD_20", "RET", "VOLAT",
-    "close_lag1", "close_lag2", "close_lag3", "volume_lag1", "volume_lag2", "volume_lag3",
-]
+FEATURE_NAMES = FEATURE_COLUMNS
 COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL" for c in FEATURE_NAMES)
 FEATURES_SQL = rounded(*FEATURE_NAMES)

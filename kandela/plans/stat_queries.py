@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kandela.operators import candles as cd, drift, evaluate as ev, features as ft, metrics as mt, profile as pr
+from kandela.operators import candles as cd, clean, drift, evaluate as ev, features as ft, metrics as mt, profile as pr
 from kandela.plans.registry import (
     BASE, CANDLE_SQL, COMPLETE_SQL, FEATURE_NAMES, FEATURES_SQL, PRICES_SQL, TICKS, candles_sql, features_sql,
     label_sql, query, rounded,
@@ -38,13 +38,18 @@ def describe(spark, folder):
     return pr.describe(tb.stored_event_candles(spark, folder))
 
 
-@query("a3_describe_lineitem", f"""WITH long AS (
-  SELECT l_returnflag, 'l_quantity' AS "column", l_quantity AS value FROM lineitem
-  UNION ALL SELECT l_returnflag, 'l_extendedprice', l_extendedprice FROM lineitem)
+# The numeric columns of lineitem beside its keys.
+_LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("a3_describe_lineitem", f"""WITH long AS ({" UNION ALL ".join(
+    f"SELECT l_returnflag, '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM lineitem" for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *_LINE_NUMBERS])})
   SELECT l_returnflag, "column", {_DESCRIBE.replace(", 6)", ", 4)")} FROM long GROUP BY l_returnflag, "column" """, digits=4)
 def describe_lineitem(spark, folder):
-    return pr.describe(
-        tb.read_table(spark, folder, "lineitem"), ["l_returnflag"], ["l_quantity", "l_extendedprice"])
+    """All numeric columns."""
+    rows = tb.read_table(spark, folder, "lineitem")
+    numbers = clean.numeric_columns(rows).columns
+    return pr.describe(rows.select("l_returnflag", *[F.col(c).cast("double").alias(c) for c in numbers]), ["l_returnflag"], numbers)
 
 
 _WARMUP = ["RSI", "MA_10", "MA_50", "STD_20", "RET", "VOLAT", "close_lag1", "volume_lag3"]
@@ -126,7 +131,7 @@ _ORDERS = """ticks AS (SELECT o_orderpriority AS symbol, o_orderdate AS ts, o_or
 
 @query("a9_orders_weekly", f"WITH {_ORDERS}, {candles_sql('1w')} SELECT {CANDLE_SQL} FROM candles")
 def orders_weekly(spark, folder):
-    return cd.roll_up_candles(tb.daily_order_candles(spark, folder), "1w")
+    return cd.roll_up_candles(tb.daily_order_candles(spark, folder), "1w", "1d")
 
 
 _RULES = f"""{BASE}, {features_sql()}, {label_sql("feat")},
@@ -204,11 +209,19 @@ def row_weights(spark, folder):
 
 
 _NEWEST = 'row_number() OVER (PARTITION BY symbol, "interval" ORDER BY open_time DESC)'
+
+
+def _significant(c: str) -> str:
+    """``c`` to ten significant digits."""
+    unit = f"pow(10.0, floor(log10(abs({c}))))"
+    return f"CASE WHEN {c} = 0 THEN {c} ELSE round({c} / {unit}, 9) * {unit} END"
+
+
 _KS = f"""{BASE}, old AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 1000),
   young AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 60),
   {features_sql("old", prefix="h_")}, {features_sql("young", prefix="r_")},
   long AS ({" UNION ALL ".join(
-      f"SELECT symbol, \"interval\", '{c}' AS feature, {side} AS h, round({c}, 9) AS value FROM {table} WHERE {COMPLETE_SQL}"
+      f"SELECT symbol, \"interval\", '{c}' AS feature, {side} AS h, {_significant(c)} AS value FROM {table} WHERE {COMPLETE_SQL}"
       for c in FEATURE_NAMES for side, table in ((1, "h_feat"), (0, "r_feat")))}),
   per_value AS (SELECT symbol, "interval", feature, value, sum(h)::BIGINT AS h, sum(1 - h)::BIGINT AS r FROM long GROUP BY ALL),
   steps AS (SELECT symbol, "interval", feature, sum(h) OVER p AS n_history, sum(r) OVER p AS n_recent,
@@ -238,10 +251,23 @@ _KS_EXACT = f"""{_KS.replace("WITH", "WITH RECURSIVE", 1)},
 
 
 def _drift_stats(spark, folder):
-    candles = tb.stored_event_candles(spark, folder)
+    candles = tb.stored_candle_table(spark, folder)
     return drift.ks_statistic(drift.drift_samples(candles, candles))
 
 
+def _verdict(spark, folder, method):
+    candles = tb.stored_candle_table(spark, folder)
+    tested = drift.with_p_value(drift.ks_statistic(drift.drift_samples(candles, candles)), method)
+    return drift.drift_verdict(tested, candles)
+
+
+def _verdict_sql(tested: str, p: str) -> str:
+    return f"""verdict AS (SELECT symbol, "interval", bool_or({p} < 0.05) AS drift_detected, count(*) AS n_features FROM {tested} GROUP BY ALL)
+  SELECT symbol, "interval", CASE WHEN n_features IS NULL THEN 'too few rows' ELSE 'ok' END AS status, drift_detected,
+    coalesce(n_features, 0) AS n_features, 'ks_2samp' AS metric, 60 AS "window"
+  FROM (SELECT DISTINCT symbol, "interval" FROM candles) LEFT JOIN verdict USING (symbol, "interval")"""
+
+
 @query("m12_ks_statistic", f'{_KS} SELECT symbol, "interval", feature, n_history, n_recent, {rounded("ks_stat")} FROM ks')
 def ks_statistic(spark, folder):
     return _drift_stats(spark, folder)
@@ -258,45 +284,60 @@ def ks_p_value(spark, folder):
     return drift.with_p_value(_drift_stats(spark, folder)).select(*SERIES, "feature", "ks_stat", "p_value")
 
 
-@query("m14_drift_verdict_asymptotic", f"""{_KS} SELECT symbol, "interval", bool_or(p_asymptotic < 0.05) AS drift_detected,
-  count(*) AS n_features FROM tested GROUP BY ALL""")
+@query("m14_drift_verdict_asymptotic", f"{_KS}, {_verdict_sql('tested', 'p_asymptotic')}")
 def drift_verdict_asymptotic(spark, folder):
-    return drift.drift_verdict(drift.with_asymptotic_p(_drift_stats(spark, folder)), "p_asymptotic")
+    return _verdict(spark, folder, "asymptotic")
 
 
-@query("m14_drift_verdict", f"""{_KS_EXACT} SELECT symbol, "interval", bool_or(p_value < 0.05) AS drift_detected,
-  count(*) AS n_features FROM exact GROUP BY ALL""")
+@query("m14_drift_verdict", f"{_KS_EXACT}, {_verdict_sql('exact', 'p_value')}")
 def drift_verdict(spark, folder):
-    return drift.drift_verdict(drift.with_p_value(_drift_stats(spark, folder)))
+    return _verdict(spark, folder, "exact")
 
 
 # -- monitoring ----------------------------------------------------------------------------------
 
-_HOURLY = """hourly AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS ts, event_type, value, user_id FROM events)"""
+def _scraped(seconds: int) -> str:
+    return f"hourly AS (SELECT time_bucket(INTERVAL '{seconds} seconds', ts) AS ts, event_type, value, user_id FROM events)"
+
 
+_HOURLY = _scraped(3600)
 
-def _rate_sql(source: str, by: str, where: str = "true") -> str:
-    """CTEs stepped and rates: 6-hour rate of hourly counters."""
-    return f"""stepped AS (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS window_start,
-    value - lag(value) OVER (PARTITION BY {by}, time_bucket(INTERVAL '6 hours', ts) ORDER BY ts) AS step
-    FROM {source} WHERE {where}),
-  rates AS (SELECT {by}, window_start, sum(CASE WHEN step < 0 THEN value ELSE step END) / 21600.0 AS rate
-    FROM stepped GROUP BY ALL HAVING count(step) > 0)"""
 
+def _rate_sql(source: str, by: str, where: str = "true", seconds: int = 21600) -> str:
+    """CTEs stepped and rates; a step belongs to the window of its later sample."""
+    return f"""stepped AS (SELECT *, time_bucket(INTERVAL '{seconds} seconds', ts) AS window_start,
+    value - lag(value) OVER (PARTITION BY {by} ORDER BY ts) AS step FROM {source} WHERE {where}),
+  rates AS (SELECT {by}, window_start, sum(CASE WHEN step < 0 THEN value ELSE step END) / {seconds}.0 AS rate
+    FROM stepped WHERE step IS NOT NULL GROUP BY ALL)"""
 
-_CPU = f"""WITH {_HOURLY}, counted AS (SELECT (user_id % 4)::VARCHAR AS instance,
+
+_COUNTED_CPU = """counted AS (SELECT (user_id % 4)::VARCHAR AS instance,
     CASE WHEN event_type = 'view' THEN 'idle' ELSE 'user' END AS mode, ts, count(*) AS hits FROM hourly GROUP BY ALL),
   cpu AS (SELECT instance, mode, ts, sum(hits) OVER (PARTITION BY instance, mode, date_trunc('week', ts) ORDER BY ts)::DOUBLE
     AS value FROM counted)"""
-_SIX_HOURS = 21600
+_SIX_HOURS, _MINUTE, _SCRAPE = 21600, 60, 15
 
 
-@query("n1_utilisation", f"""{_CPU}, {_rate_sql("cpu", "instance", "mode = 'idle'")}
-  SELECT instance, window_start, round(100 - avg(rate) * 100, 6) AS utilisation FROM rates GROUP BY ALL""")
-def utilisation(spark, folder):
-    idle = mt.select_metric(samples.cpu_seconds(spark, folder), "node_cpu_seconds_total", mode="idle")
+def _utilisation(spark, folder, window, scrape):
+    idle = mt.select_metric(samples.cpu_seconds(spark, folder, scrape), "node_cpu_seconds_total", mode="idle")
     rows = idle.select(mt.label("instance").alias("instance"), "ts", "value")
-    return mt.utilisation(mt.counter_rate(rows, ["instance"], _SIX_HOURS, samples.SCRAPE_SECONDS))
+    return mt.utilisation(mt.counter_rate(rows, ["instance"], window))
+
+
+def _utilisation_sql(window: int, scrape: int) -> str:
+    return f"""WITH {_scraped(scrape)}, {_COUNTED_CPU}, {_rate_sql("cpu", "instance", "mode = 'idle'", window)}
+  SELECT instance, window_start, round(100 - avg(rate) * 100, 6) AS utilisation FROM rates GROUP BY ALL"""
+
+
+@query("n1_utilisation", _utilisation_sql(_SIX_HOURS, 3600))
+def utilisation(spark, folder):
+    return _utilisation(spark, folder, _SIX_HOURS, 3600)
+
+
+@query("n1_utilisation_minute", _utilisation_sql(_MINUTE, _SCRAPE))
+def utilisation_minute(spark, folder):
+    """The dashboard's one-minute windows over 15-second scrapes."""
+    return _utilisation(spark, folder, _MINUTE, _SCRAPE)
 
 
 @query("n2_gauge_difference", f"""WITH {_HOURLY} SELECT (user_id % 4)::VARCHAR AS instance, ts,
@@ -316,10 +357,11 @@ def counter_by_label(spark, folder):
 _BOUNDS = [*samples.BUCKETS, "'inf'::DOUBLE"]
 
 
-@query("n4_histogram_quantile", f"""WITH {_HOURLY}, bounds AS (SELECT unnest([{", ".join(map(str, _BOUNDS))}]) AS le),
+def _quantile_sql(window: int, scrape: int) -> str:
+    return f"""WITH {_scraped(scrape)}, bounds AS (SELECT unnest([{", ".join(map(str, _BOUNDS))}]) AS le),
   counted AS (SELECT event_type AS endpoint, ts, le, count(*) FILTER (value <= le) AS hits FROM hourly, bounds GROUP BY ALL),
   buckets AS (SELECT endpoint, le, ts, sum(hits) OVER (PARTITION BY endpoint, le, date_trunc('week', ts) ORDER BY ts)::DOUBLE
-    AS value FROM counted), {_rate_sql("buckets", "endpoint, le")},
+    AS value FROM counted), {_rate_sql("buckets", "endpoint, le", "true", window)},
   summed AS (SELECT window_start, le, sum(rate) AS rate FROM rates GROUP BY ALL),
   placed AS (SELECT *, max(rate) OVER (PARTITION BY window_start) * 0.95 AS rank,
     coalesce(lag(le) OVER w, 0) AS lower, coalesce(lag(rate) OVER w, 0) AS before
@@ -327,13 +369,24 @@ _BOUNDS = [*samples.BUCKETS, "'inf'::DOUBLE"]
   hit AS (SELECT * FROM placed WHERE rank > 0 AND rate >= rank
     QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY le) = 1)
   SELECT window_start, round(CASE WHEN isinf(le) THEN lower ELSE lower + (le - lower) * (rank - before) / (rate - before) END, 6)
-    AS quantile FROM hit""")
-def histogram_quantile(spark, folder):
-    buckets = mt.select_metric(samples.latency_buckets(spark, folder), "api_request_latency_seconds_bucket")
+    AS quantile FROM hit"""
+
+
+def _quantile(spark, folder, window, scrape):
+    buckets = mt.select_metric(samples.latency_buckets(spark, folder, scrape), "api_request_latency_seconds_bucket")
     rows = buckets.select(
         mt.label("endpoint").alias("endpoint"), mt.label("le").cast("double").alias("le"), "ts", "value")
-    rates = mt.counter_rate(rows, ["endpoint", "le"], _SIX_HOURS, samples.SCRAPE_SECONDS)
-    return mt.histogram_quantile(rates, 0.95)
+    return mt.histogram_quantile(mt.counter_rate(rows, ["endpoint", "le"], window), 0.95)
+
+
+@query("n4_histogram_quantile", _quantile_sql(_SIX_HOURS, 3600))
+def histogram_quantile(spark, folder):
+    return _quantile(spark, folder, _SIX_HOURS, 3600)
+
+
+@query("n4_histogram_quantile_minute", _quantile_sql(_MINUTE, _SCRAPE))
+def histogram_quantile_minute(spark, folder):
+    return _quantile(spark, folder, _MINUTE, _SCRAPE)
 
 
 @query("n5_gauge_by_label", f"""WITH {_HOURLY} SELECT event_type AS state, ts, count(*)::DOUBLE AS value FROM hourly

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kandela.operators import ml
+from kandela.operators import ml, store
 from kandela.operators.features import features_per_split
-from kandela.plans.registry import BASE, CANDLE_SQL, TICKS, candles_sql, query
+from kandela.plans.registry import BASE, CANDLE_SQL, TICKS, candles_sql, label_sql, query
 from kandela.plans.table_queries import CLOSED, broken_messages, documents
 from kandela.schemas import CANDLE, conform
 from kandela.session import materialise, scratch_path
@@ -61,10 +61,38 @@ def dedup_ingest(spark, folder):
     return tb.read_stored(spark, out)
 
 
+@query("t2_late_rows", f"{BASE}, {CLOSED} SELECT {CANDLE_SQL}, 1 AS load_seq FROM docs WHERE closed")
+def late_rows(spark, folder):
+    """The second half of the series arrives first; ingest, late folder and upsert give the whole table."""
+    path, docs = scratch_path(spark, "landing"), materialise(documents(tb.stored_event_candles(spark, folder)), "documents")
+    middle = docs.agg(F.timestamp_micros(F.avg(F.unix_micros("open_time")).cast("long"))).scalar()
+    out, late, progress, table = (scratch_path(spark, n) for n in ("stream", "late", "progress", "candle-table"))
+    for part in (F.col("open_time") >= middle, F.col("open_time") < middle):
+        land(docs.where(part), path)
+        jobs.start_dedup_ingest(jobs.message_stream(spark, path), out, f"{progress}/a").awaitTermination()
+        jobs.start_late_rows(jobs.message_stream(spark, path), late, f"{progress}/b").awaitTermination()
+    first = tb.read_stored(spark, out).withColumn("load_seq", F.lit(1))
+    store.write_candles(first, table)
+    jobs.repair_candles(table, jobs.read_late(spark, late), load_seq=1)
+    return store.read_candles(spark, table, first.schema).drop("month").select(*first.columns)
+
+
+@query("t2_store_dedup", f"{BASE}, {CLOSED} SELECT {CANDLE_SQL} FROM docs WHERE closed")
+def store_dedup(spark, folder):
+    """Every message arrives twice, in two landings over the same progress; no candle is lost however long the backlog."""
+    path, out, progress = _landed(spark, folder), scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    docs = materialise(documents(tb.stored_event_candles(spark, folder)), "documents")
+    for again in (False, True):
+        if again:
+            land(docs, path)
+        jobs.start_store_dedup(jobs.message_stream(spark, path), out, progress).awaitTermination()
+    return conform(spark.read.parquet(f"{out}/rows"), CANDLE)
+
+
 @query("t2_tail_dedup", f"""{BASE}, {CLOSED} SELECT {CANDLE_SQL} FROM docs WHERE closed
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY close_time DESC) <= 240""")
 def tail_dedup(spark, folder):
-    """The 240-candle form, run twice over the same progress: the second landing adds nothing."""
+    """The 240-candle rule on request, run twice over the same progress: the second landing adds nothing."""
     path, out, progress = _landed(spark, folder), scratch_path(spark, "stream"), scratch_path(spark, "progress")
     docs = materialise(documents(tb.stored_event_candles(spark, folder)), "documents")
     for again in (False, True):
@@ -90,7 +118,7 @@ def fan_in(spark, folder):
   FROM hours WHERE start + INTERVAL '1 hour' <= (SELECT max(open_time) FROM ticks15) - INTERVAL '2 hours'""")
 def streaming_rollup(spark, folder):
     """Windows the watermark has passed; later ones stay open. Every message arrives twice."""
-    out = drain(spark, jobs.start_roll_up, _landed(spark, folder, "15m", times=2), interval="1h")
+    out = drain(spark, jobs.start_roll_up, _landed(spark, folder, "15m", times=2), interval="1h", source="15m")
     return tb.read_stored(spark, out)
 
 
@@ -101,15 +129,16 @@ def latest_view(spark, folder):
     return jobs.read_latest(spark, out).select(*CANDLE.names)
 
 
-@query("t6_online_scoring")
+@query("t6_online_scoring", f"""{BASE}, {CLOSED}, {label_sql()},
+  trained AS (SELECT DISTINCT symbol FROM labelled WHERE target IS NOT NULL AND symbol <> 'ERROR')
+  SELECT symbol, max(close_time) AS "timestamp", CASE WHEN symbol IN (SELECT symbol FROM trained) THEN 'ok' ELSE 'no model' END AS status,
+    CASE WHEN symbol IN (SELECT symbol FROM trained) THEN true END AS valid FROM docs WHERE closed GROUP BY symbol""")
 def online_scoring(spark, folder):
-    """Models per symbol from the stored candles, newest closed candle scored from the stream."""
+    """Models per symbol from the stored candles, newest closed candle scored from the stream; one symbol has no model."""
     candles = tb.stored_event_candles(spark, folder)
-    table = ml.training_table(materialise(features_per_split(candles), "features"))
-
-    def train(symbol):
-        return symbol, ml.fit(ml.prepare(table, symbol), ml.logistic_regression)
-
-    models = dict(ml.per_symbol(table, train))
-    out = drain(spark, jobs.start_scoring, _landed(spark, folder), score=ml.score_each(models))
-    return spark.read.parquet(f"{out}/predictions").drop("batch")
+    table = ml.training_table(materialise(features_per_split(candles.where("symbol <> 'ERROR'")), "features"))
+    score = ml.score_each(ml.fit_each(table, ml.logistic_regression))
+    out = drain(spark, jobs.start_scoring, _landed(spark, folder), score=score)
+    rows = spark.read.parquet(f"{out}/predictions")
+    chance = F.col("prob_buy").between(0, 1) & (F.abs(F.col("prob_buy") + F.col("prob_sell") - 1) < 1e-9)
+    return rows.select("symbol", "timestamp", "status", chance.alias("valid"))

@@ -11,7 +11,7 @@ from kandela.plans.registry import (
     BASE, CANDLE_SQL, PRICES_SQL, TICKS, W, candles_sql, query, rounded,
 )
 from kandela.schemas import (
-    CANDLE, CANDLE_KEY, DIM_SYMBOL, EXPORT_INTERVAL_MINUTES, EXPORT_SYMBOLS, GRAIN_PRICES, KLINES, PRICES, STREAM_CANDLE, conform,
+    CANDLE, CANDLE_KEY, DIM_SYMBOL, EXPORT_INTERVAL_MINUTES, EXPORT_SYMBOLS, GRAIN_PRICES, KLINES, PRICES, SERIES, STREAM_CANDLE, conform,
 )
 from kandela.session import materialise, scratch_path
 from kandela.sources import csv_candles, klines as kl, messages as ms, tables as tb
@@ -19,6 +19,7 @@ from kandela.sources import csv_candles, klines as kl, messages as ms, tables as
 KEY_SQL = 'symbol, "interval", open_time'
 GRID = f"""WITH {TICKS}, {candles_sql('15m', 'c15')}, {candles_sql('1h', 'c60')}, {candles_sql('1d', 'c1440')},
   grid AS (SELECT * FROM c15 UNION ALL SELECT * FROM c60 UNION ALL SELECT * FROM c1440)"""
+_ID_ORDER = "row_number() OVER (ORDER BY symbol_id, open_time) AS klines_id"
 DIMS = """dim_symbol AS (SELECT row_number() OVER (ORDER BY symbol)::INTEGER AS symbol_id, symbol
   FROM (SELECT DISTINCT symbol FROM candles))"""
 # A candle is closed once a later one of the feed has closed.
@@ -123,10 +124,10 @@ def message_decode(spark, folder):
 
 
 @query("s6_scan_all", f"""{BASE}, {DIMS}
-  SELECT symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
+  SELECT {_ID_ORDER}, symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
 def scan_all(spark, folder):
     klines, _, _ = fact_tables(spark, folder)
-    return klines.drop("created_at")
+    return klines.drop("created_at", "month")
 
 
 @query("s7_scan_filtered", f"""{GRID}, ids AS (SELECT row_number() OVER (ORDER BY "interval")::INTEGER AS interval_id,
@@ -154,11 +155,11 @@ def symbol_documents(spark, folder):
 
 
 @query("s10_training_csv", f"""{BASE}, {DIMS}
-  SELECT symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
+  SELECT {_ID_ORDER}, symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time FROM candles JOIN dim_symbol USING (symbol)""")
 def training_csv(spark, folder):
     path = scratch_path(spark, "training")
     klines, _, _ = fact_tables(spark, folder)
-    klines.write.option("header", True).csv(path)
+    klines.select(*KLINES.names).write.option("header", True).csv(path)
     return tb.read_training_csv(spark, path).drop("created_at")
 
 
@@ -191,15 +192,52 @@ def json_lines(spark, folder):
     return spark.read.schema(schema).json(path)
 
 
-@query("k3_append_audit", f"""{BASE}, {DIMS}
-  SELECT symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time, true AS audited
-  FROM candles JOIN dim_symbol USING (symbol)""")
+_HALVES = """halves AS (SELECT *, hour(open_time) % 2 AS half FROM candles JOIN dim_symbol USING (symbol)),
+  numbered AS (SELECT *, row_number() OVER (ORDER BY half, symbol_id, open_time) AS klines_id FROM halves)"""
+
+
+def _halves(spark, folder):
+    """Candles with ids in two loads: even hours, then odd ones."""
+    candles = tb.stored_event_candles(spark, folder)
+    found = materialise(store.resolve_ids(candles, *store.build_dimensions(spark, candles))[0], "found")
+    return found.where("hour(open_time) % 2 = 0"), found.where("hour(open_time) % 2 = 1")
+
+
+@query("k3_append_audit", f"""{BASE}, {DIMS}, {_HALVES}
+  SELECT klines_id, symbol_id, 1 AS interval_id, open_time, {PRICES_SQL}, close_time, true AS audited FROM numbered""")
 def append_audit(spark, folder):
+    """A second load appended to a filled table: ids go on where the first load ended."""
     path = scratch_path(spark, "klines")
-    klines, _, _ = fact_tables(spark, folder)
-    klines.write.mode("append").parquet(path)
-    return tb.read_stored(spark, path, KLINES).select(
-        *[c for c in KLINES.names if c != "created_at"], F.col("created_at").isNotNull().alias("audited"))
+    for part in _halves(spark, folder):
+        store.append_klines(path, part)
+    return store.read_klines(spark, path).drop("month").withColumn("audited", F.col("created_at").isNotNull()).drop("created_at")
+
+
+@query("k4_load_klines", f"""{BASE}, {DIMS}, {_HALVES}
+  SELECT klines_id, symbol, open_time, round(close + CASE WHEN hour(open_time) % 6 = 0 THEN 1 ELSE 0 END, 6) AS close, true AS audited
+  FROM numbered""")
+def load_klines(spark, folder):
+    """Even hours are loaded, loaded again, then everything with corrected closes: ids stay, values follow."""
+    root, candles = scratch_path(spark, "base"), tb.stored_event_candles(spark, folder)
+    even = candles.where("hour(open_time) % 2 = 0")
+    corrected = candles.withColumn("close", F.col("close") + F.when(F.hour("open_time") % 6 == 0, 1).otherwise(0))
+    for part in (even, even, corrected.unionByName(corrected.where("hour(open_time) = 1"))):
+        store.load_candles(root, part)
+    symbols = tb.read_stored(spark, f"{root}/symbol", DIM_SYMBOL)
+    return serving.with_symbol(store.read_klines(spark, f"{root}/klines"), symbols).select(
+        "klines_id", "symbol", "open_time", "close", F.col("created_at").isNotNull().alias("audited"))
+
+
+@query("k4_load_rejects", f"""{GRID} SELECT "interval", CASE WHEN "interval" = '1d' THEN 'unknown interval' ELSE 'missing field' END AS reason,
+  count(*) AS n FROM grid WHERE "interval" = '1d' OR hour(open_time) = 5 GROUP BY ALL""")
+def load_rejects(spark, folder):
+    """Daily candles under an unknown name and candles without a price are rejected with their reason."""
+    grid = tb.stored_candle_grid(spark, folder)
+    broken = grid.withColumn("close", F.when((F.col("interval") == "1d") | (F.hour("open_time") != 5), F.col("close")))
+    named = broken.withColumn("interval", F.when(F.col("interval") == "1d", "1 day").otherwise(F.col("interval")))
+    rejected = store.load_candles(scratch_path(spark, "base"), named)
+    return rejected.groupBy(F.when(F.col("interval") == "1 day", "1d").otherwise(F.col("interval")).alias("interval"), "reason").agg(
+        F.count("*").alias("n"))
 
 
 @query("k4_upsert", f"{BASE}, {REVISED} SELECT {CANDLE_SQL}, load_seq FROM merged")
@@ -267,6 +305,23 @@ def table_contract(spark, folder):
     return conform(daily, contract)
 
 
+# The constraints of the three tables.
+_CONSTRAINTS = [
+    ("symbol", "primary key symbol_id"), ("symbol", "unique symbol"), ("symbol", "not null"),
+    ("intervals", "primary key interval_id"), ("intervals", "unique interval_name"), ("intervals", "not null"),
+    ("klines", "primary key klines_id"), ("klines", "unique symbol_id, interval_id, open_time"), ("klines", "not null"),
+    ("klines", "foreign key symbol_id"), ("klines", "foreign key interval_id")]
+
+
+@query("k8_constraints", f"""{BASE}, report("table", "constraint") AS (VALUES {", ".join(map(str, _CONSTRAINTS))})
+  SELECT "table", "constraint", CASE WHEN "constraint" = 'foreign key symbol_id'
+    THEN (SELECT count(*) FROM candles WHERE symbol = 'CLICK') ELSE 0 END AS violations FROM report""")
+def constraints(spark, folder):
+    """The report over tables that lack one symbol."""
+    klines, symbols, intervals = fact_tables(spark, folder)
+    return store.constraint_report(klines, symbols.where("symbol <> 'CLICK'"), intervals)
+
+
 _GRAINS = ["1d", "1w", "1M", "1y"]
 
 
@@ -279,7 +334,7 @@ def grain_contracts(spark, folder):
     daily = materialise(tb.daily_order_candles(spark, folder), "daily")
     grains = daily
     for grain in _GRAINS[1:]:
-        grains = grains.unionByName(cd.roll_up_candles(daily, grain))
+        grains = grains.unionByName(cd.roll_up_candles(daily, grain, "1d"))
     names = [T.StructField(n, T.StringType()) for n in ("symbol", "interval")]
     return conform(grains.withColumn("date", F.col("open_time").cast("date")), T.StructType([*names, *GRAIN_PRICES.fields]))
 
@@ -545,15 +600,22 @@ def lookup_with_rejects(spark, folder):
     )
 
 
-@query("j3_not_yet_stored", f"""{BASE}, stored AS (SELECT symbol, close_time FROM candles WHERE hour(open_time) % 2 = 0
+@query("j3_not_yet_stored", f"{BASE} SELECT {CANDLE_SQL} FROM candles WHERE hour(open_time) % 2 = 1")
+def not_yet_stored(spark, folder):
+    """All of a batch against a stored table of the even hours."""
+    batch = tb.stored_event_candles(spark, folder)
+    stored = tb.stored_candle_table(spark, folder).where("hour(open_time) % 2 = 0")
+    return store.not_yet_stored(batch, stored).select(*CANDLE.names)
+
+
+@query("j3_not_yet_stored_last", f"""{BASE}, stored AS (SELECT symbol, close_time FROM candles WHERE hour(open_time) % 2 = 0
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY close_time DESC) <= 240),
   batch AS (SELECT * FROM candles QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY close_time DESC) <= 240)
   SELECT {CANDLE_SQL} FROM batch ANTI JOIN stored USING (symbol, close_time)""")
-def not_yet_stored(spark, folder):
+def not_yet_stored_last(spark, folder):
+    """The 240-candle rule on request."""
     candles = tb.stored_event_candles(spark, folder)
-    stored = candles.where("hour(open_time) % 2 = 0")
-    return store.not_yet_stored(
-        last_rows(candles, 240, time="close_time"), last_rows(stored, 240, time="close_time")).select(*CANDLE.names)
+    return store.not_yet_stored(candles, candles.where("hour(open_time) % 2 = 0"), last=240).select(*CANDLE.names)
 
 
 @query("j4_dimension_product", _WORK)
@@ -584,16 +646,28 @@ def historical(spark, folder):
 
 @query("o2_latest", f"""{BASE}, {REVISED}, every AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load)
   SELECT {CANDLE_SQL}, load_seq FROM every
-  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY close_time DESC, load_seq DESC) = 1""")
+  QUALIFY row_number() OVER (PARTITION BY symbol, "interval" ORDER BY close_time DESC, load_seq DESC) = 1""")
 def latest(spark, folder):
-    first, second = revised(tb.stored_event_candles(spark, folder))
-    return serving.latest(first.unionByName(second))
+    first, second = revised(tb.stored_candle_table(spark, folder))
+    both = materialise(first.unionByName(second), "documents", partition_by=[*SERIES, "month"])
+    return serving.latest(both).select(*CANDLE.names, "load_seq")
+
+
+@query("o2_latest_per_interval", f"""{GRID} SELECT {CANDLE_SQL} FROM grid
+  QUALIFY row_number() OVER (PARTITION BY symbol, "interval" ORDER BY close_time DESC) = 1""")
+def latest_per_interval(spark, folder):
+    """Candles of several intervals end at the same time; each interval has its own newest one."""
+    grid = materialise(tb.stored_candle_grid(spark, folder).withColumn("load_seq", F.lit(1)), "grid")
+    return serving.latest(grid).select(*CANDLE.names)
 
 
 @query("o3_recent_window", f"""{BASE}, {CLOSED} SELECT {CANDLE_SQL}, closed FROM docs WHERE closed
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY close_time DESC) <= 60""")
 def recent_window(spark, folder):
-    return serving.recent_window(documents(tb.stored_event_candles(spark, folder)))
+    """The store takes closed candles only and is laid out by month."""
+    closed = documents(tb.stored_candle_table(spark, folder)).where("closed")
+    stored = materialise(closed, "documents", partition_by=[*SERIES, "month"])
+    return serving.recent_window(stored, all_closed=True).drop("month")
 
 
 @query("o4_ordered_scan", f"{BASE} SELECT {CANDLE_SQL} FROM candles ORDER BY close_time, symbol")

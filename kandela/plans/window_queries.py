@@ -11,7 +11,7 @@ from kandela.plans.registry import (
     BASE, CANDLE_SQL, COMPLETE_SQL, FEATURES_SQL, PRICES_SQL, W, features_sql, frame, label_sql, query, rounded,
 )
 from kandela.schemas import CANDLE_KEY, FEATURE_COLUMNS
-from kandela.sources.tables import stored_event_candles
+from kandela.sources.tables import stored_candle_table, stored_event_candles
 
 KEY_SQL = 'symbol, "interval", open_time'
 
@@ -134,7 +134,7 @@ _NEWEST = f"row_number() OVER (PARTITION BY symbol, \"interval\" ORDER BY open_t
 
 @query("w11_last_240", f"""{BASE} SELECT {CANDLE_SQL} FROM candles QUALIFY {_NEWEST} <= 240""")
 def last_240(spark, folder):
-    return last_rows(stored_event_candles(spark, folder), 240)
+    return last_rows(stored_candle_table(spark, folder), 240).drop("month")
 
 
 @query("w12_every_fifth", f"""{BASE}
@@ -177,4 +177,4 @@ def features_then_split(spark, folder):
 @query("w15_latest_features", f"""{BASE}, recent AS (SELECT * FROM candles QUALIFY {_NEWEST} <= 60),
   {features_sql("recent")} SELECT {KEY_SQL}, {FEATURES_SQL} FROM feat WHERE {COMPLETE_SQL} QUALIFY {_NEWEST} = 1""")
 def latest_features(spark, folder):
-    return ft.latest_features(stored_event_candles(spark, folder)).select(*CANDLE_KEY, *FEATURE_COLUMNS)
+    return ft.latest_features(stored_candle_table(spark, folder)).select(*CANDLE_KEY, *FEATURE_COLUMNS)

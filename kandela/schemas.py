@@ -30,11 +30,14 @@ FEATURE_COLUMNS = [
     "volume_lag1", "volume_lag2", "volume_lag3",
 ]
 
+# Price columns of every table contract.
 PRICES = ["open", "high", "low", "close", "volume"]
 SERIES = ["symbol", "interval"]
 CANDLE_KEY = ["symbol", "interval", "open_time"]
+KLINE_KEY = ["symbol_id", "interval_id", "open_time"]
 
 
+# The table contracts below, names and types.
 _STRING, _DOUBLE, _INT, _TIME = T.StringType(), T.DoubleType(), T.IntegerType(), T.TimestampType()
 
 
@@ -51,18 +54,18 @@ STREAM_CANDLE = _table(symbol=_STRING, **_OHLCV, timestamp=_TIME, closed=T.Boole
 DIM_SYMBOL = _table(symbol_id=_INT, symbol=_STRING, base_asset=_STRING, quote_asset=_STRING)
 DIM_INTERVAL = _table(interval_id=_INT, interval_name=_STRING, seconds=_INT)
 KLINES = _table(
-    symbol_id=_INT, interval_id=_INT, open_time=_TIME, **_OHLCV, close_time=_TIME, created_at=_TIME)
+    klines_id=T.LongType(), symbol_id=_INT, interval_id=_INT, open_time=_TIME, **_OHLCV, close_time=_TIME, created_at=_TIME)
 GRAIN_PRICES = _table(date=T.DateType(), **{name: _MONEY for name in PRICES})
 DIM_DATE = _table(
     date=T.DateType(), year=_INT, month=_INT, day=_INT, week=_INT, quarter=_INT,
     day_name=_STRING, month_name=_STRING, is_weekend=T.BooleanType())
 TICK = _table(symbol=_STRING, price=_DOUBLE, quantity=_DOUBLE, timestamp=_TIME)
 PREDICTION = _table(
-    symbol=_STRING, prediction=_STRING, prob_buy=_DOUBLE, prob_sell=_DOUBLE, timestamp=_TIME)
+    symbol=_STRING, prediction=_STRING, prob_buy=_DOUBLE, prob_sell=_DOUBLE, timestamp=_TIME, status=_STRING)
 BACKTEST = _table(datetime=_TIME, close=_DOUBLE, target=_INT, prediction=_INT, proba=_DOUBLE)
 RUNS = _table(
     run_name=_STRING, symbol=_STRING, model_type=_STRING, horizon=_INT, threshold=_DOUBLE,
-    accuracy=_DOUBLE, f1=_DOUBLE)
+    accuracy=_DOUBLE, f1=_DOUBLE, artifact=_STRING)
 SCORES = _table(symbol=_STRING, model=_STRING, n=T.LongType(), accuracy=_DOUBLE, f1=_DOUBLE)
 METRIC_SAMPLE = _table(name=_STRING, labels=T.MapType(_STRING, _STRING), ts=_TIME, value=_DOUBLE)
 

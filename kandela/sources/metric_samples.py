@@ -16,9 +16,10 @@ SCRAPE_SECONDS = 3600
 BUCKETS = [5.0, 10.0, 25.0, 50.0, 100.0, 250.0]
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
+def _events(spark: SparkSession, folder: str, scrape_seconds: int = SCRAPE_SECONDS) -> DataFrame:
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     return read_table(spark, folder, "events").select(
-        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"), "event_type", "value", "user_id")
+        F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(scrape_seconds))).alias("ts"), "event_type", "value", "user_id")
 
 
 def _labels(**columns: Column) -> Column:
@@ -36,10 +37,10 @@ def _samples(rows: DataFrame, name: str, labels: Column, value: Column) -> DataF
                    METRIC_SAMPLE)
 
 
-def cpu_seconds(spark: SparkSession, folder: str) -> DataFrame:
+def cpu_seconds(spark: SparkSession, folder: str, scrape_seconds: int = SCRAPE_SECONDS) -> DataFrame:
     """Counter per instance and mode; views count as idle time."""
     by = ["instance", "mode"]
-    hourly = _events(spark, folder).groupBy(
+    hourly = _events(spark, folder, scrape_seconds).groupBy(
         (F.col("user_id") % 4).alias("instance"),
         F.when(F.col("event_type") == "view", "idle").otherwise("user").alias("mode"), "ts",
     ).agg(F.count("*").alias("hits"))
@@ -64,10 +65,10 @@ def api_requests(spark: SparkSession, folder: str) -> DataFrame:
                     _running(hourly, ["endpoint"], "hits"))
 
 
-def latency_buckets(spark: SparkSession, folder: str) -> DataFrame:
+def latency_buckets(spark: SparkSession, folder: str, scrape_seconds: int = SCRAPE_SECONDS) -> DataFrame:
     """Cumulative bucket counters of the event value per endpoint."""
     bounds = [*BUCKETS, float("inf")]
-    hourly = _events(spark, folder).groupBy(F.col("event_type").alias("endpoint"), "ts").agg(
+    hourly = _events(spark, folder, scrape_seconds).groupBy(F.col("event_type").alias("endpoint"), "ts").agg(
         F.array(*[
             F.struct(F.lit(b).alias("le"), F.count_if(F.col("value") <= b).alias("hits")) for b in bounds
         ]).alias("buckets"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from kandela.operators.candles import roll_up_candles, roll_up_ticks
-from kandela.schemas import CANDLE, KLINES
+from kandela.schemas import CANDLE, KLINES, SERIES
 from kandela.session import materialise
 
 
@@ -44,12 +44,18 @@ def stored_event_candles(spark: SparkSession, folder: str, interval: str = "1h")
     return materialise(event_candles(spark, folder, interval), f"candles-{interval}")
 
 
+def stored_candle_table(spark: SparkSession, folder: str, interval: str = "1h") -> DataFrame:
+    """Event candles as a table laid out by series and month, with its ``month`` column."""
+    rows = event_candles(spark, folder, interval).withColumn("month", F.date_format("open_time", "yyyy-MM"))
+    return materialise(rows.repartition(*SERIES, "month"), f"table-{interval}", partition_by=[*SERIES, "month"])
+
+
 def stored_candle_grid(spark: SparkSession, folder: str, intervals: tuple[str, ...] = ("15m", "1h", "1d")) -> DataFrame:
     """Several intervals from one tick scan: the finest from ticks, each coarser one from it."""
     finest = stored_event_candles(spark, folder, intervals[0])
     grid = finest
     for interval in intervals[1:]:
-        grid = grid.unionByName(roll_up_candles(finest, interval))
+        grid = grid.unionByName(roll_up_candles(finest, interval, intervals[0]))
     return grid
 
 
@@ -62,11 +68,18 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType = CANDLE) -
     return spark.read.schema(schema).parquet(path)
 
 
+JDBC_PARTITIONING = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A relational table; Spark pushes filters and projections to the database.
 
-    Pass partitionColumn, lowerBound, upperBound and numPartitions to read in parallel.
+    partitionColumn, lowerBound, upperBound and numPartitions are required: without them one task
+    would read the whole table.
     """
+    missing = [name for name in JDBC_PARTITIONING if name not in options]
+    if missing:
+        raise ValueError(f"read_jdbc needs {', '.join(missing)}")
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 

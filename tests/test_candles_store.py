@@ -42,7 +42,7 @@ def test_roll_up_of_roll_up_and_invariants(spark):
     for grain in ("1h", "1d", "1w", "1M", "1y"):
         direct = cd.roll_up_ticks(source, grain).orderBy("open_time").collect()
         assert cd.roll_up_ticks(source, grain, unique_times=True).orderBy("open_time").collect() == direct
-        assert cd.roll_up_candles(quarter, grain).orderBy("open_time").collect() == direct
+        assert cd.roll_up_candles(quarter, grain, "15m").orderBy("open_time").collect() == direct
         assert all(r.low <= r.open <= r.high and r.low <= r.close <= r.high for r in direct)
 
 
@@ -213,8 +213,9 @@ def test_head_tail_order(spark, candles):
 def test_roll_ups_hash_where_the_order_is_one_column(spark, candles):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     empty = ticks(spark, [])
-    assert "SortAggregate" not in plan(cd.roll_up_candles(candles([1.0]), "1d"))
-    assert "SortAggregate" not in plan(cd.roll_up_ticks(empty, "1h", unique_times=True))
+    assert "SortAggregate" not in plan(cd.roll_up_candles(candles([1.0]), "1d", "1h"))
+    for unique in (False, True):
+        assert "SortAggregate" not in plan(cd.roll_up_ticks(empty, "1h", unique_times=unique))
 
 
 def test_upsert_limits_copies_before_the_shuffle(spark, candles):
@@ -259,3 +260,143 @@ def test_kline_round_trip(spark, candles, n):
     rows = candles([0.1 + i for i in range(n)])
     back = kl.decode_klines(kl.encode_klines(rows, 4)).select(*CANDLE.names)
     assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_negative_sequence_numbers_keep_their_order(spark):
+    at = datetime(2024, 1, 1, 10, 5)
+    c = cd.roll_up_ticks(ticks(spark, [("A", at, -5, 1.0, 1.0), ("A", at, 2**62, 3.0, 1.0), ("A", at, -(2**62), 2.0, 1.0)]), "1h").first()
+    assert (c.open, c.close) == (2.0, 3.0)
+
+
+def test_mixed_intervals_count_once(spark, candles):
+    """A symbol with 1m and 5m candles of the same two hours trades 60 per hour, not 120."""
+    one, five = candles([1.0] * 120, interval="1m"), candles([1.0] * 24, interval="5m")
+    both = one.withColumn("volume", F.lit(1.0)).unionByName(five.withColumn("volume", F.lit(5.0)))
+    assert [r.volume for r in cd.roll_up_candles(both, "1h", "1m").collect()] == [60.0, 60.0]
+    assert [r.volume for r in cd.roll_up_candles(both, "1h", "5m").collect()] == [60.0, 60.0]
+    for source, target in (("1h", "1h"), ("1d", "1h"), ("1w", "1M"), ("7m", "1h")):
+        with pytest.raises(ValueError):
+            cd.roll_up_candles(both, target, source)
+
+
+def test_latest_keeps_intervals_apart(spark, candles):
+    """An hourly and a daily candle end at the same millisecond with the same load number."""
+    hourly, daily = candles([float(i) for i in range(24)]), candles([99.0], interval="1d")
+    got = serving.latest(hourly.unionByName(daily).withColumn("load_seq", F.lit(1))).collect()
+    assert {(r.interval, r.close) for r in got} == {("1h", 23.0), ("1d", 99.0)}
+
+
+def test_unknown_intervals_raise(spark, candles):
+    from kandela.operators.series import last_rows
+
+    odd = candles([1.0, 2.0]).withColumn("interval", F.lit("1s"))
+    with pytest.raises(Exception, match="no grid is known for interval 1s"):
+        last_rows(odd, 1).collect()
+
+
+def test_newest_rows_read_the_newest_months_only(spark, candles):
+    """Forty daily months; the last ten rows need one or two of them."""
+    from kandela.operators.series import last_rows
+    from kandela.session import materialise
+
+    rows = candles([float(i) for i in range(1200)], interval="1d").unionByName(candles([float(i) for i in range(1190)], "BBBUSDT", "1d"))
+    stored = materialise(rows.withColumn("month", F.date_format("open_time", "yyyy-MM")), "months", partition_by=["symbol", "interval", "month"])
+    newest = last_rows(stored, 10)
+    assert sorted(r.close for r in newest.where("symbol = 'AAAUSDT'").collect()) == [float(i) for i in range(1190, 1200)]
+    assert newest.count() == 20
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters" in line and "ReadSchema" in line]
+    assert any("month" in line.split("PartitionFilters:")[1].split("]")[0] for line in scans)
+    assert len(newest.inputFiles()) > 60 and files_read(spark, newest) <= 6
+
+
+def files_read(spark, df):
+    """Files the scans of ``df`` read when it runs, without those of its scalar subqueries."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = df.select("*")
+        fresh.collect()
+        nodes, total = [fresh._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+            if node.metrics().contains("numFiles"):
+                total += node.metrics().apply("numFiles").value()
+        return total
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_historical_reads_the_newest_months_only(spark, candles):
+    rows = candles([float(i) for i in range(400)], interval="1d")
+    symbols, intervals = store.build_dimensions(spark, rows)
+    klines = store.store_klines(store.as_klines(store.resolve_ids(rows, symbols, intervals)[0]))
+    found = serving.historical(klines, symbols, intervals, "AAAUSDT", "1d", 10)
+    assert [r.close for r in found.collect()] == [float(i) for i in range(399, 389, -1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert any("month" in part.split("]")[0] for part in plan.split("PartitionFilters:")[1:])
+    assert len(klines.inputFiles()) >= 13 and files_read(spark, found) <= 5
+
+
+def test_load_is_repeatable_and_touches_its_folders_only(spark, candles):
+    root, rows = scratch_path(spark, "base"), candles([float(i) for i in range(90)], interval="1d")
+    bad = rows.limit(2).withColumn("interval", F.lit("2d")).unionByName(rows.limit(3).withColumn("close", F.lit(None).cast("double")))
+    rejected = store.load_candles(root, rows.unionByName(rows.limit(7)).unionByName(bad))
+    assert {(r.reason, r["count"]) for r in rejected.groupBy("reason").count().collect()} == {("unknown interval", 2), ("missing field", 3)}
+    table = lambda: store.read_klines(spark, f"{root}/klines")
+    files = lambda month: {r.f for r in table().where(F.col("month") == month).select(F.input_file_name().alias("f")).collect()}
+    first, january = table().orderBy("klines_id").collect(), files("2024-01")
+    assert [r.klines_id for r in first] == list(range(1, 91)) and [r.close for r in first] == [float(i) for i in range(90)]
+    march = rows.where("month(open_time) = 3")
+    store.load_candles(root, march)
+    assert table().orderBy("klines_id").collect() == first and files("2024-01") == january
+    store.load_candles(root, march.withColumn("close", F.lit(7.0)).unionByName(candles([1.0], "NEWUSDT", "1d")))
+    after = table().orderBy("klines_id").collect()
+    assert [r.klines_id for r in after] == list(range(1, 92)) and sum(r.close == 7.0 for r in after) == 31
+    assert [r.created_at for r in after[:90]] == [r.created_at for r in first]
+    symbols = spark.read.parquet(f"{root}/symbol")
+    assert {r.symbol: r.symbol_id for r in symbols.collect()} == {"AAAUSDT": 1, "NEWUSDT": 2}
+    report = store.constraint_report(table(), symbols, spark.read.parquet(f"{root}/intervals"))
+    assert report.count() == 11 and {r.violations for r in report.collect()} == {0}
+
+
+def test_constraint_report_counts_violations(spark, candles):
+    rows = candles([1.0, 2.0])
+    symbols, intervals = store.build_dimensions(spark, rows)
+    klines = store.as_klines(store.resolve_ids(rows, symbols, intervals)[0])
+    broken = klines.unionByName(klines.limit(1)).withColumn("close", F.when(F.col("close") == 2.0, None).otherwise(F.col("close")))
+    found = {(r.table, r.constraint): r.violations for r in store.constraint_report(broken, symbols.where("false"), intervals).collect()}
+    assert found["klines", "primary key klines_id"] == 1 and found["klines", "not null"] == 1
+    assert found["klines", "foreign key symbol_id"] == 3 and found["klines", "foreign key interval_id"] == 0
+
+
+def test_names_with_one_prefix_are_numbered_in_order(spark):
+    from kandela.operators.series import number_in_order
+
+    names = [f"XXXXX{i:05d}" for i in range(3000)]
+    rows = spark.createDataFrame([(n,) for n in reversed(names)], "symbol string").repartition(5)
+    assert [r.symbol for r in number_in_order(rows, ["symbol"]).orderBy("rn").collect()] == names
+    ranges = number_in_order(rows, ["symbol"])
+    assert ranges.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first() == (1, 3000, 3000)
+
+
+def test_work_list_raises_beyond_its_limit(spark):
+    symbols = spark.createDataFrame([("A",)], "symbol string")
+    intervals = spark.createDataFrame([(f"{i}m", i) for i in range(5)], "interval_name string, seconds int")
+    assert store.work_list(symbols, intervals).count() == 5
+    with pytest.raises(Exception, match="more than 4 intervals"):
+        store.work_list(symbols, intervals, most_intervals=4).collect()
+
+
+def test_not_yet_stored_keeps_the_whole_backlog(spark, candles):
+    stored = candles([float(i) for i in range(700)]).where("volume % 2 = 0").withColumn("month", F.date_format("open_time", "yyyy-MM"))
+    batch = candles([float(i) for i in range(700)])
+    fresh = store.not_yet_stored(batch.unionByName(batch), stored)
+    assert sorted(r.volume for r in fresh.collect()) == [float(i) for i in range(1, 700, 2)]
+    assert store.not_yet_stored(batch, stored.drop("month"), last=240).count() < 350
+
+
+def test_jdbc_reads_must_be_partitioned(spark):
+    with pytest.raises(ValueError, match="numPartitions"):
+        tb.read_jdbc(spark, "jdbc:none", "klines", partitionColumn="id", lowerBound="0", upperBound="1")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.classification import RandomForestClassifier
 
 from kandela.operators import ml
-from kandela.operators.features import features_per_split
+from kandela.operators.features import features_per_split, short_series, with_label
 from kandela.schemas import BACKTEST, PREDICTION, RUNS
 from kandela.session import materialise, scratch_path
 
@@ -95,38 +95,69 @@ def test_train_evaluate_and_log(table, spark):
     rows = {r.symbol: r for r in scored.collect()}
     assert set(rows) == {"AAAUSDT", "BBBUSDT"} and all(0 <= r.f1 <= 1 and r.n > 0 for r in rows.values())
     path = scratch_path(spark, "runs")
-    ml.append_runs(ml.run_log(scored, 10, 0.01), path)
-    ml.append_runs(ml.run_log(scored, 10, 0.05), path)
+    ml.append_runs(ml.run_log(scored, 10, 0.01, "models"), path)
+    ml.append_runs(ml.run_log(scored, 10, 0.05, "models"), path)
     log = ml.read_runs(spark, path)
     assert log.schema.names == RUNS.names and log.count() == 4
 
 
-def test_scorer_skips_symbols_without_model(table):
+def test_symbols_without_model_say_so(table):
     model = ml.fit(ml.prepare(table, "AAAUSDT"), small_forest)
     scored = ml.score_each({"AAAUSDT": model})(table)
-    assert {r.symbol for r in scored.select("symbol").distinct().collect()} == {"AAAUSDT"}
+    assert scored.count() == table.count()
+    got = {(r.symbol, r.status, r.prediction is None) for r in scored.select("symbol", "status", "prediction").distinct().collect()}
+    assert got == {("AAAUSDT", "ok", False), ("BBBUSDT", "no model", True)}
 
 
-def test_best_model_has_the_highest_f1(table):
+def test_full_run_stores_logs_and_backtests_every_model(table, spark):
     from pyspark.ml.classification import DecisionTreeClassifier
 
     def stump(rows=0):
         return DecisionTreeClassifier(maxDepth=0, labelCol="target", featuresCol="scaled")
 
-    models = {"Forest": small_forest, "Stump": stump}
-    best = ml.train_best(table, models)
-    scored = {(r.symbol, r.model): r.f1 for r in ml.train_and_evaluate(table, models).collect()}
-    for symbol, model in best.items():
-        name = "Forest_BASE" if type(model.stages[-1]).__name__.startswith("RandomForest") else "Stump_BASE"
-        assert scored[(symbol, name)] == max(scored[(symbol, n)] for n in ("Forest_BASE", "Stump_BASE"))
+    cached = lambda: set(spark.sparkContext._jsc.getPersistentRDDs())
+    root, before = scratch_path(spark, "run"), cached()
+    search = {"RandomForest": {"numTrees": [2, 3], "maxDepth": [1, 2]}}
+    log = ml.full_run(table, root, {"Forest": small_forest, "Stump": stump}, search, draws=2).collect()
+    names = {"Forest_BASE", "Stump_BASE", "RandomForest_OPT"}
+    assert {(r.symbol, r.model_type) for r in log} == {(s, n) for s in ("AAAUSDT", "BBBUSDT") for n in names}
+    best = {s: max((r for r in log if r.symbol == s), key=lambda r: (r.f1, [-ord(c) for c in r.model_type])) for s in ("AAAUSDT", "BBBUSDT")}
+    tests = {r.symbol: r["count"] for r in table.where("split = 'test'").groupBy("symbol").count().collect()}
+    back = ml.read_backtest(spark, root)
+    assert {r.symbol: r["count"] for r in back.groupBy("symbol").count().collect()} == tests
+    for symbol, run in best.items():
+        rows = table.where((table.symbol == symbol) & (table.split == "test"))
+        again = ml.score(ml.load_model(run.artifact), rows).select("open_time", "prediction").collect()
+        stored = back.where(back.symbol == symbol).select("datetime", "prediction").collect()
+        assert sorted(map(tuple, again)) == sorted(map(tuple, stored))
+    assert cached() <= before
+
+
+def test_logistic_models_sit_at_their_optimum(table):
+    data = ml.prepare(table, "AAAUSDT")
+    assert ml.gradient_norm(ml.fit(data, ml.logistic_regression), data.train) < 1e-4
+    assert ml.gradient_norm(ml.fit(data, lambda n: ml.logistic_regression(n).setMaxIter(0)), data.train) > 1e-2
+    data.release()
+
+
+def test_trees_do_not_depend_on_the_input_partitions(table):
+    rows = table.where("split = 'test' AND symbol = 'AAAUSDT'")
+    scored = []
+    for parts in (2, 7):
+        data = ml.prepare(table.repartition(parts), "AAAUSDT", tasks=2)
+        scored.append(sorted(r.prob_buy for r in ml.score(ml.fit(data, small_forest), rows).collect()))
+        data.release()
+    assert scored[0] == pytest.approx(scored[1], abs=1e-12)
 
 
 def test_no_series_with_enough_history_gives_no_rows(table):
     none = table.where("false")
     assert ml.train_and_evaluate(none, {"Forest": small_forest}).count() == 0
-    assert ml.score_each({})(table).count() == 0
+    assert {r.status for r in ml.score_each({})(table).select("status").distinct().collect()} == {"no model"}
 
 
 def test_short_series_are_left_out(spark, candles):
     rows = candles([100.0 + 20 * ((i // 15) % 2) + i % 5 for i in range(280)])
     assert features_per_split(rows, min_rows=300).count() == 0 < features_per_split(rows).count()
+    (left,) = short_series(with_label(rows)).collect()
+    assert (left.symbol, left.status) == ("AAAUSDT", "too few rows") and 0 < left.n_rows < 300

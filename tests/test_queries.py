@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from kandela.plans.catalog import ORACLES, QUERIES
 from kandela.plans.compare import compare
 
 needs_data = pytest.mark.skipif(not Path(SMOKE_DIR).exists(), reason="test tables are not here")
@@ -18,6 +19,7 @@ def test_inventory_is_covered():
     have = {name.split("_")[0] for name in queries()}
     assert {f"{g}{i}" for g, n in INVENTORY.items() for i in range(1, n + 1)} <= have
     assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,10 +31,10 @@ def db():
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, db, name):
-    got = queries()[name](spark, SMOKE_DIR).toPandas()
-    assert compare(got, db.execute(oracle_sql()[name]).df()) is None
+    got = QUERIES[name](spark, SMOKE_DIR).toPandas()
+    assert compare(got, db.execute(ORACLES[name]).df()) is None
 
 
 @needs_data

@@ -69,14 +69,15 @@ def brute_force_ks_p(n, m, d):
 def test_exact_ks_p_by_brute_force(n, m):
     for step in range(n * m + 1):
         d = step / (n * m)
-        assert drift.exact_ks_p(n, m, d) == pytest.approx(brute_force_ks_p(n, m, d), abs=1e-12)
+        assert drift.exact_ks_p(n, m, step) == pytest.approx(brute_force_ks_p(n, m, d), rel=1e-13)
 
 
 def test_exact_p_is_symmetric_and_near_the_limit_for_large_samples():
-    assert drift.exact_ks_p(951, 11, 0.4) == pytest.approx(drift.exact_ks_p(11, 951, 0.4), abs=1e-9)
+    gap = round(0.4 * 951 * 11)
+    assert drift.exact_ks_p(951, 11, gap) == pytest.approx(drift.exact_ks_p(11, 951, gap), rel=1e-10)
     lam = 0.05 * np.sqrt(2000 * 2000 / 4000)
     limit = 2 * sum((-1) ** (k - 1) * np.exp(-2 * k * k * lam * lam) for k in range(1, 50))
-    assert drift.exact_ks_p(2000, 2000, 0.05) == pytest.approx(limit, rel=0.05)
+    assert drift.exact_ks_p(2000, 2000, round(0.05 * 2000 * 2000)) == pytest.approx(limit, rel=0.05)
 
 
 def test_ks_statistic_with_ties(spark):
@@ -96,7 +97,8 @@ def test_no_distance_means_p_one(spark):
     tested = drift.with_p_value(drift.ks_statistic(samples))
     row = tested.first()
     assert row.ks_stat == 0 and row.p_value == 1 and row.p_asymptotic == 1
-    assert drift.drift_verdict(tested).first().drift_detected is False
+    verdict = drift.drift_verdict(tested, samples).first()
+    assert verdict.drift_detected is False and (verdict.status, verdict.metric, verdict.window) == ("ok", "ks_2samp", 60)
 
 
 def test_drift_of_a_shifted_series(spark, candles):
@@ -104,7 +106,44 @@ def test_drift_of_a_shifted_series(spark, candles):
     calm = candles([float(x) for x in walk])
     jumped = candles([float(x) + (300 if i >= 340 else 0) for i, x in enumerate(walk)])
     samples = drift.drift_samples(calm, jumped)
-    assert drift.drift_verdict(drift.with_p_value(drift.ks_statistic(samples))).first().drift_detected
+    assert drift.drift_verdict(drift.with_p_value(drift.ks_statistic(samples)), calm).first().drift_detected
+
+
+def test_tiny_p_values_keep_their_digits():
+    """The largest distance has one path on either side; far distances differ by many orders."""
+    assert drift.exact_ks_p(9, 7, 63) == pytest.approx(2 / comb(16, 7), rel=1e-13)
+    assert drift.exact_ks_p(951, 60, 951 * 60) == pytest.approx(2 / comb(1011, 60), rel=1e-10)
+    assert drift.exact_ks_p(951, 60, round(0.9 * 951 * 60)) < 1e-10 * drift.exact_ks_p(951, 60, round(0.75 * 951 * 60))
+
+
+def test_small_prices_keep_their_distance(spark):
+    rng = np.random.default_rng(5)
+    history, recent = rng.normal(2e-8, 1e-9, 400), rng.normal(2.1e-8, 1e-9, 60)
+    rows = [("A", "1h", "f", "history", float(x)) for x in history] + [("A", "1h", "f", "recent", float(x)) for x in recent]
+    samples = spark.createDataFrame(rows, "symbol string, interval string, feature string, sample string, value double")
+    cut = samples.withColumn("value", drift.significant(F.col("value")))
+    points = np.concatenate([history, recent])
+    want = max(abs((history <= x).mean() - (recent <= x).mean()) for x in points)
+    assert drift.ks_statistic(cut).first().ks_stat == pytest.approx(want, abs=1e-12)
+    odd = spark.createDataFrame([(0.0,), (-1.5,), (float("inf"),), (123456789012.0,)], "v double").select(drift.significant(F.col("v")).alias("v"))
+    assert [r.v for r in odd.collect()] == pytest.approx([0.0, -1.5, float("inf"), 123456789000.0], rel=1e-14)
+
+
+def test_the_method_is_the_callers_choice(spark):
+    rows = [("A", "1h", "f", side, float(x + 3 * (side == "recent"))) for side in ("history", "recent") for x in range(9)]
+    samples = spark.createDataFrame(rows, "symbol string, interval string, feature string, sample string, value double")
+    stats = drift.ks_statistic(samples)
+    exact, rough = (drift.with_p_value(stats, m).first() for m in ("exact", "asymptotic"))
+    assert exact.p_value == pytest.approx(brute_force_ks_p(9, 9, 1 / 3)) and rough.p_value == rough.p_asymptotic != exact.p_value
+    with pytest.raises(ValueError):
+        drift.with_p_value(stats, "auto")
+
+
+def test_series_without_enough_rows_say_so(spark, candles):
+    both = candles([100.0 + i * 7 % 13 for i in range(200)]).unionByName(candles([1.0] * 20, "SHORTUSDT"))
+    tested = drift.with_p_value(drift.ks_statistic(drift.drift_samples(both, both)))
+    got = {r.symbol: (r.status, r.n_features, r.drift_detected) for r in drift.drift_verdict(tested, both).collect()}
+    assert got["SHORTUSDT"] == ("too few rows", 0, None) and got["AAAUSDT"][:2] == ("ok", 17)
 
 
 def test_scores_and_best_model(spark):
@@ -133,16 +172,35 @@ def test_standardise_uses_train_rows_only(spark):
 T0 = datetime(2024, 1, 1)
 
 
+SAMPLES = "instance string, ts timestamp, value double"
+
+
+def test_counter_rate_of_one_per_second_is_one(spark):
+    """Scraped every 15 seconds, one-minute windows: steps over window edges count."""
+    rows = [("a", T0 + timedelta(seconds=15 * i), 15.0 * i) for i in range(4 * 30)]
+    got = mt.counter_rate(spark.createDataFrame(rows, SAMPLES), ["instance"], 60).orderBy("window_start").collect()
+    assert len(got) == 30 and got[0].rate == pytest.approx(0.75) and {round(r.rate, 9) for r in got[1:]} == {1.0}
+    busy = mt.utilisation(mt.counter_rate(spark.createDataFrame(rows, SAMPLES), ["instance"], 60)).orderBy("window_start").collect()
+    assert all(abs(r.utilisation) < 1e-9 for r in busy[1:])
+
+
 def test_counter_rate_with_reset_and_jittered_scrapes(spark):
     values = [10, 20, 30, 5, 15, 25]
     rows = [("a", T0 + timedelta(seconds=10 * i + i % 3), float(v)) for i, v in enumerate(values)]
-    got = mt.counter_rate(spark.createDataFrame(rows, "instance string, ts timestamp, value double"), ["instance"], 60, 10).collect()
+    got = mt.counter_rate(spark.createDataFrame(rows, SAMPLES), ["instance"], 60).collect()
     assert len(got) == 1 and got[0].rate == pytest.approx((10 + 10 + 5 + 10 + 10) / 60)
 
 
+def test_every_sample_counts_however_close(spark):
+    """A reset between two close scrapes: 100 up, restart, 20 up, 120 more."""
+    rows = [("a", T0, 0.0), ("a", T0 + timedelta(seconds=14), 100.0), ("a", T0 + timedelta(seconds=15), 20.0),
+            ("a", T0 + timedelta(seconds=16), 140.0), ("a", T0 + timedelta(seconds=16), 139.0)]
+    got = mt.counter_rate(spark.createDataFrame(rows, SAMPLES), ["instance"], 60).collect()
+    assert len(got) == 1 and got[0].rate * 60 == pytest.approx(100 + 20 + 120)
+
+
 def test_single_sample_has_no_rate(spark):
-    rows = [("a", T0, 5.0)]
-    assert mt.counter_rate(spark.createDataFrame(rows, "i string, ts timestamp, value double"), ["i"], 60, 10).count() == 0
+    assert mt.counter_rate(spark.createDataFrame([("a", T0, 5.0)], SAMPLES), ["instance"], 60).count() == 0
 
 
 def test_histogram_quantile_interpolates(spark):
