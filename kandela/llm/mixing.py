@@ -150,7 +150,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     full = full.select("_source", "size", "n", "copies", "extra", "source_size", "target",
                        F.ceil(F.col("n") / ROWS_PER_RANGE).alias("ranges"))
 
-    placed = rows.withColumn("_source", key).join(full, ["_source", "size"]).withColumn(
+    # Counts per source and size grow with the corpus, so they are merged, never broadcast; a hot size can split.
+    placed = rows.withColumn("_source", key).join(full.hint("merge"), ["_source", "size"]).withColumn(
         "range", F.floor(F.col("unit") * F.col("ranges")))
     placed = materialise(placed, "placed")
     partial = placed.where("extra > 0 AND extra < n")
@@ -158,7 +159,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     order = Window.partitionBy("_source", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     quota = counts.withColumn("before", F.coalesce(F.sum("here").over(order), F.lit(0))).select(
         "_source", "size", "range", F.greatest(F.lit(0), F.least("here", F.col("extra") - F.col("before"))).alias("quota"), "here")
-    ranged = partial.join(quota, ["_source", "size", "range"])
+    ranged = partial.join(quota.hint("merge"), ["_source", "size", "range"])
     rank = F.row_number().over(Window.partitionBy("_source", "size", "range").orderBy("unit", id_column))
     cut = ranged.where("quota > 0 AND quota < here").withColumn("more", (rank <= F.col("quota")).cast("long"))
     whole = ranged.where("quota = 0 OR quota = here").withColumn("more", (F.col("quota") > 0).cast("long"))
