@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kandela.schemas import PRICES
 from kandela.session import materialise
 
-SPLITS = 64
+GRID = 128
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
@@ -26,95 +26,93 @@ def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     return df.unpivot(list(keys), list(columns), "column", "value").where("value IS NOT NULL")
 
 
-def _cuts() -> Column:
-    """Borders of ``SPLITS`` value ranges of about equal size, from a mergeable sketch."""
-    return F.percentile_approx("value", [i / SPLITS for i in range(1, SPLITS)], 1000).alias("cuts")
+def _cuts(value: Column) -> Column:
+    """Borders of ``GRID`` ranges of about equal size, from a mergeable sketch."""
+    return F.percentile_approx(value, [i / GRID for i in range(1, GRID)], 8 * GRID)
 
 
-def _below(borders: Column) -> Column:
-    return F.size(F.filter(borders, lambda c: c < F.col("value")))
+def _bracket(cuts: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """The borders one range below the fraction ``low`` and one above ``high``; -infinity and NaN where there is none.
 
-
-def _in_range(cuts: DataFrame, rows: DataFrame, on: list[str], *kept: str) -> DataFrame:
-    """Rows with the number of borders below their value: among every eighth one, then among the eight that follow."""
-    coarse = cuts.select(*on, "cuts", F.filter("cuts", lambda c, i: i % 8 == 7).alias("eighths"))
-    skip = rows.join(coarse, on=on).withColumn("skip", 8 * _below(F.col("eighths")))
-    return skip.select(*on, (F.col("skip") + _below(F.slice("cuts", F.col("skip") + 1, 8))).alias("part"), *kept)
+    NaN sorts after every number, so a bracket up to it is open.
+    """
+    below, above = F.floor(low * GRID).cast("int") - 1, F.ceil(high * GRID).cast("int") + 1
+    return (F.when(below >= 1, F.get(cuts, below - 1)).otherwise(float("-inf")),
+            F.when(above <= GRID - 1, F.get(cuts, above - 1)).otherwise(float("nan")))
 
 
 def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float],
-                      cuts: DataFrame | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
+                      sketch: DataFrame | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, without one task holding a group.
 
-    A mergeable sketch cuts each group into ranges of about equal size. Rows are counted per range, which
-    combines before the shuffle, and the counts locate every wanted rank. Only rows of the ranges that
-    hold one are then shuffled, as counts of equal values; a range with more than ``rows_per_range``
-    different values is cut again. What is left is sorted range by range. The sketch steers the work and
-    never the result. ``cuts`` (keys, cuts) may be given if known; ``values`` is scanned, so it should be a
-    projection of a stored table.
+    A mergeable sketch brackets each wanted rank; one pass counts the rows below and inside each bracket, which
+    combines before the shuffle. A bracket that misses its rank is moved, one with more than
+    ``rows_per_range`` rows of different values is sketched again inside. Only rows inside the brackets are then shuffled,
+    as counts of equal values, and sorted bracket by bracket. The sketch steers the work and never the
+    result. ``sketch`` (keys, n, cuts) may be given if known; ``values`` is scanned in each step, so it should be
+    a projection of a stored table.
     """
-    keys = list(keys)
+    keys, names = list(keys), list(probabilities)
+    values = values.withColumn("value", F.col("value").cast("double"))
     position = lambda p: (F.col("n") - 1) * F.lit(p)
-
-    def holds_rank() -> Column:
-        wanted = F.lit(False)
-        for p in probabilities.values():
-            for rank in (F.floor(position(p)), F.ceil(position(p))):
-                wanted = wanted | ((rank >= F.col("start")) & (rank < F.col("stop")))
-        return wanted
-
-    def located(counts: DataFrame, by: list[str]) -> DataFrame:
-        """The ranges (columns by, part, rows, base, known) that hold a rank, with start and n."""
-        upto = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            counts.withColumn("stop", F.col("base") + F.sum("rows").over(upto))
-            .withColumn("start", F.col("stop") - F.col("rows"))
-            .withColumn("n", F.coalesce("known", F.sum("rows").over(Window.partitionBy(*keys))))
-            .where(holds_rank())
-        )
-
-    if cuts is None:
-        cuts = values.groupBy(*keys).agg(_cuts())
-    cuts = materialise(cuts, "cuts")
-    ranged = _in_range(cuts, values, keys, "value")
-    counts = ranged.groupBy(*keys, "part").agg(F.count("*").alias("rows")).withColumns(
-        {"base": F.lit(0).cast("long"), "known": F.lit(None).cast("long")})
-    kept = materialise(located(counts, keys).select(*keys, "part", "start", "n"), "kept")
-    # A range is known by its path: the parts chosen in each round, in base SPLITS.
-    cells = materialise(
-        ranged.join(kept, on=[*keys, "part"]).groupBy(*keys, F.col("part").cast("long").alias("path"), "value", "start", "n")
-        .agg(F.count("*").alias("cnt")), "cells")
+    ranks = {x: (F.floor(position(p)), F.ceil(position(p))) for x, p in probabilities.items()}
+    inside = lambda x: (F.col("value") >= F.col(f"{x}_lo")) & (F.col("value") <= F.col(f"{x}_hi"))
+
+    if sketch is None:
+        sketch = values.groupBy(*keys).agg(F.count("*").alias("n"), _cuts(F.col("value")).alias("cuts"))
+    brackets = {}
+    for x, (first, last) in ranks.items():
+        brackets[f"{x}_lo"], brackets[f"{x}_hi"] = _bracket(F.col("cuts"), first / F.col("n"), last / F.col("n"))
+    state = materialise(sketch.select(*keys, "n", *[c.alias(x) for x, c in brackets.items()]), "brackets")
     while True:
-        widest = cells.groupBy(*keys, "path").agg(F.count("*").alias("different")).agg(F.max("different")).first()[0]
-        if widest is None or widest <= rows_per_range:
+        counted = materialise(values.join(state, on=keys).groupBy(*state.columns).agg(
+            *[F.count_if(F.col("value") < F.col(f"{x}_lo")).alias(f"{x}_below") for x in names],
+            *[F.count_if(inside(x)).alias(f"{x}_rows") for x in names]), "bracket-counts")
+        early = {x: ranks[x][0] < F.col(f"{x}_below") for x in names}
+        late = {x: ranks[x][1] >= F.col(f"{x}_below") + F.col(f"{x}_rows") for x in names}
+        wide = {x: (F.col(f"{x}_rows") > rows_per_range) & (F.col(f"{x}_lo") < F.col(f"{x}_hi")) for x in names}
+        undone = F.lit(False)
+        for x in names:
+            undone = undone | early[x] | late[x] | wide[x]
+        if counted.where(undone).isEmpty():
             break
-        by = [*keys, "path"]
-        finer = _in_range(materialise(cells.groupBy(*by).agg(_cuts()), "cuts"), cells, by, "value", "cnt", "start", "n")
-        counts = finer.groupBy(*by, "part").agg(
-            F.sum("cnt").alias("rows"), F.first("start").alias("base"), F.first("n").alias("known"))
-        kept = materialise(located(counts, by).select(*by, "part", "start", "n"), "kept")
-        cells = materialise(
-            finer.drop("start", "n").join(kept, on=[*by, "part"])
-            .select(*keys, (F.col("path") * SPLITS + F.col("part")).alias("path"), "value", "cnt", "start", "n"), "cells")
-
-    inside = Window.partitionBy(*keys, "path").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        cells.withColumn("upto", F.col("start") + F.sum("cnt").over(inside))
-        .withColumn("from", F.col("upto") - F.col("cnt"))
+        cut_again = values.join(counted, on=keys).groupBy(*counted.columns).agg(
+            *[_cuts(F.when(inside(x) & wide[x], F.col("value"))).alias(f"{x}_cuts") for x in names])
+        moved = {}
+        for x in names:
+            low, high = F.col(f"{x}_lo"), F.col(f"{x}_hi")
+            local = [(rank - F.col(f"{x}_below")) / F.col(f"{x}_rows") for rank in ranks[x]]
+            finer_low, finer_high = _bracket(F.col(f"{x}_cuts"), *local)
+            # One that starts too late is taken back to the start, one that ends too early runs to the end.
+            moved[f"{x}_lo"] = F.when(early[x], float("-inf")).when(wide[x] & ~late[x], F.greatest(low, finer_low)).otherwise(low)
+            moved[f"{x}_hi"] = F.when(late[x], float("nan")).when(wide[x] & ~early[x], F.least(high, finer_high)).otherwise(high)
+        # Two neighbouring values with very many rows each cannot be told apart further; then the bracket stays.
+        changed = F.lit(False)
+        for c, column in moved.items():
+            changed = changed | ~column.eqNullSafe(F.col(c))
+        state = materialise(cut_again.select(
+            *keys, "n", *[c.alias(x) for x, c in moved.items()], changed.alias("_changed")), "brackets")
+        if state.where("_changed").isEmpty():
+            break
+        state = state.drop("_changed")
+
+    holding = F.filter(F.array(*[F.when(inside(x), F.lit(x)) for x in names]), lambda x: x.isNotNull())
+    cells = (
+        values.join(counted, on=keys).select(*counted.columns, "value", F.explode(holding).alias("of"))
+        .groupBy(*counted.columns, "of", "value").agg(F.count("*").alias("cnt"))
     )
+    upto = F.sum("cnt").over(Window.partitionBy(*keys, "of").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    below = F.coalesce(*[F.when(F.col("of") == x, F.col(f"{x}_below")) for x in names])
+    placed = cells.withColumn("upto", below + upto).withColumn("from", F.col("upto") - F.col("cnt"))
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("from")) & (rank < F.col("upto")), F.col("value")))
+    def at(x: str, rank: Column) -> Column:
+        return F.max(F.when((F.col("of") == x) & (rank >= F.col("from")) & (rank < F.col("upto")), F.col("value")))
 
     found = placed.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        *[at(F.floor(position(p))).alias(f"{name}_lo") for name, p in probabilities.items()],
-        *[at(F.ceil(position(p))).alias(f"{name}_hi") for name, p in probabilities.items()],
-    )
+        F.first("n").alias("n"), *[at(x, rank).alias(f"{x}_{i}") for x in names for i, rank in enumerate(ranks[x])])
     return found.select(*keys, *[
-        (F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo"))
-         * (position(p) - F.floor(position(p)))).alias(name)
-        for name, p in probabilities.items()
+        (F.col(f"{x}_0") + (F.col(f"{x}_1") - F.col(f"{x}_0")) * (position(p) - F.floor(position(p)))).alias(x)
+        for x, p in probabilities.items()
     ])
 
 
@@ -127,11 +125,11 @@ def describe(df: DataFrame, keys: Sequence[str] = ("symbol",),
         values.groupBy(*by).agg(
             F.count("value").alias("count"), F.avg("value").alias("mean"),
             F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-            _cuts(),
+            _cuts(F.col("value").cast("double")).alias("cuts"),
         ),
         "moments",
     )
-    quartiles = exact_percentiles(values, by, _QUARTILES, cuts=moments.select(*by, "cuts"))
+    quartiles = exact_percentiles(values, by, _QUARTILES, moments.select(*by, F.col("count").alias("n"), "cuts"))
     return moments.drop("cuts").join(quartiles, on=by)
 
 

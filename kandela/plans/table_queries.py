@@ -427,9 +427,12 @@ def case(spark, folder):
         F.lower("event_type").alias("lower_name"))
 
 
-@query("p7_id_to_label", """SELECT event_id, CASE user_id % 6 WHEN 1 THEN 'BTCUSDT' WHEN 2 THEN 'ETHUSDT'
-  WHEN 3 THEN 'BNBUSDT' WHEN 4 THEN 'SOLUSDT' END AS symbol_label,
-  CAST(CASE user_id % 6 WHEN 2 THEN 60 WHEN 3 THEN 240 WHEN 4 THEN 1440 END AS DOUBLE) AS interval_min FROM events""")
+def _case(values) -> str:
+    return " ".join(f"WHEN {k} THEN {v!r}" for k, v in values.items())
+
+
+@query("p7_id_to_label", f"""SELECT event_id, CASE user_id % 6 {_case(EXPORT_SYMBOLS)} END AS symbol_label,
+  CAST(CASE user_id % 6 {_case(EXPORT_INTERVAL_MINUTES)} END AS DOUBLE) AS interval_min FROM events""")
 def id_to_label(spark, folder):
     events = tb.read_table(spark, folder, "events").withColumn("id", (F.col("user_id") % 6).cast("int"))
     named = clean.map_labels(events, "id", EXPORT_SYMBOLS, "symbol_label")

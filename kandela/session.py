@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,20 +39,41 @@ def _local_folder(application_id: str) -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    Without that setting a cluster session is refused. Only a local-mode session, where driver and executors are one
+    process, gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.split("[")[0] == "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_folder(context.applicationId)
 
 
+_SCOPES: list[str] = []  # of the whole process: streams and parallel fits write from threads of their own
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Owns the intermediate tables made inside it and deletes them at its end.
+
+    Frames built inside read those tables, so they must be consumed before the scope ends.
+    """
+    folder = f"{shared_folder(spark)}/kandela/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/kandela/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, inside the innermost scope if there is one."""
+    folder = _SCOPES[-1] if _SCOPES else f"{shared_folder(spark)}/kandela"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
