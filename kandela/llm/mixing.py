@@ -112,7 +112,8 @@ def _knapsack(sizes: list[int], counts: dict[int, int], taken: dict[int, int], b
 
 
 def _plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:
-    """``source, size, copies, extra``: whole copies of each document and how many documents get one more."""
+    """``_source, size, n, source_size, target, copies, extra``: whole copies of each document of a size, and how many
+    of its ``n`` documents get one more."""
 
     def per_source(frame: pd.DataFrame) -> pd.DataFrame:
         first = frame.iloc[0]
@@ -120,13 +121,13 @@ def _plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:
         budget = int(target + 0.5)
         copies = min(budget // size, MOST_REPEATS) if size else 0
         extra = fit(dict(zip(frame["size"], frame["n"])), budget - copies * size) if size and copies < MOST_REPEATS else {}
-        return pd.DataFrame({"_source": frame["_source"], "size": frame["size"], "copies": copies * (frame["size"] > 0),
-                             "extra": [extra.get(s, 0) for s in frame["size"]]})
+        return frame.assign(copies=copies * (frame["size"] > 0), extra=[extra.get(s, 0) for s in frame["size"]])
 
     # A source's histogram has one row per different size, not per document.
     joined = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).select(
         F.to_json(F.struct(sizes["source"]), {"ignoreNullFields": "false"}).alias("_source"), "size", "n", "source_size", "target")
-    return joined.groupBy("_source").applyInPandas(per_source, "_source string, size long, copies long, extra long")
+    return joined.groupBy("_source").applyInPandas(
+        per_source, "_source string, size long, n long, source_size long, target double, copies long, extra long")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text",
@@ -145,10 +146,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     goals = materialise(targets(sizes, weights), "targets")
     plan = materialise(_plan(sizes, goals), "plan")
     key = F.to_json(F.struct("source"), {"ignoreNullFields": "false"})
-    full = sizes.withColumn("_source", key).join(plan, ["_source", "size"]).join(
-        goals.select(F.to_json(F.struct("source"), {"ignoreNullFields": "false"}).alias("_source"), "source_size", "target"), "_source")
-    full = full.select("_source", "size", "n", "copies", "extra", "source_size", "target",
-                       F.ceil(F.col("n") / ROWS_PER_RANGE).alias("ranges"))
+    full = plan.withColumn("ranges", F.ceil(F.col("n") / ROWS_PER_RANGE))
 
     # Counts per source and size grow with the corpus, so they are merged, never broadcast; a hot size can split.
     placed = rows.withColumn("_source", key).join(full.hint("merge"), ["_source", "size"]).withColumn(
