@@ -35,6 +35,18 @@ def historical(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symb
     )
 
 
+def series_status(klines: DataFrame, symbols: DataFrame, intervals: DataFrame, symbol: str, interval: str) -> DataFrame:
+    """One row that says why ``historical`` answers or does not: ok, unknown symbol, unknown interval or no data."""
+    some = lambda df: df.limit(1).agg(F.count("*")).scalar() > 0
+    status = (
+        F.when(~some(symbols.where(F.col("symbol") == symbol)), "unknown symbol")
+        .when(~some(intervals.where(F.col("interval_name") == interval)), "unknown interval")
+        .when(~some(historical(klines, symbols, intervals, symbol, interval, 1)), "no data").otherwise("ok")
+    )
+    return klines.sparkSession.range(1).select(
+        F.lit(symbol).alias("symbol"), F.lit(interval).alias("interval"), status.alias("status"))
+
+
 def latest(documents: DataFrame) -> DataFrame:
     """The newest document of every series, by close time, then load number, then open time.
 

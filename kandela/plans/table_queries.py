@@ -647,6 +647,20 @@ def historical(spark, folder):
     return serving.historical(klines, symbols, intervals, "CLICK", "1h", 10)
 
 
+@query("o1_status", f"""{BASE}, asked(symbol, "interval") AS (VALUES ('CLICK', '1h'), ('CLICK', '1d'), ('NOPE', '1h'), ('VIEW', '1h'))
+  SELECT symbol, "interval", CASE WHEN symbol NOT IN (SELECT symbol FROM candles) THEN 'unknown symbol'
+    WHEN "interval" NOT IN (SELECT "interval" FROM candles) THEN 'unknown interval' WHEN symbol = 'VIEW' THEN 'no data' ELSE 'ok' END AS status
+  FROM asked""")
+def historical_status(spark, folder):
+    """Answers for names that are not there and for a series whose candles are missing."""
+    klines, symbols, intervals = fact_tables(spark, folder)
+    view = symbols.where("symbol = 'VIEW'").select("symbol_id")
+    rows = klines.join(view, on="symbol_id", how="left_anti")
+    asked = [("CLICK", "1h"), ("CLICK", "1d"), ("NOPE", "1h"), ("VIEW", "1h")]
+    answers = [serving.series_status(rows, symbols, intervals, *names) for names in asked]
+    return answers[0].unionByName(answers[1]).unionByName(answers[2]).unionByName(answers[3])
+
+
 @query("o2_latest", f"""{BASE}, {REVISED}, every AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load)
   SELECT {CANDLE_SQL}, load_seq FROM every
   QUALIFY row_number() OVER (PARTITION BY symbol, "interval" ORDER BY close_time DESC, load_seq DESC) = 1""")
