@@ -1,6 +1,7 @@
 """Token counts of whole texts; huge texts are encoded in overlapping pieces and spliced.
 
-A text of at most ``chunk_chars`` is encoded in one go. A longer one is cut into pieces that overlap,
+A text of at most ``chunk_chars`` is encoded in one go, or, where the tokenizer's own definition shows that no token
+crosses a blank, as the sum over its words, each different word encoded once per worker. A longer text is cut into pieces that overlap,
 the pieces are dealt over the cluster, and each is encoded with offsets. Two neighbours are spliced at
 a position that both encodings prove to be a common boundary:
 
@@ -19,7 +20,9 @@ neighbours align or the text is one piece.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import json
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -35,6 +38,10 @@ MARGIN = 64
 WITNESS = 4
 WIDEN = 4
 TEXTS_PER_CALL = 128
+MEMO_WORDS = 400_000
+
+# Fixed value: a pre-tokenizer pattern none of whose alternatives can hold a blank.
+BLANK_FREE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 PIECES = "key string, piece int, n_pieces int, start long, text binary"
 SIDES = "key string, pair int, is_left boolean, marks array<struct<pos: bigint, sig: bigint, before: bigint>>, total long"
@@ -48,6 +55,57 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def flat(part: dict | None, inside: str) -> list[dict]:
+    """The steps of a possibly nested sequence in a tokenizer's definition."""
+    if part is None:
+        return []
+    return [x for p in part[inside] for x in flat(p, inside)] if part["type"] == "Sequence" else [part]
+
+
+def words_are_independent(tk) -> bool:
+    """Whether the definition proves that texts can be cut at space, tab and line feed without changing a token.
+
+    The pre-tokenizer must keep only matches of a pattern that no blank can be part of, normalisation must not act across
+    blanks (canonical composition, lower case and white-space runs do not), special tokens must hold
+    no blank and not strip their surroundings, and merges must be fixed.
+    """
+    plan = json.loads(tk.to_str())
+    steps, normal = flat(plan["pre_tokenizer"], "pretokenizers"), flat(plan["normalizer"], "normalizers")
+    plain = all(n["type"] in ("NFC", "Lowercase") or n["type"] == "Replace" and n["pattern"] == {"Regex": "\\s+"} and n["content"] == " "
+                for n in normal)
+    split = bool(steps) and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and (
+        steps[0]["pattern"] == {"Regex": BLANK_FREE_PATTERN})
+    rest = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in steps[1:])
+    added = all(not any(c.isspace() for c in t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])
+                for t in plan["added_tokens"])
+    return plain and split and rest and added and plan["model"]["type"] == "BPE" and not plan["model"]["dropout"]
+
+
+class TextCounter:
+    """Token counts of short texts."""
+
+    def __init__(self, path: str):
+        self.encode = tokenizer(path).encode_batch_fast
+        self.words: dict[str, int] | None = {} if words_are_independent(tokenizer(path)) else None
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        if self.words is None:
+            return list(map(len, self.encode(texts, add_special_tokens=False)))
+        if len(self.words) > MEMO_WORDS:
+            self.words.clear()
+        parts = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        fresh = list(set().union(*parts).difference(self.words))
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at:at + 4096]
+            self.words.update(zip(some, map(len, self.encode(some, add_special_tokens=False))))
+        return [sum(map(self.words.__getitem__, p)) for p in parts]
+
+
+@functools.lru_cache(maxsize=2)
+def text_counter(path: str) -> TextCounter:
+    return TextCounter(path)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, chunk_chars: int = CHUNK_CHARS,
                  overlap_chars: int = OVERLAP_CHARS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column, n_bytes, n_tokens, over_limit``: one row per input row, repeated rows included.
@@ -72,15 +130,15 @@ def _count_short(texts: DataFrame, path: str, id_column: str) -> DataFrame:
                            T.StructField("n_tokens", T.LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_batch_fast
+        counts = text_counter(path)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_PER_CALL):
                 part = batch.slice(at, TEXTS_PER_CALL)
                 raw = part.column("raw").to_pylist()
-                found = encode([x.decode("utf-8", "replace") for x in raw], add_special_tokens=False)
+                found = counts([x.decode("utf-8", "replace") for x in raw])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(id_column), pa.array(map(len, raw), pa.int64()),
-                     pa.array(map(len, found), pa.int64())], names=schema.names)
+                     pa.array(found, pa.int64())], names=schema.names)
 
     return texts.select(id_column, F.col("text").cast("binary").alias("raw")).mapInArrow(count, schema)
 
@@ -162,7 +220,8 @@ def piece_sides(tk, row: dict, overlap: int) -> list[dict]:
 def marks(text: str, ids: list, words: list, offsets: list, start: int, low: int, high: int) -> list[dict]:
     """Stable pre-token starts well inside text[low:high], with the tokens before each and a witness of those after."""
     out = []
-    for t in range(1, len(ids) - WITNESS):
+    first = bisect.bisect_left(offsets, (low + MARGIN, 0))  # tokens are in the order of their places
+    for t in range(max(1, first - WITNESS), len(ids) - WITNESS):
         at = offsets[t][0]
         if at < low + MARGIN or words[t] == words[t - 1] or offsets[t - 1][1] > at:
             continue

@@ -48,3 +48,40 @@ def test_marks_are_pretoken_starts():
     places = tc.marks(text, found.ids, found.word_ids, found.offsets, 0, 0, len(text))
     assert places and all(text[m["pos"] - 1] == " " and text[m["pos"]] != " " for m in places)
     assert all(tc.MARGIN <= m["pos"] <= len(text) - tc.MARGIN for m in places)
+
+
+def test_words_are_only_cut_where_the_definition_proves_it():
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    assert tc.words_are_independent(tc.tokenizer(PATH))
+    assert not tc.words_are_independent(tc.tokenizer(vocabulary("byte_bpe_50k.json")))
+    for change in ("normalizer", "pre_tokenizer", "special"):
+        other = Tokenizer.from_file(PATH)
+        if change == "normalizer":
+            other.normalizer = normalizers.Strip()
+        elif change == "pre_tokenizer":
+            other.pre_tokenizer = pre_tokenizers.ByteLevel()
+        else:
+            other.add_special_tokens(["a b"])
+        assert not tc.words_are_independent(other)
+
+
+def test_odd_white_space_inside_words():
+    texts = ["a\u00a0b\u2003c", "x\x1cy\x85z", "p\rq\x0br\x0cs", "tab\there", "e \u0301 \n\u0301x", "  <|endoftext|>  <|startoftext|>q ", "İI ß K"]
+    assert tc.TextCounter(PATH)(texts) == [whole(t) for t in texts]
+
+
+def test_the_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(tc, "MEMO_WORDS", 50)
+    count = tc.TextCounter(PATH)
+    for seed in range(20):
+        text = " ".join(f"w{seed}x{i}" for i in range(40))
+        assert count([text, text]) == [whole(text)] * 2 and len(count.words) <= 50 + 40
+
+
+def test_another_tokenizer_is_encoded_whole(make_docs):
+    path = vocabulary("byte_bpe_50k.json")
+    texts = ["two  words", " \n x", prose(9, 1500)]
+    found = tc.token_counts(make_docs(list(enumerate(texts))), path, chunk_chars=2000, overlap_chars=400).collect()
+    tk = tc.tokenizer(path)
+    assert {r["doc_id"]: r["n_tokens"] for r in found} == {i: len(tk.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
