@@ -197,6 +197,12 @@ def test_backfill_slices_clip_the_last(spark):
     assert [(r.slice_start.hour, r.slice_end.hour, r.slice_end.minute) for r in got] == [(0, 4, 0), (4, 8, 0), (8, 9, 30)]
 
 
+def test_long_backfills_have_every_slice_once(spark):
+    bounds = spark.createDataFrame([(datetime(2024, 1, 1), datetime(2024, 12, 31, 5))], "start_time timestamp, end_time timestamp")
+    got = [r.slice_start for r in calendar.backfill_slices(bounds, "1 HOURS").orderBy("slice_start").collect()]
+    assert len(got) == len(set(got)) == 365 * 24 + 5 and got[-1] == datetime(2024, 12, 31, 4)
+
+
 def test_date_dimension(spark):
     bounds = spark.sql("SELECT DATE'2025-12-28' AS first_day, DATE'2026-01-01' AS last_day")
     days = calendar.date_dimension(bounds).orderBy("date").collect()
