@@ -42,23 +42,31 @@ def drift_samples(history: DataFrame, recent: DataFrame, history_rows: int = 100
 def ks_statistic(samples: DataFrame) -> DataFrame:
     """Largest distance of the two empirical distributions per series and feature.
 
-    Ties are summed per value before accumulating.
+    Ties are summed per value before accumulating. Values are range-partitioned within their feature and accumulated
+    range by range, so a sample of any size spreads over the tasks.
     """
     by = [*SERIES, "feature"]
     per_value = samples.groupBy(*by, "value").agg(
         F.count_if(F.col("sample") == "history").alias("h"),
         F.count_if(F.col("sample") == "recent").alias("r"),
     )
+    parts = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(per_value.repartitionByRange(parts, *by, "value").withColumn("_range", F.spark_partition_id()), "ks-ranges")
+    sums = ranged.groupBy(*by, "_range").agg(F.sum("h").alias("rh"), F.sum("r").alias("rr"))  # one row per feature and range
     whole = Window.partitionBy(*by)
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    distances = per_value.select(
-        *by,
-        F.sum("h").over(whole).alias("n_history"), F.sum("r").over(whole).alias("n_recent"),
-        F.sum("h").over(upto).alias("ch"), F.sum("r").over(upto).alias("cr"),
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *by, "_range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"before_{c}") for c in ("rh", "rr")],
+        F.sum("rh").over(whole).alias("n_history"), F.sum("rr").over(whole).alias("n_recent"),
     ).where("n_history > 0 AND n_recent > 0")
-    return distances.groupBy(*by, "n_history", "n_recent").agg(
-        F.max(F.abs(F.col("ch") / F.col("n_history") - F.col("cr") / F.col("n_recent"))).alias("ks_stat")
+    upto = Window.partitionBy(*by, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    distances = (
+        ranged.select(*by, "_range", F.sum("h").over(upto).alias("ch"), F.sum("r").over(upto).alias("cr"))
+        .join(offsets, on=[*by, "_range"])
     )
+    history = (F.col("ch") + F.col("before_rh")) / F.col("n_history")
+    recent = (F.col("cr") + F.col("before_rr")) / F.col("n_recent")
+    return distances.groupBy(*by, "n_history", "n_recent").agg(F.max(F.abs(history - recent)).alias("ks_stat"))
 
 
 def with_asymptotic_p(stats: DataFrame, terms: int = 100) -> DataFrame:

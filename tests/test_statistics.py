@@ -91,6 +91,18 @@ def test_ks_statistic_with_ties(spark):
     assert got.p_value == pytest.approx(brute_force_ks_p(5, 3, want), abs=1e-9)
 
 
+def test_ks_statistic_over_many_ranges(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for feature, shift in (("f", 0.0), ("g", 0.4)):
+        history, recent = rng.normal(size=700).round(2), (rng.normal(size=300) + shift).round(2)
+        rows += [("A", "1h", feature, "history", float(x)) for x in history] + [("A", "1h", feature, "recent", float(x)) for x in recent]
+        want[feature] = max(abs((history <= x).mean() - (recent <= x).mean()) for x in np.concatenate([history, recent]))
+    samples = spark.createDataFrame(rows, "symbol string, interval string, feature string, sample string, value double")
+    got = {r.feature: (r.ks_stat, r.n_history, r.n_recent) for r in drift.ks_statistic(samples).collect()}
+    assert got == {f: (pytest.approx(d), 700, 300) for f, d in want.items()}
+
+
 def test_no_distance_means_p_one(spark):
     rows = [("A", "1h", "f", side, float(x)) for side in ("history", "recent") for x in range(4)]
     samples = spark.createDataFrame(rows, "symbol string, interval string, feature string, sample string, value double")
