@@ -1,7 +1,7 @@
 """Token counts of whole texts; huge texts are encoded in overlapping pieces and spliced.
 
-A text of at most ``chunk_chars`` is encoded in one go, or, where the tokenizer's own definition shows that no token
-crosses a blank, as the sum over its words, each different word encoded once per worker. A longer text is cut into pieces that overlap,
+A text of at most ``whole_chars`` is encoded in one go, or, where the tokenizer's own definition shows that no token
+crosses a blank, as the sum over its words, each different word encoded once per worker. A longer text is cut into pieces of ``piece_chars`` that overlap,
 the pieces are dealt over the cluster, and each is encoded with offsets. Two neighbours are spliced at
 a position that both encodings prove to be a common boundary:
 
@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from kandela.session import materialise
 
-CHUNK_CHARS = 32_768
-OVERLAP_CHARS = 1_024
+WHOLE_CHARS = 32_768
+PIECE_CHARS = 8_192
+OVERLAP_CHARS = 512
 MARGIN = 64
 WITNESS = 4
 WIDEN = 4
@@ -106,21 +107,21 @@ def text_counter(path: str) -> TextCounter:
     return TextCounter(path)
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, chunk_chars: int = CHUNK_CHARS,
-                 overlap_chars: int = OVERLAP_CHARS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, whole_chars: int = WHOLE_CHARS,
+                 piece_chars: int = PIECE_CHARS, overlap_chars: int = OVERLAP_CHARS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column, n_bytes, n_tokens, over_limit``: one row per input row, repeated rows included.
 
     A null text counts as empty (0 tokens), a null id stays null, other columns are not read, so
     their names cannot clash. An empty table gives an empty result. ``tokenizer_path`` must be
     readable on every executor.
     """
-    if not 4 * MARGIN <= overlap_chars < chunk_chars:
-        raise ValueError("overlap_chars must be at least four margins and less than chunk_chars")
+    if not 4 * MARGIN <= overlap_chars < piece_chars:
+        raise ValueError("overlap_chars must be at least four margins and less than piece_chars")
     texts = docs.select(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    short = texts.where(F.char_length("text") <= chunk_chars)
-    long = texts.where(F.char_length("text") > chunk_chars)
+    short = texts.where(F.char_length("text") <= whole_chars)
+    long = texts.where(F.char_length("text") > whole_chars)
     counted = _count_short(short, tokenizer_path, id_column).unionByName(
-        _count_long(long, tokenizer_path, chunk_chars, overlap_chars, id_column))
+        _count_long(long, tokenizer_path, piece_chars, overlap_chars, id_column))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
@@ -143,20 +144,20 @@ def _count_short(texts: DataFrame, path: str, id_column: str) -> DataFrame:
     return texts.select(id_column, F.col("text").cast("binary").alias("raw")).mapInArrow(count, schema)
 
 
-def _count_long(texts: DataFrame, path: str, chunk: int, overlap: int, id_column: str) -> DataFrame:
+def _count_long(texts: DataFrame, path: str, piece: int, overlap: int, id_column: str) -> DataFrame:
     keyed = texts.select(id_column, F.octet_length("text").cast("long").alias("n_bytes"),
                          F.sha2("text", 256).alias("key"), "text")
     pending = keyed.select("key", "text").dropDuplicates(["key"])
     rounds = []
     while True:
-        table = materialise(_splice(pending, path, chunk, overlap), "spliced")
+        table = materialise(_splice(pending, path, piece, overlap), "spliced")
         rounds.append(table.where("n_tokens IS NOT NULL"))
         unaligned = table.where("n_tokens IS NULL").select("key")
         if unaligned.isEmpty():
             break
         pending = pending.join(unaligned, "key", "left_semi")
         overlap *= WIDEN
-        chunk = max(chunk, WIDEN * overlap)
+        piece = max(piece, WIDEN * overlap)
     counts = functools.reduce(DataFrame.unionByName, rounds)
     return keyed.drop("text").join(counts, "key").select(id_column, "n_bytes", "n_tokens")
 
@@ -181,8 +182,10 @@ def _splice(texts: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     mark = pa.struct([("pos", pa.int64()), ("sig", pa.int64()), ("before", pa.int64())])
     arrow_sides = pa.schema([("key", pa.string()), ("pair", pa.int32()), ("is_left", pa.bool_()),
                              ("marks", pa.list_(mark)), ("total", pa.int64())])
+    # A given number, so that few bytes with much work are not gathered into few tasks.
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = (texts.select("key", F.col("text").cast("binary").alias("raw")).mapInArrow(cut, PIECES)
-             .repartition("key", "piece").mapInArrow(encode, SIDES))
+             .repartition(parts, "key", "piece").mapInArrow(encode, SIDES))
     pairs = sides.groupBy("key", "pair").agg(
         F.max(F.when(F.col("is_left"), F.col("marks"))).alias("a"),
         F.max(F.when(~F.col("is_left"), F.col("marks"))).alias("b"), F.max("total").alias("total"))

@@ -25,10 +25,10 @@ CASES = [None, "", " ", "a", prose(1, 900), prose(2, 900), prose(2, 900), "z" *
          "<|startoftext|>" * 400, "word " * 2000, "'s" * 3000, "\u0301" * 4000, prose(3, 300) + "b" * 4000 + prose(4, 300)]
 
 
-@pytest.mark.parametrize("chunk, overlap", [(600, 256), (1500, 300), (32768, 1024)])
-def test_equal_to_whole_encoding(make_docs, chunk, overlap):
+@pytest.mark.parametrize("whole_chars, piece, overlap", [(300, 600, 256), (1500, 1500, 300), (32768, 8192, 512)])
+def test_equal_to_whole_encoding(make_docs, whole_chars, piece, overlap):
     rows = [(i, t) for i, t in enumerate(CASES)] + [(5, CASES[5]), (None, "null id"), (None, CASES[4])]
-    found = tc.token_counts(make_docs(rows), PATH, limit=700, chunk_chars=chunk, overlap_chars=overlap)
+    found = tc.token_counts(make_docs(rows), PATH, limit=700, whole_chars=whole_chars, piece_chars=piece, overlap_chars=overlap)
     want = [(i, len((t or "").encode()), whole(t), whole(t) > 700) for i, t in rows]
     assert rows_of(found, "doc_id", "n_bytes", "n_tokens", "over_limit") == in_order(want)
 
@@ -82,6 +82,6 @@ def test_the_memo_is_bounded(monkeypatch):
 def test_another_tokenizer_is_encoded_whole(make_docs):
     path = vocabulary("byte_bpe_50k.json")
     texts = ["two  words", " \n x", prose(9, 1500)]
-    found = tc.token_counts(make_docs(list(enumerate(texts))), path, chunk_chars=2000, overlap_chars=400).collect()
+    found = tc.token_counts(make_docs(list(enumerate(texts))), path, whole_chars=2000, piece_chars=2000, overlap_chars=400).collect()
     tk = tc.tokenizer(path)
     assert {r["doc_id"]: r["n_tokens"] for r in found} == {i: len(tk.encode(t, add_special_tokens=False)) for i, t in enumerate(texts)}
