@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from kandela.functions.scalars import signal_name
 from kandela.operators.evaluate import best_model, scores, with_row_weights
 from kandela.operators.series import number_rows
+from kandela.operators.store import path_exists
 from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, SCORES, conform
 from kandela.session import materialise, scratch_path
 
@@ -288,7 +289,10 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
 
 
 def read_backtest(spark: SparkSession, root: str) -> DataFrame:
+    """The exported backtests; empty where no symbol had a model."""
     schema = T.StructType([*BACKTEST.fields, T.StructField("symbol", T.StringType())])
+    if not path_exists(spark, f"{root}/backtest"):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).csv(f"{root}/backtest", header=True)
 
 

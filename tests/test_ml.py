@@ -153,6 +153,7 @@ def test_trees_do_not_depend_on_the_input_partitions(table):
 def test_no_series_with_enough_history_gives_no_rows(table):
     none = table.where("false")
     assert ml.train_and_evaluate(none, {"Forest": small_forest}).count() == 0
+    assert ml.read_backtest(none.sparkSession, "/nowhere/at/all").count() == 0
     assert {r.status for r in ml.score_each({})(table).select("status").distinct().collect()} == {"no model"}
 
 
