@@ -278,14 +278,32 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
         _union(scored, spark, SCORES).coalesce(1).write.mode("overwrite").parquet(path)
         for name, model in fitted.items():
             save_model(model, f"{root}/models/{symbol}/{name}")
-        best = best_model(spark.read.schema(SCORES).parquet(path)).first()
-        if best is not None:
-            test = data.test.drop("vector", "scaled", "weight")
-            backtest(fitted[best.model], test).write.mode("overwrite").option("header", True).csv(f"{root}/backtest/symbol={symbol}")
 
-    done = per_symbol(table, work, parallelism)
-    scored = spark.read.schema(SCORES).parquet(f"{root}/scores") if done else spark.createDataFrame([], SCORES)
-    return run_log(scored, horizon, threshold, f"{root}/models")
+    per_symbol(table, work, parallelism)
+    log = run_log(read_scores(spark, root), horizon, threshold, f"{root}/models")
+    export_backtests(table, log, root, parallelism)
+    return log
+
+
+def read_scores(spark: SparkSession, root: str) -> DataFrame:
+    """The scores of a run; empty where no symbol had enough rows."""
+    if not path_exists(spark, f"{root}/scores"):
+        return spark.createDataFrame([], SCORES)
+    return spark.read.schema(SCORES).parquet(f"{root}/scores")
+
+
+def export_backtests(table: DataFrame, log: DataFrame, root: str, parallelism: int = 8) -> None:
+    """Per symbol, the test rows scored by the best model of a run log, as CSV below ``root/backtest``."""
+    best = materialise(best_model(log.withColumnRenamed("model_type", "model")), "best")
+
+    def work(symbol: str) -> None:
+        chosen = best.where(F.col("symbol") == symbol).first()
+        if chosen is not None:
+            test = table.where((F.col("symbol") == symbol) & (F.col("split") == "test")).drop("weight")
+            backtest(load_model(chosen.artifact), test).write.mode("overwrite").option("header", True).csv(
+                f"{root}/backtest/symbol={symbol}")
+
+    per_symbol(table, work, parallelism)
 
 
 def read_backtest(spark: SparkSession, root: str) -> DataFrame:
@@ -300,9 +318,9 @@ def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Es
                        search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
                        parallelism: int = 8) -> DataFrame:
     """(symbol, model, n, accuracy, f1) of every base and tuned model on its symbol's test rows."""
-    log = full_run(table, scratch_path(table.sparkSession, "run"), models, search, draws, parallelism=parallelism)
-    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
-    return conform(log.withColumnRenamed("model_type", "model").join(sizes, on="symbol"), SCORES)
+    root = scratch_path(table.sparkSession, "run")
+    full_run(table, root, models, search, draws, parallelism=parallelism)
+    return read_scores(table.sparkSession, root)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

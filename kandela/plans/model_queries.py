@@ -66,11 +66,6 @@ def logistic_optimum(spark, folder):
     return spark.createDataFrame(ml.per_symbol(table, check), "symbol string, at_optimum boolean")
 
 
-@query("m4_random_forest", _scores_sql("RandomForest_BASE"))
-def random_forest(spark, folder):
-    return _base(spark, folder, "RandomForest")
-
-
 _PROBABILITIES = "true AS valid"
 
 
@@ -127,76 +122,88 @@ def model_sink(spark, folder):
     return spark.createDataFrame(stages, "symbol string, position int, stage string")
 
 
-# The long fits come last. One run trains, tunes, evaluates, stores and logs; it is made once per session and
-# folder, and the queries below each read a part of what it leaves.
-
-RUN_MODELS = tuple(ml.BASE_MODELS)
-RUN_SEARCH = ("RandomForest",)
-RUN_NAMES = [f"{name}_BASE" for name in RUN_MODELS] + [f"{name}_OPT" for name in RUN_SEARCH]
+# The long fits come last. The run is made in parts, each once per session and folder, and the queries read what they left.
 
+PARTS = {
+    "base": (["LogisticRegression", "RandomForest"], []), "boosted-a": (["BoostedTreesA"], []),
+    "boosted-b": (["BoostedTreesB"], []), "tuned": ([], ["RandomForest"])}
+RUN_NAMES = [f"{name}_BASE" for models, _ in PARTS.values() for name in models] + [
+    f"{name}_OPT" for _, tuned in PARTS.values() for name in tuned]
+_ROOTS: dict[tuple[str, str, str], str] = {}
 
-_RUNS: dict[tuple[str, str], tuple] = {}
 
-
-def whole_run(spark, folder):
-    """(features, root, run log) of all base families and the tuned forest: ten draws, three folds."""
-    key = spark.sparkContext.applicationId, folder
-    if key not in _RUNS or not path_exists(spark, f"{_RUNS[key][1]}/runs"):
-        table, root = split_features(spark, folder), scratch_path(spark, "run")
+def run_part(spark, folder, part):
+    """Root folder of one part of the run; a tuned family takes ten draws with three folds."""
+    key = spark.sparkContext.applicationId, folder, part
+    if key not in _ROOTS or not path_exists(spark, f"{_ROOTS[key]}/runs"):
+        root, (models, tuned) = scratch_path(spark, "run"), PARTS[part]
         log = ml.full_run(
-            table, root, {name: ml.BASE_MODELS[name] for name in RUN_MODELS},
-            {name: ml.SEARCH_GRIDS[name] for name in RUN_SEARCH}, horizon=HORIZON, threshold=THRESHOLD)
+            split_features(spark, folder), root, {name: ml.BASE_MODELS[name] for name in models},
+            {name: ml.SEARCH_GRIDS[name] for name in tuned}, horizon=HORIZON, threshold=THRESHOLD)
         ml.append_runs(log, f"{root}/runs")
-        _RUNS[key] = table, root, ml.read_runs(spark, f"{root}/runs")
-    return _RUNS[key]
+        _ROOTS[key] = root
+    return _ROOTS[key]
+
+
+def _part_scores(spark, folder, part):
+    return ml.read_scores(spark, run_part(spark, folder, part))
+
+
+def whole_log(spark, folder):
+    """Every run of every symbol, read from the stored logs."""
+    log = None
+    for part in PARTS:
+        rows = ml.read_runs(spark, f"{run_part(spark, folder, part)}/runs")
+        log = rows if log is None else log.unionByName(rows)
+    return log
+
+
+@query("m4_random_forest", _scores_sql("RandomForest_BASE"))
+def random_forest(spark, folder):
+    return _in_range(_part_scores(spark, folder, "base").where("model = 'RandomForest_BASE'"))
+
+
+@query("m5_boosted_trees_a", _scores_sql("BoostedTreesA_BASE"))
+def boosted_trees_a(spark, folder):
+    return _in_range(_part_scores(spark, folder, "boosted-a"))
+
+
+@query("m6_boosted_trees_b", _scores_sql("BoostedTreesB_BASE"))
+def boosted_trees_b(spark, folder):
+    return _in_range(_part_scores(spark, folder, "boosted-b"))
+
+
+@query("m7_random_search", _scores_sql("RandomForest_OPT"))
+def random_search(spark, folder):
+    """Ten drawn forest settings per symbol with three time folds each, the best refitted."""
+    return _in_range(_part_scores(spark, folder, "tuned"))
 
 
 @query("k10_run_log", f"""{_KEPT} SELECT symbol || '_' || model AS run_name, symbol, model AS model_type, {HORIZON} AS horizon,
   {THRESHOLD}::DOUBLE AS threshold, true AS accuracy_valid, true AS f1_valid, 'models/' || symbol || '/' || model AS artifact
   FROM tests, {_names_sql(RUN_NAMES)}""")
 def run_log(spark, folder):
-    """Every run of every symbol, appended to a stored log, with the place of its model."""
-    _, _, log = whole_run(spark, folder)
+    """Every run of every symbol with the place of its stored model."""
     valid = lambda c: F.col(c).between(0, 1).alias(f"{c}_valid")
-    return log.select(
+    return whole_log(spark, folder).select(
         "run_name", "symbol", "model_type", "horizon", "threshold", valid("accuracy"), valid("f1"),
         F.regexp_extract("artifact", r"models/.*$", 0).alias("artifact"))
 
 
-@query("m8_per_symbol_training", f"{_KEPT} SELECT symbol, n, true AS is_best, true AS known FROM tests")
+@query("m8_per_symbol_training", f"{_KEPT} SELECT symbol, true AS is_best, true AS known FROM tests")
 def per_symbol_training(spark, folder):
     """The best model of every symbol is one of the run's and has its highest F1."""
-    table, _, log = whole_run(spark, folder)
-    scored = materialise(log.withColumnRenamed("model_type", "model"), "log")
+    scored = materialise(whole_log(spark, folder).withColumnRenamed("model_type", "model"), "log")
     top = scored.groupBy("symbol").agg(F.max("f1").alias("top"))
-    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
-    return ev.best_model(scored).join(top, on="symbol").join(sizes, on="symbol").select(
-        "symbol", "n", (F.col("f1") == F.col("top")).alias("is_best"), F.col("model").isin(*RUN_NAMES).alias("known"))
+    return ev.best_model(scored).join(top, on="symbol").select(
+        "symbol", (F.col("f1") == F.col("top")).alias("is_best"), F.col("model").isin(*RUN_NAMES).alias("known"))
 
 
 @query("m10_backtest_export", f"""{_KEPT} SELECT symbol, open_time AS datetime, round(close, 6) AS close, target, true AS valid
   FROM kept WHERE split = 'test'""")
 def backtest_export(spark, folder):
-    """One CSV folder per symbol with the test rows scored by its best model."""
-    _, root, _ = whole_run(spark, folder)
+    """One CSV folder per symbol with the test rows scored by the best model of the whole run, loaded from its place."""
+    root = scratch_path(spark, "backtests")
+    ml.export_backtests(split_features(spark, folder), whole_log(spark, folder), root)
     sane = F.col("proba").between(0, 1) & F.col("prediction").isin(0, 1)
     return ml.read_backtest(spark, root).select("symbol", "datetime", "close", "target", sane.alias("valid"))
-
-
-@query("m7_random_search", _scores_sql("RandomForest_BASE", "RandomForest_OPT"))
-def random_search(spark, folder):
-    """Ten drawn forest settings per symbol with three time folds each, against the untuned forest."""
-    table, _, log = whole_run(spark, folder)
-    sizes = table.where("split = 'test'").groupBy("symbol").agg(F.count("*").alias("n"))
-    forests = log.where(F.col("model_type").isin("RandomForest_BASE", "RandomForest_OPT"))
-    return _in_range(forests.withColumnRenamed("model_type", "model").join(sizes, on="symbol"))
-
-
-@query("m5_boosted_trees_a", _scores_sql("BoostedTreesA_BASE"))
-def boosted_trees_a(spark, folder):
-    return _base(spark, folder, "BoostedTreesA")
-
-
-@query("m6_boosted_trees_b", _scores_sql("BoostedTreesB_BASE"))
-def boosted_trees_b(spark, folder):
-    return _base(spark, folder, "BoostedTreesB")
