@@ -347,8 +347,8 @@ def test_historical_reads_the_newest_months_only(spark, candles):
 
 def test_load_is_repeatable_and_touches_its_folders_only(spark, candles):
     root, rows = scratch_path(spark, "base"), candles([float(i) for i in range(90)], interval="1d")
-    bad = rows.limit(2).withColumn("interval", F.lit("2d")).unionByName(rows.limit(3).withColumn("close", F.lit(None).cast("double")))
-    rejected = store.load_candles(root, rows.unionByName(rows.limit(7)).unionByName(bad))
+    bad = rows.where("volume < 2").withColumn("interval", F.lit("2d")).unionByName(rows.where("volume < 3").withColumn("close", F.lit(None).cast("double")))
+    rejected = store.load_candles(root, rows.unionByName(rows.where("volume < 7")).unionByName(bad))
     assert {(r.reason, r["count"]) for r in rejected.groupBy("reason").count().collect()} == {("unknown interval", 2), ("missing field", 3)}
     table = lambda: store.read_klines(spark, f"{root}/klines")
     files = lambda month: {r.f for r in table().where(F.col("month") == month).select(F.input_file_name().alias("f")).collect()}
@@ -371,7 +371,7 @@ def test_constraint_report_counts_violations(spark, candles):
     rows = candles([1.0, 2.0])
     symbols, intervals = store.build_dimensions(spark, rows)
     klines = store.as_klines(store.resolve_ids(rows, symbols, intervals)[0])
-    broken = klines.unionByName(klines.limit(1)).withColumn("close", F.when(F.col("close") == 2.0, None).otherwise(F.col("close")))
+    broken = klines.unionByName(klines.where("close = 1.0")).withColumn("close", F.when(F.col("close") == 2.0, None).otherwise(F.col("close")))
     found = {(r.table, r.constraint): r.violations for r in store.constraint_report(broken, symbols.where("false"), intervals).collect()}
     assert found["klines", "primary key klines_id"] == 1 and found["klines", "not null"] == 1
     assert found["klines", "foreign key symbol_id"] == 3 and found["klines", "foreign key interval_id"] == 0
