@@ -36,10 +36,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item; rows that share the id of a leaking one go with it."""
+    """Documents that leak no benchmark item; rows that share the id of a leaking one but not its text stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaking = decontaminate.benchmark_leaks(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    keyed = docs.withColumn("_text_key", F.xxhash64(or_empty(F.col("text"))))
+    leaking = decontaminate.benchmark_leaks(keyed, benchmark, carry=("_text_key",)).select(
+        F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key")).distinct()
+    clean = keyed.join(leaking, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_anti")
+    return clean.select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -233,8 +233,8 @@ def leaks_of(index: Index, text: bytes, numbers: np.ndarray, passages: list[int]
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shard_bytes: int = SHARD_BYTES,
                     id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id",
-                    question_column: str = "text", answer_column: str | None = None) -> DataFrame:
-    """``id, item_id, bm25, overlap, question_overlap, answer_overlap``: one row per document row and leaked item.
+                    question_column: str = "text", answer_column: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``id, item_id, bm25, overlap, question_overlap, answer_overlap`` and ``carry``: one row per document row and leaked item.
 
     Without an answer column the first half of the item's words counts as question, the rest as answer.
     Null texts count as empty; items without words leak nowhere; repeated rows are reported each; ids may
@@ -262,12 +262,12 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
         seen = {t for _, q, a in rows for t in q + a}
         frequency = _frequencies(terms, seen)
         index = Index(rows, frequency, segments, length / segments)
-        found.append(_search(docs, index, threshold, id_column, text_column, items.schema["item"].dataType, item_column))
+        found.append(_search(docs, index, threshold, id_column, text_column, items.schema["item"].dataType, item_column, carry))
         if shards > 1:
             found[-1] = materialise(found[-1], "leaks")
     if not found:
         empty = Index([], {}, 0, 1.0)
-        return _search(docs, empty, threshold, id_column, text_column, items.schema["item"].dataType, item_column)
+        return _search(docs, empty, threshold, id_column, text_column, items.schema["item"].dataType, item_column, carry)
     for more in found[1:]:
         found[0] = found[0].unionByName(more)
     return found[0]
@@ -300,26 +300,27 @@ def _frequencies(terms: DataFrame, seen: set[bytes]) -> dict[bytes, int]:
 
 
 def _search(docs: DataFrame, index: Index, threshold: float, id_column: str, text_column: str, item_type: T.DataType,
-            item_column: str) -> DataFrame:
+            item_column: str, carry: tuple[str, ...]) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(index)
     schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), T.StructField(item_column, item_type),
-                           *[T.StructField(c, T.DoubleType()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")]])
+                           *[T.StructField(c, T.DoubleType()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")],
+                           *[docs.schema[c] for c in carry]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, rows = held.value, []
         for batch in batches:
-            ids, texts = batch.column(id_column), batch.column("raw")
+            ids, texts, carried = batch.column(id_column), batch.column("raw"), batch.columns[1:-1]
             for low in range(0, batch.num_rows, 256):
                 part = [texts[i].as_py() for i in range(low, min(low + 256, batch.num_rows))]
                 for k, found in _batch_leaks(index, part, threshold):
                     item, *figures = found
-                    rows.append([ids[low + k].as_py(), index.items[item][0], *figures])
+                    rows.append([ids[low + k].as_py(), index.items[item][0], *figures, *[c[low + k].as_py() for c in carried]])
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [ids.type, None, *[pa.float64()] * 4])], names=schema.names)
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [ids.type, None, *[pa.float64()] * 4, *[c.type for c in carried]])], names=schema.names)
                 rows = []
 
-    return docs.select(id_column, or_empty(F.col(text_column)).cast("binary").alias("raw")).mapInArrow(run, schema)
+    return docs.select(id_column, *carry, or_empty(F.col(text_column)).cast("binary").alias("raw")).mapInArrow(run, schema)
 
 
 def _batch_leaks(index: Index, texts: list[bytes], threshold: float) -> Iterator[tuple[int, tuple]]:

@@ -141,3 +141,10 @@ def test_stages_take_odd_and_empty_tables(spark, make_docs, stage):
         docs = make_docs(rows, clash=False).withColumn("lang", F.lit(None).cast("string"))
         found = stage(spark, docs, FOLDER)
         assert set(docs.columns) <= set(found.columns) and found.count() <= len(rows)
+
+
+def test_clean_rows_stay_beside_leaking_ones_of_their_id(spark, make_docs):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first()["text"]
+    rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (7, item), (7, "another clean text"), (7, item), (8, item)]
+    found = corpus_pipeline.without_benchmark(spark, make_docs(rows, clash=False), FOLDER)
+    assert rows_of(found, "doc_id", "text") == in_order([(None, "a clean text"), (None, None), (7, "another clean text")])
