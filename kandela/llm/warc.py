@@ -24,7 +24,11 @@ NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:kandela:warc")
 HTTP_HEADERS = (("Content-Type", "text/html; charset=utf-8"),)
 TYPES = ("response", "metadata", "conversion")
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_OPENING = re.compile(r"<!--|<(script|style|noscript|template|svg)(?=[\s/>]|\Z)", re.I)
+_COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")
+_TAG_STEP = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')|>""")
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "noscript", "template", "svg")}
+_RAW = ("script", "style")
 _BLOCK = re.compile(
     r"</?(?:p|div|br|hr|h[1-6]|li|ul|ol|tr|table|td|th|section|article|header|footer|nav|main|aside|blockquote|pre|form|title|"
     r"figure|figcaption|dl|dt|dd|body|html|head)\b[^>]*>", re.I)
@@ -33,9 +37,46 @@ _SPACES = re.compile(r"[ \t\r\f\v ]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` ends; a ``>`` in a quoted value does not end it, -1 without an end."""
+    for step in _TAG_STEP.finditer(page, at):
+        if step[0] == ">":
+            return step.end()
+    return -1
+
+
+def without_hidden(page: str) -> str:
+    """The page with a blank for every comment and every script, style, noscript, template and svg element.
+
+    Comments, scripts and styles without an end run to the end of the page, as in HTML; of the others only the tag goes
+    then, as of ``<svg .../>``. A tag name ends at a blank, ``/`` or ``>``, so custom elements such as ``<svg-icon>`` stay.
+    One pass: what was looked for in vain once is not looked for again.
+    """
+    out, at, unended, quotes = [], 0, set(), True
+    while opening := _OPENING.search(page, at):
+        out += [page[at:opening.start()], " "]
+        if opening[1] is None:
+            end = _COMMENT_END.search(page, opening.end())
+            at = end.end() if end else len(page)
+            continue
+        name, at = opening[1].lower(), _tag_end(page, opening.end()) if quotes else -1
+        if at < 0:  # no end outside quotes: quotes do not count from here on
+            quotes, at = False, page.find(">", opening.end()) + 1 or len(page)
+        if name == "svg" and page.endswith("/>", opening.end(), at) or name in unended:
+            continue
+        end = _ENDS[name].search(page, at)
+        if end:
+            at = end.end()
+        elif name in _RAW:
+            at = len(page)
+        else:
+            unended.add(name)
+    return "".join([*out, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """Visible text: scripts, styles and comments go, block elements end lines, entities are resolved once."""
-    page = _DROPPED.sub(" ", page.replace("\n", " "))
+    page = without_hidden(page.replace("\n", " "))
     text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", page)))
     return _LINES.sub("\n", _SPACES.sub(" ", text)).strip()
 

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from brute import rows_of
 
 from kandela.llm import warc
@@ -19,6 +20,25 @@ def test_plain_text():
     assert len(warc.plain_text("<p>word</p>" * 100_000)) == 5 * 100_000 - 1
 
 
+@pytest.mark.parametrize("between", [
+    '<svg-icon name="x"></svg-icon>', "<template-card></template-card>", "<style-guide/>", "<script-x>", '<svg class="i"/>', "<svg/>",
+    '<svg title="a>b"/>', "<svg>", "<noscript>", "<template>", '<svg class="i>', "<!-->", "<!--->", "<!-- x --!>", "<!-- <svg> -->",
+    "<svg><text>no</text></svg >", "<script>no</script x>", "<SVG>no</svg>", '<svg title="/>">no</svg>', "<style>no</styles></style>"])
+def test_nothing_after_a_dropped_element_is_lost(between):
+    assert warc.plain_text(f"<p>one</p>{between}<p>two</p>") == "one\ntwo"
+
+
+def test_unended_scripts_styles_and_comments_run_to_the_end():
+    for page in ("one<script>two", "one<style>two</style-guide>", "one<!-- two ->", "one<script", "one<svg a='b"):
+        assert warc.plain_text(page) == "one"
+
+
+def test_unended_elements_take_one_pass():
+    n = 40_000
+    for part in ("<svg>", "<template><noscript>", '<svg a=">" ', "<svg a='", "<svg/>", "<svg", "<!-->"):
+        assert warc.plain_text("one " + part * n + "> <p>two</p>").startswith("one")
+
+
 def test_records_round_trip_and_refer_to_their_response(spark):
     rows = [(1, "http://a.example/x", PAGE), (2, "http://a.example/\r\nX-Evil: 1", "é"), (3, None, None), (None, "http://b.example/", ""), (1, "http://a.example/x", PAGE)]
     found = warc.derived_records(pages(spark, rows)).collect()
