@@ -1,15 +1,19 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by source and exact size, so what follows works on counts, not documents. A source whose
-target is ``q`` times its size and a rest takes every document ``q`` times; the rest is met per size: an
-equal share of every size's documents up to the last ``KNAPSACK_BUDGET`` words, and for these a bounded knapsack
-over the counts still free (dynamic programming on reachable sums, as bits of one number).
+target is ``q`` times its size and a rest takes every document ``q`` times; the rest is met per size by a
+bounded knapsack over the counts (dynamic programming on reachable sums, as bits of one number), over what is to be left
+out where that is less than what is to be taken. A source of at most ``FEW_DOCUMENTS`` goes through it whole. For others an
+equal share of every size's documents comes first, up to the last ``KNAPSACK_BUDGET`` words or four of the source's
+largest documents, whichever is more.
 Which documents of a size are taken is a seeded order: ranges of a hash hold about ``ROWS_PER_RANGE`` documents, whole
 ranges are taken by their counts and only the one in which the number runs out is ranked.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -21,6 +25,7 @@ MOST_REPEATS = 3
 SEED = 17
 ROWS_PER_RANGE = 256
 KNAPSACK_BUDGET = 1 << 16
+FEW_DOCUMENTS = 256
 
 
 def word_count(text):
@@ -66,49 +71,74 @@ def _in_order(sources: DataFrame) -> DataFrame:
 def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
     """How many documents to take per size so that their sizes come as near to ``budget`` as can be found, not above it.
 
-    Up to ``KNAPSACK_BUDGET`` words the sum is the best there is.
+    The sum is the best there is where a source has at most ``FEW_DOCUMENTS`` documents with words, whatever their sizes,
+    or where the words to take or those to leave out are at most ``KNAPSACK_BUDGET`` or four of the largest documents.
     """
     sizes = sorted((s for s, n in counts.items() if s > 0 and n > 0), reverse=True)
     total = sum(s * counts[s] for s in sizes)
     budget = min(budget, total)
     if budget <= 0:
         return {}
-    taken = {s: counts[s] * max(0, budget - KNAPSACK_BUDGET) // total for s in sizes}
-    left = budget - sum(s * k for s, k in taken.items())
-    for reserve in (KNAPSACK_BUDGET, 0):
-        for s in sizes:
-            if left > 2 * KNAPSACK_BUDGET or reserve and left > reserve:
-                more = min(counts[s] - taken[s], (left - reserve) // s)
-                taken[s] += more
-                left -= more * s
-    left = _knapsack(sizes, counts, taken, min(left, 2 * KNAPSACK_BUDGET)) if left else 0
+    if 2 * budget <= total:
+        taken = _choose(sizes, counts, total, budget, above=False)
+    else:
+        left_out = _choose(sizes, counts, total, total - budget, above=True)
+        taken = {s: counts[s] - k for s, k in left_out.items()}
     return {s: k for s, k in taken.items() if k}
 
 
-def _knapsack(sizes: list[int], counts: dict[int, int], taken: dict[int, int], budget: int) -> int:
-    """Adds to ``taken`` the multiset of free documents with the largest sum up to ``budget``; gives what is left."""
-    within, reach, steps = (1 << (budget + 1)) - 1, 1, []
+def _choose(sizes: list[int], counts: dict[int, int], total: int, goal: int, above: bool) -> dict[int, int]:
+    """Documents per size with a sum near ``goal``: the largest up to it or, ``above``, the smallest from it on."""
+    few = sum(counts[s] for s in sizes) <= FEW_DOCUMENTS
+    window = goal if few else max(KNAPSACK_BUDGET, 4 * sizes[0])
+    chosen = {s: counts[s] * max(0, goal - window) // total for s in sizes}
+    left = goal - sum(s * k for s, k in chosen.items())
+    for s in sizes:
+        if left > window:
+            more = min(counts[s] - chosen[s], (left - window) // s)
+            chosen[s] += more
+            left -= more * s
+    _knapsack(sizes, counts, chosen, left, above)
+    return chosen
+
+
+def _knapsack(sizes: list[int], counts: dict[int, int], chosen: dict[int, int], goal: int, above: bool) -> None:
+    """Adds to ``chosen`` the multiset of free documents with the largest sum up to ``goal``, or the smallest from it on.
+
+    Reachable sums are kept for every k-th step only and made again between them, so memory grows with the root of the steps.
+    """
+    if goal <= 0:
+        return
+    within, steps = (1 << (goal + 1 + (sizes[0] if above else 0))) - 1, []
     for s in sizes:
-        free, block = min(counts[s] - taken[s], budget // s), 1
+        free, block = min(counts[s] - chosen[s], goal // s + above), 1
         while free > 0:
             block = min(block, free)
-            grown = (reach | reach << (s * block)) & within
-            if grown != reach:
-                steps.append((s, block, reach))
-                reach = grown
+            steps.append((s, block))
             free -= block
             block *= 2
-            if reach >> budget & 1:
-                break
-        if reach >> budget & 1:
+    every, reach, kept, done = math.isqrt(len(steps)) + 1, 1, [], 0
+    for s, block in steps:
+        if done % every == 0:
+            kept.append(reach)
+        reach = (reach | reach << (s * block)) & within
+        done += 1
+        if reach >> goal & 1:
             break
-    best = reach.bit_length() - 1
-    at = best
-    for s, block, before in reversed(steps):
-        if not before >> at & 1:
-            taken[s] += block
-            at -= s * block
-    return budget - best
+    if above:
+        beyond = reach >> goal
+        at = goal + (beyond & -beyond).bit_length() - 1
+    else:
+        at = reach.bit_length() - 1
+    while kept:
+        first, before = (len(kept) - 1) * every, [kept.pop()]
+        part = steps[first:min(first + every, done)]
+        for s, block in part[:-1]:
+            before.append((before[-1] | before[-1] << (s * block)) & within)
+        for (s, block), reach in zip(reversed(part), reversed(before)):
+            if not reach >> at & 1:
+                chosen[s] += block
+                at -= s * block
 
 
 def _plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:

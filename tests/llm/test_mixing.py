@@ -31,6 +31,30 @@ def test_fit_of_large_budgets():
     assert mixing.fit({}, 5) == {} and mixing.fit({7: 3}, 6) == {} and mixing.fit({0: 9}, 3) == {}
 
 
+def test_fit_of_large_documents():
+    assert mixing.fit({120_000: 1, 100_000: 1, 90_000: 1}, 190_000) == {100_000: 1, 90_000: 1}
+    assert mixing.fit({700_000: 1, 600_000: 1, 500_000: 1}, 1_100_000) == {600_000: 1, 500_000: 1}
+    rng = random.Random(10)
+    for n, most in ((3, 2), (8, 1), (30, 1), (100, 3)):
+        counts = {rng.randint(70_000, 700_000): rng.randint(1, most) for _ in range(n)}
+        sizes = [s for s, k in counts.items() for _ in range(k)]
+        for budget in (rng.randint(0, sum(sizes) - 1), sum(sizes) // 2, sum(sizes) - 190_000):
+            taken = mixing.fit(counts, budget)
+            assert all(0 < k <= counts[s] for s, k in taken.items())
+            assert sum(s * k for s, k in taken.items()) == brute.best_mix(sizes, budget)
+
+
+def test_fit_of_many_large_documents():
+    rng = random.Random(11)
+    counts = Counter(rng.randint(70_000, 700_000) for _ in range(2 * mixing.FEW_DOCUMENTS))
+    total = sum(s * n for s, n in counts.items())
+    for share in (0.01, 0.3, 0.5, 0.8, 0.99):
+        taken = mixing.fit(counts, int(total * share))
+        assert all(0 < k <= counts[s] for s, k in taken.items())
+        assert sum(s * k for s, k in taken.items()) == int(total * share)
+    assert sum(s * k for s, k in mixing.fit({**counts, 5_000_000: 1}, total // 3).items()) == total // 3
+
+
 def documents():
     rng = random.Random(3)
     sources = ["b", "a", "é", "Z", None, "", "𝒳", "tiny"]
