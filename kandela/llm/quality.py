@@ -7,7 +7,9 @@ has seen, turns it into a probability. Blocks make the score independent of a te
 texts are read, and nothing but the text enters a score.
 
 The fit is on a bounded sample: per label and part (dictionary, calibration) the ``sample_rows`` labelled rows first in a
-seeded order, those above ``sample_bytes`` left out. That is at most 4 * sample_rows * sample_bytes on the driver.
+seeded order among those of at most ``sample_bytes``. Where most texts of a label and part are longer, the longer ones follow
+by length while all together hold at most sample_rows * sample_bytes; if even the shortest is above that, it comes alone.
+Without such a text that is at most 4 * sample_rows * sample_bytes on the driver.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from kandela.llm.text import or_empty
+from kandela.session import materialise
 
 DICTIONARY_BYTES = 112_640
 BLOCK_BYTES = 512
@@ -104,16 +107,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, samp
 
     With one label only, or none, every score is that label's share (0.5 without labels).
     """
-    id_ = F.col(id_column)
-    known = (labels.where(id_.isNotNull() & F.col(label_column).isin(0, 1)).groupBy(id_column)
-             .agg(F.max(label_column).alias("label")).join(docs.select(id_column).distinct(), id_column, "left_semi")
-             .withColumn("turn", F.xxhash64(F.lit(SEED), id_)).withColumn("part", F.pmod(F.xxhash64(F.lit(SEED + 1), id_), F.lit(2))))
-    chosen = functools.reduce(DataFrame.unionByName, [
-        known.where((F.col("label") == label) & (F.col("part") == part)).orderBy("turn").limit(sample_rows)
+    id_, text = F.col(id_column), or_empty(F.col(text_column))
+    lengths = docs.groupBy(id_column).agg(F.min(F.octet_length(text)).alias("bytes"))  # of a repeated id the shortest text
+    known = materialise(
+        labels.where(id_.isNotNull() & F.col(label_column).isin(0, 1)).groupBy(id_column)
+        .agg(F.max(label_column).alias("label")).join(lengths, id_column)
+        .withColumn("turn", F.xxhash64(F.lit(SEED), id_)).withColumn("part", F.pmod(F.xxhash64(F.lit(SEED + 1), id_), F.lit(2))), "known")
+    order = [F.greatest(F.col("bytes"), F.lit(sample_bytes)), F.col("turn")]
+    short = F.col("bytes") <= sample_bytes
+    counts = {(r["label"], r["part"]): (r["n"], r["short"]) for r in known.groupBy("label", "part").agg(
+        F.count("*").alias("n"), F.count_if(short).alias("short")).collect()}  # at most four rows
+    mostly_short = lambda n, short: 2 * short >= n
+    first = functools.reduce(DataFrame.unionByName, [
+        known.where((F.col("label") == label) & (F.col("part") == part))
+        .where(short if mostly_short(*counts.get((label, part), (0, 0))) else F.lit(True)).orderBy(*order).limit(sample_rows)
         for label in (0, 1) for part in (0, 1)])
-    text = or_empty(F.col(text_column))
-    rows = (docs.where(F.octet_length(text) <= sample_bytes).select(id_column, text.cast("binary").alias("raw"))
+    before = F.sum(F.col("bytes").cast("long")).over(
+        Window.partitionBy("label", "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))  # sample_rows rows each
+    chosen = first.withColumn("before", before).where(
+        F.col("before").isNull() | (F.col("before") + F.col("bytes") <= sample_rows * sample_bytes)).drop("before")
+    rows = (docs.select(id_column, text.cast("binary").alias("raw"))
             .join(F.broadcast(chosen), id_column)  # at most 4 * sample_rows small rows
+            .where(F.octet_length("raw") == F.col("bytes"))
             .dropDuplicates([id_column]).orderBy("part", "turn").collect())
     share = {0: [], 1: []}
     for r in rows:
@@ -128,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, samp
     texts, truth = [t for t, _ in seen], np.array([label for _, label in seen], float)
     found = differences(good, bad, texts)
     # The sample holds as many rows of either label as it can; the mean and the offset go by the labels' real shares.
-    prior = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    prior = {label: sum(n for (of, _), (n, _) in counts.items() if of == label) for label in (0, 1)}
     by_byte = np.array([x / max(len(t), 1) for t, x in zip(texts, found)])
     mean = sum(prior[label] * by_byte[truth == label].mean() for label in (0, 1)) / sum(prior.values())
     slope, offset = calibrate(np.array(shrink(texts, found, mean)), truth)

@@ -42,6 +42,25 @@ def test_only_the_text_counts_and_edge_rows(spark, make_docs):
         assert texts.setdefault(r["text"], r["score"]) == r["score"]
 
 
+def test_labels_with_long_texts_only_still_train(spark, make_docs):
+    good, bad = "a calm and useful sentence about rivers. ", "BUY!!! $$$ ### "
+    rows = [(i, good * 900 if i % 2 else bad * (5 + i % 7)) for i in range(40)] + [(100, good * 9), (101, bad * 9)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], LABELS)
+    by_id = {r["doc_id"]: r["score"] for r in quality.score(make_docs(rows), quality.fit(make_docs(rows), labels)).collect()}
+    assert by_id[100] > 0.7 > 0.3 > by_id[101]
+
+
+@pytest.mark.parametrize("some_short, rows", [(True, 4), (False, 1)])
+def test_long_texts_do_not_use_up_the_sample(spark, make_docs, monkeypatch, some_short, rows):
+    """Six texts in eight are short, or none; 400 bytes have room for one long text."""
+    docs = make_docs([(i, f"{i} " + "x" * (5 if some_short and i % 8 < 6 else 210)) for i in range(200)])
+    labels, seen = spark.createDataFrame([(i, i // 8 % 2, 0) for i in range(200)], LABELS), []
+    trained = quality.train_dictionary
+    monkeypatch.setattr(quality, "train_dictionary", lambda texts: seen.append(texts) or trained(texts))
+    quality.fit(docs, labels, sample_rows=4, sample_bytes=100)
+    assert len(seen) == 2 and all(len(texts) == rows and (max(map(len, texts)) <= 100) == some_short for texts in seen)
+
+
 @pytest.mark.parametrize("labels, share", [([], 0.5), ([(1, 1, 0), (2, 1, 0)], 0.999), ([(1, 0, 0)], 0.001)])
 def test_without_both_labels_the_share_is_the_score(spark, make_docs, labels, share):
     docs = make_docs([(1, "one"), (2, "two"), (3, None)])
