@@ -11,7 +11,9 @@ Before that a whole batch of passages is bounded at once: rare terms are added u
 and segment, frequent terms by their presence. A passage whose bound stays below the threshold for every segment
 could not retrieve anything and is not queried one by one; nothing else is skipped.
 
-The index is broadcast in shards of at most ``shard_bytes`` of item text, however large the benchmark is.
+Each different item text is indexed once and its leaks are joined back to the ids of all items that hold it. The index is
+broadcast in shards of at most ``shard_bytes`` of text, however large the benchmark is and however often an item repeats;
+hash buckets of about 1/``BUCKETS_PER_SHARD`` of that are packed into shards, so only a bucket with a longer text is larger.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ SHINGLE = 5
 OVERLAP = 0.8
 PART_OVERLAP = 0.5
 SHARD_BYTES = 8 << 20
+BUCKETS_PER_SHARD = 64
 K1, B = 1.2, 0.75
 POSTINGS_PER_BLOCK = 64
 SEGMENTS_PER_MATRIX = 1024
@@ -241,36 +244,57 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     be null. An empty documents or benchmark table gives an empty result. Other columns are not read.
     """
     answer = or_empty(F.col(answer_column)) if answer_column else F.lit(None).cast("string")
-    items = materialise(benchmark.select(
+    items = benchmark.select(
         F.col(item_column).alias("item"), or_empty(F.col(question_column)).cast("binary").alias("question"),
-        answer.cast("binary").alias("answer")), "items")
+        answer.cast("binary").alias("answer"))
+    split = F.octet_length("question").cast("string").cast("binary")  # tells apart where the question ends
+    items = materialise(items.withColumn("key", F.sha2(F.concat(
+        split, F.lit(b" "), "question", F.coalesce("answer", F.lit(b""))), 256)), "items")
     size = F.octet_length("question") + F.coalesce(F.octet_length("answer"), F.lit(0)) + 64
-    total = items.agg(F.sum(size)).first()[0] or 0
-    shards = max(1, math.ceil(total / shard_bytes * 1.25))
+    texts = items.select("key", "question", "answer", size.cast("long").alias("size")).dropDuplicates(["key"])
+    total = texts.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, math.ceil(total / shard_bytes)) * BUCKETS_PER_SHARD
+    texts = materialise(texts.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))), "texts")
+    held = {r["bucket"]: r["held"] for r in texts.groupBy("bucket").agg(F.sum("size").alias("held")).collect()}
     terms = items.mapInArrow(_segment_terms, "term binary, length long").groupBy("term").agg(
         F.count("*").alias("df"), F.sum("length").alias("length"))
     terms = materialise(terms, "terms")
     whole = {r["term"]: r for r in terms.where(F.octet_length("term") == 0).collect()}.get(b"")
     segments, length = (whole["df"], whole["length"]) if whole else (0, 0)
     found = []
-    for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("question", "answer"), F.lit(shards)) == shard)
-        rows = [item_parts(r) for r in part.collect()]  # at most about shard_bytes of text
+    shards = pack(held, shard_bytes)
+    for low, high in shards:
+        part = texts.where(F.col("bucket").between(low, high)).select(F.col("key").alias("item"), "question", "answer")
+        rows = [item_parts(r) for r in part.collect()]  # at most shard_bytes, or one bucket with a longer text
         rows = [r for r in rows if r[1] or r[2]]
         if not rows:
             continue
         seen = {t for _, q, a in rows for t in q + a}
         frequency = _frequencies(terms, seen)
         index = Index(rows, frequency, segments, length / segments)
-        found.append(_search(docs, index, threshold, id_column, text_column, items.schema["item"].dataType, item_column, carry))
-        if shards > 1:
+        found.append(_search(docs, index, threshold, id_column, text_column, carry))
+        if len(shards) > 1:
             found[-1] = materialise(found[-1], "leaks")
     if not found:
-        empty = Index([], {}, 0, 1.0)
-        return _search(docs, empty, threshold, id_column, text_column, items.schema["item"].dataType, item_column, carry)
+        found = [_search(docs, Index([], {}, 0, 1.0), threshold, id_column, text_column, carry)]
     for more in found[1:]:
         found[0] = found[0].unionByName(more)
-    return found[0]
+    ids = items.select(F.col("key").alias("_item_key"), F.col("item").alias(item_column))
+    return found[0].join(ids, "_item_key").select(
+        id_column, item_column, "bm25", "overlap", "question_overlap", "answer_overlap", *carry)
+
+
+def pack(held: dict[int, int], most: int) -> list[tuple[int, int]]:
+    """Runs of buckets (first, last) that hold at most ``most`` together; a bucket above that is a run of its own."""
+    runs, room = [], 0
+    for bucket in sorted(held):
+        if runs and held[bucket] <= room:
+            runs[-1] = (runs[-1][0], bucket)
+            room -= held[bucket]
+        else:
+            runs.append((bucket, bucket))
+            room = most - held[bucket]
+    return runs
 
 
 def item_parts(row) -> tuple[object, list[bytes], list[bytes]]:
@@ -299,10 +323,11 @@ def _frequencies(terms: DataFrame, seen: set[bytes]) -> dict[bytes, int]:
     return {bytes(r["term"]): r["df"] for r in terms.join(wanted, "term").select("term", "df").collect()}
 
 
-def _search(docs: DataFrame, index: Index, threshold: float, id_column: str, text_column: str, item_type: T.DataType,
-            item_column: str, carry: tuple[str, ...]) -> DataFrame:
+def _search(docs: DataFrame, index: Index, threshold: float, id_column: str, text_column: str,
+            carry: tuple[str, ...]) -> DataFrame:
+    """Leaks by ``_item_key``, the key of an indexed text."""
     held = docs.sparkSession.sparkContext.broadcast(index)
-    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), T.StructField(item_column, item_type),
+    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("_item_key", T.StringType()),
                            *[T.StructField(c, T.DoubleType()) for c in ("bm25", "overlap", "question_overlap", "answer_overlap")],
                            *[docs.schema[c] for c in carry]])
 
@@ -317,7 +342,7 @@ def _search(docs: DataFrame, index: Index, threshold: float, id_column: str, tex
                     rows.append([ids[low + k].as_py(), index.items[item][0], *figures, *[c[low + k].as_py() for c in carried]])
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), [ids.type, None, *[pa.float64()] * 4, *[c.type for c in carried]])], names=schema.names)
+                    [pa.array(c, t) for c, t in zip(zip(*rows), [ids.type, pa.string(), *[pa.float64()] * 4, *[c.type for c in carried]])], names=schema.names)
                 rows = []
 
     return docs.select(id_column, *carry, or_empty(F.col(text_column)).cast("binary").alias("raw")).mapInArrow(run, schema)

@@ -95,6 +95,27 @@ def test_against_all_pairs(spark, make_docs, shard_bytes):
     assert rows_of(found, "doc_id", "item_id") == brute_leaks(items, rows)
 
 
+@pytest.mark.parametrize("shard_bytes", [8 << 20, 4000])
+def test_repeated_items_are_indexed_once(spark, make_docs, monkeypatch, shard_bytes):
+    items, rows = documents()
+    repeated = [(i, t) for i, t in enumerate(items)] + [(100 + i, items[4]) for i in range(60)] + [(4, items[4]), (None, items[4])]
+    sizes, built = [], dc.Index.__init__
+    monkeypatch.setattr(dc.Index, "__init__", lambda self, items, *rest: sizes.append(
+        [sum(len(w) + 1 for w in q + a) for _, q, a in items]) or built(self, items, *rest))
+    benchmark = spark.createDataFrame([(i, t, None, None) for i, t in repeated], ITEMS)
+    found = dc.benchmark_leaks(make_docs(rows), benchmark, shard_bytes=shard_bytes)
+    leaks = brute_leaks(items, rows)
+    assert rows_of(found, "doc_id", "item_id") == in_order([(d, i) for d, k in leaks for i, t in repeated if t == items[k]])
+    assert sum(map(len, sizes)) == len(items) and all(sum(s) <= shard_bytes or len(s) == 1 for s in sizes)
+
+
+def test_packed_shards_keep_the_bound():
+    held = {i: 1 + i * 37 % 90 for i in range(500)} | {77: 1000, 499: 500}
+    runs = dc.pack(held, 100)
+    assert [b for low, high in runs for b in range(low, high + 1)] == sorted(held)
+    assert all(low == high or sum(held[b] for b in range(low, high + 1)) <= 100 for low, high in runs) and dc.pack({}, 5) == []
+
+
 def test_question_and_answer_must_both_overlap(spark, make_docs):
     question, answer = prose(1, 40), prose(2, 8)
     benchmark = spark.createDataFrame([(1, None, question, answer), (2, None, question, None)], ITEMS)
