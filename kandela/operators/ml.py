@@ -193,7 +193,7 @@ def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], Dat
 
     def run(rows: DataFrame) -> DataFrame:
         parts = [predictions(model, rows.where(F.col("symbol") == symbol)) for symbol, model in models.items()]
-        others = rows.where(~F.col("symbol").isin(*models)) if models else rows
+        others = rows.where(~F.coalesce(F.col("symbol").isin(*models), F.lit(False))) if models else rows  # a null symbol too
         none = others.select("symbol", F.col("close_time").alias("timestamp"), F.lit("no model").alias("status"),
                              *[F.lit(None).alias(c) for c in ("prediction", "prob_buy", "prob_sell")])
         return _union([*parts, none], rows.sparkSession, PREDICTION)

@@ -162,3 +162,12 @@ def test_short_series_are_left_out(spark, candles):
     assert features_per_split(rows, min_rows=300).count() == 0 < features_per_split(rows).count()
     (left,) = short_series(with_label(rows)).collect()
     assert (left.symbol, left.status) == ("AAAUSDT", "too few rows") and 0 < left.n_rows < 300
+
+
+def test_a_row_without_a_symbol_answers_no_model(table):
+    from pyspark.sql import functions as F
+
+    model = ml.fit(ml.prepare(table, "AAAUSDT"), ml.logistic_regression)
+    row = table.where("symbol = 'AAAUSDT'").limit(1)
+    found = ml.score_each({"AAAUSDT": model})(row.unionByName(row.withColumn("symbol", F.lit(None).cast("string")))).collect()
+    assert sorted((r.symbol or "", r.status) for r in found) == [("", "no model"), ("AAAUSDT", "ok")]
