@@ -24,6 +24,7 @@ from kandela.schemas import BACKTEST, FEATURE_COLUMNS, PREDICTION, RUNS, SCORES,
 from kandela.session import materialise, scratch_path
 
 SEED = 42
+TRAIN_TASKS = 4  # fixed value: partitions of one symbol's train rows in every registered fit
 _COLUMNS = {"labelCol": "target", "featuresCol": "scaled", "weightCol": "weight"}
 
 
@@ -244,11 +245,12 @@ def _fit_all(data: Prepared, models: Mapping[str, Callable[[int], Estimator]],
     return fitted
 
 
-def fit_each(table: DataFrame, make: Callable[[int], Estimator], parallelism: int = 8) -> dict[str, PipelineModel]:
+def fit_each(table: DataFrame, make: Callable[[int], Estimator], parallelism: int = 8,
+             tasks: int = TRAIN_TASKS) -> dict[str, PipelineModel]:
     """One model per symbol; nothing stays cached."""
 
     def work(symbol: str) -> tuple[str, PipelineModel]:
-        data = prepare(table, symbol)
+        data = prepare(table, symbol, tasks)
         try:
             return symbol, fit(data, make)
         finally:
@@ -259,7 +261,7 @@ def fit_each(table: DataFrame, make: Callable[[int], Estimator], parallelism: in
 
 def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], Estimator]],
              search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10, horizon: int = 10,
-             threshold: float = 0.01, parallelism: int = 8) -> DataFrame:
+             threshold: float = 0.01, parallelism: int = 8, tasks: int = TRAIN_TASKS) -> DataFrame:
     """Train, tune, evaluate, store and log every model of every symbol below ``root``; gives the run log.
 
     Each symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to
@@ -268,7 +270,7 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
     spark = table.sparkSession
 
     def work(symbol: str) -> None:
-        data = prepare(table, symbol)
+        data = prepare(table, symbol, tasks)
         try:
             fitted = _fit_all(data, models, search, draws)
         finally:
@@ -316,10 +318,10 @@ def read_backtest(spark: SparkSession, root: str) -> DataFrame:
 
 def train_and_evaluate(table: DataFrame, models: Mapping[str, Callable[[int], Estimator]],
                        search: Mapping[str, Mapping[str, Sequence]] | None = None, draws: int = 10,
-                       parallelism: int = 8) -> DataFrame:
+                       parallelism: int = 8, tasks: int = TRAIN_TASKS) -> DataFrame:
     """(symbol, model, n, accuracy, f1) of every base and tuned model on its symbol's test rows."""
     root = scratch_path(table.sparkSession, "run")
-    full_run(table, root, models, search, draws, parallelism=parallelism)
+    full_run(table, root, models, search, draws, parallelism=parallelism, tasks=tasks)
     return read_scores(table.sparkSession, root)
 
 

@@ -58,7 +58,7 @@ def logistic_optimum(spark, folder):
     table = split_features(spark, folder)
 
     def check(symbol):
-        data = ml.prepare(table, symbol)
+        data = ml.prepare(table, symbol, ml.TRAIN_TASKS)
         norm = ml.gradient_norm(ml.fit(data, ml.logistic_regression), data.train)
         data.release()
         return symbol, norm < 1e-4

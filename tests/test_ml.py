@@ -171,3 +171,19 @@ def test_a_row_without_a_symbol_answers_no_model(table):
     row = table.where("symbol = 'AAAUSDT'").limit(1)
     found = ml.score_each({"AAAUSDT": model})(row.unionByName(row.withColumn("symbol", F.lit(None).cast("string")))).collect()
     assert sorted((r.symbol or "", r.status) for r in found) == [("", "no model"), ("AAAUSDT", "ok")]
+
+
+def test_every_fit_deals_its_rows_to_the_given_tasks(table, spark, monkeypatch):
+    seen, whole = [], ml.fit
+
+    def noting(data, make):
+        seen.append(data.train.rdd.getNumPartitions())
+        return whole(data, make)
+
+    monkeypatch.setattr(ml, "fit", noting)
+    ml.fit_each(table, ml.logistic_regression)
+    ml.train_and_evaluate(table, {"LogisticRegression": ml.logistic_regression})
+    assert ml.TRAIN_TASKS > 1 and seen == [ml.TRAIN_TASKS] * 4
+    ml.fit_each(table, ml.logistic_regression, tasks=3)
+    ml.full_run(table, scratch_path(spark, "run"), {"LogisticRegression": ml.logistic_regression}, tasks=3)
+    assert seen[4:] == [3] * 4
