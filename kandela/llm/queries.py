@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kandela.llm import decontaminate, exact_dedup, line_dedup, mixing, quality, secrets, simhash, token_counts, url_filter, warc
+from kandela.llm import collocations, decontaminate, exact_dedup, line_dedup, mixing, quality, secrets, simhash, token_counts, url_filter, warc
 from kandela.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,27 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM spl
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {URL_RULES} AS rules(host, path, verdict)")
     return url_filter.judge_urls(table(spark, folder, "pages"), rules, default="allow")
+
+
+@query("op13_collocations", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS m)),
+counts AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counts WHERE f >= 100),
+candidates AS (SELECT * FROM frequent WHERE m > 1),
+kept AS (SELECT * FROM candidates AS c WHERE NOT EXISTS (SELECT 1 FROM candidates AS y WHERE y.lang = c.lang AND y.m > c.m
+  AND y.f >= c.f AND contains(' ' || y.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM kept),
+scored AS (SELECT cuts.lang, cuts.phrase, cuts.f AS a, k, x.f AS l, y.f AS r, n,
+  ((1000::HUGEINT * cuts.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score FROM cuts
+  JOIN frequent AS x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[:k], ' ')
+  JOIN frequent AS y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+  JOIN totals ON totals.lang = cuts.lang
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM scored QUALIFY rank <= 2000""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=100, top=2000)
