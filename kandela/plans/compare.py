@@ -31,6 +31,9 @@ def compare(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
+    for c in got.columns:  # an integer column with nulls is a float column on one side
+        if {got[c].dtype.kind, want[c].dtype.kind} == {"i", "f"}:
+            got, want = (f.assign(**{c: f[c].astype("Int64")}) if f[c].isna().any() else f for f in (got, want))
     kinds = lambda f: {c: ("f" if f[c].dtype.kind == "f" else f[c].dtype.kind) for c in f.columns}
     a, b = _rows(got), _rows(want)
     for left, right in zip(a, b):
