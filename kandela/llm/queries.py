@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kandela.llm import collocations, decontaminate, exact_dedup, line_dedup, mixing, quality, secrets, simhash, token_counts, url_filter, warc
+from kandela.llm import chat_format, collocations, decontaminate, exact_dedup, line_dedup, mixing, prefix_trie, quality, secrets, simhash, token_counts, url_filter, warc
 from kandela.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,10 +136,71 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), rules, default="allow")
 
 
+_OPENINGS_SQL = """
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations),
+plan AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))),
+  4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations)),
+held AS (SELECT conv_id AS base, count(*) AS n FROM turns GROUP BY conv_id),
+rebuilt AS (SELECT plan.conv_id, pos AS depth, role, text FROM plan JOIN turns ON turns.conv_id = base AND pos <= h
+  UNION ALL SELECT conv_id, pos - h + least(h, coalesce(n, 0)), role, text FROM plan JOIN turns USING (conv_id) LEFT JOIN held USING (base) WHERE pos > h)"""
+
+
+@query("op11_prefix_trie", f"""
+WITH {_OPENINGS_SQL},
+steps AS (SELECT conv_id, depth, length(text) AS chars,
+    string_agg(sha256(length(role) || ':' || role || text) || '/', '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM steps GROUP BY ALL),
+parents AS (SELECT depth + 1 AS depth, path AS parent, conv_id AS parent_conv_id FROM nodes),
+linked AS (SELECT nodes.*, parent, parent_conv_id FROM nodes LEFT JOIN parents
+  ON parents.depth = nodes.depth AND parent = substr(path, 1, 65 * (nodes.depth - 1)::BIGINT)),
+families AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY ALL),
+full_nodes AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN families
+  ON families.depth = linked.depth AND families.parent = linked.path),
+below AS (SELECT top.depth, top.path, count(*) FILTER (d.n_children = 0) AS n_leaves, sum((d.n_convs - 1) * d.chars)::BIGINT AS saved_tokens
+  FROM full_nodes AS top JOIN full_nodes AS d ON starts_with(d.path, top.path) GROUP BY ALL),
+whole AS (SELECT conv_id, max(depth) AS depth, max(path) AS path FROM steps GROUP BY conv_id),
+ends AS (SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM whole GROUP BY ALL)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes JOIN below USING (depth, path) LEFT JOIN ends USING (depth, path)""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation c opens with the first crc32(c) % 6 turns of the conversation at the head of its hundred."""
+    turns = table(spark, folder, "conversations")
+    ids = turns.select(F.col("conv_id").cast("long")).distinct()
+    paths = prefix_trie.with_shared_openings(
+        prefix_trie.in_order(turns), ids, F.col("conv_id") - F.col("conv_id") % 100, F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6)
+    return prefix_trie.trie(paths, ids)
+
+
+# Fixed value of the contract: the conversation added to the table, whose texts hold the template's control strings.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+@query("op12_chat_format", rf"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '{CONTROL_TEXT}'),
+written AS (SELECT *, 14 + length(regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g'))
+  + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars FROM written GROUP BY conv_id""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    path = vocabulary("byte_bpe_50k.json")
+    found = chat_format.read_back(chat_format.format_turns(turns.unionByName(added), path), path)
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
 @query("op13_collocations", r"""
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS m)),
 counts AS (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL),
 totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang),
