@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kandela.functions.scalars import signal_name
+from kandela.operators import boosting, forests
 from kandela.operators.evaluate import best_model, scores, with_row_weights
 from kandela.operators.series import number_rows
 from kandela.operators.store import path_exists
@@ -57,6 +58,14 @@ BASE_MODELS: dict[str, Callable[[int], Estimator]] = {
     "BoostedTreesB": boosted_trees_b,
 }
 
+# Families that are grown for all symbols together (operators/forests.py, boosting.py) instead of fitted one by one: how, the
+# base model, and what a point of a grid means.
+TOGETHER = {
+    "RandomForest": (forests.FOREST, forests.Fit(trees=150, depth=6), forests.as_fit),
+    "BoostedTreesA": (boosting.BOOSTED, boosting.Boost(trees=150, depth=4), boosting.as_fit),
+    "BoostedTreesB": (boosting.BOOSTED, boosting.Boost(trees=200, depth=5), boosting.as_fit),
+}
+
 # Search grids per model family. MLlib names differ from the source system's libraries: the least
 # number of rows per leaf (minInstancesPerNode) stands for the least number of rows per split, with values of its
 # own, and the number of leaves of the second boosted family has no counterpart and is left out.
@@ -169,8 +178,10 @@ def random_search(prepared: Prepared, make: Callable[[int], Estimator], grid: Ma
     return PipelineModel([*prepared.stages, found.bestModel]), best
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows with the predicted class and both probabilities."""
+def score(model: PipelineModel | DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows with the predicted class and both probabilities; a forest is a table of nodes."""
+    if isinstance(model, DataFrame):
+        return forests.score(rows, model).drop("model")
     scored = model.transform(rows)
     chance = vector_to_array("probability")
     return scored.select(
@@ -264,10 +275,15 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
              threshold: float = 0.01, parallelism: int = 8, tasks: int = TRAIN_TASKS) -> DataFrame:
     """Train, tune, evaluate, store and log every model of every symbol below ``root``; gives the run log.
 
-    Each symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to
+    Families of ``TOGETHER`` are grown and tuned for all symbols at once, the others are fitted per symbol. Each symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to
     ``root/models/symbol/name``, which the log names. The best one's scored test rows go to ``root/backtest``.
     """
     spark = table.sparkSession
+    together = [name for name in TOGETHER if models.get(name) is BASE_MODELS[name]]
+    tuned = [name for name in TOGETHER if name in (search or {})]
+    _grow_all(table, root, together, {name: search[name] for name in tuned}, draws, parallelism)
+    models = {name: make for name, make in models.items() if name not in together}
+    search = {name: grid for name, grid in (search or {}).items() if name not in tuned}
 
     def work(symbol: str) -> None:
         data = prepare(table, symbol, tasks)
@@ -281,12 +297,42 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
         for name, model in fitted.items():
             save_model(model, f"{root}/models/{symbol}/{name}")
 
-    per_symbol(table, work, parallelism)
+    if models or search:
+        per_symbol(table, work, parallelism)
     log = run_log(read_scores(spark, root), horizon, threshold, f"{root}/models")
     export_backtests(table, log, root, parallelism)
     return log
 
 
+def _grow_all(table: DataFrame, root: str, base: Sequence[str], tuned: Mapping[str, Mapping[str, Sequence]], draws: int,
+              parallelism: int) -> None:
+    """Grow, evaluate and store the families of ``TOGETHER``; an empty table leaves nothing."""
+    train, test = table.where("split = 'train'"), table.where("split = 'test'").drop("weight")
+    if not (base or tuned) or table.isEmpty():
+        return
+    found = []
+    for family in (forests.FOREST, boosting.BOOSTED):
+        fits = {f"{name}_BASE": TOGETHER[name][1] for name in base if TOGETHER[name][0] is family}
+        found += [forests.fit_forests(train, fits, family=family)] if fits else []
+    for name, grid in tuned.items():
+        family, first, as_fit = TOGETHER[name]
+        settings = [as_fit(point, first) for point in draw_settings(grid, draws)]
+        found.append(forests.search(train, settings, f"{name}_OPT", family=family)[0])
+    for i, grown in enumerate(found):
+        scored = scores(forests.score(test, grown), "symbol", "model").select("symbol", "model", "n", "accuracy", "f1")
+        conform(scored, SCORES).coalesce(1).write.mode("overwrite").parquet(f"{root}/scores/of=together-{i}")
+    names = [f"{name}_BASE" for name in base] + [f"{name}_OPT" for name in tuned]
+
+    def keep(symbol: str) -> None:
+        for name in names:
+            for grown in found:
+                mine = grown.where((F.col("symbol") == symbol) & (F.col("model") == name))
+                if not mine.isEmpty():
+                    mine.coalesce(1).write.mode("overwrite").parquet(f"{root}/models/{symbol}/{name}")
+
+    per_symbol(table, keep, parallelism)
+
+
 def read_scores(spark: SparkSession, root: str) -> DataFrame:
     """The scores of a run; empty where no symbol had enough rows."""
     if not path_exists(spark, f"{root}/scores"):
@@ -329,8 +375,9 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | DataFrame:
+    spark = SparkSession.builder.getOrCreate()
+    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else spark.read.schema(forests.MODELS).parquet(path)
 
 
 def run_log(scored: DataFrame, horizon: int, threshold: float, models: str) -> DataFrame:

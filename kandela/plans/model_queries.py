@@ -27,10 +27,20 @@ def _names_sql(names) -> str:
     return f"(SELECT unnest({list(names)}) AS model)"
 
 
+_FEATURES: dict[tuple[str, str], tuple[str, object]] = {}
+
+
 def split_features(spark, folder):
-    """Weighted features per split of the series with enough history, stored once for all fits."""
-    candles = tb.stored_event_candles(spark, folder)
-    return ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
+    """Weighted features per split of the series with enough history, stored once per session and folder for all fits."""
+    key = spark.sparkContext.applicationId, folder
+    if key not in _FEATURES or not path_exists(spark, _FEATURES[key][0]):
+        path = scratch_path(spark, "split-features")
+        candles = tb.stored_event_candles(spark, folder)
+        table = ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
+        table.write.partitionBy("symbol").parquet(path)
+        _FEATURES[key] = path, table.schema
+    path, schema = _FEATURES[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def _in_range(scored):
@@ -126,7 +136,7 @@ def model_sink(spark, folder):
 
 PARTS = {
     "base": (["LogisticRegression", "RandomForest"], []), "boosted-a": (["BoostedTreesA"], []),
-    "boosted-b": (["BoostedTreesB"], []), "tuned": ([], ["RandomForest"])}
+    "boosted-b": (["BoostedTreesB"], []), "tuned": ([], ["RandomForest", "BoostedTreesA", "BoostedTreesB"])}
 RUN_NAMES = [f"{name}_BASE" for models, _ in PARTS.values() for name in models] + [
     f"{name}_OPT" for _, tuned in PARTS.values() for name in tuned]
 _ROOTS: dict[tuple[str, str, str], str] = {}
@@ -173,9 +183,9 @@ def boosted_trees_b(spark, folder):
     return _in_range(_part_scores(spark, folder, "boosted-b"))
 
 
-@query("m7_random_search", _scores_sql("RandomForest_OPT"))
+@query("m7_random_search", _scores_sql(*[f"{name}_OPT" for name in PARTS["tuned"][1]]))
 def random_search(spark, folder):
-    """Ten drawn forest settings per symbol with three time folds each, the best refitted."""
+    """Ten drawn settings of each tree family per symbol with three time folds each, the best refitted."""
     return _in_range(_part_scores(spark, folder, "tuned"))
 
 
