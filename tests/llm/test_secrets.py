@@ -48,3 +48,14 @@ def test_several_path_columns_and_null_paths(spark, make_docs):
 def test_empty_table(spark, make_docs):
     assert secrets.scan(make_docs([]), scratch_path(spark, "ledger")).count() == 0
     assert rows_of(secrets.read_ledger(spark, scratch_path(spark, "none")), "blob") == []
+
+
+def test_an_increment_reads_only_the_parts_of_its_blobs(spark, make_docs):
+    ledger = scratch_path(spark, "ledger")
+    rows = [(i, f"text {i} token=abcdefghijkl{i}") for i in range(400)]
+    secrets.scan(make_docs(rows), ledger)
+    parts = secrets.update_ledger(make_docs(rows[:5] + [(1000 + i, f"new {i}") for i in range(5)]), ledger)
+    assert 1 <= len(parts) <= 10
+    read = secrets.read_ledger(spark, ledger, parts).inputFiles()
+    assert {f.split("prefix=")[1][:2] for f in read} == set(parts)
+    assert len(read) < len(secrets.read_ledger(spark, ledger).inputFiles()) / 10
