@@ -29,7 +29,7 @@ LONGEST = 5
 FILTER_BITS = 1 << 26
 PROBES = 3
 CHUNK_BYTES = 8 << 20
-RUN_BYTES = 128
+RUN_BYTES = 192
 
 # Fixed values of the contract: blanks end words, the others end pieces too.
 BLANKS = b" \t"
@@ -153,17 +153,15 @@ def count_chunk(lang: str, raw: bytes, levels: tuple[int, ...], proposed: np.nda
 
 def _counter(levels: tuple[int, ...], proposed, counted, chunk_bytes: int):
     value = lambda shared: None if shared is None else np.frombuffer(shared.value, np.uint8)
-    schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+    schema = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
     def rows(lang: str, raw: bytes, tables) -> Iterator[pa.RecordBatch]:
+        prefix = pa.scalar(lang.encode(), pa.binary())
         for m, phrases, times in count_chunk(lang, raw, levels, *tables):
-            size = len(phrases)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))), pa.array(np.full(size, m, np.int32)),
-                phrases.cast(pa.string()), pa.array(times.astype(np.int64))], schema=schema)
+            keys = pc.binary_join_element_wise(prefix, phrases, b"\t")
+            yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(times.astype(np.int64))], schema=schema)
             if m == 1:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang]), pa.array([TOTAL], pa.int32()), pa.array([""]), pa.array([int(times.sum())])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{lang}\t"]), pa.array([int(times.sum())])], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = value(proposed), value(counted)
@@ -190,8 +188,8 @@ def _counter(levels: tuple[int, ...], proposed, counted, chunk_bytes: int):
     return run
 
 
-def sampled(raw: bytes, chance: np.random.Generator, fraction: float) -> bytes:
-    """Runs of words, each chosen on its own; they end with their piece, long ones after ``RUN_BYTES``.
+def sampled(raw: bytes, chance: np.random.Generator, one_in: int) -> bytes:
+    """One of every ``one_in`` runs of words in a row; they end with their piece, long ones after ``RUN_BYTES``.
 
     Phrases that crowd in one document or one endless piece therefore do not stand or fall with it.
     """
@@ -202,16 +200,17 @@ def sampled(raw: bytes, chance: np.random.Generator, fraction: float) -> bytes:
     block = blanks // RUN_BYTES
     begins[blanks[1:][block[1:] != block[:-1]]] = True
     run = np.cumsum(begins)
-    chosen = (chance.random(int(run[-1]) + 1 if len(run) else 0) < fraction)[run]
+    picks = chance.integers(0, one_in, len(text) // one_in + 1)
+    chosen = run % one_in == picks[run // one_in]
     text[begins] = ord(".")
     return text[chosen | begins].tobytes()
 
 
-def _sampler(fraction: float, seed: int):
+def _sampler(one_in: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chance = np.random.default_rng(seed)
         for batch in batches:
-            kept = [sampled(raw.as_py(), chance, fraction) for raw in batch.column("raw")]
+            kept = [sampled(raw.as_py(), chance, one_in) for raw in batch.column("raw")]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(kept, pa.binary())], names=["lang", "raw"])
 
     return run
@@ -219,9 +218,12 @@ def _sampler(fraction: float, seed: int):
 
 def count_pass(texts: DataFrame, levels: tuple[int, ...], proposed, counted, least: int, chunk_bytes: int) -> DataFrame:
     """Phrases found at least ``least`` times by one pass, and the totals of the languages."""
-    counts = texts.mapInArrow(_counter(levels, proposed, counted, chunk_bytes), COUNTS)
-    counts = counts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return materialise(counts.where((F.col("n") >= least) | (F.col("words") == TOTAL)), "phrases")
+    counts = texts.mapInArrow(_counter(levels, proposed, counted, chunk_bytes), "key string, n long")
+    counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    lang, phrase = F.regexp_extract("key", r"(?s)^(.*)\t", 1), F.substring_index("key", "\t", -1)
+    words = F.when(phrase == "", TOTAL).otherwise(F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "))) + 1)
+    kept = counts.where((F.col("n") >= least) | F.col("key").endswith("\t"))
+    return materialise(kept.select(lang.alias("lang"), words.alias("words"), phrase.alias("phrase"), "n"), "phrases")
 
 
 def phrase_hashes(phrases: list[list[bytes]], langs: list[str]) -> np.ndarray:
@@ -253,42 +255,44 @@ def bit_table(phrases: DataFrame, bits: int):
     return phrases.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-def grown(failures: DataFrame, longest: int) -> DataFrame:
-    """Failures with the longer phrases that they spell together, as (lang, words, phrase).
+def grown(failures: DataFrame, frequent: DataFrame, longest: int) -> DataFrame:
+    """Failures with the longer phrases they may be part of, as (lang, words, phrase), for the next pass to propose.
 
-    Two phrases of the same length that overlap in all but one word make one a word longer. A phrase that fails
-    because it repeats itself thus brings all its lengths to the next pass.
+    Two phrases of the same length that overlap in all but one word make one a word longer; one of the two is a failure or
+    made of one, the other is frequent or made of a failure. A frequent phrase that holds a failing pair is among them, so
+    that one more pass settles all lengths. Only words that fail can call for another.
     """
-    level = failures.where("words > 1").select("lang", "words", "phrase")
-    out = failures.select("lang", "words", "phrase")
     part = lambda start, length: F.array_join(F.slice(F.split("phrase", " "), start, length), " ")
+    columns = ["lang", "words", "phrase"]
+    fresh, out = failures.select(*columns).where("words = 2"), failures.select(*columns)
     for m in range(2, longest - 1):
-        now = level.where(F.col("words") == m)
-        left = now.select("lang", F.col("phrase").alias("first"), part(F.lit(2), F.lit(m - 1)).alias("shared"))
-        right = now.select("lang", part(F.lit(1), F.lit(m - 1)).alias("shared"), F.element_at(F.split("phrase", " "), -1).alias("last"))
-        made = left.join(right, ["lang", "shared"]).select(
-            "lang", F.lit(m + 1).alias("words"), F.concat_ws(" ", "first", "last").alias("phrase"))
-        level, out = level.unionByName(made).distinct(), out.unionByName(made)
+        known = frequent.where(F.col("words") == m).select(*columns).unionByName(fresh).distinct()
+        join = lambda lefts, rights: lefts.select("lang", F.col("phrase").alias("first"), part(F.lit(2), F.lit(m - 1)).alias("shared")).join(
+            rights.select("lang", part(F.lit(1), F.lit(m - 1)).alias("shared"), F.element_at(F.split("phrase", " "), -1).alias("last")),
+            ["lang", "shared"]).select("lang", F.lit(m + 1).alias("words"), F.concat_ws(" ", "first", "last").alias("phrase"))
+        made = join(fresh, known).unionByName(join(known, fresh)).unionByName(failures.select(*columns).where(F.col("words") == m + 1))
+        fresh = materialise(made.distinct(), "expansion")
+        out = out.unionByName(fresh)
     return out.distinct()
 
 
-def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST, fraction: float = 1 / 4, slack: float = 0.35,
+def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST, one_in: int = 4, slack: float = 0.35,
                      seed: int = 7, text_column: str = "text", lang_column: str = "lang", filter_bits: int = FILTER_BITS,
                      chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``lang, words, phrase, n``: every phrase of 1 to ``longest`` words with at least ``least`` occurrences, and with
     ``words`` 0 and an empty phrase the number of all words of each language.
 
-    The sample takes a ``fraction`` of all runs of words and proposes what it holds ``slack * fraction * least`` times; neither changes
+    The sample takes one of ``one_in`` runs of words and proposes what it holds ``slack * least / one_in`` times; neither changes
     the result, only the number of passes. Null texts count as empty, null languages as ``und``; repeated rows count
     each; texts above ``chunk_bytes`` are cut at ends of pieces (a single longer piece is held whole); an empty table gives an
     empty result; other columns are not read.
     """
     texts = docs.select(F.coalesce(F.col(lang_column), F.lit("und")).alias("lang"),
                         or_empty(F.col(text_column)).cast("binary").alias("raw"))
-    some = materialise(texts.mapInArrow(_sampler(fraction, seed), "lang string, raw binary"), "phrase-sample")
+    some = materialise(texts.mapInArrow(_sampler(one_in, seed), "lang string, raw binary"), "phrase-sample")
     proposed, table = None, None
     for m in range(1, longest):  # the longest phrases are in the border of the others
-        level = count_pass(some, (m,), table, None, max(1, int(slack * fraction * least)), chunk_bytes).where(F.col("words") == m)
+        level = count_pass(some, (m,), table, None, max(1, int(slack * least / one_in)), chunk_bytes).where(F.col("words") == m)
         level = level.select("lang", "words", "phrase")
         proposed = level if proposed is None else proposed.unionByName(level)
         table = bit_table(proposed, filter_bits)
@@ -300,7 +304,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = LONGEST,
             proposed, ["lang", "words", "phrase"], "left_anti"), "border-failures")
         if failures.isEmpty():
             return found
-        proposed, counted = proposed.unionByName(materialise(grown(failures, longest), "expansion")), table
+        proposed, counted = proposed.unionByName(materialise(grown(failures, found, longest), "proposed")), table
         table = bit_table(proposed, filter_bits)
 
 

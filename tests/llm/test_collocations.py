@@ -49,9 +49,9 @@ def prose(seed, documents, words=("the", "of", "Red", "fox", "sees", "a", "cat",
 COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-@pytest.mark.parametrize("how", [{}, {"fraction": 0.05, "slack": 0.9}, {"fraction": 0.0}, {"filter_bits": 64}, {"chunk_bytes": 40}])
+@pytest.mark.parametrize("how", [{}, {"one_in": 1000}, {"filter_bits": 64, "chunk_bytes": 40}])
 def test_equals_counting_everything(spark, how):
-    rows = prose(1, 60) + [(None, None), ("en", ""), ("fr", "..."), ("en", "echo " * 40), ("en", "red fox sees " * 9)] + [("de", "Ein Satz, zwei Worte")] * 7
+    rows = prose(1, 60) + [(None, None), ("en", ""), ("fr", "..."), ("en", "echo " * 40), ("en", "red fox sees " * 9)] + [("de", "Ein Satz, zwei Worte")] * 7 + [("t\tab", "v w")] * 6
     got = C.collocations(table(spark, rows), least=6, **how)
     assert brute.rows_of(got, *COLUMNS) == brute.in_order(plain(rows, 6))
 
@@ -85,7 +85,7 @@ def test_a_failing_sample_takes_further_passes(spark, monkeypatch):
     passes, real = [], C.count_pass
     monkeypatch.setattr(C, "count_pass", lambda *args: passes.append(args[3]) or real(*args))
     rows = [("en", "one two three four five")] * 8
-    found = C.frequent_phrases(table(spark, rows), least=8, fraction=0.0)
+    found = C.frequent_phrases(table(spark, rows), least=8, one_in=10**6)
     assert found.where("words = 5").count() == 1
     assert sum(counted is not None for counted in passes) >= 2
 
