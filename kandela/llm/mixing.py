@@ -3,9 +3,9 @@
 Documents are counted by source and exact size, so what follows works on counts, not documents. A source whose
 target is ``q`` times its size and a rest takes every document ``q`` times; the rest is met per size by a
 bounded knapsack over the counts (dynamic programming on reachable sums, as bits of one number), over what is to be left
-out where that is less than what is to be taken. A source of at most ``FEW_DOCUMENTS`` goes through it whole. For others an
-equal share of every size's documents comes first, up to the last ``KNAPSACK_BUDGET`` words or four of the source's
-largest documents, whichever is more.
+out where that is less than what is to be taken. One rule holds for all sources: the smallest documents that together can
+still correct any sum go through the knapsack, in a window of ``WINDOW_DOCUMENTS`` of their largest one but at least ``LEAST_WINDOW``
+words; an equal share of every size's other documents comes first.
 Which documents of a size are taken is a seeded order: ranges of a hash hold about ``ROWS_PER_RANGE`` documents, whole
 ranges are taken by their counts and only the one in which the number runs out is ranked.
 """
@@ -24,8 +24,10 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 SEED = 17
 ROWS_PER_RANGE = 256
-KNAPSACK_BUDGET = 1 << 16
-FEW_DOCUMENTS = 256
+LEAST_WINDOW = 1 << 16
+WINDOW_DOCUMENTS = 16
+LEAST_SIZES = 16
+ROWS_BYTES = 1 << 25
 
 
 def word_count(text):
@@ -71,8 +73,11 @@ def _in_order(sources: DataFrame) -> DataFrame:
 def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
     """How many documents to take per size so that their sizes come as near to ``budget`` as can be found, not above it.
 
-    The sum is the best there is where a source has at most ``FEW_DOCUMENTS`` documents with words, whatever their sizes,
-    or where the words to take or those to leave out are at most ``KNAPSACK_BUDGET`` or four of the largest documents.
+    The sum is the best there is where the words to take or those to leave out are at most ``LEAST_WINDOW``, or at most
+    ``WINDOW_DOCUMENTS`` times the largest document of use, and wherever it equals the budget. Beyond that, as many
+    documents as fill such a window make up for the others, so it is seldom below the budget.
+    Memory: a row of bits has a bit for each word of the window; ``ROWS_BYTES`` of them are held, and one more for each
+    halving of the steps down to that.
     """
     sizes = sorted((s for s, n in counts.items() if s > 0 and n > 0), reverse=True)
     total = sum(s * counts[s] for s in sizes)
@@ -80,36 +85,91 @@ def fit(counts: dict[int, int], budget: int) -> dict[int, int]:
     if budget <= 0:
         return {}
     if 2 * budget <= total:
-        taken = _choose(sizes, counts, total, budget, above=False)
+        taken = _choose(counts, [s for s in sizes if s <= budget], budget, above=False)
     else:
-        left_out = _choose(sizes, counts, total, total - budget, above=True)
-        taken = {s: counts[s] - k for s, k in left_out.items()}
+        left_out = _leave_out(counts, sizes, total - budget)
+        taken = {s: counts[s] - left_out.get(s, 0) for s in sizes}
     return {s: k for s, k in taken.items() if k}
 
 
-def _choose(sizes: list[int], counts: dict[int, int], total: int, goal: int, above: bool) -> dict[int, int]:
-    """Documents per size with a sum near ``goal``: the largest up to it or, ``above``, the smallest from it on."""
-    few = sum(counts[s] for s in sizes) <= FEW_DOCUMENTS
-    window = goal if few else max(KNAPSACK_BUDGET, 4 * sizes[0])
-    chosen = {s: counts[s] * max(0, goal - window) // total for s in sizes}
-    left = goal - sum(s * k for s, k in chosen.items())
+def _leave_out(counts: dict[int, int], sizes: list[int], goal: int) -> dict[int, int]:
+    """The smallest sum from ``goal`` on: one document that is that large, or smaller ones together."""
+    alone = min((s for s in sizes if s >= goal), default=None) if goal else None
+    smaller = [s for s in sizes if s < goal]
+    if sum(s * counts[s] for s in smaller) < goal:
+        return {alone: 1}
+    together = _choose(counts, smaller, goal, above=True)
+    return {alone: 1} if alone is not None and alone < sum(s * k for s, k in together.items()) else together
+
+
+def _choose(counts: dict[int, int], sizes: list[int], goal: int, above: bool) -> dict[int, int]:
+    """Documents per size (largest first) with a sum near ``goal``: the largest up to it or, ``above``, the smallest from it on.
+
+    The finest documents that can make up for the rest go through the knapsack, the larger ones by an equal share of
+    each size. Where that misses the goal, larger ones join them, at last all.
+    """
+    total = sum(s * counts[s] for s in sizes)
+    if not above and total <= goal:
+        return {s: counts[s] for s in sizes}
+    best, least = {}, None
+    for cut in _cuts(sizes):
+        chosen = _with_fine(counts, sizes[:cut], sizes[cut:], goal, total, above)
+        if chosen is not None:
+            miss = abs(goal - sum(s * k for s, k in chosen.items()))
+            if least is None or miss < least:
+                best, least = chosen, miss
+            if miss == 0:
+                break
+    return best
+
+
+def _cuts(sizes: list[int]) -> list[int]:
+    """Where the fine documents may begin: ``LEAST_SIZES`` different sizes or more, each time up to twice as large; at last all."""
+    cuts, bound = [], 0
+    for i in range(len(sizes) - LEAST_SIZES, 0, -1):
+        if sizes[i] > bound:
+            cuts.append(i)
+            bound = 2 * sizes[i]
+    return [*cuts, 0]
+
+
+def _with_fine(counts: dict[int, int], large: list[int], fine: list[int], goal: int, total: int, above: bool) -> dict[int, int] | None:
+    """``large`` documents by equal share, the rest of ``goal`` out of ``fine`` ones; None if those are too few for a window."""
+    words = sum(s * counts[s] for s in fine)
+    window = max(LEAST_WINDOW, WINDOW_DOCUMENTS * fine[0]) if fine else 0
+    if large and words < 2 * window:
+        return None
+    chosen = {s: counts[s] * goal // total for s in large}
+    left = _take(counts, chosen, large, goal - sum(s * k for s, k in chosen.items()), words // 2)
+    if large and not window <= left <= words - window:
+        return None
+    share = max(0, left - window)
+    chosen.update({s: counts[s] * share // words for s in fine})
+    left -= sum(s * chosen[s] for s in fine)
+    _knapsack(fine, counts, chosen, _take(counts, chosen, fine, left, window), above)
+    return chosen
+
+
+def _take(counts: dict[int, int], chosen: dict[int, int], sizes: list[int], left: int, down_to: int) -> int:
+    """Takes free documents, the largest first, while ``left`` stays at ``down_to`` or more; what is left."""
     for s in sizes:
-        if left > window:
-            more = min(counts[s] - chosen[s], (left - window) // s)
+        if left > down_to:
+            more = min(counts[s] - chosen[s], (left - down_to) // s)
             chosen[s] += more
             left -= more * s
-    _knapsack(sizes, counts, chosen, left, above)
-    return chosen
+    return left
 
 
 def _knapsack(sizes: list[int], counts: dict[int, int], chosen: dict[int, int], goal: int, above: bool) -> None:
     """Adds to ``chosen`` the multiset of free documents with the largest sum up to ``goal``, or the smallest from it on.
 
-    Reachable sums are kept for every k-th step only and made again between them, so memory grows with the root of the steps.
+    Reachable sums are the bits of one number per step. Rows that do not fit ``ROWS_BYTES`` together are made again from
+    the one half-way, so memory does not follow the steps.
     """
     if goal <= 0:
         return
-    within, steps = (1 << (goal + 1 + (sizes[0] if above else 0))) - 1, []
+    bits, steps = goal + 1 + (sizes[0] if above else 0), []
+    within = (1 << bits) - 1
     for s in sizes:
         free, block = min(counts[s] - chosen[s], goal // s + above), 1
         while free > 0:
@@ -117,28 +177,38 @@ def _knapsack(sizes: list[int], counts: dict[int, int], chosen: dict[int, int],
             steps.append((s, block))
             free -= block
             block *= 2
-    every, reach, kept, done = math.isqrt(len(steps)) + 1, 1, [], 0
-    for s, block in steps:
-        if done % every == 0:
-            kept.append(reach)
-        reach = (reach | reach << (s * block)) & within
+
+    def after(reach: int, first: int, last: int) -> int:
+        for s, block in steps[first:last]:
+            reach = (reach | reach << (s * block)) & within
+        return reach
+
+    def trace(first: int, last: int, reach: int, at: int) -> int:
+        """Goes back from the sum ``at`` after the step before ``last``; the sum before ``first``, where ``reach`` holds."""
+        if last - first > 1 and (last - first) * bits > 8 * ROWS_BYTES:
+            middle = (first + last) // 2
+            at = trace(middle, last, after(reach, first, middle), at)
+            return trace(first, middle, reach, at)
+        rows = [reach]
+        for k in range(first, last - 1):
+            rows.append(after(rows[-1], k, k + 1))
+        for s, block in reversed(steps[first:last]):
+            if not rows.pop() >> at & 1:
+                chosen[s] += block
+                at -= s * block
+        return at
+
+    reach, done = 1, 0
+    while done < len(steps) and not reach >> goal & 1:
+        reach = after(reach, done, done + 1)
         done += 1
-        if reach >> goal & 1:
-            break
     if above:
         beyond = reach >> goal
         at = goal + (beyond & -beyond).bit_length() - 1
     else:
-        at = reach.bit_length() - 1
-    while kept:
-        first, before = (len(kept) - 1) * every, [kept.pop()]
-        part = steps[first:min(first + every, done)]
-        for s, block in part[:-1]:
-            before.append((before[-1] | before[-1] << (s * block)) & within)
-        for (s, block), reach in zip(reversed(part), reversed(before)):
-            if not reach >> at & 1:
-                chosen[s] += block
-                at -= s * block
+        at = reach.bit_length() - 1 if not reach >> goal & 1 else goal
+    del reach
+    trace(0, done, 1, at)
 
 
 def _plan(sizes: DataFrame, goals: DataFrame) -> DataFrame:
@@ -167,7 +237,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED, id_column:
     Size is the number of words (null: 0); documents without words are never taken; no document is taken
     more than three times. The same rows and seed give the same mix; rows of one id, source and size
     are interchangeable. Null sources are a source of their own, other columns are not read. An empty
-    table gives an empty result.
+    table gives an empty result. Whole texts are counted, however long; ``fit`` says what a long one costs. Carried
+    columns named like a column of the result or a helper are the caller's to rename.
     """
     units = F.pmod(F.xxhash64(F.lit(seed), F.col(id_column)), F.lit(1 << 40)) / float(1 << 40)
     rows = materialise(docs.select(id_column, F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"),

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import brute
@@ -46,7 +47,7 @@ def test_fit_of_large_documents():
 
 def test_fit_of_many_large_documents():
     rng = random.Random(11)
-    counts = Counter(rng.randint(70_000, 700_000) for _ in range(2 * mixing.FEW_DOCUMENTS))
+    counts = Counter(rng.randint(70_000, 700_000) for _ in range(512))
     total = sum(s * n for s, n in counts.items())
     for share in (0.01, 0.3, 0.5, 0.8, 0.99):
         taken = mixing.fit(counts, int(total * share))
@@ -55,6 +56,36 @@ def test_fit_of_many_large_documents():
     assert sum(s * k for s, k in mixing.fit({**counts, 5_000_000: 1}, total // 3).items()) == total // 3
 
 
+def sizes(seed, least, most, n, *more):
+    rng = random.Random(seed)
+    return Counter([*(rng.randint(least, most) for _ in range(n)), *more])
+
+
+@pytest.mark.parametrize("counts", [
+    sizes(12, 1_000_000, 3_000_000, 250), sizes(13, 1_000_000, 3_000_000, 257),
+    sizes(14, 1, 2000, 3000, 20_000_000), sizes(15, 1, 2000, 3000, 20_000_000, 20_000_000)])
+def test_sums_and_memory_of_large_documents(counts):
+    """Bits of numbers are counted by the allocator: rows kept, rows made again and the few in work."""
+    total = sum(s * n for s, n in counts.items())
+    fine = sum(s * n for s, n in counts.items() if s < 20_000_000)
+    for budget in (int(fine * 0.3), int(fine * 0.6), total - int(fine * 0.2)):
+        tracemalloc.start()
+        taken = mixing.fit(counts, budget)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert all(0 < k <= counts[s] for s, k in taken.items())
+        assert sum(s * k for s, k in taken.items()) == budget and peak < 100_000_000
+
+
+def test_rows_made_again_give_the_same_sums(monkeypatch):
+    rng = random.Random(16)
+    cases = [({rng.randint(1, 900): rng.randint(1, 9) for _ in range(rng.randint(1, 30))}, rng.random()) for _ in range(60)]
+    fits = [mixing.fit(counts, int(share * sum(s * n for s, n in counts.items()))) for counts, share in cases]
+    monkeypatch.setattr(mixing, "ROWS_BYTES", 64)
+    again = [mixing.fit(counts, int(share * sum(s * n for s, n in counts.items()))) for counts, share in cases]
+    assert again == fits
+
+
 def documents():
     rng = random.Random(3)
     sources = ["b", "a", "é", "Z", None, "", "𝒳", "tiny"]
