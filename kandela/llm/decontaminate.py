@@ -241,8 +241,10 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
 
     Without an answer column the first half of the item's words counts as question, the rest as answer.
     Null texts count as empty; items without words leak nowhere; repeated rows are reported each; ids may
-    be null. An empty documents or benchmark table gives an empty result. Other columns are not read.
+    be null. Whole texts are searched, however long. An empty documents or benchmark table gives an empty result. Other
+    columns are not read; carried ones named like a column of the result are left out.
     """
+    carry = tuple(c for c in carry if c not in (id_column, item_column, "_item_key", "bm25", "overlap", "question_overlap", "answer_overlap"))
     answer = or_empty(F.col(answer_column)) if answer_column else F.lit(None).cast("string")
     items = benchmark.select(
         F.col(item_column).alias("item"), or_empty(F.col(question_column)).cast("binary").alias("question"),
@@ -334,7 +336,7 @@ def _search(docs: DataFrame, index: Index, threshold: float, id_column: str, tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, rows = held.value, []
         for batch in batches:
-            ids, texts, carried = batch.column(id_column), batch.column("raw"), batch.columns[1:-1]
+            ids, texts, carried = batch.column(0), batch.columns[-1], batch.columns[1:-1]
             for low in range(0, batch.num_rows, 256):
                 part = [texts[i].as_py() for i in range(low, min(low + 256, batch.num_rows))]
                 for k, found in _batch_leaks(index, part, threshold):

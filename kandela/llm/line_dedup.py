@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from kandela.llm.text import BLANKS, ascii_lower, or_empty
+from kandela.llm.text import BLANKS, ascii_lower, field, or_empty, row_of
 from kandela.session import materialise
 
 MIN_CHARS = 40
@@ -54,20 +54,21 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
-    """``docs`` with the kept lines as text and the two counts; columns already named so are replaced.
+    """``docs`` with the kept lines as text and the two counts; columns already named so are replaced, all others kept.
 
     One row per input row. A document without a bitmap keeps its text unchanged (null becomes empty);
     one that loses every line keeps an empty text.
     """
     columns = [c for c in docs.columns if c not in (n_lines, n_dropped)]
-    left = docs.select(*columns).withColumn(text_column, or_empty(F.col(text_column))).alias("d")
-    b = bitmaps.select(F.col(id_column).alias("_id"), F.col("text_key").alias("_key"), F.col("n_lines").alias("_lines"),
-                       F.col("n_dropped").alias("_dropped"), F.col("keep_runs").alias("_runs"))
-    text = F.col(f"d.{text_column}")
-    joined = left.join(b, F.col(f"d.{id_column}").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key")), "left")
-    lines = F.split(text, "\n", -1)
-    kept = F.array_join(F.flatten(F.transform("_runs", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
-    chosen = [F.when(F.col("_runs").isNull(), text).otherwise(kept).alias(c) if c == text_column else F.col(f"d.`{c}`")
-              for c in columns]
-    return joined.select(*chosen, F.coalesce("_lines", F.size(lines)).cast("long").alias(n_lines),
-                         F.coalesce("_dropped", F.lit(0)).cast("long").alias(n_dropped))
+    left = docs.select(F.col(id_column).alias("id"), or_empty(F.col(text_column)).alias("text"),
+                       row_of([c for c in columns if c != text_column]).alias("row"))
+    left = left.withColumn("key", F.xxhash64("text"))
+    maps = bitmaps.select(F.col(id_column).alias("of"), F.col("text_key").alias("of_key"), F.col("n_lines").alias("all"),
+                          F.col("n_dropped").alias("gone"), F.col("keep_runs").alias("runs"))
+    joined = left.join(maps, F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
+    lines = F.split("text", "\n", -1)
+    kept = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(lines, r["start"] + 1, r["length"]))), "\n")
+    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(kept).alias(text_column)
+    return joined.select(*[text if c == text_column else field(F.col("row"), c) for c in columns],
+                         F.coalesce("all", F.size(lines)).cast("long").alias(n_lines),
+                         F.coalesce("gone", F.lit(0)).cast("long").alias(n_dropped))

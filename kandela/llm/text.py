@@ -19,3 +19,13 @@ def ascii_lower(text: Column) -> Column:
 
 def or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
+
+
+def field(row: Column, name: str) -> Column:
+    """A column of the input out of the struct that carries it, under its own name."""
+    return row.getField(name).alias(name)
+
+
+def row_of(columns: list[str]) -> Column:
+    """The given columns as one struct, so that none of their names meets a helper column's."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns])

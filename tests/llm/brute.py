@@ -6,6 +6,12 @@ from collections import defaultdict
 
 import xxhash
 
+# Names that the operators use inside; as extra columns of an input they must not matter.
+CLASHES = ["id", "key", "raw", "owner", "n", "fp", "size", "score", "taken", "n_lines", "n_dropped", "text_key", "blob", "rank",
+           "host", "path", "item", "unit", "range", "copies", "record", "n_bytes", "n_tokens", "component", "kept",
+           "_id", "_key", "_text_key", "_n", "_runs", "_lines", "_dropped", "_raw", "_source", "_item_key", "target", "source_size",
+           "row", "text_id", "kept_id", "kept_key", "leaking_id", "mix_id", "nth", "of", "all", "gone", "runs", "bm25", "overlap",
+           "question_overlap", "fingerprint", "component_id", "extra", "more", "quota", "here", "before", "lines", "pos", "h1", "h2"]
 BLANKS = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

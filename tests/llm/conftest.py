@@ -1,8 +1,6 @@
 import pytest
 
-# Names that the operators use inside; as extra columns of an input they must not matter.
-CLASHES = ["id", "key", "raw", "owner", "n", "fp", "size", "score", "taken", "n_lines", "n_dropped", "text_key", "blob", "rank",
-           "host", "path", "item", "unit", "range", "copies", "record", "n_bytes", "n_tokens", "component", "kept"]
+from brute import CLASHES
 
 
 @pytest.fixture
@@ -12,7 +10,7 @@ def make_docs(spark):
     def make(rows, clash=True, partitions=3):
         full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
         extra = "".join(f", `{c}` string" for c in CLASHES) if clash else ""
-        values = [r + (None,) * (len(CLASHES) if clash else 0) for r in full]
+        values = [r + (tuple(f"{c} {i}" for c in CLASHES) if clash else ()) for i, r in enumerate(full)]
         return spark.createDataFrame(
             values, "doc_id long, text string, lang string, source string, n_chars long" + extra).repartition(partitions)
 

@@ -7,7 +7,7 @@ from pathlib import Path
 import brute
 import duckdb
 import pytest
-from brute import in_order, rows_of
+from brute import CLASHES, in_order, rows_of
 
 from pyspark.sql import functions as F
 
@@ -138,13 +138,31 @@ def test_stages_take_odd_and_empty_tables(spark, make_docs, stage):
     odd = [(1, None), (None, None), (None, "no id, but words enough to be a text"), (2, ""), (3, "a b c", None), (3, "a b c", None),
            (3, "another text with the same id", "s"), (4, "long " * 40_000)]
     for rows in (odd, []):
-        docs = make_docs(rows, clash=False).withColumn("lang", F.lit(None).cast("string"))
+        docs = make_docs(rows).withColumn("lang", F.lit(None).cast("string"))
         found = stage(spark, docs, FOLDER)
         assert set(docs.columns) <= set(found.columns) and found.count() <= len(rows)
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_keep_columns_named_like_their_helpers(spark, make_docs, tmp_path, name, stage):
+    """The same rows with and without clashing columns give the same documents, and each clashing value stays with its row."""
+    real = spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(60).collect()
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in real]
+    docs, last = make_docs(rows), name == corpus_pipeline.STAGES[-1][0]
+    stage(spark, docs, FOLDER).write.parquet(str(tmp_path / "found"))
+    found = spark.read.parquet(str(tmp_path / "found"))
+    plain = stage(spark, make_docs(rows, clash=False), FOLDER)
+    own = ["doc_id", "text", "lang", "source", "n_chars"] + (list(corpus_pipeline.MIX_COLUMNS) if last else [])
+    assert found.count() > 0 and rows_of(found, *own) == rows_of(plain, *own)
+    assert last or found.columns == docs.columns
+    number = {i: k for k, (i, _, _) in enumerate(rows)}
+    for r in found.collect():
+        for c in set(CLASHES) - set(corpus_pipeline.MIX_COLUMNS if last else ()):
+            assert r[c] == f"{c} {number[r['doc_id']]}"
+
+
 def test_clean_rows_stay_beside_leaking_ones_of_their_id(spark, make_docs):
     item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first()["text"]
     rows = [(None, f"before {item} after"), (None, "a clean text"), (None, None), (7, item), (7, "another clean text"), (7, item), (8, item)]
-    found = corpus_pipeline.without_benchmark(spark, make_docs(rows, clash=False), FOLDER)
+    found = corpus_pipeline.without_benchmark(spark, make_docs(rows), FOLDER)
     assert rows_of(found, "doc_id", "text") == in_order([(None, "a clean text"), (None, None), (7, "another clean text")])
