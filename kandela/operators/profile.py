@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kandela.schemas import PRICES
 from kandela.session import materialise
 
-GRID = 128
+# A double's fraction steps, its exponents and its code of infinity.
+_FRACTION = 1 << 52
+_LOW_EXPONENT, _TOP_EXPONENT = -1022, 1023
+_INFINITE = 2047 << 52
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
@@ -26,111 +29,93 @@ def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     return df.unpivot(list(keys), list(columns), "column", "value").where("value IS NOT NULL")
 
 
-def _cuts(value: Column) -> Column:
-    """Borders of ``GRID`` ranges of about equal size, from a mergeable sketch."""
-    return F.percentile_approx(value, [i / GRID for i in range(1, GRID)], 8 * GRID)
+def ordered_code(value: Column) -> Column:
+    """A double as a long of the same order: 63 bits of exponent and fraction, negated below zero; NaN is the largest.
 
-
-def _bracket(cuts: Column, low: Column, high: Column) -> tuple[Column, Column]:
-    """The borders one range below the fraction ``low`` and one above ``high``; -infinity and NaN where there is none.
-
-    NaN sorts after every number, so a bracket up to it is open.
+    All steps are exact, as they scale by powers of two only. Both zeros get the same code.
     """
-    below, above = F.floor(low * GRID).cast("int") - 1, F.ceil(high * GRID).cast("int") + 1
-    return (F.when(below >= 1, F.get(cuts, below - 1)).otherwise(float("-inf")),
-            F.when(above <= GRID - 1, F.get(cuts, above - 1)).otherwise(float("nan")))
-
-
-def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float],
-                      sketch: DataFrame | None = None, rows_per_range: int = 1_000_000) -> DataFrame:
+    size = F.abs(value)
+    guess = F.least(F.floor(F.log2(size)), F.lit(_TOP_EXPONENT))  # the logarithm may be off by one next to a power of two
+    unit = F.pow(F.lit(2.0), guess)
+    exponent = F.greatest(F.when(size < unit, guess - 1).when(size / unit >= 2, guess + 1).otherwise(guess), F.lit(_LOW_EXPONENT))
+    finite = (exponent - _LOW_EXPONENT) * _FRACTION + (size / F.pow(F.lit(2.0), exponent) * float(_FRACTION)).cast("long")
+    code = F.when(size == 0, 0).when(F.isnan(value), _INFINITE + 1).when(size == float("inf"), _INFINITE).otherwise(finite)
+    return F.when(value < 0, -code).otherwise(code)
+
+
+def decoded(code: Column) -> Column:
+    """The double of an ``ordered_code``."""
+    size = F.abs(code)
+    exponent, fraction = F.shiftright(size, 52), size % _FRACTION
+    normal = (1 + fraction / float(_FRACTION)) * F.pow(F.lit(2.0), exponent + (_LOW_EXPONENT - 1))
+    small = fraction / float(_FRACTION) * F.pow(F.lit(2.0), F.lit(_LOW_EXPONENT))
+    value = F.when(size > _INFINITE, float("nan")).when(size == _INFINITE, float("inf")).when(exponent > 0, normal).otherwise(small)
+    return F.when(code < 0, -value).otherwise(value)
+
+
+def exact_percentiles(values: DataFrame, keys: Sequence[str], probabilities: dict[str, float]) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group, without one task holding a group.
 
-    A mergeable sketch brackets each wanted rank; one pass counts the rows below and inside each bracket, which
-    combines before the shuffle. A bracket that misses its rank is moved, one with more than
-    ``rows_per_range`` rows of different values is sketched again inside. Only rows inside the brackets are then shuffled,
-    as counts of equal values, and sorted bracket by bracket. The sketch steers the work and never the
-    result. ``sketch`` (keys, n, cuts) may be given if known; ``values`` is scanned in each step, so it should be
-    a projection of a stored table.
+    Radix selection: values become integers of the same order, written once. Each pass counts 16 bits of those that share
+    the bits already known of a wanted rank, which combines before the shuffle, and picks the bin that holds the rank. Four
+    passes name the value whatever the distribution; a bin of equal values ends earlier. Nulls do not count, NaN is the
+    largest value, groups with a null key or without values have no row.
     """
     keys, names = list(keys), list(probabilities)
-    values = values.withColumn("value", F.col("value").cast("double"))
-    position = lambda p: (F.col("n") - 1) * F.lit(p)
-    ranks = {x: (F.floor(position(p)), F.ceil(position(p))) for x, p in probabilities.items()}
-    inside = lambda x: (F.col("value") >= F.col(f"{x}_lo")) & (F.col("value") <= F.col(f"{x}_hi"))
-
-    if sketch is None:
-        sketch = values.groupBy(*keys).agg(F.count("*").alias("n"), _cuts(F.col("value")).alias("cuts"))
-    brackets = {}
-    for x, (first, last) in ranks.items():
-        brackets[f"{x}_lo"], brackets[f"{x}_hi"] = _bracket(F.col("cuts"), first / F.col("n"), last / F.col("n"))
-    state = materialise(sketch.select(*keys, "n", *[c.alias(x) for x, c in brackets.items()]), "brackets")
-    while True:
-        counted = materialise(values.join(state, on=keys).groupBy(*state.columns).agg(
-            *[F.count_if(F.col("value") < F.col(f"{x}_lo")).alias(f"{x}_below") for x in names],
-            *[F.count_if(inside(x)).alias(f"{x}_rows") for x in names]), "bracket-counts")
-        early = {x: ranks[x][0] < F.col(f"{x}_below") for x in names}
-        late = {x: ranks[x][1] >= F.col(f"{x}_below") + F.col(f"{x}_rows") for x in names}
-        wide = {x: (F.col(f"{x}_rows") > rows_per_range) & (F.col(f"{x}_lo") < F.col(f"{x}_hi")) for x in names}
-        undone = F.lit(False)
-        for x in names:
-            undone = undone | early[x] | late[x] | wide[x]
-        if counted.where(undone).isEmpty():
-            break
-        cut_again = values.join(counted, on=keys).groupBy(*counted.columns).agg(
-            *[_cuts(F.when(inside(x) & wide[x], F.col("value"))).alias(f"{x}_cuts") for x in names])
-        moved = {}
-        for x in names:
-            low, high = F.col(f"{x}_lo"), F.col(f"{x}_hi")
-            local = [(rank - F.col(f"{x}_below")) / F.col(f"{x}_rows") for rank in ranks[x]]
-            finer_low, finer_high = _bracket(F.col(f"{x}_cuts"), *local)
-            # One that starts too late is taken back to the start, one that ends too early runs to the end.
-            moved[f"{x}_lo"] = F.when(early[x], float("-inf")).when(wide[x] & ~late[x], F.greatest(low, finer_low)).otherwise(low)
-            moved[f"{x}_hi"] = F.when(late[x], float("nan")).when(wide[x] & ~early[x], F.least(high, finer_high)).otherwise(high)
-        # Two neighbouring values with very many rows each cannot be told apart further; then the bracket stays.
-        changed = F.lit(False)
-        for c, column in moved.items():
-            changed = changed | ~column.eqNullSafe(F.col(c))
-        state = materialise(cut_again.select(
-            *keys, "n", *[c.alias(x) for x, c in moved.items()], changed.alias("_changed")), "brackets")
-        if state.where("_changed").isEmpty():
+    codes = materialise(values.where("value IS NOT NULL").select(
+        *keys, ordered_code(F.col("value").cast("double")).alias("_code")), "codes")
+    counts = [F.count("*").alias("_here"), F.min("_code").alias("_low"), F.max("_code").alias("_high")]
+    position = lambda p: (F.col("_n") - 1) * F.lit(float(p))
+    ranks = F.array(*[F.struct(F.lit(f"{x}_{end}").alias("_of"), near(position(p)).cast("long").alias("_rank"))
+                      for x, p in probabilities.items() for end, near in enumerate((F.floor, F.ceil))])
+    first = _placed(codes.groupBy(*keys, F.shiftright("_code", 48).alias("_bin")).agg(*counts), keys)
+    first = first.withColumn("_n", F.sum("_here").over(Window.partitionBy(*keys)))
+    holding = F.filter(ranks, lambda r: (r["_rank"] >= F.col("_from")) & (r["_rank"] < F.col("_from") + F.col("_here")))
+    columns = [*keys, "_n", "_of", F.expr("_rank - _from").alias("_rank"), "_bin", "_low", "_high"]
+    wanted = materialise(first.select("*", F.inline(holding)).select(*columns), "ranks")
+    found = [wanted.where("_low = _high")]
+    for shift in (32, 16, 0):
+        wanted = wanted.where("_low < _high").drop("_low", "_high").withColumnRenamed("_bin", "_parent")
+        if wanted.isEmpty():
             break
-        state = state.drop("_changed")
-
-    holding = F.filter(F.array(*[F.when(inside(x), F.lit(x)) for x in names]), lambda x: x.isNotNull())
-    cells = (
-        values.join(counted, on=keys).select(*counted.columns, "value", F.explode(holding).alias("of"))
-        .groupBy(*counted.columns, "of", "value").agg(F.count("*").alias("cnt"))
-    )
-    upto = F.sum("cnt").over(Window.partitionBy(*keys, "of").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    below = F.coalesce(*[F.when(F.col("of") == x, F.col(f"{x}_below")) for x in names])
-    placed = cells.withColumn("upto", below + upto).withColumn("from", F.col("upto") - F.col("cnt"))
-
-    def at(x: str, rank: Column) -> Column:
-        return F.max(F.when((F.col("of") == x) & (rank >= F.col("from")) & (rank < F.col("upto")), F.col("value")))
-
-    found = placed.groupBy(*keys).agg(
-        F.first("n").alias("n"), *[at(x, rank).alias(f"{x}_{i}") for x in names for i, rank in enumerate(ranks[x])])
-    return found.select(*keys, *[
-        (F.col(f"{x}_0") + (F.col(f"{x}_1") - F.col(f"{x}_0")) * (position(p) - F.floor(position(p)))).alias(x)
-        for x, p in probabilities.items()
-    ])
+        inside = codes.withColumn("_parent", F.shiftright("_code", shift + 16)).join(
+            wanted.select(*keys, "_parent").distinct(), [*keys, "_parent"])
+        bins = _placed(inside.groupBy(*keys, "_parent", F.shiftright("_code", shift).alias("_bin")).agg(*counts), [*keys, "_parent"])
+        held = bins.join(wanted, [*keys, "_parent"]).where("_rank >= _from AND _rank < _from + _here")
+        wanted = materialise(held.select(*columns), "ranks")
+        found.append(wanted.where("_low = _high"))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    at = every.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
+        F.max(F.when(F.col("_of") == f"{x}_{end}", decoded(F.col("_low")))).alias(f"_{x}_{end}") for x in names for end in (0, 1)])
+    between = lambda x, p: F.when(F.col(f"_{x}_0") == F.col(f"_{x}_1"), F.col(f"_{x}_0")).otherwise(
+        F.col(f"_{x}_0") + (F.col(f"_{x}_1") - F.col(f"_{x}_0")) * (position(p) - F.floor(position(p))))
+    return at.select(*keys, *[between(x, p).alias(x) for x, p in probabilities.items()])
+
+
+def _placed(bins: DataFrame, within: list[str]) -> DataFrame:
+    """``_from``: rows in earlier bins; at most 65,536 bins share a window."""
+    before = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    return bins.withColumn("_from", F.coalesce(F.sum("_here").over(before), F.lit(0)))
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df``, over all tasks if it comes from fewer files than there are."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if 0 < len(df.inputFiles()) < tasks else df
 
 
 def describe(df: DataFrame, keys: Sequence[str] = ("symbol",),
              columns: Sequence[str] = tuple(PRICES)) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column per group."""
     by = [*keys, "column"]
-    values = unpivot(df, keys, columns)
-    moments = materialise(
-        values.groupBy(*by).agg(
-            F.count("value").alias("count"), F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-            _cuts(F.col("value").cast("double")).alias("cuts"),
-        ),
-        "moments",
-    )
-    quartiles = exact_percentiles(values, by, _QUARTILES, moments.select(*by, F.col("count").alias("n"), "cuts"))
-    return moments.drop("cuts").join(quartiles, on=by)
+    rows = _dealt(df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]))
+    moments = rows.groupBy(*keys).agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+        F.min(c).alias("min"), F.max(c).alias("max")).alias(f"_{i}") for i, c in enumerate(columns)])
+    moments = materialise(moments.select(*keys, F.inline(F.array(*[f"_{i}" for i in range(len(columns))]))).where("count > 0"), "moments")
+    return moments.join(exact_percentiles(unpivot(rows, keys, columns), by, _QUARTILES), on=by)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

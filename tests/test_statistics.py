@@ -5,6 +5,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,11 +17,42 @@ def test_exact_percentiles_with_ties_and_outliers(spark):
     values = np.concatenate([rng.normal(size=900), np.full(600, 0.25), [1e12, -1e12], rng.integers(0, 5, 500)])
     df = spark.createDataFrame([("a", float(x)) for x in values] + [("b", 1.0)], "g string, value double")
     wanted = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    for rows_per_range in (1_000_000, 20, 1):  # one round, two rounds, down to single values
-        got = {r.g: r for r in pr.exact_percentiles(df, ["g"], wanted, rows_per_range=rows_per_range).collect()}
+    got = {r.g: r for r in pr.exact_percentiles(df, ["g"], wanted).collect()}
+    for name, p in wanted.items():
+        assert got["a"][name] == pytest.approx(np.quantile(values, p))
+        assert got["b"][name] == 1.0
+
+
+def test_codes_keep_order_and_value(spark):
+    rng = np.random.default_rng(4)
+    bits = rng.integers(0, 2047 << 52, 4000).view(np.float64)
+    powers = np.array([m * 2.0 ** e for e in range(-1074, 1024) for m in (1.0, 1 - 2.0 ** -53, 1 + 2.0 ** -52)])
+    edges = np.array([0.0, np.inf, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308])
+    values = np.concatenate([bits, -bits, powers, -powers, edges, -edges])
+    df = spark.createDataFrame(pd.DataFrame({"value": values})).select("value", pr.ordered_code(F.col("value")).alias("code"))
+    got = df.select("value", "code", pr.decoded(F.col("code")).alias("back")).toPandas()
+    assert (got.back == got.value).all()
+    plain = np.abs(got.value.to_numpy()).view(np.int64)
+    assert (got.code == np.where(got.value < 0, -plain, plain)).all()
+    nan = spark.createDataFrame([(float("nan"),)], "value double").select(pr.ordered_code(F.col("value")).alias("code"))
+    assert nan.first().code > got.code.max() and np.isnan(nan.select(pr.decoded(F.col("code"))).first()[0])
+
+
+def test_percentiles_of_odd_values(spark):
+    """NaN is the largest value, infinities count, nulls do not; a third of group "h" is one value; bits differ late in "l"."""
+    rng = np.random.default_rng(5)
+    inf, nan = float("inf"), float("nan")
+    rows = {"o": [nan, inf, -inf, 0.0, -0.0, 1.0, 2.0, -3.0], "h": [7.5] * 500 + list(rng.lognormal(0, 40, 1000)),
+            "l": list(1.0 + np.arange(999) * 2.0 ** -52), "e": [-inf] * 3, "t": [3.0, 3.0, 4.0, 4.0]}
+    df = spark.createDataFrame([(g, float(x)) for g, xs in rows.items() for x in xs] + [("o", None), ("none", None)], "g string, value double")
+    wanted = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
+    got = {r.g: r for r in pr.exact_percentiles(df.repartition(5), ["g"], wanted).collect()}
+    assert got.keys() == rows.keys()
+    for g in ("h", "l", "t"):
         for name, p in wanted.items():
-            assert got["a"][name] == pytest.approx(np.quantile(values, p))
-            assert got["b"][name] == 1.0
+            assert got[g][name] == pytest.approx(np.quantile(rows[g], p), rel=1e-15)
+    assert got["o"].p0 == -inf and got["o"].p50 == 0.5 and np.isnan(got["o"].p100) and got["e"].p50 == -inf
+    assert pr.exact_percentiles(df.limit(0), ["g"], wanted).count() == 0
 
 
 def test_describe_matches_pandas(spark, candles):
