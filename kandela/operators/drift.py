@@ -88,23 +88,26 @@ def exact_ks_p(n: int, m: int, gap: int) -> float:
 
     A random order of both samples is a grid path from (0, 0) to (n, m). The probability that it ever
     reaches the distance is summed over the first cells that do, diagonal by diagonal; nothing is
-    subtracted, so small probabilities keep their digits.
+    subtracted, so small probabilities keep their digits. Only the cells nearer than the distance are carried: about
+    2 * gap / (n + m) of a diagonal.
     """
     if gap <= 0:
         return 1.0
-    inside, reached = np.zeros(n + 1), 0.0
-    inside[0] = 1.0
-    i = np.arange(n + 1)
-    for k in range(n + m):
-        j = k - i
-        left = float(n + m - k)
-        forward = np.zeros(n + 1)
-        forward[1:] = inside[:-1] * ((n - i[:-1]) / left)
-        moved = forward + inside * (np.clip(m - j, 0, None) / left)
-        j = j + 1
-        out = np.abs(i * m - j * n) >= gap
-        reached += float(moved[out].sum())
-        inside = np.where(out, 0.0, moved)
+    both, low, reached = n + m, 0, 0.0
+    inside = np.ones(1)  # cells (i, k - i) from i = low on that are nearer than the distance
+    for k in range(both):
+        i = np.arange(low, low + len(inside))
+        left = float(both - k)
+        moved = np.zeros(len(inside) + 1)
+        moved[1:] = inside * ((n - i) / left)
+        moved[:-1] += inside * ((m - k + i) / left)
+        # |i * m - (k + 1 - i) * n| < gap holds from the first of these to the second.
+        first = max(((k + 1) * n - gap) // both + 1, low)
+        last = min(-((-(k + 1) * n - gap) // both) - 1, low + len(inside))
+        reached += float(moved[:max(first - low, 0)].sum() + moved[max(last + 1, first) - low:].sum())
+        inside, low = moved[first - low:last + 1 - low], first
+        if not len(inside):
+            break
     return min(reached, 1.0)
 
 
@@ -117,8 +120,8 @@ def _exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def with_p_value(stats: DataFrame, method: str = "exact") -> DataFrame:
     """``p_value`` by the caller's choice of method, never by size.
 
-    "exact" counts grid paths: n * m steps, taken once for each different pair of sizes and
-    distance. "asymptotic" is the limit formula.
+    "exact" counts grid paths: n + m diagonals of the cells nearer than the distance, once for each different pair of
+    sizes and distance. "asymptotic" is the limit formula.
     """
     both = with_asymptotic_p(stats)
     if method == "asymptotic":

@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 from itertools import combinations
 from math import comb
+from time import perf_counter
 
 import numpy as np
 import pandas as pd
@@ -82,6 +83,35 @@ def test_null_counts_and_profile(spark):
     assert [(r["column"], r.type, r.n_rows, r.non_null) for r in rows] == [("a", "int", 2, 2), ("b", "string", 2, 1)]
 
 
+def whole_lattice_ks_p(n, m, gap):
+    """The same sum over every cell of every diagonal."""
+    inside, reached = {0: 1.0}, 0.0
+    for k in range(n + m):
+        moved = {}
+        for i, p in inside.items():
+            for to, free in ((i + 1, n - i), (i, m - k + i)):
+                moved[to] = moved.get(to, 0.0) + p * free / (n + m - k)
+        out = {i for i in moved if abs(i * m - (k + 1 - i) * n) >= gap}
+        reached += sum(moved[i] for i in out)
+        inside = {i: p for i, p in moved.items() if i not in out and p}
+    return min(reached, 1.0)
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (1, 9), (9, 1), (12, 12), (17, 31), (40, 25), (60, 7)])
+def test_band_equals_the_whole_lattice(n, m):
+    for gap in {1, 2, n, m, n + m, n * m // 5, n * m // 3, n * m // 2, n * m - 1, n * m}:
+        if 0 < gap <= n * m:
+            assert drift.exact_ks_p(n, m, gap) == pytest.approx(whole_lattice_ks_p(n, m, gap), rel=1e-13)
+
+
+def test_band_of_large_samples_is_quick():
+    n, d = 20_000, 0.0163
+    started = perf_counter()
+    p = drift.exact_ks_p(n, n, round(d * n * n))
+    assert perf_counter() - started < 5
+    assert p == pytest.approx(2 * sum((-1) ** (j - 1) * np.exp(-2 * j * j * d * d * n / 2) for j in range(1, 9)), rel=0.05) and 0.005 < p < 0.02
+
+
 def brute_force_ks_p(n, m, d):
     hits = 0
     for chosen in combinations(range(n + m), n):
