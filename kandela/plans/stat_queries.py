@@ -340,6 +340,30 @@ def utilisation_minute(spark, folder):
     return _utilisation(spark, folder, _MINUTE, _SCRAPE)
 
 
+def _sliding_sql(source: str, by: str, where: str, window: int, step: int) -> str:
+    """CTEs seen and rates; edges are extrapolated."""
+    return f"""stepped AS (SELECT {by}, epoch(ts)::BIGINT AS s, value, value - lag(value) OVER w AS step, lag(epoch(ts)::BIGINT) OVER w AS before
+    FROM {source} WHERE {where} WINDOW w AS (PARTITION BY {by} ORDER BY ts)),
+  points AS (SELECT *, unnest(range((s + {step - 1}) // {step} * {step}, s + {window}, {step})) AS t FROM stepped),
+  seen AS (SELECT {by}, t, count(*) AS n, min(s) AS s0, max(s) AS s1, arg_min(value, s) AS v0, (max(s) - min(s)) / (count(*) - 1) AS gap,
+    sum(CASE WHEN before > t - {window} THEN CASE WHEN step < 0 THEN value ELSE step END END) AS inc
+    FROM points GROUP BY {by}, t HAVING count(*) > 1),
+  edges AS (SELECT *, CASE WHEN s0 - (t - {window}) >= gap * 1.1 THEN gap / 2 ELSE s0 - (t - {window}) END AS lead,
+    CASE WHEN t - s1 >= gap * 1.1 THEN gap / 2 ELSE t - s1 END AS trail,
+    CASE WHEN inc > 0 AND v0 >= 0 THEN (s1 - s0) * (v0 / inc) END AS zero FROM seen),
+  rates AS (SELECT {by}, to_timestamp(t)::TIMESTAMP AS "at",
+    inc * ((s1 - s0 + coalesce(least(lead, zero), lead) + trail) / (s1 - s0)) / {window} AS rate FROM edges)"""
+
+
+@query("n1_utilisation_sliding", f"""WITH {_HOURLY}, {_COUNTED_CPU}, {_sliding_sql("cpu", "instance", "mode = 'idle'", _SIX_HOURS, 3600)}
+  SELECT instance, "at", round(100 - avg(rate) * 100, 6) AS utilisation FROM rates GROUP BY ALL""")
+def utilisation_sliding(spark, folder):
+    """Six-hour windows that end at every hour."""
+    idle = mt.select_metric(samples.cpu_seconds(spark, folder), "node_cpu_seconds_total", mode="idle")
+    rows = idle.select(mt.label("instance").alias("instance"), "ts", "value")
+    return mt.utilisation(mt.sliding_rate(rows, ["instance"], _SIX_HOURS, 3600), at="at")
+
+
 @query("n2_gauge_difference", f"""WITH {_HOURLY} SELECT (user_id % 4)::VARCHAR AS instance, ts,
   round(sum(value) - max(value), 6) AS difference FROM hourly GROUP BY ALL""")
 def gauge_difference(spark, folder):
@@ -355,23 +379,29 @@ def counter_by_label(spark, folder):
 
 
 _BOUNDS = [*samples.BUCKETS, "'inf'::DOUBLE"]
-
-
-def _quantile_sql(window: int, scrape: int) -> str:
-    return f"""WITH {_scraped(scrape)}, bounds AS (SELECT unnest([{", ".join(map(str, _BOUNDS))}]) AS le),
+_LATENCY = f"""bounds AS (SELECT unnest([{", ".join(map(str, _BOUNDS))}]) AS le),
   counted AS (SELECT event_type AS endpoint, ts, le, count(*) FILTER (value <= le) AS hits FROM hourly, bounds GROUP BY ALL),
   buckets AS (SELECT endpoint, le, ts, sum(hits) OVER (PARTITION BY endpoint, le, date_trunc('week', ts) ORDER BY ts)::DOUBLE
-    AS value FROM counted), {_rate_sql("buckets", "endpoint, le", "true", window)},
-  summed AS (SELECT window_start, le, sum(rate) AS rate FROM rates GROUP BY ALL),
-  placed AS (SELECT *, max(rate) OVER (PARTITION BY window_start) * 0.95 AS rank,
+    AS value FROM counted)"""
+
+
+def _crossing_sql(at: str) -> str:
+    """The 95 % quantile of bucket rates."""
+    return f"""summed AS (SELECT {at}, le, sum(rate) AS rate FROM rates GROUP BY ALL),
+  placed AS (SELECT *, max(rate) OVER (PARTITION BY {at}) * 0.95 AS rank,
     coalesce(lag(le) OVER w, 0) AS lower, coalesce(lag(rate) OVER w, 0) AS before
-    FROM summed WINDOW w AS (PARTITION BY window_start ORDER BY le)),
+    FROM summed WINDOW w AS (PARTITION BY {at} ORDER BY le)),
   hit AS (SELECT * FROM placed WHERE rank > 0 AND rate >= rank
-    QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY le) = 1)
-  SELECT window_start, round(CASE WHEN isinf(le) THEN lower ELSE lower + (le - lower) * (rank - before) / (rate - before) END, 6)
+    QUALIFY row_number() OVER (PARTITION BY {at} ORDER BY le) = 1)
+  SELECT {at}, round(CASE WHEN isinf(le) THEN lower ELSE lower + (le - lower) * (rank - before) / (rate - before) END, 6)
     AS quantile FROM hit"""
 
 
+def _quantile_sql(window: int, scrape: int) -> str:
+    return f"""WITH {_scraped(scrape)}, {_LATENCY}, {_rate_sql("buckets", "endpoint, le", "true", window)},
+{_crossing_sql("window_start")}"""
+
+
 def _quantile(spark, folder, window, scrape):
     buckets = mt.select_metric(samples.latency_buckets(spark, folder, scrape), "api_request_latency_seconds_bucket")
     rows = buckets.select(
@@ -389,6 +419,16 @@ def histogram_quantile_minute(spark, folder):
     return _quantile(spark, folder, _MINUTE, _SCRAPE)
 
 
+@query("n4_histogram_quantile_sliding", f"""WITH {_HOURLY}, {_LATENCY}, {_sliding_sql("buckets", "endpoint, le", "true", _SIX_HOURS, 3600)},
+  {_crossing_sql('"at"')}""")
+def histogram_quantile_sliding(spark, folder):
+    """Six-hour windows that end at every hour."""
+    buckets = mt.select_metric(samples.latency_buckets(spark, folder), "api_request_latency_seconds_bucket")
+    rows = buckets.select(
+        mt.label("endpoint").alias("endpoint"), mt.label("le").cast("double").alias("le"), "ts", "value")
+    return mt.histogram_quantile(mt.sliding_rate(rows, ["endpoint", "le"], _SIX_HOURS, 3600), 0.95, ["at"])
+
+
 @query("n5_gauge_by_label", f"""WITH {_HOURLY} SELECT event_type AS state, ts, count(*)::DOUBLE AS value FROM hourly
   WHERE user_id % 3 = 1 GROUP BY ALL""")
 def gauge_by_label(spark, folder):

@@ -291,3 +291,38 @@ def test_gauges_and_active_series(spark):
     assert [(r.ts, r.difference) for r in got] == [(T0, 5.0)]
     seen = spark.createDataFrame([("a", T0), ("a", T0), ("b", T0), ("a", T0 + timedelta(hours=2))], "c string, ts timestamp")
     assert [r.active for r in mt.active_series(seen, ["c"], 3600).orderBy("window_start").collect()] == [2, 1]
+
+
+def _counter(spark, seconds_and_values):
+    start = datetime(2024, 1, 1)
+    return spark.createDataFrame([("a", start + timedelta(seconds=t), float(v)) for t, v in seconds_and_values], "g string, ts timestamp, value double")
+
+
+def _by_second(rows, value):
+    return {int((r["at"] - datetime(2024, 1, 1)).total_seconds()): r[value] for r in rows}
+
+
+def test_sliding_rate_by_hand(spark):
+    """Scrapes every 15 s with a restart at 45 s, windows of 60 s each 30 s; then a gap, then two late samples."""
+    rows = [(0, 100), (15, 115), (30, 130), (45, 6), (60, 21), (300, 30), (315, 90)]
+    got = _by_second(mt.sliding_rate(_counter(spark, rows), ["g"], 60, 30).collect(), "rate")
+    # at: increase * (covered + start + end) / covered / 60. A start edge 30 s away counts for half a distance.
+    assert got.pop(30) == pytest.approx(30 * (30 + 7.5 + 0) / 30 / 60)  # 0..30; the window opens 30 s before
+    assert got.pop(60) == pytest.approx(36 * (45 + 15 + 0) / 45 / 60)  # 15..60, as 0 s is outside; 15 + 6 + 15
+    assert got.pop(90) == pytest.approx(15 * (15 + 6 / 15 * 15 + 7.5) / 15 / 60)  # 45, 60; zero is 6 s back, nearer than the edge
+    assert got.pop(330) == pytest.approx(60 * (15 + 7.5 + 15) / 15 / 60)  # 300, 315
+    assert got == {}  # at 0, 120, 300 and 360 a window holds one sample, its start being open
+
+
+def test_sliding_rate_of_flat_single_and_repeated_samples(spark):
+    flat = _by_second(mt.sliding_rate(_counter(spark, [(0, 5), (0, 3), (20, 5)]), ["g"], 60, 60).collect(), "rate")
+    assert flat == {}  # at 0 one time, at 60 only the sample of 20 s
+    flat = _by_second(mt.sliding_rate(_counter(spark, [(1, 5), (1, 3), (21, 5)]), ["g"], 60, 60).collect(), "rate")
+    assert flat == {60: 0.0}
+    assert mt.sliding_rate(_counter(spark, [(7, 1)]), ["g"], 60, 15).count() == 0
+    assert mt.sliding_rate(_counter(spark, [(7, 1), (8, 2)]), ["g"], 1, 30).count() == 0  # no evaluation time sees both
+
+
+def test_value_at_is_stale_after_a_while(spark):
+    got = _by_second(mt.value_at(_counter(spark, [(0, 1), (50, 2), (50, 3), (700, 4)]), ["g"], 60).collect(), "value")
+    assert got == {0: 1.0, **{t: 3.0 for t in (60, 120, 180, 240, 300)}, **{t: 4.0 for t in (720, 780, 840, 900, 960)}}
