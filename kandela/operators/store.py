@@ -91,6 +91,11 @@ def _month() -> Column:
     return F.date_format("open_time", "yyyy-MM").alias("month")
 
 
+def _in_months(touched: DataFrame) -> Column:
+    """Whether a folder's month is one of ``touched``: a late row of an old month does not open what lies between."""
+    return F.array_contains(touched.agg(F.collect_set("month")).scalar(), F.col("month"))
+
+
 def _by_id_and_month(klines: DataFrame) -> DataFrame:
     """One task writes a whole (symbol, interval, month) folder; a month of one series is bounded by its grid."""
     return klines.withColumn("month", _month()).repartition(*_KLINE_FOLDERS)
@@ -120,15 +125,14 @@ def upsert_klines(path: str, found: DataFrame) -> None:
     """Upsert into the stored fact table in place, rewriting only the (symbol, interval, month) folders it touches.
 
     A stored key keeps its id and load time and gets the incoming values; a new key is numbered after all
-    stored ones. The span of incoming months prunes the folders read, and the merged folders are written
+    stored ones. Only folders of incoming months are read, and the merged folders are written
     aside first, so a repeated run gives the same table.
     """
     spark = found.sparkSession
     incoming = materialise(found.withColumn("month", _month()), "upsert-in")
     stored = read_klines(spark, path)
     touched = incoming.select(*_KLINE_FOLDERS).distinct()
-    span = F.col("month").between(touched.agg(F.min("month")).scalar(), touched.agg(F.max("month")).scalar())
-    near = materialise(stored.where(span).join(touched, on=_KLINE_FOLDERS, how="left_semi"), "upsert-old")
+    near = materialise(stored.where(_in_months(touched)).join(touched, on=_KLINE_FOLDERS, how="left_semi"), "upsert-old")
     known = near.select(*KLINE_KEY, "klines_id", "created_at")
     kept = near.join(incoming.select(*KLINE_KEY), on=KLINE_KEY, how="left_anti")
     revised = incoming.join(known, on=KLINE_KEY)
@@ -258,15 +262,14 @@ def read_candles(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def upsert_into(path: str, incoming: DataFrame) -> None:
     """Upsert into a stored candle table, rewriting only the (series, month) folders it touches.
 
-    The span of incoming months prunes the folders read. The merged partitions are written aside
+    Only folders of incoming months are read. The merged partitions are written aside
     first, so the table is never read and overwritten in one plan, and a repeated run gives the same
     table.
     """
     spark = incoming.sparkSession
     incoming = materialise(_by_month(incoming), "upsert-in")
     touched = incoming.select(*SERIES, "month").distinct()
-    span = F.col("month").between(touched.agg(F.min("month")).scalar(), touched.agg(F.max("month")).scalar())
-    stored = read_candles(spark, path, incoming.schema).where(span)
+    stored = read_candles(spark, path, incoming.schema).where(_in_months(touched))
     stored = stored.join(touched, on=[*SERIES, "month"], how="left_semi")
     merged = materialise(upsert(stored, incoming, [*SERIES, "month", "open_time"]), "upsert-merged")
     (
@@ -279,7 +282,7 @@ def upsert_into(path: str, incoming: DataFrame) -> None:
 def not_yet_stored(batch: DataFrame, stored: DataFrame, last: int | None = None) -> DataFrame:
     """The batch rows whose (series, close time) the store lacks; repeats inside the batch count once.
 
-    A stored table with a ``month`` column is read for the batch's span of months only. ``last`` is the
+    A stored table with a ``month`` column is read for the batch's months only. ``last`` is the
     source system's narrower rule, on request: the newest ``last`` rows per series of the batch against the
     ``last`` newest of ``stored``; what is older is then neither kept nor recognised.
     """
@@ -289,9 +292,7 @@ def not_yet_stored(batch: DataFrame, stored: DataFrame, last: int | None = None)
         seen = rank_last(stored, last, time="close_time")
         return rank_last(batch, last, time="close_time").join(seen.select(*key), on=key, how="left_anti")
     if "month" in stored.columns:
-        months = batch.agg(F.min(_month()).alias("low"), F.max(_month()).alias("high"))
-        span = F.col("month").between(months.select("low").scalar(), months.select("high").scalar())
-        stored = stored.where(span)
+        stored = stored.where(_in_months(batch.select(_month())))
     return batch.join(stored.select(*key), on=key, how="left_anti")
 
 

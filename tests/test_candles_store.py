@@ -406,3 +406,21 @@ def test_not_yet_stored_keeps_the_whole_backlog(spark, candles):
 def test_jdbc_reads_must_be_partitioned(spark):
     with pytest.raises(ValueError, match="numPartitions"):
         tb.read_jdbc(spark, "jdbc:none", "klines", partitionColumn="id", lowerBound="0", upperBound="1")
+
+
+def test_a_late_row_opens_its_month_and_no_month_between(spark, candles, tmp_path):
+    """Forty months are stored; a batch holds one new row of the second month and one of the last."""
+    path = str(tmp_path / "candles")
+    daily = candles(range(1200), interval="1d", start=datetime(2020, 1, 1)).withColumn("load_seq", F.lit(0))
+    store.write_candles(daily, path)
+    stored = store.read_candles(spark, path, daily.schema)
+    months = stored.select("month").distinct().count()
+    late = daily.where("open_time = '2020-02-10' OR open_time = '2023-04-02'")
+    moved = late.withColumn("close_time", F.col("close_time") + F.expr("INTERVAL 1 SECOND"))
+    fresh = store.not_yet_stored(moved, stored)
+    assert fresh.count() == 2 and store.not_yet_stored(late, stored).count() == 0
+    assert months == 40 and files_read(spark, fresh) == 2
+
+    store.upsert_into(path, late.withColumn("close", F.lit(-1.0)).withColumn("load_seq", F.lit(1)))
+    now = store.read_candles(spark, path, daily.schema)
+    assert now.count() == 1200 and now.where("close = -1").count() == 2
