@@ -4,7 +4,9 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
 import xxhash
+import zstandard
 
 # Names that the operators use inside; as extra columns of an input they must not matter.
 CLASHES = ["id", "key", "raw", "owner", "n", "fp", "size", "score", "taken", "n_lines", "n_dropped", "text_key", "blob", "rank",
@@ -138,3 +140,24 @@ def rows_of(df, *columns):
 
 def in_order(rows):
     return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
+
+
+def compressed_size(dictionary, text):
+    """Bytes of a text cut into blocks of 512 bytes, each a frame of its own under the dictionary; each must unpack again."""
+    shared, size = zstandard.ZstdCompressionDict(dictionary), 0
+    shared.precompute_compress(level=3)
+    for start in range(0, len(text), 512):
+        block = text[start:start + 512]
+        frame = zstandard.ZstdCompressor(dict_data=shared, write_content_size=False, write_dict_id=False).compress(block)
+        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary))
+        assert unpack.decompress(frame, max_output_size=512) == block
+        size += len(frame)
+    return size
+
+
+def quality_score(model, text):
+    """The size saved by the good dictionary per byte, drawn to the mean as if 200 average bytes came along, on the curve."""
+    raw = (text or "").encode()
+    saved = compressed_size(model.bad, raw) - compressed_size(model.good, raw)
+    at = model.slope * (saved + 200 * model.mean) / (len(raw) + 200) + model.offset
+    return float(1 / (1 + np.exp(-at)))

@@ -61,6 +61,15 @@ def test_op5(spark, documents):
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and r["predicted"] == (r["score"] >= 0.7)
 
 
+def test_op5_by_plain_compression(spark, documents):
+    table = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    model = quality.fit(table("documents"), table("labels").where(~quality.held_out()))
+    found = {r["doc_id"]: r["score"] for r in QUERIES["op5_quality"](spark, FOLDER).collect()}
+    assert model.good and model.bad and found.keys() == {i for i, _, _ in documents}
+    for i, text, _ in documents:
+        assert found[i] == pytest.approx(brute.quality_score(model, text), abs=1e-9)
+
+
 def test_op6(spark, documents):
     want = []
     for i, t, _ in documents:
