@@ -1,8 +1,11 @@
 """Plain versions of the contracts, for small tables."""
 
+import base64
 import hashlib
 import re
+import uuid
 from collections import defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import xxhash
@@ -161,3 +164,63 @@ def quality_score(model, text):
     saved = compressed_size(model.bad, raw) - compressed_size(model.good, raw)
     at = model.slope * (saved + 200 * model.mean) / (len(raw) + 200) + model.offset
     return float(1 / (1 + np.exp(-at)))
+
+
+class PageText(HTMLParser):
+    """Visible text of a well-formed page by the standard library's HTML reader."""
+
+    # Elements that end a line, and those that are not shown.
+    BLOCKS = """p div br hr h1 h2 h3 h4 h5 h6 li ul ol tr table td th section article header footer nav main aside blockquote pre form
+    title figure figcaption dl dt dd body html head""".split()
+    HIDDEN = ("script", "style", "noscript", "template", "svg")
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in self.HIDDEN
+        self.out.append(" " if tag in self.HIDDEN else "\n" if tag in self.BLOCKS else "")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in self.HIDDEN
+        self.out.append("\n" if tag in self.BLOCKS else "")
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data.replace("\n", " "))
+
+
+def page_text(page):
+    reader = PageText()
+    reader.feed(page)
+    reader.close()
+    lines = [re.sub("[ \t\r\f\v]+", " ", line).strip(" ") for line in "".join(reader.out).split("\n")]
+    return "\n".join(line for line in lines if line).strip()
+
+
+def warc_records(url, page):
+    """type -> (id, refers to, whole record) of one page, written out field by field."""
+    space = uuid.uuid5(uuid.NAMESPACE_URL, "urn:kandela:warc")
+    name = lambda *parts: f"<urn:uuid:{uuid.uuid5(space, ' '.join(parts))}>"
+    sha1 = lambda data: "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+    date, payload, text = "1970-01-01T00:00:00Z", page.encode(), page_text(page).encode()
+    response = name("response", url, date, sha1(payload))
+    conversion = name("conversion", response, sha1(text))
+    fields = (f"source-record: {response}\r\nsource-payload-digest: {sha1(payload)}\r\nsource-payload-length: {len(payload)}\r\n"
+              "source-content-type: text/html; charset=utf-8\r\nsource-header-content-type: text/html; charset=utf-8\r\n"
+              f"conversion-record: {conversion}\r\nconversion-payload-digest: {sha1(text)}\r\nconversion-length: {len(text)}\r\n").encode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + payload
+    found = {}
+    for kind, own, refers, mime, block, inner in (
+            ("response", response, None, "application/http; msgtype=response", http, payload),
+            ("metadata", name("metadata", response, sha1(fields)), response, "application/warc-fields", fields, fields),
+            ("conversion", conversion, response, "text/plain; charset=utf-8", text, text)):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {own}\r\nWARC-Date: {date}\r\nWARC-Target-URI: {url}\r\n"
+        head += f"WARC-Refers-To: {refers}\r\n" if refers else ""
+        head += f"WARC-Block-Digest: {sha1(block)}\r\nWARC-Payload-Digest: {sha1(inner)}\r\nContent-Type: {mime}\r\n"
+        found[kind] = own, refers, head.encode() + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    return found

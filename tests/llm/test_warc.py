@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from brute import rows_of
+from brute import page_text, rows_of, warc_records
 
 from kandela.llm import warc
 
@@ -81,5 +81,28 @@ def test_query_digest_columns(spark):
         assert r["text"] == (made[4].decode() if r["warc_type"] == "conversion" else None)
 
 
+def test_query_equals_records_written_out_field_by_field(spark):
+    """Every page of the table against a record writer and an HTML reader that share no code with the operator."""
+    from kandela.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    want = {(p["page_id"], kind): made for p in spark.read.parquet(f"{folder}/pages.parquet").collect()
+            for kind, made in warc_records(p["url"], p["html"]).items()}
+    got = QUERIES["op9_warc"](spark, folder).collect()
+    assert {(r["page_id"], r["warc_type"]) for r in got} == set(want) and len(got) == len(want) > 100
+    for r in got:
+        own, refers, record = want[r["page_id"], r["warc_type"]]
+        assert (r["record_id"], r["refers_to"]) == (own, refers)
+        assert r["record_sha256"] == hashlib.sha256(record).hexdigest()
+        assert r["text"] == (record.split(b"\r\n\r\n", 1)[1][:-4].decode() if r["warc_type"] == "conversion" else None)
+
+
+@pytest.mark.parametrize("page", [
+    PAGE, "<p>a &amp; b &eacute;&#33;</p><ul><li>x<li>y</ul>", "<p>one</p><svg><text>no</text></svg><p>two</p>", "<h1>T</h1>a<br/>b<i>c</i>",
+    "<a href='/'>z</a>", "<noscript>no</noscript><template><p>no</p></template>yes", "", "plain"])
+def test_text_equals_the_standard_reader(page):
+    assert warc.plain_text(page) == page_text(page)
+
+
 def test_empty_table(spark):
     assert rows_of(warc.derived_records(pages(spark, [])), "page_id") == []
