@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kandela.functions.scalars import signal_name
-from kandela.operators import boosting, forests
+from kandela.operators import boosting, forests, logistic
 from kandela.operators.evaluate import best_model, scores, with_row_weights
 from kandela.operators.series import number_rows
 from kandela.operators.store import path_exists
@@ -58,6 +58,8 @@ BASE_MODELS: dict[str, Callable[[int], Estimator]] = {
     "BoostedTreesB": boosted_trees_b,
 }
 
+LOGISTIC = "LogisticRegression"  # its base model is fitted for all symbols together (operators/logistic.py)
+
 # Families that are grown for all symbols together (operators/forests.py, boosting.py) instead of fitted one by one: how, the
 # base model, and what a point of a grid means.
 TOGETHER = {
@@ -179,9 +181,9 @@ def random_search(prepared: Prepared, make: Callable[[int], Estimator], grid: Ma
 
 
 def score(model: PipelineModel | DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows with the predicted class and both probabilities; a forest is a table of nodes."""
+    """Rows with the predicted class and both probabilities; a forest is a table of nodes, a logistic model one of coefficients."""
     if isinstance(model, DataFrame):
-        return forests.score(rows, model).drop("model")
+        return forests.score(rows, model).drop("model") if "node" in model.columns else logistic.score(rows, model)
     scored = model.transform(rows)
     chance = vector_to_array("probability")
     return scored.select(
@@ -200,8 +202,14 @@ def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
-def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], DataFrame]:
-    """A scorer that sends each symbol's rows to its own model; rows of other symbols answer "no model"."""
+def score_each(models: Mapping[str, PipelineModel] | DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A scorer that sends each symbol's rows to its own model; rows of other symbols answer "no model".
+
+    Logistic models as a table (``logistic.MODELS``) meet the rows in one join, so the plan is the same for any number of symbols;
+    rows with a missing feature then answer "incomplete". MLlib models add a branch of the plan for each.
+    """
+    if isinstance(models, DataFrame):
+        return lambda rows: _score_by_table(rows, models)
 
     def run(rows: DataFrame) -> DataFrame:
         parts = [predictions(model, rows.where(F.col("symbol") == symbol)) for symbol, model in models.items()]
@@ -213,6 +221,18 @@ def score_each(models: Mapping[str, PipelineModel]) -> Callable[[DataFrame], Dat
     return run
 
 
+def _score_by_table(rows: DataFrame, models: DataFrame) -> DataFrame:
+    scored = logistic.with_models(rows, models, "left").withColumn("prob_buy", logistic.chance_of_one())
+    buy, known = F.col("prob_buy"), F.col("_model").isNotNull()
+    return conform(
+        scored.select(
+            "symbol", F.when(buy.isNotNull(), signal_name((buy > 0.5).cast("int"))).alias("prediction"), "prob_buy",
+            (1 - buy).alias("prob_sell"), F.col("close_time").alias("timestamp"),
+            F.when(~known, "no model").when(buy.isNull(), "incomplete").otherwise("ok").alias("status")),
+        PREDICTION,
+    )
+
+
 def backtest(model: PipelineModel, test: DataFrame) -> DataFrame:
     return conform(
         score(model, test).select(
@@ -275,11 +295,11 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
              threshold: float = 0.01, parallelism: int = 8, tasks: int = TRAIN_TASKS) -> DataFrame:
     """Train, tune, evaluate, store and log every model of every symbol below ``root``; gives the run log.
 
-    Families of ``TOGETHER`` are grown and tuned for all symbols at once, the others are fitted per symbol. Each symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to
-    ``root/models/symbol/name``, which the log names. The best one's scored test rows go to ``root/backtest``.
+    Logistic models and families of ``TOGETHER`` are fitted and tuned for all symbols at once, the others per symbol. Each
+    symbol writes its scores to a folder of its own, so no plan grows with the symbols, and all its models to ``root/models/symbol/name``, which the log names. The best one's scored test rows go to ``root/backtest``.
     """
     spark = table.sparkSession
-    together = [name for name in TOGETHER if models.get(name) is BASE_MODELS[name]]
+    together = [name for name in (LOGISTIC, *TOGETHER) if models.get(name) is BASE_MODELS[name]]
     tuned = [name for name in TOGETHER if name in (search or {})]
     _grow_all(table, root, together, {name: search[name] for name in tuned}, draws, parallelism)
     models = {name: make for name, make in models.items() if name not in together}
@@ -306,20 +326,21 @@ def full_run(table: DataFrame, root: str, models: Mapping[str, Callable[[int], E
 
 def _grow_all(table: DataFrame, root: str, base: Sequence[str], tuned: Mapping[str, Mapping[str, Sequence]], draws: int,
               parallelism: int) -> None:
-    """Grow, evaluate and store the families of ``TOGETHER``; an empty table leaves nothing."""
+    """Fit, evaluate and store logistic models and the families of ``TOGETHER``; an empty table leaves nothing."""
     train, test = table.where("split = 'train'"), table.where("split = 'test'").drop("weight")
     if not (base or tuned) or table.isEmpty():
         return
-    found = []
+    found = [logistic.fit(train).withColumn("model", F.lit(f"{LOGISTIC}_BASE"))] if LOGISTIC in base else []
     for family in (forests.FOREST, boosting.BOOSTED):
-        fits = {f"{name}_BASE": TOGETHER[name][1] for name in base if TOGETHER[name][0] is family}
+        fits = {f"{name}_BASE": TOGETHER[name][1] for name in base if name in TOGETHER and TOGETHER[name][0] is family}
         found += [forests.fit_forests(train, fits, family=family)] if fits else []
     for name, grid in tuned.items():
         family, first, as_fit = TOGETHER[name]
         settings = [as_fit(point, first) for point in draw_settings(grid, draws)]
         found.append(forests.search(train, settings, f"{name}_OPT", family=family)[0])
     for i, grown in enumerate(found):
-        scored = scores(forests.score(test, grown), "symbol", "model").select("symbol", "model", "n", "accuracy", "f1")
+        tested = forests.score(test, grown) if "node" in grown.columns else logistic.score(test, grown).withColumn("model", F.lit(f"{LOGISTIC}_BASE"))
+        scored = scores(tested, "symbol", "model").select("symbol", "model", "n", "accuracy", "f1")
         conform(scored, SCORES).coalesce(1).write.mode("overwrite").parquet(f"{root}/scores/of=together-{i}")
     names = [f"{name}_BASE" for name in base] + [f"{name}_OPT" for name in tuned]
 
@@ -377,7 +398,7 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel | DataFrame:
     spark = SparkSession.builder.getOrCreate()
-    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else spark.read.schema(forests.MODELS).parquet(path)
+    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else spark.read.parquet(path)
 
 
 def run_log(scored: DataFrame, horizon: int, threshold: float, models: str) -> DataFrame:

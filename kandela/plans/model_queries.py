@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kandela.operators import evaluate as ev, ml
+from kandela.operators import evaluate as ev, logistic, ml
 from kandela.operators.features import HORIZON, MIN_ROWS, THRESHOLD, features_per_split, short_series, training_frame, with_label
 from kandela.operators.store import path_exists
 from kandela.plans.registry import BASE, COMPLETE_SQL, features_sql, label_sql, query
@@ -53,27 +53,24 @@ def _scores_sql(*names: str) -> str:
     return f"""{_KEPT} SELECT symbol, model, n, true AS accuracy_valid, true AS f1_valid FROM tests, {_names_sql(names)}"""
 
 
-def _base(spark, folder, name):
-    return _in_range(ml.train_and_evaluate(split_features(spark, folder), {name: ml.BASE_MODELS[name]}))
+def logistic_models(table):
+    """Logistic models of all symbols from a training table."""
+    return logistic.fit(table.where("split = 'train'"))
 
 
 @query("m3_logistic_regression", _scores_sql("LogisticRegression_BASE"))
 def logistic_regression(spark, folder):
-    return _base(spark, folder, "LogisticRegression")
+    table = split_features(spark, folder)
+    scored = logistic.score(table.where("split = 'test'").drop("weight"), logistic_models(table))
+    return _in_range(ev.scores(scored.withColumn("model", F.lit("LogisticRegression_BASE")), "symbol", "model"))
 
 
 @query("m3_optimum", f"{_KEPT} SELECT symbol, true AS at_optimum FROM tests")
 def logistic_optimum(spark, folder):
-    """The loss's gradient at every fitted logistic model is zero to within 1e-4."""
+    """The loss's gradient at every fitted logistic model is zero to within 1e-7, computed anew from the train rows."""
     table = split_features(spark, folder)
-
-    def check(symbol):
-        data = ml.prepare(table, symbol, ml.TRAIN_TASKS)
-        norm = ml.gradient_norm(ml.fit(data, ml.logistic_regression), data.train)
-        data.release()
-        return symbol, norm < 1e-4
-
-    return spark.createDataFrame(ml.per_symbol(table, check), "symbol string, at_optimum boolean")
+    found = logistic.gradients(table.where("split = 'train'"), logistic_models(table))
+    return found.select("symbol", (F.col("gradient") < 1e-7).alias("at_optimum"))
 
 
 _PROBABILITIES = "true AS valid"
@@ -89,7 +86,7 @@ def _checked(scored):
 @query("m9_score", f"""{_KEPT} SELECT symbol, close_time AS "timestamp", 'ok' AS status, {_PROBABILITIES} FROM kept WHERE split = 'test'""")
 def score(spark, folder):
     rows = split_features(spark, folder)
-    return _checked(ml.score_each(ml.fit_each(rows, ml.logistic_regression))(rows.where("split = 'test'")))
+    return _checked(ml.score_each(logistic_models(rows))(rows.where("split = 'test'")))
 
 
 @query("m11_reload_and_score", f"""{_KEPT}, {features_sql(prefix="all_")}, {label_sql("all_feat", name="all_labelled").replace("fwd", "all_fwd")}
@@ -98,15 +95,13 @@ def score(spark, folder):
   UNION ALL SELECT symbol, close_time, 'no model', NULL FROM all_labelled
   WHERE target IS NOT NULL AND {COMPLETE_SQL} AND symbol NOT IN (SELECT symbol FROM tests)""")
 def reload_and_score(spark, folder):
-    """Save each model, load it again and score every labelled candle; symbols without a model say so."""
+    """Save the models, load them again and score every labelled candle; symbols without a model say so."""
     candles = tb.stored_event_candles(spark, folder)
     rows = ml.training_table(materialise(features_per_split(candles, min_rows=MIN_ROWS), "features"))
     everything = materialise(training_frame(candles), "training")
-    path, loaded = scratch_path(spark, "models"), {}
-    for symbol, model in ml.fit_each(rows, ml.logistic_regression).items():
-        ml.save_model(model, f"{path}/{symbol}")
-        loaded[symbol] = ml.load_model(f"{path}/{symbol}")
-    return _checked(ml.score_each(loaded)(everything))
+    path = scratch_path(spark, "models")
+    logistic.save(logistic_models(rows), path)
+    return _checked(ml.score_each(logistic.load(spark, path))(everything))
 
 
 @query("m8_left_out", f"""{BASE}, {label_sql()} SELECT symbol, "interval", count(target) AS n_rows, 'too few rows' AS status
@@ -119,17 +114,10 @@ def left_out(spark, folder):
 @query("k9_model_sink", f"""{_KEPT} SELECT symbol, unnest([0, 1, 2]) AS position,
   unnest(['VectorAssembler', 'StandardScalerModel', 'LogisticRegressionModel']) AS stage FROM tests""")
 def model_sink(spark, folder):
-    """Stages of every stored model after a reload."""
-    rows, path = split_features(spark, folder), scratch_path(spark, "models")
-    models = ml.fit_each(rows, ml.logistic_regression)
-    for symbol, model in models.items():
-        ml.save_model(model, f"{path}/{symbol}")
-    stages = [
-        (symbol, i, type(stage).__name__)
-        for symbol in models
-        for i, stage in enumerate(ml.load_model(f"{path}/{symbol}").stages)
-    ]
-    return spark.createDataFrame(stages, "symbol string, position int, stage string")
+    """Stages of every stored model, read from where they are kept."""
+    path = scratch_path(spark, "models")
+    logistic.save(logistic_models(split_features(spark, folder)), path)
+    return logistic.read_stages(spark, path).select("symbol", "position", "stage")
 
 
 # The long fits come last. The run is made in parts, each once per session and folder, and the queries read what they left.

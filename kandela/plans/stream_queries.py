@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kandela.operators import ml, store
+from kandela.operators import logistic, ml, store
 from kandela.operators.features import features_per_split
 from kandela.plans.registry import BASE, CANDLE_SQL, TICKS, candles_sql, label_sql, query
 from kandela.plans.table_queries import CLOSED, broken_messages, documents
@@ -137,7 +137,7 @@ def online_scoring(spark, folder):
     """Models per symbol from the stored candles, newest closed candle scored from the stream; one symbol has no model."""
     candles = tb.stored_event_candles(spark, folder)
     table = ml.training_table(materialise(features_per_split(candles.where("symbol <> 'ERROR'")), "features"))
-    score = ml.score_each(ml.fit_each(table, ml.logistic_regression))
+    score = ml.score_each(logistic.fit(table.where("split = 'train'")))
     out = drain(spark, jobs.start_scoring, _landed(spark, folder), score=score)
     rows = spark.read.parquet(f"{out}/predictions")
     chance = F.col("prob_buy").between(0, 1) & (F.abs(F.col("prob_buy") + F.col("prob_sell") - 1) < 1e-9)

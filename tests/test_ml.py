@@ -181,9 +181,9 @@ def test_every_fit_deals_its_rows_to_the_given_tasks(table, spark, monkeypatch):
         return whole(data, make)
 
     monkeypatch.setattr(ml, "fit", noting)
-    ml.fit_each(table, ml.logistic_regression)
-    ml.train_and_evaluate(table, {"LogisticRegression": ml.logistic_regression})
+    ml.fit_each(table, small_forest)
+    ml.train_and_evaluate(table, {"Forest": small_forest})
     assert ml.TRAIN_TASKS > 1 and seen == [ml.TRAIN_TASKS] * 4
-    ml.fit_each(table, ml.logistic_regression, tasks=3)
-    ml.full_run(table, scratch_path(spark, "run"), {"LogisticRegression": ml.logistic_regression}, tasks=3)
+    ml.fit_each(table, small_forest, tasks=3)
+    ml.full_run(table, scratch_path(spark, "run"), {"Forest": small_forest}, tasks=3)
     assert seen[4:] == [3] * 4
