@@ -94,3 +94,59 @@ def test_scores_are_sums_of_leaves(train):
                 n = tree[2 * n.node + (r[FEATURE_COLUMNS[n.feature]] > n.threshold)]
             total += n.value
         assert r.prob_buy == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+
+
+def random_rows(n, seed=5):
+    r = np.random.default_rng(seed)
+    bins = r.integers(0, R.BINS, (n, R.WIDTH)).astype(np.uint8)
+    y = (bins[:, 3] + 0.5 * bins[:, 8] + 8 * r.normal(size=n) > 26).astype(np.int32)
+    return bins, y, np.where(y == 1, 1.6, 0.7), r.integers(-2**62, 2**62, n)
+
+
+def plain_nodes(levels):
+    return sorted(tuple(x.item() for x in row) for level in levels for row in zip(*level))
+
+
+@pytest.mark.parametrize("few, paired", [(0, 0), (0, 10**9), (3_000, 20)])
+def test_every_way_of_counting_gives_the_same_trees(monkeypatch, few, paired):
+    bins, y, weight, keys = random_rows(700)
+    fit, columns, one = B.Boost(trees=6, depth=4, share=0.7, tried=13), np.ascontiguousarray(bins.T), np.zeros(700, np.int32)
+    want = plain_nodes(B.boost(columns, y, weight, keys, one, fit))
+    monkeypatch.setattr(B, "FEW", few)
+    monkeypatch.setattr(B, "PAIRED", paired)
+    assert plain_nodes(B.boost(columns, y, weight, keys, one, fit)) == want and len(want) > 100
+
+
+def test_series_that_share_a_task_get_their_own_trees():
+    bins, y, weight, keys = random_rows(600)
+    of = np.random.default_rng(1).integers(0, 3, 600).astype(np.int32)
+    weights = np.array([0.7, 0.8, 0.9]), np.array([1.6, 1.2, 1.1])
+    boost, forest, columns = B.Boost(trees=4, depth=3), R.Fit(trees=1, depth=4, least=2), np.ascontiguousarray(bins.T)
+    boosted = plain_nodes(B.boost(columns, y, weight, keys, of, boost))
+    grown = plain_nodes(R.grow(columns, y, R.bag(keys, 0), of, 0, forest, *weights))
+    for series in range(3):
+        mine = of == series
+        part, none = np.ascontiguousarray(bins[mine].T), np.zeros(mine.sum(), np.int32)
+        alone = plain_nodes(B.boost(part, y[mine], weight[mine], keys[mine], none, boost))
+        assert [(x[0], 0, *x[2:]) for x in boosted if x[1] == series] == alone
+        alone = plain_nodes(R.grow(part, y[mine], R.bag(keys[mine], 0), none, 0, forest, weights[0][[series]], weights[1][[series]]))
+        assert [(0, *x[1:]) for x in grown if x[0] == series] == alone
+
+
+def test_jobs_of_a_series_of_years_do_not_grow_with_its_trees(spark):
+    from pyspark.sql import functions as F
+
+    hour = F.timestamp_seconds(F.col("id") * 3600)
+    train = spark.range(20_500).select(
+        F.lit("A").alias("symbol"), F.lit("1h").alias("interval"), hour.alias("open_time"), F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("target"),
+        F.lit(1.0).alias("weight"), *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 10).alias(c) for i, c in enumerate(FEATURE_COLUMNS)])
+    rows, _ = R.quantised(train)
+
+    def jobs(trees):
+        group = f"trees-{trees}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert B.boost_together(rows, [B.Boost(trees=trees, depth=1)]).count() == 3 * trees
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(1) == jobs(3) > 0
