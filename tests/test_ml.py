@@ -187,3 +187,24 @@ def test_every_fit_deals_its_rows_to_the_given_tasks(table, spark, monkeypatch):
     ml.fit_each(table, small_forest, tasks=3)
     ml.full_run(table, scratch_path(spark, "run"), {"Forest": small_forest}, tasks=3)
     assert seen[4:] == [3] * 4
+
+
+def test_models_grown_together_take_no_job_per_symbol(table, spark, monkeypatch):
+    def looped(*_):
+        raise AssertionError("a loop over symbols")
+
+    monkeypatch.setattr(ml, "symbols_of", looped)
+    root, search = scratch_path(spark, "run"), {"RandomForest": {"numTrees": [2, 3], "maxDepth": [1, 2]}}
+    log = ml.full_run(table, root, {"LogisticRegression": ml.BASE_MODELS["LogisticRegression"]}, search, draws=2).collect()
+    assert {(r.symbol, r.model_type) for r in log} == {
+        (s, m) for s in ("AAAUSDT", "BBBUSDT") for m in ("LogisticRegression_BASE", "RandomForest_OPT")}
+    for run in log:
+        assert run.artifact == f"{root}/models/{run.symbol}/{run.model_type}"
+        model = ml.load_model(run.artifact)
+        assert {r.symbol for r in model.select("symbol").collect()} == {run.symbol}
+        rows = table.where((table.symbol == run.symbol) & (table.split == "test"))
+        scored = ml.score(model, rows).select("prediction", "target").collect()
+        assert sum(r.prediction == r.target for r in scored) / rows.count() == pytest.approx(run.accuracy)
+    tests = table.where("split = 'test'").groupBy("symbol").count().collect()
+    back = ml.read_backtest(spark, root).groupBy("symbol").count().collect()
+    assert sorted(map(tuple, back)) == sorted(map(tuple, tests))
